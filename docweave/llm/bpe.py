@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from docweave.ship import shipped
+
 #: The pre-tokenizer's pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Most words whose ids a Python worker keeps.
@@ -253,6 +255,7 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", keep: list[str] |
     """
     types = {"ids": "array<bigint>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
     keep = [c for c in (keep or docs.columns) if c not in want]
+    shipped(docs.sparkSession)
     made = docs.select(*keep, *([text] if text not in keep else []))
     schema = ", ".join([f"`{c}` {made.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} {types[c]}" for c in want])
     return made.mapInArrow(_runner(path, text, keep, want), schema)

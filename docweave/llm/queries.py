@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm.bpe import tokenized
+from docweave.llm.decontaminate import decontaminate
+from docweave.llm.kd_shard import kd_shards
 from docweave.llm.line_dedup import line_dedup
+from docweave.llm.quality_rules import quality_rules
+from docweave.llm.secret_scan import scan_secrets
 
 #: The tokenizer file that op8 and the pipeline read, by name; it must be on every executor.
 TOKENIZER = "byte_bpe_50k.json"
@@ -52,14 +56,122 @@ FROM m GROUP BY doc_id
 """
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+    )
+
+
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(table(spark, sf_dir, "documents"), leaves=8)
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_hit = F.aggregate("bench_hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ids = F.array_sort(F.transform("bench_items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("bench_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+OP5_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM iw WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM win),
+occ AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)
+), hit AS (SELECT o.doc_id, o.i, o.n, win.item_id FROM occ o JOIN win ON o.n = win.n AND o.phrase = win.phrase),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality_rules(docs).drop("source")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, text FROM d),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS phrase
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, phrase) AS c FROM win) WHERE c >= 2) GROUP BY doc_id
+), stats AS (
+  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+            - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)
+), l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (
+  SELECT doc_id, coalesce(source, '') AS source, text, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), hosts AS (SELECT coalesce(source, '') AS source, count(DISTINCT text) AS texts FROM d GROUP BY 1),
+f AS (
+  SELECT source, key, first FROM (
+    SELECT source, key, count(DISTINCT text) AS docs, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY source, key)
+  JOIN hosts USING (source) WHERE docs > 20 AND docs * 100 > texts * 10
+), gone AS (
+  SELECT k.doc_id, sum(n) AS n FROM k JOIN f ON k.source = f.source AND k.key = f.key WHERE k.doc_id <> f.first GROUP BY k.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       CAST(coalesce(gone.n, 0) AS BIGINT) AS n_boilerplate_words,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - coalesce(gone.n, 0) >= 10 AS kept
+FROM stats LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokenized(docs, tokenizer_path(), keep=["doc_id"], want=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op8_bpe": op8_bpe}
+    return {
+        "op1_line_dedup": op1_line_dedup,
+        "op3_secret_scan": op3_secret_scan,
+        "op4_kd_shards": op4_kd_shards,
+        "op5_decontaminate": op5_decontaminate,
+        "op6_quality_rules": op6_quality_rules,
+        "op8_bpe": op8_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_decontaminate": OP5_SQL, "op6_quality_rules": OP6_SQL}
