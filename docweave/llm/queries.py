@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docweave.llm.bpe import tokenized
 from docweave.llm.decontaminate import decontaminate
+from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.kd_shard import kd_shards
 from docweave.llm.line_dedup import line_dedup
 from docweave.llm.quality_rules import quality_rules
@@ -157,6 +158,35 @@ FROM stats LEFT JOIN gone USING (doc_id)
 """
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
+"""
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokenized(docs, tokenizer_path(), keep=["doc_id"], want=("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -169,9 +199,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_kd_shards": op4_kd_shards,
         "op5_decontaminate": op5_decontaminate,
         "op6_quality_rules": op6_quality_rules,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_bpe": op8_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op5_decontaminate": OP5_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_decontaminate": OP5_SQL, "op6_quality_rules": OP6_SQL, "op7_jaccard_join": OP7_SQL}
