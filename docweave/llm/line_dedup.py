@@ -62,8 +62,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
         .agg(F.collect_set("_pos").alias("_drop"))
     )
     taken = docs.withColumns({"_text": F.coalesce(F.col(text), F.lit("")), "_id": F.col(doc_id)}).withColumn("_row", F.xxhash64("_text"))
-    joined = taken.join(dropped, ["_id", "_row"], "left")
-    parts = F.split(F.col("_text"), "\n")
+    # A column of its own, which the projection below reads more than once: within a lambda the split would run for each line.
+    joined = taken.join(dropped, ["_id", "_row"], "left").withColumn("_parts", F.split("_text", "\n"))
+    parts = F.col("_parts")
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drop"))
     kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
     return joined.select(
