@@ -14,6 +14,7 @@ from docweave.llm.kd_shard import kd_shards
 from docweave.llm.line_dedup import line_dedup
 from docweave.llm.quality_rules import quality_rules
 from docweave.llm.secret_scan import scan_secrets
+from docweave.llm.toxicity import toxicity
 
 #: The tokenizer file that op8 and the pipeline read, by name; it must be on every executor.
 TOKENIZER = "byte_bpe_50k.json"
@@ -192,6 +193,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenized(docs, tokenizer_path(), keep=["doc_id"], want=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -201,6 +209,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_bpe": op8_bpe,
+        "op9_toxicity": op9_toxicity,
     }
 
 
