@@ -12,8 +12,10 @@ from docweave.llm.decontaminate import decontaminate
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.kd_shard import kd_shards
 from docweave.llm.line_dedup import line_dedup
+from docweave.llm.paragraph_dedup import paragraph_dedup
 from docweave.llm.quality_rules import quality_rules
 from docweave.llm.secret_scan import scan_secrets
+from docweave.llm.suffix_dedup import suffix_dedup
 from docweave.llm.toxicity import toxicity
 
 #: The tokenizer file that op8 and the pipeline read, by name; it must be on every executor.
@@ -58,6 +60,11 @@ FROM m GROUP BY doc_id
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
@@ -200,9 +207,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_secret_scan": op3_secret_scan,
         "op4_kd_shards": op4_kd_shards,
         "op5_decontaminate": op5_decontaminate,
@@ -210,6 +222,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_jaccard_join": op7_jaccard_join,
         "op8_bpe": op8_bpe,
         "op9_toxicity": op9_toxicity,
+        "op10_paragraph_dedup": op10_paragraph_dedup,
     }
 
 
