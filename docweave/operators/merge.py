@@ -22,14 +22,14 @@ def merge_types(members: DataFrame, types: DataFrame, enums: DataFrame) -> DataF
 
     rows = keyed(members, 0).unionAll(keyed(types, 1, description=F.col("description"), remarks=F.col("remarks"))).unionAll(keyed(enums, 2, n_enum=F.lit(1)))
     first = [F.min_by(c, "o").alias(c) for c in ("assembly", "namespace", "type_name")]
-    text = [F.coalesce(F.max_by(c, "o").filter(F.col(c) != ""), F.lit("")).alias(c) for c in ("description", "remarks")]
+    text = [F.coalesce(F.max_by(c, F.when(F.col(c) != "", F.col("o"))), F.lit("")).alias(c) for c in ("description", "remarks")]
     return rows.groupBy("fqn").agg(*first, *text, F.sum("n_enum").cast("long").alias("n_enum_members"), (F.max("n_enum") > 0).alias("is_enum"))
 
 
 def last_details(details: DataFrame) -> DataFrame:
     """Of each (type, member): the last value of each field that isn't empty."""
     fields = ("description", "signature", "params", "returns", "remarks")
-    return details.groupBy("fqn", "member").agg(*[F.max_by(c, "ord").filter(F.col(c) != "").alias(c) for c in fields])
+    return details.groupBy("fqn", "member").agg(*[F.max_by(c, F.when(F.col(c) != "", F.col("ord"))).alias(c) for c in fields])
 
 
 def enrich_members(members: DataFrame, details: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def example_category(refs: DataFrame, categorised: DataFrame) -> DataFrame:
     """The most common category of the types that refer to an example; the first seen on ties, else Other."""
     used = refs.withColumn("url", F.regexp_replace("url", "^/+", "")).join(categorised.select("fqn", "category"), "fqn", "left")
     counts = used.groupBy("url", "category").agg(F.count("*").alias("n"), F.min("ord").alias("o"))
-    best = F.max_by("category", F.struct("n", -F.col("o"))).filter(F.col("category").isNotNull())
+    best = F.max_by("category", F.when(F.col("category").isNotNull(), F.struct("n", -F.col("o"))))
     return counts.groupBy("url").agg(F.coalesce(best, F.lit("Other")).alias("category"))
 
 

@@ -229,8 +229,8 @@ def toc_urls(spark, sf_dir):
     from docweave.sources.json_tree import json_urls
 
     nodes = base(spark, sf_dir, "toc")
-    leaf = nodes.where("is_leaf").groupBy("parent_id").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("id", "url"))), ","), F.lit("]")).alias("kids"))
-    inner = nodes.join(leaf, nodes["id"] == leaf["parent_id"]).select(nodes["id"], F.concat(F.lit('{"id":"'), "id", F.lit('","children":'), "kids", F.lit("}")).alias("json"))
+    leaf = nodes.where("is_leaf").groupBy(c("parent_id").alias("owner")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("id", "url"))), ","), F.lit("]")).alias("kids"))
+    inner = nodes.join(leaf, c("id") == c("owner")).select(F.concat(F.lit('{"id":"'), "id", F.lit('","children":'), "kids", F.lit("}")).alias("json"))
     return json_urls(inner.select("json")).select("url")
 
 
