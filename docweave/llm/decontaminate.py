@@ -54,7 +54,7 @@ class QuerySet:
         for i, w in enumerate(holders):
             table[i, : len(w)] = w
         sizes = np.array([len(w) for w in holders], dtype=np.int64)
-        return cls(vocabulary, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t)) for i, t in terms.items()})
+        return cls(vocabulary, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t), dtype=np.int64) for i, t in terms.items() if t})
 
 
 class BlockIndex:
@@ -160,7 +160,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str
     if parts == 1:
         return _pass(docs, used, keep, made, width, text, within, rarest)
     # A larger query set goes over the documents part by part; their findings meet by row.
-    keyed = docs.withColumns({"_id": F.xxhash64(*[F.col(c) for c in keep]), "_row": F.xxhash64(F.lit("row"), *[F.col(c) for c in keep], text)})
+    keyed = docs.select(*keep, *([text] if text not in keep else [])).withColumns({"_id": F.xxhash64(*[F.col(c) for c in keep]), "_row": F.xxhash64(F.lit("row"), *[F.col(c) for c in keep], text)})
     found = None
     for k in range(parts):
         own = used.where(F.pmod(F.xxhash64("_item"), F.lit(parts)) == k)
