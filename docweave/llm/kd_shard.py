@@ -13,9 +13,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docweave.llm.store import written
 
@@ -45,9 +44,12 @@ def _before(keys: list[Column], cut: list[Column]) -> Column:
     return (a < x) | ((a == x) & ((b < y) | ((b == y) & (c < z))))
 
 
-def _small(spark, rows: list[tuple], names: list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
-    return F.broadcast(spark.createDataFrame(rows, schema))  # at most MAX_LEAVES rows
+def _small(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A literal table of longs; at most MAX_LEAVES rows, so it may be broadcast."""
+    if not rows:
+        return spark.range(0).select(*[F.col("id").alias(n) for n in names])
+    literal = ", ".join("(" + ", ".join(f"{v}L" for v in row) + ")" for row in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {literal} AS t({', '.join(names)})"))
 
 
 def _find_cuts(points: DataFrame, cuts: list[_Cut], tolerance: float) -> None:
@@ -168,8 +170,6 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, leaves: int | No
 
 def _with_slots(rows: DataFrame, n: int, chunk: int = 50_000) -> DataFrame:
     """Gapless numbers from 0 in each shard: numbers within chunks plus the chunks' offsets."""
-    from pyspark.sql import Window
-
     chunks = max(1, -(-n // chunk))
     dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_rid"), F.lit(chunks)))
     within = Window.partitionBy("_shard", "_chunk").orderBy("_rid")
