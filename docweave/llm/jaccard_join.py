@@ -28,8 +28,8 @@ from docweave.llm.overlap import linked
 from docweave.llm.store import written
 from docweave.ship import shipped
 
-#: Pairs in one packing, and in one bucket on average.
-PACK, BUCKET = 3_000_000, 1_000_000
+#: Pairs in one packing, in one bucket on average, and compared at once.
+PACK, BUCKET, PART = 1_500_000, 6_000_000, 1_000_000
 #: Sets of one packing that make a shingle frequent, and the frequency it then has.
 FREQUENT, MANY = 64, 1 << 30
 
@@ -158,17 +158,36 @@ def packed_pairs(docs: DataFrame, k: int, text: str, bits: int, buckets: int) ->
 def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
     """(signature, frequency, shingle) of the shingles that two sets at least hold."""
 
-    def bucket_rows(rows: list[tuple]) -> pa.RecordBatch | None:
-        keys, owners, marks, far = [], [], [], rows[0][0] >= buckets
+    def bucket_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        # A few wide buckets share each packing's list of owners; shingles are compared in ranges.
+        far, marks, held = rows[0][0] >= buckets, [], []
         for _, n, frequent, packed_keys, places, owner_bytes in rows:
             own = unpack(packed_keys, n)
             if frequent and not far:
                 marks.append(own)
                 continue
             names = np.frombuffer(owner_bytes, dtype=np.int64)
-            keys.append(own)
-            owners.append(names[np.frombuffer(places, dtype="<u2" if len(names) <= 1 << 16 else "<u4")])
-        if not keys:
+            held.append((own, np.frombuffer(places, dtype="<u2" if len(names) <= 1 << 16 else "<u4"), names))
+        total = sum(len(own) for own, _, _ in held)
+        if not total:
+            return
+        marked = np.concatenate(marks) if marks else np.zeros(0, U64)
+        low = min(int(own[0]) for own, _, _ in held if len(own))
+        high = max(int(own[-1]) for own, _, _ in held if len(own))
+        parts = -(-total // PART)
+        for i in range(parts):
+            a, b = low + (high + 1 - low) * i // parts, low + (high + 1 - low) * (i + 1) // parts
+            keys, owners = [], []
+            for own, places, names in held:
+                cut = slice(int(np.searchsorted(own, U64(a))), len(own) if b > high else int(np.searchsorted(own, U64(b))))
+                keys.append(own[cut])
+                owners.append(names[places[cut]])
+            made = compared(keys, owners, marked, far)
+            if made is not None:
+                yield made
+
+    def compared(keys: list[np.ndarray], owners: list[np.ndarray], marks: np.ndarray, far: bool) -> pa.RecordBatch | None:
+        if not sum(map(len, keys)):
             return None
         key, owner = np.concatenate(keys), np.concatenate(owners)
         order = np.lexsort((owner, key))
@@ -180,8 +199,8 @@ def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
         counts = np.diff(np.append(first, len(key)))
         if far:
             counts[:] = MANY
-        elif marks:
-            counts[np.isin(key[first], np.concatenate(marks))] = MANY
+        elif len(marks):
+            counts[np.isin(key[first], marks)] = MANY
         often = np.repeat(counts, np.diff(np.append(first, len(key))))
         take = often >= 2
         arrays = [pa.array(owner[take]), pa.array(often[take].astype(np.int32)), pa.array(key[take].astype(np.int64))]
@@ -192,13 +211,11 @@ def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for row in zip(*[batch.column(c).to_pylist() for c in ("bucket", "n", "frequent", "keys", "places", "owners")], strict=True):
                 if rows and rows[0][0] != row[0]:
-                    made = bucket_rows(rows)
-                    if made is not None:
-                        yield made
+                    yield from bucket_rows(rows)
                     rows = []
                 rows.append(row)
-        if rows and (made := bucket_rows(rows)) is not None:
-            yield made
+        if rows:
+            yield from bucket_rows(rows)
 
     dealt = packed.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "signature bigint, frequency int, shingle bigint")

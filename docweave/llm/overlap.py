@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,13 @@ from pyspark.sql import functions as F
 from docweave.ship import shipped
 
 
-def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
+#: Entries of short lists up to which a heap merges them; beyond, they are counted.
+HEAP_LIMIT = 1000
+#: Leaders that a set is compared with before the indexes are searched.
+RECENT = 8
+
+
+def divide_skip(lists: list[array], least: int) -> dict[int, int]:
     """Numbers that stand in at least ``least`` of the ascending lists, with how many."""
     least = max(1, least)
     if len(lists) < least:
@@ -31,6 +39,8 @@ def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     # The longest lists are probed; fewer than ``least`` of them, so the rest must have each answer.
     probed = min(least - 1, int(least / (0.01 * math.log2(max(2, len(lists[-1]))) + 1)))
     short, long = lists[: len(lists) - probed], lists[len(lists) - probed :]
+    if sum(map(len, short)) > HEAP_LIMIT:
+        return _counted(short, long, least)
     found: dict[int, int] = {}
     last, count, need = -1, 0, least - len(long)
 
@@ -55,20 +65,51 @@ def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     return found
 
 
+def _counted(short: list[array], long: list[array], least: int) -> dict[int, int]:
+    """The same with the short lists merged by counting: many numbers in few lists' worth of range."""
+    total = np.bincount(np.concatenate([np.frombuffer(own, dtype=np.int32) for own in short]))
+    found = np.flatnonzero(total >= least - len(long))
+    total = total[found]
+    for own in long:
+        probe = np.frombuffer(own, dtype=np.int32)
+        at = np.searchsorted(probe, found)
+        at[at == len(probe)] = 0
+        total += probe[at] == found
+    good = total >= least
+    return dict(zip(found[good].tolist(), total[good].tolist(), strict=True))
+
+
 class _Index:
     """Inverted lists of numbered sets; numbers only grow, so the lists ascend."""
 
     def __init__(self) -> None:
-        self.lists: dict[int, list[int]] = {}
+        self.lists: dict[int, array] = {}
 
     def add(self, number: int, keys: list[int]) -> None:
         for k in keys:
-            self.lists.setdefault(k, []).append(number)
+            own = self.lists.get(k)
+            if own is None:
+                own = self.lists[k] = array("i")
+            own.append(number)
 
     def search(self, keys: list[int], least: int) -> dict[int, int]:
         return divide_skip([own for k in keys if (own := self.lists.get(k)) is not None], least)
 
 
+class _Star:
+    """A leader with the members nearest to it, their index, and the distance of the farthest."""
+
+    def __init__(self, leader: int, keys: frozenset[int]):
+        self.leader, self.keys, self.radius = leader, keys, 0.0
+        self.members: list[int] = []
+        self.index = _Index()
+
+    def take(self, member: int, keys: list[int], distance: float) -> None:
+        self.index.add(len(self.members), keys)
+        self.members.append(member)
+        self.radius = max(self.radius, distance)
+
+
 def needed(a: int, b: int, percent: int) -> int:
     """The least intersection with 100 * intersection >= percent * union."""
     return -(-percent * (a + b) // (100 + percent))
@@ -96,55 +137,67 @@ def link_sets(sizes: list[int], sets: list[list[int]], percent: int) -> list[tup
             root[max(a, b)] = min(a, b)
             links.append((i, j))
 
-    leaders: list[int] = []
-    radius: list[float] = []
-    members: list[_Index | None] = []
-    held: list[list[int]] = []
-    index = _Index()
-    widest = 0.0
+    stars: list[_Star] = []
+    every, rest = _Index(), _Index()  # of all leaders, and of those outside the main component
+    behind: list[int] = []  # stars of the rest index
+    main, recent, widest = -1, list[int](), 0.0
     reach = 1 - percent / 100
     for x in order:
         size, keys = sizes[x], sets[x]
+        own, best = frozenset(keys), (2.0, -1)
+        # Most sets of a large component link with a leader that took one lately; then only other components matter.
+        for star in recent:
+            leader = stars[star].leader
+            overlap = len(own & stars[star].keys)
+            if overlap >= needed(size, sizes[leader], percent):
+                link(x, leader)
+                best = (1 - overlap / (size + sizes[leader] - overlap), star)
+                break
+        in_main = best[1] >= 0 and main >= 0 and find(x) == find(main)
         # Sets come largest first, so every earlier one is at least as large: overlap >= J * its size >= J * size.
-        floor = max(0.0, percent / 100 - widest)
-        overlaps = index.search(keys, max(1, math.ceil(floor * size - 1e-9)))
-        near, best = [], (2.0, -1)
-        for star, overlap in overlaps.items():
-            leader = leaders[star]
+        floor = max(1, math.ceil((percent / 100 - widest) * size - 1e-9))
+        near = []
+        for star, overlap in (rest if in_main else every).search(keys, floor).items():
+            star = behind[star] if in_main else star
+            leader = stars[star].leader
             distance = 1 - overlap / (size + sizes[leader] - overlap)
             if overlap >= needed(size, sizes[leader], percent):
                 link(x, leader)
                 best = min(best, (distance, star))
-            elif distance <= reach + radius[star] + 1e-9:
+            elif distance <= reach + stars[star].radius + 1e-9:
                 near.append(star)
         for star in near:
             # Some member may link though the leader doesn't.
-            inner = members[star]
-            if inner is None or all(find(m) == find(x) for m in held[star]):
+            members = stars[star].members
+            if not members or find(stars[star].leader) == find(x):
                 continue
-            for at, overlap in inner.search(keys, max(1, math.ceil(percent * size / 100 - 1e-9))).items():
-                member = held[star][at]
-                if overlap >= needed(size, sizes[member], percent):
-                    link(x, member)
+            for at, overlap in stars[star].index.search(keys, max(1, math.ceil(percent * size / 100 - 1e-9))).items():
+                if overlap >= needed(size, sizes[members[at]], percent):
+                    link(x, members[at])
         if best[1] < 0:
-            index.add(len(leaders), keys)
-            leaders.append(x)
-            radius.append(0.0)
-            members.append(None)
-            held.append([])
+            star = len(stars)
+            stars.append(_Star(x, own))
+            every.add(star, keys)
+            if main < 0:
+                main = x
+            elif find(x) != find(main):
+                rest.add(len(behind), keys)
+                behind.append(star)
         else:
             distance, star = best
             if distance > 0:
-                if members[star] is None:
-                    members[star] = _Index()
-                members[star].add(len(held[star]), keys)
-                held[star].append(x)
-                radius[star] = max(radius[star], distance)
-                widest = max(widest, radius[star])
+                stars[star].take(x, keys, distance)
+                widest = max(widest, distance)
+        recent = [star, *[r for r in recent if r != star]][:RECENT]
+        joined = sum(find(stars[r].leader) == find(main) for r in behind[:1024]) if len(behind) < 1024 else 0
+        if joined * 2 > len(behind):
+            behind, rest = [r for r in behind if find(stars[r].leader) != find(main)], _Index()
+            for at, r in enumerate(behind):
+                rest.add(at, sorted(stars[r].keys))
     return links
 
 
-def linked(sets: DataFrame, percent: int, block: int = 4000) -> DataFrame:
+def linked(sets: DataFrame, percent: int, block: int = 2000) -> DataFrame:
     """Links (a, b) between the rows of each cluster; rows: cluster, id, size, keys.
 
     A cluster of more than ``block`` rows is dealt into blocks, and each pair of
@@ -161,7 +214,17 @@ def linked(sets: DataFrame, percent: int, block: int = 4000) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         ids = group.column("id").to_pylist()
-        pairs = link_sets(group.column("size").to_pylist(), group.column("keys").to_pylist(), percent)
+        lists = group.column("keys").combine_chunks()
+        offsets, keys = lists.offsets.to_numpy(), lists.values.to_numpy()
+        keys, offsets = keys[offsets[0] : offsets[-1]], offsets - offsets[0]
+        # Keys by number, one object for each; those that one set alone has are in no intersection.
+        _, number, count = np.unique(keys, return_inverse=True, return_counts=True)
+        shared = count[number] > 1
+        names = list(range(len(count)))
+        ends = np.concatenate([[0], np.cumsum(shared)])[offsets]
+        listed = [names[k] for k in number[shared].tolist()]
+        sets = [listed[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        pairs = link_sets(group.column("size").to_pylist(), sets, percent)
         return pa.table({"a": pa.array([ids[i] for i, _ in pairs], pa.int64()), "b": pa.array([ids[j] for _, j in pairs], pa.int64())})
 
     return dealt.groupBy("cluster", "_i", "_j").applyInArrow(run, "a bigint, b bigint")
