@@ -6,6 +6,7 @@ array.  Everything is numpy on that array; there is no loop over words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,14 @@ for _a, _b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
 _powers: dict[int, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _powers.get(base)

@@ -26,14 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.blocks import STEP, U64, blocks, column_bytes, mix, prefix_sums, span_hash
+from docweave.llm.blocks import STEP, U64, blocks, column_bytes, give_back, mix, prefix_sums, span_hash
 from docweave.llm.jaccard_join import pack, unpack
 from docweave.llm.store import written
 from docweave.ship import shipped
 
 ANCHOR = 32
-#: Blocks in one bucket on average, and bytes of one suffix array.
-BUCKET, SUFFIX_BYTES = 800_000, 2 << 20
+#: Blocks in one packing, in one bucket on average, and bytes of one suffix array.
+PACK = 300_000
+BUCKET, SUFFIX_BYTES = 400_000, 1 << 20
 _ENTRY = [("key", U64), ("content", np.int64), ("id", np.int64), ("row", np.int64), ("start", np.int64), ("many", np.int64)]
 
 
@@ -131,17 +132,20 @@ def _send(docs: DataFrame, least: int, bits: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for part in blocks(batch, "_text", 1 << 20):
+            for part in blocks(batch, "_text", 1 << 18):
                 data, offsets = column_bytes(part.column("_text"))
                 doc, s1, s2, key, content = anchor_blocks(data, offsets, least)
                 ids, rows = (part.column(c).to_numpy(zero_copy_only=False) for c in ("_id", "_row"))
                 parts.append({"key": key >> U64(64 - bits), "content": content, "id": ids[doc], "row": rows[doc], "start": s1 - offsets[doc], "many": s2 - s1 + 1})
                 held += len(doc)
-                if held >= 1_500_000:
+                if held >= PACK:
                     yield from flush(parts)
                     parts, held = [], 0
+                    give_back()
         if held:
             yield from flush(parts)
+        parts.clear()
+        give_back()
 
     return docs.mapInArrow(run, _SENT)
 
@@ -185,13 +189,16 @@ def _settle(sent: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for i in range(batch.num_rows):
+                row = tuple(c[i].as_py() for c in batch.columns)
                 if rows and rows[0][0] != row[0]:
                     yield from bucket_rows(rows)
                     rows = []
                 rows.append(row)
         if rows:
             yield from bucket_rows(rows)
+        rows.clear()
+        give_back()
 
     return sent.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, _FOUND)
 
