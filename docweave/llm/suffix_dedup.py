@@ -67,8 +67,9 @@ def anchor_blocks(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
     s1, s2, place = start[first], start[last], anchor[first]
+    # Anchors are minima, so their hashes crowd at the low end; mixed again they spread over the buckets.
     content = mix(span_hash(sums, s1, s2 + least) + (place - s1).astype(U64) * U64(STEP))
-    return np.searchsorted(offsets, s1, side="right") - 1, s1, s2, hashes[place], content.view(np.int64)
+    return np.searchsorted(offsets, s1, side="right") - 1, s1, s2, mix(hashes[place]), content.view(np.int64)
 
 
 def _ordered(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
