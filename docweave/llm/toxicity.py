@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.blocks import IS_ALNUM, LOWER, STEP, U64, blocks, column_bytes, mix, prefix_sums, span_hash, word_spans
+from docweave.llm.store import written
 from docweave.ship import shipped
 
 #: Labelled documents that are counted or calibrated on, at most, by label.
@@ -27,8 +28,8 @@ SAMPLE = {1: 6000, 0: 9000}
 #: Characters of context: by class, and in the shared model; discounts of each.
 CONTEXT, SHARED_CONTEXT = 5, 3
 DISCOUNT, SHARED_DISCOUNT = 0.75, 0.75
-#: Events that occur less often in the sample count as unseen.
-LEAST_COUNT = 2
+#: Events that a task holds before it adds them up.
+HELD = 2_000_000
 START, END = U64(0xA5A5F00DC0FFEE11), 256
 
 _EVENTS = ["gram", "context", "shared_gram", "shared_context", "symbol"]
@@ -97,45 +98,69 @@ def class_counts(sample: DataFrame) -> DataFrame:
 
     made = sample.select("text", "label").mapInArrow(run, "label int, gram bigint, context bigint, shared_gram bigint, shared_context bigint, symbol bigint, n bigint")
     sums = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col("n"))), F.lit(0)).alias(f"n{c}") for c in (0, 1)]
-    return made.groupBy(*_EVENTS).agg(*sums).where(F.col("n0") + F.col("n1") >= LEAST_COUNT)
+    return made.groupBy(*_EVENTS).agg(*sums)
 
 
-def corpus_counts(docs: DataFrame, text: str, grams: np.ndarray) -> DataFrame:
-    """How often each of the (sorted) shared grams occurs in all documents."""
-    known = docs.sparkSession.sparkContext.broadcast(grams)
+def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
+    """gram, context, symbol, n of every event of the shared model in all documents, partial sums first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = known.value
-        counts = np.zeros(len(own), dtype=np.int64)
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+
+        def merged() -> tuple[np.ndarray, ...]:
+            gram, context, symbol, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            grams, first, number = np.unique(gram, return_index=True, return_inverse=True)
+            return grams, context[first], symbol[first], np.bincount(number.reshape(-1), weights=n, minlength=len(grams)).astype(np.int64)
+
+        def flush() -> pa.RecordBatch:
+            gram, context, symbol, n = merged()
+            return pa.RecordBatch.from_arrays([pa.array(_signed(gram)), pa.array(_signed(context)), pa.array(symbol), pa.array(n)], names=["gram", "context", "symbol", "n"])
+
         for batch in batches:
             for part in blocks(batch, text):
                 words = Words(part, text)
-                place = np.searchsorted(own, words.shared_gram)
-                place[place == len(own)] = 0
-                hit = own[place] == words.shared_gram if len(own) else np.zeros(len(place), bool)
-                counts += np.bincount(place[hit], weights=words.times[words.word][hit], minlength=len(own)).astype(np.int64)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(own[some])), pa.array(counts[some])], names=["gram", "n"])
-
-    return docs.select(text).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+                held.append((words.shared_gram, words.shared_context, words.symbol, words.times[words.word]))
+                rows += len(words.symbol)
+                if rows >= HELD:
+                    held = [merged()]
+                    rows = len(held[0][0])
+                    if rows >= HELD // 2:
+                        yield flush()
+                        held, rows = [], 0
+        if rows:
+            yield flush()
+
+    made = docs.select(text).mapInArrow(run, "gram bigint, context bigint, symbol bigint, n bigint")
+    return made.groupBy("gram").agg(F.first("context").alias("context"), F.first("symbol").alias("symbol"), F.sum("n").alias("n"))
+
+
+def shared_model(events: DataFrame, counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """gram, n, total and kinds (of the context) of the events' shared grams, and the continuation counts of the symbols.
+
+    Totals, kinds and continuation counts are formed from all of ``counts``.
+    Only the grams of class events are needed: at any other event the shared
+    probability is a factor of both classes and cancels.
+    """
+    wanted = events.select(F.col("shared_gram").alias("gram")).distinct()
+    contexts = counts.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    follows = np.zeros(END + 1)
+    for symbol, n in counts.groupBy("symbol").count().collect():
+        follows[symbol] = n
+    return counts.join(wanted, "gram").join(contexts, "context").select("gram", "n", "total", "kinds"), follows
 
 
 class Model:
     """Log-likelihood ratios of events: of known ones, and of others after a known context."""
 
-    def __init__(self, table: dict[str, np.ndarray], shared: dict[int, int]):
+    def __init__(self, table: dict[str, np.ndarray], shared: dict[str, np.ndarray], follows: np.ndarray):
         gram, context = table["gram"].view(U64), table["context"].view(U64)
-        shared_gram, symbol = table["shared_gram"], table["symbol"]
         # The shared model: discounted corpus counts over continuation counts of the symbols.
-        grams, first, number = np.unique(shared_gram, return_index=True, return_inverse=True)
-        count = np.array([max(1, shared.get(g, 0)) for g in grams.tolist()], dtype=float)
-        contexts, place = np.unique(table["shared_context"][first], return_inverse=True)
-        total = np.bincount(place, weights=count, minlength=len(contexts))
-        kinds = np.bincount(place, minlength=len(contexts))
-        follows = np.bincount(symbol[first], minlength=END + 1) + 0.5
-        ground = follows / follows.sum()
-        smooth = (count - SHARED_DISCOUNT) / total[place] + SHARED_DISCOUNT * kinds[place] / total[place] * ground[symbol[first]]
-        backoff = smooth[number.reshape(-1)]
+        ground = (follows + 0.5) / (follows + 0.5).sum()
+        order = np.argsort(shared["gram"])
+        place = order[np.searchsorted(shared["gram"], table["shared_gram"], sorter=order)] if len(order) else order
+        n, total, kinds = (shared[c][place] for c in ("n", "total", "kinds"))
+        backoff = (n - SHARED_DISCOUNT) / total + SHARED_DISCOUNT * kinds / total * ground[table["symbol"]]
         # The class models over it.
         tops, top = np.unique(context, return_inverse=True)
         logs, weights = [], []
@@ -198,15 +223,18 @@ def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray
     return np.append(slope, w[-1] - slope @ centre)
 
 
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    table = df.toArrow()
+    return {c: table.column(c).to_numpy() for c in table.column_names}
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: dict[int, int] | None = None) -> Model:
     """The calibrated model; what the driver gets is bounded by the sample."""
     shipped(docs.sparkSession)
     chosen = labelled_sample(docs, labels, doc_id, text, sample or SAMPLE)
-    table = class_counts(chosen.where("fold <> 4")).toArrow()
-    columns = {c: table.column(c).to_numpy() for c in table.column_names}
-    grams = np.unique(columns["shared_gram"].view(U64))
-    shared = corpus_counts(docs, text, grams).toArrow()
-    model = Model(columns, dict(zip(shared.column("gram").to_pylist(), shared.column("n").to_pylist(), strict=True)))
+    events = written(class_counts(chosen.where("fold <> 4")), "toxicity-events")
+    shared, follows = shared_model(events, written(corpus_counts(docs, text), "toxicity-shared"))
+    model = Model(_columns(events), _columns(shared), follows)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -187,6 +187,32 @@ def test_toxicity_on_held_out_rows(spark):
     assert found[9999] == found[9998] and 0 <= found[9999] <= 1
 
 
+def test_shared_toxicity_counts_cover_all_documents(spark):
+    from collections import Counter
+
+    from docweave.llm.toxicity import class_counts, corpus_counts, shared_model
+
+    random.seed(8)
+    made = [" ".join("".join(random.choice("abcde") for _ in range(random.randint(1, 7))) for _ in range(random.randint(0, 30))) for _ in range(60)]
+    events = Counter()
+    for text in made:
+        for w in text.split():
+            events.update(((i < 3, w[max(0, i - 3) : i]), w[i] if i < len(w) else "") for i in range(len(w) + 1))
+    contexts, follows = {}, Counter(s for _, s in events)
+    for (c, _), n in events.items():
+        contexts.setdefault(c, []).append(n)
+    docs = spark.createDataFrame([(t,) for t in [*made, None]], "text string").repartition(3)
+    counts = corpus_counts(docs, "text").cache()
+    assert sorted(r.n for r in counts.collect()) == sorted(events.values())
+    sample = spark.createDataFrame([(made[0], 1), (made[1] + " once", 0)], "text string, label int")
+    classes = class_counts(sample)
+    assert min(r.n0 + r.n1 for r in classes.collect()) == 1
+    shared, continuations = shared_model(class_counts(sample.where("label = 1")), counts)
+    own = {((i < 3, w[max(0, i - 3) : i]), w[i] if i < len(w) else "") for w in made[0].split() for i in range(len(w) + 1)}
+    assert sorted((r.n, r.total, r.kinds) for r in shared.collect()) == sorted((events[e], sum(contexts[e[0]]), len(contexts[e[0]])) for e in own)
+    assert sorted(n for n in continuations.tolist() if n) == sorted(follows.values())
+
+
 def test_paragraphs_that_repeat(spark):
     random.seed(6)
     sentence = lambda: " ".join(random.choice("abcdefghij") + str(random.randrange(10**6)) for _ in range(random.randint(9, 14))).capitalize() + "."
