@@ -9,7 +9,11 @@ line; passages that repeat inside different lines thus share whole paragraphs.
    paragraph of a band to the others; components of edges are candidates.
 3. Within candidates an exact Jaccard search (``overlap``) finds the links, and
    components of links are classes.
-4. A paragraph whose class has an earlier document goes if it stands in a run of
+4. Beside them stand windows of a fixed number of words, which begin where the
+   hash of three words is the least of its surroundings, whatever lines and
+   sentences are; windows with the same words are one.  Of a passage, all words
+   but REACH - 1 at either end are in windows that its other copies have too.
+5. A paragraph or window whose class has an earlier document goes if it stands in a run of
    such paragraphs with enough words; the first document keeps all of its own.
 """
 
@@ -33,6 +37,8 @@ BANDS, ROWS = 6, 2
 SHINGLE = 5
 #: Words of a paragraph, of a passage that goes, and between its paragraphs.
 LEAST_WORDS, LEAST_RUN, GAP = 8, 30, 8
+#: Words of a window, and places of which one at least begins a window.
+WINDOW, REACH = 12, 11
 #: Band entries in one packing, and in one bucket on average.
 PACK, BUCKET = 2_000_000, 1_000_000
 _ENDS = np.zeros(256, dtype=bool)
@@ -71,18 +77,32 @@ class Paragraphs:
             if stop:
                 begin = end
         self.first, self.many = np.array(first, dtype=np.int64), np.array(many, dtype=np.int64)
+        self.word_rows, self.base = rows, base
         self.rows = rows[self.first] if n else np.zeros(0, np.int64)
         self.word = self.first - base[self.rows] if n else self.first
         self.number = np.arange(len(first)) - np.searchsorted(self.rows, self.rows)
-        sums = np.zeros(n + 1, dtype=U64)
-        if n:
-            place = _place_powers(n)
-            np.cumsum(self.hashes * place, out=sums[1:])
-            inverse = _place_powers(n, pow(STEP, -1, 1 << 64))
-            whole = (sums[self.first + self.many] - sums[self.first]) * inverse[self.first]
-            self.names = mix(whole + self.many.astype(U64)).view(np.int64)
-        else:
-            self.names = np.zeros(0, np.int64)
+        self.sums = np.zeros(n + 1, dtype=U64)
+        np.cumsum(self.hashes * _place_powers(n), out=self.sums[1:])
+        self.names = mix(self._whole(self.first, self.many) + self.many.astype(U64)).view(np.int64)
+
+    def _whole(self, first: np.ndarray, many: np.ndarray | int) -> np.ndarray:
+        """Hashes of the words from ``first`` on, whatever stands before them."""
+        inverse = _place_powers(len(self.hashes), pow(STEP, -1, 1 << 64))
+        return (self.sums[first + many] - self.sums[first]) * inverse[first]
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and names of the windows."""
+        rows, n = self.word_rows, len(self.word_rows)
+        if n < max(WINDOW, REACH + 2):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        three = mix(self._whole(np.arange(n - 2), 3))
+        within = rows[: n - REACH - 1] == rows[REACH + 1 :]
+        # The last of equal ones, so that the choice depends on the surroundings alone.
+        least = np.lib.stride_tricks.sliding_window_view(three, REACH)[:, ::-1].argmin(axis=1)
+        first = np.unique((np.arange(len(least)) + REACH - 1 - least)[within])
+        first = first[first + WINDOW <= n]
+        first = first[rows[first + WINDOW - 1] == rows[first]]
+        return first, mix(self._whole(first, WINDOW) ^ U64(STEP)).view(np.int64)
 
     def shingles(self, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of (some) paragraphs, and where each paragraph's begin, with the end."""
@@ -124,10 +144,16 @@ def _paragraph_rows(source: DataFrame) -> DataFrame:
             for part in blocks(batch, "_text"):
                 p = Paragraphs(part, "_text")
                 ids, rows = (part.column(c).to_numpy(zero_copy_only=False) for c in ("_id", "_row"))
-                arrays = [ids[p.rows], rows[p.rows], p.number.astype(np.int32), p.word.astype(np.int32), p.many.astype(np.int32), p.names]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["_id", "_row", "number", "word", "many", "name"])
+                first, names = p.windows()
+                own = p.word_rows[first]
+                number = np.bincount(p.rows, minlength=part.num_rows)[own] + np.arange(len(own)) - np.searchsorted(own, own)
+                at = np.concatenate([p.rows, own])
+                many = np.concatenate([p.many, np.full(len(own), WINDOW)])
+                arrays = [ids[at], rows[at], np.concatenate([p.number, number]).astype(np.int32), np.concatenate([p.word, first - p.base[own]]).astype(np.int32)]
+                arrays += [many.astype(np.int32), np.concatenate([p.names, names]), np.arange(len(at)) >= len(p.rows)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["_id", "_row", "number", "word", "many", "name", "sliding"])
 
-    return source.mapInArrow(run, "_id bigint, _row bigint, number int, word int, many int, name bigint")
+    return source.mapInArrow(run, "_id bigint, _row bigint, number int, word int, many int, name bigint, sliding boolean")
 
 
 def _band_edges(source: DataFrame, bits: int, buckets: int) -> DataFrame:
@@ -234,6 +260,7 @@ def paragraph_classes(source: DataFrame, paragraphs: DataFrame, percent: int) ->
 def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_RUN, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default), n_paragraphs, n_removed, n_removed_words, passages, first_docs.
 
+    n_paragraphs and n_removed count paragraphs and windows.
     passages: removed ranges of words (numbers of white-space words in the whole
     text, ends exclusive); first_docs: doc_ids that hold the first copies, sorted.
     Documents are ordered by doc_id, null last; rows that share a doc_id are
@@ -245,18 +272,24 @@ def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_R
     whole = F.coalesce(F.col(text), F.lit(""))
     order = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
     source = docs.select(order.alias("_id"), F.xxhash64(whole).alias("_row"), whole.alias("_text"))
-    paragraphs = written(_paragraph_rows(source), "paragraphs")
+    pieces = written(_paragraph_rows(source), "paragraphs")
+    paragraphs = pieces.where("not sliding").drop("sliding")
+    # Most windows stand in one document; the others go on with the paragraphs.
+    sliding = pieces.where("sliding").select(paragraphs.columns)
+    held = F.xxhash64("_id", "_row")
+    shared = sliding.groupBy("name").agg(F.min(held).alias("lo"), F.max(held).alias("hi")).where("lo <> hi").select("name")
+    found = paragraphs.unionByName(written(sliding.join(shared, "name").select(paragraphs.columns), "paragraph-windows"))
     roots = written(paragraph_classes(source, paragraphs, percent), "paragraph-classes")
     # Names that documents share, and names that link with another one.
     place = F.struct("_id", "_row")
-    named = paragraphs.groupBy("name").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    named = found.groupBy("name").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     named = named.join(roots, "name", "left").where("root is not null or lo <> hi").withColumn("class", F.coalesce("root", "name"))
     named = written(named.select("name", "class", "lo", "hi"), "paragraph-names")
     firsts = named.groupBy("class").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first <> last").select("class", "first")
     repeated = named.join(firsts, "class").select("name", "first")
-    later = paragraphs.join(repeated, "name").where((F.col("_id") != F.col("first._id")) | (F.col("_row") != F.col("first._row")))
+    later = found.join(repeated, "name").where((F.col("_id") != F.col("first._id")) | (F.col("_row") != F.col("first._row")))
     per_row = later.groupBy("_id", "_row").agg(F.collect_set(F.struct("word", "many", F.col("first._id").alias("first"))).alias("_found"))
-    counts = paragraphs.select("_id", "_row", "number").groupBy("_id", "_row").agg((F.max("number") + 1).cast("long").alias("n_paragraphs"))
+    counts = pieces.select("_id", "_row", "number").groupBy("_id", "_row").agg((F.max("number") + 1).cast("long").alias("n_paragraphs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +299,7 @@ def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_R
                 for p in sorted(found, key=lambda p: p["word"]):
                     a, b = p["word"], p["word"] + p["many"]
                     if runs and a - runs[-1][1] <= GAP:
-                        runs[-1][1] = b
+                        runs[-1][1] = max(runs[-1][1], b)
                         runs[-1][2] += 1
                         runs[-1][3].add(p["first"])
                     else:

@@ -232,6 +232,28 @@ def test_paragraphs_that_repeat(spark):
     assert kept[1] == f"{lines[0]}\n\n{lines[2]}" and kept[0] == made[0]
 
 
+def test_passages_across_lines_and_without_sentences(spark):
+    random.seed(9)
+    words = lambda n: [random.choice("abcdefghij") + str(random.randrange(10**6)) for _ in range(n)]
+    lines = lambda w, n, end="": f"{end}\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+    sentences = lambda w: ". ".join(" ".join(w[i : i + 5]) for i in range(0, len(w), 5)) + "."
+    passages = [words(70) for _ in range(4)]
+    made = {
+        0: lines(words(7), 7) + "\n" + lines(passages[0], 7), 10: lines(words(3), 3) + "\n" + lines(passages[0], 7),
+        1: sentences(passages[1]), 11: " ".join(words(3)) + ". " + sentences(passages[1]),
+        2: " ".join(words(50) + passages[2] + words(50)), 12: " ".join(words(31) + passages[2] + words(60)),
+        3: " ".join(words(20) + passages[3]), 13: lines(words(4) + passages[3] + words(9), 6),
+        4: " ".join(["again"] * 80), 14: " ".join(words(40)), 15: None,
+    }
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in paragraph_dedup(docs).collect()}
+    assert {i: r.first_docs for i, r in rows.items() if r.n_removed} == {10: [0], 11: [1], 12: [2], 13: [3]}
+    before = {10: 3, 11: 3, 12: 31, 13: 4}
+    for i, at in before.items():
+        assert rows[i].n_removed_words >= 50
+        assert all(at <= s.start < s.end <= at + 70 for s in rows[i].passages)
+
+
 def test_pipeline(spark, texts, docs):
     """The stages by hand: what survives, and the ids of it."""
     import corpus_pipeline
