@@ -6,7 +6,8 @@ postings nor texts are shuffled and a passage that a third of all documents
 hold is spread as the documents are.  A window of item words is searched by
 intersecting the posting lists of its terms, each shifted by the term's offset,
 from the list that is the rarest in the block; a proximity search joins the
-rarest terms of an item within a few words.  The items are the query set; they
+terms of an item that the fewest documents of the whole corpus hold, within a
+few words.  The items are the query set; they
 are sent to the blocks in parts of a bounded size.
 """
 
@@ -26,6 +27,7 @@ from docweave.llm.blocks import IS_ALNUM, blocks, column_bytes, word_hashes
 #: Bytes of item text in one part of the query set.
 PART_BYTES = 16 << 20
 _HITS = "array<struct<start:bigint,end:bigint>>"
+_NEAR = "array<struct<item:bigint,start:bigint,end:bigint>>"
 
 
 @dataclass
@@ -94,23 +96,62 @@ class BlockIndex:
                 return found
         return found[self.rows[found] == self.rows[found + len(terms) - 1]]
 
-    def near(self, terms: np.ndarray, within: int, rarest: int) -> np.ndarray:
-        """Documents of the block where the rarest terms stand within so many words of one another."""
-        terms = terms[np.argsort(self.counts[terms], kind="stable")][:rarest]
-        if len(terms) < rarest or not self.counts[terms[0]]:
-            return np.zeros(0, np.int64)
+    def holders(self) -> np.ndarray:
+        """How many documents of the block hold each term."""
+        term = np.repeat(np.arange(len(self.counts)), self.counts)
+        n_rows = max(len(self.bounds) - 1, 1)
+        pairs = np.unique(term * n_rows + self.rows[self.positions])
+        return np.bincount(pairs // n_rows, minlength=len(self.counts))
+
+    def near(self, terms: np.ndarray, within: int) -> list[tuple[int, int, int]]:
+        """(row, start, end) of the places where all terms stand within so many words of one of the first term.
+
+        Spans hold all words of the terms there; those that meet are one.
+        """
+        if len(terms) < 2 or not self.counts[terms].all():
+            return []
         centre = self.postings(terms[0])
-        for term in terms[1:]:
+        first, last = centre, centre
+        for term in terms:
             other = self.postings(term)
-            low = np.maximum(centre - within, self.bounds[self.rows[centre]])
-            high = np.minimum(centre + within + 1, self.bounds[self.rows[centre] + 1])
-            centre = centre[np.searchsorted(other, low) < np.searchsorted(other, high)]
+            a = np.searchsorted(other, np.maximum(centre - within, self.bounds[self.rows[centre]]))
+            b = np.searchsorted(other, np.minimum(centre + within + 1, self.bounds[self.rows[centre] + 1]))
+            good = a < b
+            centre, a, b = centre[good], a[good], b[good]
             if not len(centre):
-                break
-        return np.unique(self.rows[centre])
+                return []
+            first, last = np.minimum(first[good], other[a]), np.maximum(last[good], other[b - 1])
+        spans: list[list[int]] = []
+        for row, start, end in zip(self.rows[centre].tolist(), first.tolist(), (last + 1).tolist(), strict=True):
+            base = int(self.bounds[row])
+            if spans and spans[-1][0] == row and start - base <= spans[-1][2]:
+                spans[-1][1:] = [min(spans[-1][1], start - base), max(spans[-1][2], end - base)]
+            else:
+                spans.append([row, start - base, end - base])
+        return [(r, x, y) for r, x, y in spans]
+
+
+def rare_terms(docs: DataFrame, query: QuerySet, text: str, rarest: int) -> dict[int, np.ndarray]:
+    """Of each item the terms that the fewest documents hold, of those that any holds."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(query.vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(vocabulary.value), dtype=np.int64)
+        for batch in batches:
+            for part in blocks(batch, text):
+                total += BlockIndex(*column_bytes(part.column(text)), vocabulary.value).holders()
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["term", "n"])
+
+    counts = np.zeros(len(query.vocabulary), dtype=np.int64)
+    # At most one row a term of this part of the query set.
+    for term, n in docs.select(text).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect():
+        counts[term] = n
+    held = {item: terms[counts[terms] > 0] for item, terms in query.terms.items()}
+    return {item: terms[np.argsort(counts[terms], kind="stable")][:rarest] for item, terms in held.items()}
 
 
-def _search(index: BlockIndex, query: QuerySet, within: int, rarest: int) -> tuple[list[list[dict]], list[list[int]], list[int]]:
+def _search(index: BlockIndex, query: QuerySet, within: int) -> tuple[list[list[dict]], list[list[int]], list[list[dict]]]:
     n = len(index.bounds) - 1
     items: list[set[int]] = [set() for _ in range(n)]
     cover = np.zeros(index.n + 1, dtype=np.int64)
@@ -136,23 +177,26 @@ def _search(index: BlockIndex, query: QuerySet, within: int, rarest: int) -> tup
     for a, b in zip(np.flatnonzero(covered & ~before).tolist(), (np.flatnonzero(covered & ~after) + 1).tolist(), strict=True):
         row = int(index.rows[a])
         spans[row].append({"start": a - int(index.bounds[row]), "end": b - int(index.bounds[row])})
-    close = [0] * n
+    close: list[list[dict]] = [[] for _ in range(n)]
     for item, terms in query.terms.items():
-        for row in index.near(terms, within, rarest).tolist():
-            close[row] += item not in items[row]
+        for row, start, end in index.near(terms, within):
+            if item not in items[row]:
+                close[row].append({"item": item, "start": start, "end": end})
     return spans, [sorted(x) for x in items], close
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text", within: int = 12, rarest: int = 5, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``keep`` columns of ``docs`` plus n_words, bench_hits, bench_items, n_near.
+    """``keep`` columns of ``docs`` plus n_words, bench_hits, bench_items, n_near, near.
 
     bench_hits: merged spans of document words inside occurrences of item
     windows; bench_items: ids of the items with such windows, sorted; n_near:
-    further items whose rarest terms stand close together.  Null or empty texts
+    further items whose rarest terms (those of the fewest documents in the whole
+    corpus; terms that no document holds are skipped, two at least must be left)
+    stand close together; near: item and span of each such place.  Null or empty texts
     have no words; items without words or without id match nothing; items that
     share an id are one item.  Columns of these names are replaced.
     """
-    made = {"n_words": "bigint", "bench_hits": _HITS, "bench_items": "array<bigint>", "n_near": "bigint"}
+    made = {"n_words": "bigint", "bench_hits": _HITS, "bench_items": "array<bigint>", "n_near": "bigint", "near": _NEAR}
     keep = [c for c in (keep or docs.columns) if c not in made]
     used = items.select(F.col(item_id).cast("bigint").alias("_item"), F.col(item_text).alias("_text")).where("_item is not null and _text is not null")
     total = used.agg(F.coalesce(F.sum(F.octet_length("_text") + 64), F.lit(0))).first()[0]
@@ -171,6 +215,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str
         F.array_distinct(F.flatten(F.collect_list("bench_hits"))).alias("_hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("bench_items")))).alias("bench_items"),
         F.sum("n_near").alias("n_near"),
+        F.array_sort(F.flatten(F.collect_list("near"))).alias("near"),
     )
     joined = F.aggregate(
         F.array_sort("_hits"),
@@ -180,24 +225,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str
             F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], s["end"]).alias("end")))),
         ).otherwise(F.concat(a, F.array(s))),
     )
-    return keyed.join(merged, ["_id", "_row"], "left").select(*keep, "n_words", joined.alias("bench_hits"), "bench_items", "n_near")
+    return keyed.join(merged, ["_id", "_row"], "left").select(*keep, "n_words", joined.alias("bench_hits"), "bench_items", "n_near", "near")
 
 
 def _pass(docs: DataFrame, items: DataFrame, keep: list[str], made: dict[str, str], width: int, text: str, within: int, rarest: int) -> DataFrame:
     spark = shipped(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(QuerySet.of([(r[0], r[1]) for r in items.collect()], width))
+    query = QuerySet.of([(r[0], r[1]) for r in items.collect()], width)
+    query.terms = rare_terms(docs, query, text, rarest)
+    shared = spark.sparkContext.broadcast(query)
     source = docs.select(*keep, *([text] if text not in keep else []))
     schema = ", ".join([f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} {t}" for c, t in made.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query = shared.value
+        near_type = pa.list_(pa.struct([("item", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
         hit_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for part in blocks(batch, text):
                 index = BlockIndex(*column_bytes(part.column(text)), query.vocabulary)
-                spans, found, close = _search(index, query, within, rarest)
+                spans, found, close = _search(index, query, within)
                 arrays = [part.column(c) for c in keep]
-                arrays += [pa.array(np.diff(index.bounds), pa.int64()), pa.array(spans, hit_type), pa.array(found, pa.list_(pa.int64())), pa.array(close, pa.int64())]
+                arrays += [pa.array(np.diff(index.bounds), pa.int64()), pa.array(spans, hit_type), pa.array(found, pa.list_(pa.int64())), pa.array([len({c["item"] for c in row}) for row in close], pa.int64()), pa.array(close, near_type)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *made])
 
     return source.mapInArrow(run, schema)

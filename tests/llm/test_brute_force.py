@@ -254,6 +254,45 @@ def test_passages_across_lines_and_without_sentences(spark):
         assert all(at <= s.start < s.end <= at + 70 for s in rows[i].passages)
 
 
+def test_proximity_matches(spark):
+    from collections import Counter
+
+    from docweave.llm.decontaminate import decontaminate
+
+    random.seed(11)
+    words = [f"w{i}" for i in range(150)]
+    items = {i: random.sample(words, 14) for i in range(5)} | {5: ["w1", "gone", "w2", "w3"]}
+    made = {}
+    for i in range(400):
+        body = random.choices(words, weights=range(2, 302, 2), k=random.randint(0, 80))
+        if i % 2:
+            own = list(items[i % 6])
+            own[random.randrange(len(own))] = "edited"
+            body[5:5] = own
+        made[i] = body
+    df = Counter(w for body in made.values() for w in set(body))
+    rows = decontaminate(spark.createDataFrame([(i, " ".join(b)) for i, b in made.items()], "doc_id long, text string").repartition(3), spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string"), keep=["doc_id"]).collect()
+    matches = 0
+    for r in rows:
+        body = made[r.doc_id]
+        near = {(m.item, m.start, m.end) for m in r.near}
+        assert r.n_near == len({m[0] for m in near})
+        for item, terms in items.items():
+            counts = sorted(df[t] for t in terms if df[t])
+            spans = [(a, b) for k, a, b in near if k == item]
+            if item in r.bench_items or (len(counts) > 5 and counts[4] == counts[5]) or counts[0] == counts[1]:
+                continue  # ties have no one choice of terms
+            rare = sorted((t for t in terms if df[t]), key=lambda t: df[t])[:5]
+            wanted = set()
+            for p in (p for p, w in enumerate(body) if w == rare[0]):
+                inside = [q for q in range(max(0, p - 12), min(len(body), p + 13)) if body[q] in rare]
+                if len({body[q] for q in inside}) == len(rare):
+                    wanted.update(range(min(inside), max(inside) + 1))
+            assert {q for a, b in spans for q in range(a, b)} == wanted
+            matches += bool(wanted)
+    assert matches > 3
+
+
 def test_pipeline(spark, texts, docs):
     """The stages by hand: what survives, and the ids of it."""
     import corpus_pipeline
