@@ -7,10 +7,11 @@
    with their frequency.  Shingles that are frequent in one task's documents
    travel spread over buckets, so that no bucket has more of them than others.
 3. A set can link only if enough of its shingles are shared.  The sets left
-   meet over the rarest shingles of each (prefix filter in order of frequency);
-   meetings form clusters.
-4. Within clusters a T-occurrence search finds the links (``overlap``), and
-   components of links are the classes.  No step emits all pairs of a group.
+   meet over the rarest shingles of each (prefix filter in order of frequency),
+   which are the groups of an inverted index.
+4. Within groups a T-occurrence search finds and counts each link once
+   (``overlap``), and components of links are the classes.  Copies count by
+   number; no step emits all pairs of a group.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.blocks import U64, blocks, column_bytes, mix, shingle_hashes, word_hashes
+from docweave.llm.carry import CARRIED, carried, extended
 from docweave.llm.components import connected_components
-from docweave.llm.overlap import linked
+from docweave.llm.overlap import in_groups, linked
 from docweave.llm.store import written
 from docweave.ship import shipped
 
@@ -53,19 +55,18 @@ def shingle_sets(batch: pa.RecordBatch, text: str, k: int) -> Iterator[tuple[pa.
         yield part, shingles, rows, sizes, signature
 
 
-def signatures(docs: DataFrame, k: int, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns, n_shingles and signature (null without shingles) of each row."""
-    source = docs.select(*keep, *([text] if text not in keep else []))
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
+def signatures(docs: DataFrame, k: int) -> DataFrame:
+    """The columns but _text, n_shingles and the name of the set (_set, null without shingles) of each row."""
+    keep = [c for c in docs.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, _, sizes, signature in shingle_sets(batch, text, k):
+            for part, _, _, sizes, signature in shingle_sets(batch, "_text", k):
                 arrays = [part.column(c) for c in keep]
                 arrays += [pa.array(sizes, pa.int64()), pa.array(signature, pa.int64(), mask=sizes == 0)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "n_shingles", "signature"])
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "n_shingles", "_set"])
 
-    return source.mapInArrow(run, f"{schema}, n_shingles bigint, signature bigint")
+    return docs.mapInArrow(run, extended(docs, keep, "n_shingles bigint, _set bigint"))
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -87,7 +88,7 @@ def unpack(packed: bytes, n: int) -> np.ndarray:
 _PACKED = "bucket bigint, n int, frequent boolean, keys binary, places binary, owners binary"
 
 
-def packed_pairs(docs: DataFrame, k: int, text: str, bits: int, buckets: int) -> DataFrame:
+def packed_pairs(docs: DataFrame, k: int, bits: int, buckets: int) -> DataFrame:
     """Packed (shingle, signature) pairs by bucket; shingles are cut to ``bits`` bits."""
 
     def rows(bucket: int, frequent: bool, keys: np.ndarray, places: np.ndarray, owners: np.ndarray) -> dict:
@@ -133,7 +134,7 @@ def packed_pairs(docs: DataFrame, k: int, text: str, bits: int, buckets: int) ->
         owners: list[np.ndarray] = []
         held, sets, seen = 0, 0, set()
         for batch in batches:
-            for _, shingles, row_numbers, sizes, signature in shingle_sets(batch, text, k):
+            for _, shingles, row_numbers, sizes, signature in shingle_sets(batch, "_text", k):
                 new = sizes > 0
                 for i in np.flatnonzero(new).tolist():
                     own = int(signature[i])
@@ -152,7 +153,7 @@ def packed_pairs(docs: DataFrame, k: int, text: str, bits: int, buckets: int) ->
         if held:
             yield from flush(np.concatenate(keys), np.concatenate(places), np.concatenate(owners))
 
-    return docs.select(text).mapInArrow(run, _PACKED)
+    return docs.mapInArrow(run, _PACKED)
 
 
 def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
@@ -254,39 +255,48 @@ def candidate_sets(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFra
         if len(rest[0]):
             yield groups(rest)
 
-    rows = shared.unionAll(sizes.select("signature", F.lit(-1).alias("frequency"), F.col("n_shingles").alias("shingle")))
+    rows = shared.unionAll(sizes.select(F.col("id").alias("signature"), F.lit(-1).alias("frequency"), F.col("n").alias("shingle")))
     rows = rows.repartition("signature").sortWithinPartitions("signature", "frequency", "shingle")
     return rows.mapInArrow(run, "id bigint, size bigint, keys array<bigint>, prefix int")
 
 
-def meetings(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) from the smallest set of each prefix key to its other sets."""
-    postings = sets.select("id", F.explode(F.slice("keys", F.lit(1), F.col("prefix"))).alias("key"))
-    least = postings.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    return postings.join(least, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+def prefix_places(sets: DataFrame) -> DataFrame:
+    """(group, id, at): the prefix keys of each set, from the rarest."""
+    return sets.select("id", F.posexplode(F.slice("keys", F.lit(1), F.col("prefix"))).alias("at", "group"))
 
 
 def jaccard_join(docs: DataFrame, percent: int = 75, k: int = 5, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (doc_id by default), n_shingles and component_id of every row.
-
-    Rows link when their shingle sets reach ``percent``; component_id is the
-    smallest doc_id that links reach.  Rows without words link with nothing and
-    are their own component.  Rows that repeat, or share a doc_id, are rows of
-    their own; null doc_ids are never the smallest unless alone.  A copy of the
-    shingles is cut to enough bits that chance meetings are one in 2**20.
+    """``keep`` columns (doc_id by default), n_shingles, n_links and component_id of every row.
+
+    Rows link when their shingle sets reach ``percent``; n_links counts the
+    other rows that a row links with, component_id is the smallest doc_id that
+    links reach.  Rows without words link with nothing and are their own
+    component.  Rows that repeat, or share a doc_id, are rows of their own; null
+    doc_ids are never the smallest unless alone.  Columns of ``keep`` may have any
+    name but the three made here, which replace them.  An empty table gives no
+    rows.  A copy of the shingles is cut to enough bits that chance meetings are
+    one in 2**20.
     """
     spark = shipped(docs.sparkSession)
-    keep = keep or [doc_id]
-    rows = written(signatures(docs, k, text, keep), "jaccard-rows")
-    sizes = rows.where("signature is not null").select("signature", "n_shingles").distinct()
+    made = ["n_shingles", "n_links", "component_id"]
+    whole = docs.select(carried(docs, keep or [doc_id], made), F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    rows = written(signatures(whole, k), "jaccard-rows")
+    sizes = rows.where("_set is not null").groupBy(F.col("_set").alias("id")).agg(F.first("n_shingles").alias("n"), F.count("*").alias("copies"))
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     bits = min(64, max(2, int(total)).bit_length() + 20)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-int(total) // BUCKET), 1)
-    shared = shared_shingles(packed_pairs(docs, k, text, bits, buckets), buckets)
+    shared = shared_shingles(packed_pairs(whole.select("_text"), k, bits, buckets), buckets)
     sets = written(candidate_sets(shared, sizes, percent), "jaccard-sets")
-    clusters = connected_components(meetings(sets)).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
-    links = linked(sets.join(clusters, "id").select("cluster", "id", "size", "keys"), percent)
-    classes = connected_components(written(links, "jaccard-links")).select(F.col("node").alias("signature"), F.col("root").alias("_root"))
-    classed = rows.join(classes, "signature", "left").withColumn("_class", F.coalesce("_root", "signature"))
-    least = classed.where("_class is not null").groupBy("_class").agg(F.min(doc_id).alias("_least"))
-    return classed.join(least, "_class", "left").select(*keep, "n_shingles", F.coalesce("_least", doc_id).alias("component_id"))
+    postings = in_groups(sets.join(sizes.select("id", "copies"), "id").select("id", "copies", "size", "keys"), prefix_places(sets))
+    links = written(linked(postings, percent), "jaccard-links")
+    roots = connected_components(links.where("b is not null")).select(F.col("node").alias("id"), "root")
+    counts = links.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("_links"))
+    # One row a distinct set: its class, and the rows it links with beside its own copies.
+    named = sizes.join(roots, "id", "left").join(counts, "id", "left").select(
+        F.col("id").alias("_set"), F.coalesce("root", "id").alias("_class"), (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
+    classed = rows.join(named, "_set", "left")
+    least = classed.where("_class is not null").groupBy("_class").agg(F.min("_id").alias("_least"))
+    return classed.join(least, "_class", "left").select(
+        f"{CARRIED}.*", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_least", "_id").alias("component_id")
+    )

@@ -1,20 +1,20 @@
-"""Exact Jaccard links within a candidate cluster by T-occurrence search.
-
-``link_sets`` takes the sets of one cluster and returns links that connect
-exactly the sets that any links at the threshold connect, without comparing all
-pairs.  It keeps stars: a leader with the members nearest to it.  Each new set
-searches the leaders' inverted lists with DivideSkip: the short lists are
-merged by a heap, the long ones probed by binary search.  The triangle
-inequality of the Jaccard distance rules out whole stars; members of the few
-stars left over are searched the same way, unless already connected.
+"""Exact Jaccard links by T-occurrence search, in groups of an inverted index.
+
+Every set stands in the groups of some of its keys (its rarest ones, or the
+bands it agrees in).  Sets that can link share a group at least.  ``linked``
+deals the sets to their groups; within one, each set searches the inverted lists
+of the others with DivideSkip: the short lists are merged, the long ones probed
+by binary search, and sets that reach the needed overlap are links.
+
+A pair that shares several groups belongs to the first of them, so each link is
+found and counted once.  Most pairs of a large group share an earlier group, and
+need not even be looked at: ``layers`` peels off the sets that have the most
+common earlier group; within a layer there is nothing to search.
 """
 
 from __future__ import annotations
 
-import heapq
-import math
-from array import array
-from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,208 +23,213 @@ from pyspark.sql import functions as F
 
 from docweave.ship import shipped
 
+#: Cost of probing a list against that of merging an entry: the tuning constant of DivideSkip.
+MU = 0.5
+#: Keys of the sets in one block of a group.
+BLOCK_KEYS = 500_000
 
-#: Entries of short lists up to which a heap merges them; beyond, they are counted.
-HEAP_LIMIT = 1000
-#: Leaders that a set is compared with before the indexes are searched.
-RECENT = 8
-
-
-def divide_skip(lists: list[array], least: int) -> dict[int, int]:
-    """Numbers that stand in at least ``least`` of the ascending lists, with how many."""
-    least = max(1, least)
-    if len(lists) < least:
-        return {}
-    lists = sorted(lists, key=len)
-    # The longest lists are probed; fewer than ``least`` of them, so the rest must have each answer.
-    probed = min(least - 1, int(least / (0.01 * math.log2(max(2, len(lists[-1]))) + 1)))
-    short, long = lists[: len(lists) - probed], lists[len(lists) - probed :]
-    if sum(map(len, short)) > HEAP_LIMIT:
-        return _counted(short, long, least)
-    found: dict[int, int] = {}
-    last, count, need = -1, 0, least - len(long)
-
-    def close() -> None:
-        if count < need:
-            return
-        total = count
-        for done, own in enumerate(long):
-            if total + len(long) - done < least:
-                return
-            at = bisect_left(own, last)
-            total += at < len(own) and own[at] == last
-        if total >= least:
-            found[last] = total
-
-    for number in heapq.merge(*short):
-        if number != last:
-            close()
-            last, count = number, 0
-        count += 1
-    close()
-    return found
-
-
-def _counted(short: list[array], long: list[array], least: int) -> dict[int, int]:
-    """The same with the short lists merged by counting: many numbers in few lists' worth of range."""
-    total = np.bincount(np.concatenate([np.frombuffer(own, dtype=np.int32) for own in short]))
-    found = np.flatnonzero(total >= least - len(long))
-    total = total[found]
-    for own in long:
-        probe = np.frombuffer(own, dtype=np.int32)
-        at = np.searchsorted(probe, found)
-        at[at == len(probe)] = 0
-        total += probe[at] == found
-    good = total >= least
-    return dict(zip(found[good].tolist(), total[good].tolist(), strict=True))
-
-
-class _Index:
-    """Inverted lists of numbered sets; numbers only grow, so the lists ascend."""
-
-    def __init__(self) -> None:
-        self.lists: dict[int, array] = {}
-
-    def add(self, number: int, keys: list[int]) -> None:
-        for k in keys:
-            own = self.lists.get(k)
-            if own is None:
-                own = self.lists[k] = array("i")
-            own.append(number)
-
-    def search(self, keys: list[int], least: int) -> dict[int, int]:
-        return divide_skip([own for k in keys if (own := self.lists.get(k)) is not None], least)
-
-
-class _Star:
-    """A leader with the members nearest to it, their index, and the distance of the farthest."""
-
-    def __init__(self, leader: int, keys: frozenset[int]):
-        self.leader, self.keys, self.radius = leader, keys, 0.0
-        self.members: list[int] = []
-        self.index = _Index()
-
-    def take(self, member: int, keys: list[int], distance: float) -> None:
-        self.index.add(len(self.members), keys)
-        self.members.append(member)
-        self.radius = max(self.radius, distance)
-
-
-def needed(a: int, b: int, percent: int) -> int:
+
+def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray | int:
     """The least intersection with 100 * intersection >= percent * union."""
     return -(-percent * (a + b) // (100 + percent))
 
 
-def link_sets(sizes: list[int], sets: list[list[int]], percent: int) -> list[tuple[int, int]]:
-    """Links (positions) that span each connected group of sets with Jaccard >= percent / 100.
+class Lists:
+    """Inverted lists of numbered sets: ascending numbers, list after list."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        keys, number, count = np.unique(flat, return_inverse=True, return_counts=True)
+        number = number.reshape(-1)
+        shared = count[number] > 1  # a key that one set alone has is in no intersection
+        order = np.argsort(number[shared], kind="stable")
+        self.n = max(len(sets), 1)
+        self.members = owner[shared][order]
+        self.ends = np.cumsum(np.where(count > 1, count, 0))
+        self.starts = self.ends - np.where(count > 1, count, 0)
+        self.codes = np.repeat(np.arange(len(count)), self.ends - self.starts) * self.n + self.members
+        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(owner[shared], minlength=len(sets)))])
+        self.own = number[shared]
+
+    def of(self, x: int) -> np.ndarray:
+        """The lists that set ``x`` stands in."""
+        return self.own[self.bounds[x] : self.bounds[x + 1]]
+
+    def entries(self, lists: np.ndarray) -> np.ndarray:
+        """All numbers of some lists, list after list."""
+        size = self.ends[lists] - self.starts[lists]
+        total = np.cumsum(size)
+        if not len(total):
+            return np.zeros(0, np.int64)
+        return self.members[np.arange(total[-1]) + np.repeat(self.starts[lists] - (total - size), size)]
+
+    def divide_skip(self, lists: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers that stand in at least ``least`` of the lists, and in how many."""
+        none = np.zeros(0, np.int64)
+        least = max(1, least)
+        if len(lists) < least:
+            return none, none
+        size = self.ends[lists] - self.starts[lists]
+        order = np.argsort(size, kind="stable")
+        lists = lists[order]
+        # The longest lists are probed; fewer than ``least`` of them, so the rest must have each answer.
+        probed = min(least - 1, int(least / (MU * np.log2(max(2, size[order[-1]])) + 1)))
+        short, long = lists[: len(lists) - probed], lists[len(lists) - probed :]
+        merged = np.sort(self.entries(short), kind="stable")  # a merge of ascending runs
+        if not len(merged):
+            return none, none
+        first = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
+        count = np.diff(np.append(first, len(merged)))
+        good = count >= least - probed
+        found, count = merged[first[good]], count[good]
+        if probed and len(found):
+            wanted = (long[:, None] * self.n + found[None, :]).reshape(-1)
+            at = np.searchsorted(self.codes, wanted)
+            at[at == len(self.codes)] = 0
+            count = count + (self.codes[at] == wanted).reshape(probed, -1).sum(axis=0)
+            good = count >= least
+            found, count = found[good], count[good]
+        return found, count
+
+
+def layers(earlier: list[np.ndarray]) -> np.ndarray:
+    """A number for each set; sets of one number above 0 share an earlier group, number 0 has the others."""
+    n = len(earlier)
+    out = np.zeros(n, dtype=np.int64)
+    sizes = np.array([len(e) for e in earlier], dtype=np.int64)
+    if not sizes.any():
+        return out
+    number = np.unique(np.concatenate(earlier), return_inverse=True)[1].reshape(-1)
+    owner = np.repeat(np.arange(n), sizes)
+    layer = 0
+    while len(number):
+        count = np.bincount(number)
+        most = int(count.argmax())
+        if count[most] < 2:
+            break
+        layer += 1
+        taken = np.zeros(n, dtype=bool)
+        taken[owner[number == most]] = True
+        out[taken] = layer
+        left = ~taken[owner]
+        owner, number = owner[left], number[left]
+    return out
+
+
+def group_links(sizes: np.ndarray, sets: list[np.ndarray], percent: int, earlier: list[np.ndarray] | None = None, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(set, the others it links with) for a group; each link that the group owns comes once.
 
     ``sizes`` counts all elements; ``sets`` may leave out elements that no other
-    set has, as those are in no intersection.
+    set has.  Pairs that share a number of ``earlier``, or are of one ``side``,
+    are left out.
     """
-    order = sorted(range(len(sets)), key=lambda i: (-sizes[i], i))
-    root = list(range(len(sets)))
-    links: list[tuple[int, int]] = []
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def link(i: int, j: int) -> None:
-        a, b = find(i), find(j)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            links.append((i, j))
-
-    stars: list[_Star] = []
-    every, rest = _Index(), _Index()  # of all leaders, and of those outside the main component
-    behind: list[int] = []  # stars of the rest index
-    main, recent, widest = -1, list[int](), 0.0
-    reach = 1 - percent / 100
-    for x in order:
-        size, keys = sizes[x], sets[x]
-        own, best = frozenset(keys), (2.0, -1)
-        # Most sets of a large component link with a leader that took one lately; then only other components matter.
-        for star in recent:
-            leader = stars[star].leader
-            overlap = len(own & stars[star].keys)
-            if overlap >= needed(size, sizes[leader], percent):
-                link(x, leader)
-                best = (1 - overlap / (size + sizes[leader] - overlap), star)
-                break
-        in_main = best[1] >= 0 and main >= 0 and find(x) == find(main)
-        # Sets come largest first, so every earlier one is at least as large: overlap >= J * its size >= J * size.
-        floor = max(1, math.ceil((percent / 100 - widest) * size - 1e-9))
-        near = []
-        for star, overlap in (rest if in_main else every).search(keys, floor).items():
-            star = behind[star] if in_main else star
-            leader = stars[star].leader
-            distance = 1 - overlap / (size + sizes[leader] - overlap)
-            if overlap >= needed(size, sizes[leader], percent):
-                link(x, leader)
-                best = min(best, (distance, star))
-            elif distance <= reach + stars[star].radius + 1e-9:
-                near.append(star)
-        for star in near:
-            # Some member may link though the leader doesn't.
-            members = stars[star].members
-            if not members or find(stars[star].leader) == find(x):
-                continue
-            for at, overlap in stars[star].index.search(keys, max(1, math.ceil(percent * size / 100 - 1e-9))).items():
-                if overlap >= needed(size, sizes[members[at]], percent):
-                    link(x, members[at])
-        if best[1] < 0:
-            star = len(stars)
-            stars.append(_Star(x, own))
-            every.add(star, keys)
-            if main < 0:
-                main = x
-            elif find(x) != find(main):
-                rest.add(len(behind), keys)
-                behind.append(star)
-        else:
-            distance, star = best
-            if distance > 0:
-                stars[star].take(x, keys, distance)
-                widest = max(widest, distance)
-        recent = [star, *[r for r in recent if r != star]][:RECENT]
-        joined = sum(find(stars[r].leader) == find(main) for r in behind[:1024]) if len(behind) < 1024 else 0
-        if joined * 2 > len(behind):
-            behind, rest = [r for r in behind if find(stars[r].leader) != find(main)], _Index()
-            for at, r in enumerate(behind):
-                rest.add(at, sorted(stars[r].keys))
-    return links
-
-
-def linked(sets: DataFrame, percent: int, block: int = 2000) -> DataFrame:
-    """Links (a, b) between the rows of each cluster; rows: cluster, id, size, keys.
-
-    A cluster of more than ``block`` rows is dealt into blocks, and each pair of
-    blocks is a group of its own, so that no group outgrows a task.
+    earlier = earlier if earlier is not None else [np.zeros(0, np.int64)] * len(sets)
+    layer = layers(earlier)
+    # A layer has nothing to search in itself; so the largest come first and search nothing.
+    weight = np.bincount(layer)
+    order = np.lexsort((-sizes, layer, -weight[layer] * (layer > 0), layer == 0))
+    sizes, sets, earlier, layer = sizes[order], [sets[i] for i in order], [earlier[i] for i in order], layer[order]
+    side = side[order] if side is not None else None
+    keys, before = Lists(sets), Lists(earlier)
+    begin = np.arange(len(sets))
+    if len(sets):
+        new = np.concatenate([[True], (layer[1:] != layer[:-1]) | (layer[1:] == 0)])
+        begin = np.flatnonzero(new)[np.cumsum(new) - 1]
+    for x in range(len(sets)):
+        if begin[x] == 0:
+            continue
+        found, overlap = keys.divide_skip(keys.of(x), -(-percent * int(sizes[x]) // 100))
+        good = (found < begin[x]) & (overlap >= needed(sizes[found], sizes[x], percent))
+        if side is not None:
+            good &= side[found] != side[x]
+        found = found[good]
+        if len(found):
+            own = before.of(x)
+            if len(own):
+                other = np.zeros(len(sets), dtype=bool)
+                other[before.entries(own)] = True
+                found = found[~other[found]]
+            if len(found):
+                yield int(order[x]), order[found]
+
+
+def linked(postings: DataFrame, percent: int) -> DataFrame:
+    """Links of the sets in each group; postings: group, id, copies, size, keys, earlier.
+
+    Rows with a ``b`` are links (a, b) that span what links in the group; rows
+    without are partial sums: ``n`` copies link with set ``a``.  A group of more
+    than BLOCK_KEYS keys is dealt into blocks, and each pair of blocks is a task's
+    unit of its own, so that no group outgrows a task.
     """
-    shipped(sets.sparkSession)
-    sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    shipped(postings.sparkSession)
+    sizes = postings.groupBy("group").agg(F.ceil(F.sum(F.size("keys")) / BLOCK_KEYS).cast("int").alias("_blocks"))
+    large = sizes.where("_blocks > 1")
     dealt = (
-        sets.join(sizes, "cluster")
+        postings.join(large, "group", "left")
+        .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
         .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select("cluster", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "id", "size", "keys")
+        .select("group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "id", "copies", "size", "keys", "earlier")
     )
 
-    def run(group: pa.Table) -> pa.Table:
-        ids = group.column("id").to_pylist()
-        lists = group.column("keys").combine_chunks()
-        offsets, keys = lists.offsets.to_numpy(), lists.values.to_numpy()
-        keys, offsets = keys[offsets[0] : offsets[-1]], offsets - offsets[0]
-        # Keys by number, one object for each; those that one set alone has are in no intersection.
-        _, number, count = np.unique(keys, return_inverse=True, return_counts=True)
-        shared = count[number] > 1
-        names = list(range(len(count)))
-        ends = np.concatenate([[0], np.cumsum(shared)])[offsets]
-        listed = [names[k] for k in number[shared].tolist()]
-        sets = [listed[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-        pairs = link_sets(group.column("size").to_pylist(), sets, percent)
-        return pa.table({"a": pa.array([ids[i] for i, _ in pairs], pa.int64()), "b": pa.array([ids[j] for _, j in pairs], pa.int64())})
-
-    return dealt.groupBy("cluster", "_i", "_j").applyInArrow(run, "a bigint, b bigint")
+    def unit(rows: pa.RecordBatch) -> pa.RecordBatch:
+        ids, copies, sizes, own, i, j = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("id", "copies", "size", "_own", "_i", "_j"))
+        sets, earlier = _arrays(rows.column("keys")), _arrays(rows.column("earlier"))
+        total = np.zeros(len(ids), dtype=np.int64)
+        root = np.arange(len(ids))
+        links: list[tuple[int, int]] = []
+        for x, found in group_links(sizes, sets, percent, earlier, own if i[0] != j[0] else None):
+            total[x] += copies[found].sum()
+            total[found] += copies[x]
+            for other in np.unique(root[found]).tolist():
+                if other != root[x]:
+                    links.append((x, int(found[root[found] == other][0])))
+                    root[root == other] = root[x]
+        some = np.flatnonzero(total)
+        a, b = (np.array([link[k] for link in links], dtype=np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([ids[some], ids[a]])), pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(ids[b], pa.int64())]), pa.array(np.concatenate([total[some], np.zeros(len(a), np.int64)]))],
+            names=["a", "b", "n"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = pa.concat_batches([rest, batch]) if rest is not None else batch
+            marks = [now.column(c).to_numpy(zero_copy_only=False) for c in ("group", "_i", "_j")]
+            first = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
+            edges = [0, *first.tolist()]
+            out = [unit(now.slice(a, b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1]
+            if out:
+                yield pa.concat_batches(out)
+            rest = now.slice(edges[-1])
+        if rest is not None and rest.num_rows > 1:
+            yield unit(rest)
+
+    placed = dealt.repartition("group", "_i", "_j").sortWithinPartitions("group", "_i", "_j", "id")
+    return placed.mapInArrow(run, "a bigint, b bigint, n bigint")
+
+
+def _arrays(column: pa.Array) -> list[np.ndarray]:
+    """The values of a list column, one array a row."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def in_groups(sets: DataFrame, places: DataFrame) -> DataFrame:
+    """Postings for ``linked``: the sets (id, copies, size, keys) in the groups that matter.
+
+    ``places`` has (group, id, at): the groups of each set in an order that is
+    the same for all sets.  Groups of one set go.  Of groups with the same sets
+    the first is enough: they are told by number, smallest, largest and hashes.
+    """
+    told = [F.count("*").alias("_n"), F.min("id").alias("_low"), F.max("id").alias("_high"), F.bit_xor(F.xxhash64("id")).alias("_xor")]
+    whole = places.groupBy("group").agg(*told).where("_n > 1")
+    named = places.join(whole, "group").groupBy("id", "_n", "_low", "_high", "_xor").agg(F.min(F.struct("at", "group")).alias("_first"))
+    own = named.groupBy("id").agg(F.array_sort(F.collect_list("_first"))["group"].alias("_groups"))
+    joined = sets.join(own, "id").select("*", F.posexplode("_groups").alias("_at", "group"))
+    return joined.select("group", "id", "copies", "size", "keys", F.slice("_groups", F.lit(1), F.col("_at")).alias("earlier"))

@@ -5,20 +5,22 @@ line; passages that repeat inside different lines thus share whole paragraphs.
 1. Paragraphs with the same words are one from the start.  Others meet where
    all hashes of a MinHash band agree: six bands of two rows bring pairs at
    Jaccard 0.75 together with probability 0.993, nearer ones almost surely.
-2. Bands travel packed to buckets, which return edges from the smallest
-   paragraph of a band to the others; components of edges are candidates.
-3. Within candidates an exact Jaccard search (``overlap``) finds the links, and
+2. Bands travel packed to buckets, which return the bands that different
+   paragraphs share: the groups in which they collide.
+3. Within groups an exact Jaccard search (``overlap``) finds the links, and
    components of links are classes.
 4. Beside them stand windows of a fixed number of words, which begin where the
    hash of three words is the least of its surroundings, whatever lines and
    sentences are; windows with the same words are one.  Of a passage, all words
    but REACH - 1 at either end are in windows that its other copies have too.
-5. A paragraph or window whose class has an earlier document goes if it stands in a run of
-   such paragraphs with enough words; the first document keeps all of its own.
+5. A paragraph or window whose class has an earlier document goes if it stands
+   near others with enough words together; only words of such paragraphs and
+   windows go, never those between them.  The first document keeps all its own.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.blocks import IS_WORD, LOWER, STEP, U64, blocks, column_bytes, mix, prefix_sums, shingle_hashes, span_hash, word_spans
+from docweave.llm.carry import CARRIED, carried, numbered
 from docweave.llm.components import connected_components
 from docweave.llm.jaccard_join import pack, unpack
-from docweave.llm.overlap import linked
+from docweave.llm.overlap import in_groups, linked
 from docweave.llm.store import written
 from docweave.ship import shipped
 
 BANDS, ROWS = 6, 2
 SHINGLE = 5
-#: Words of a paragraph, of a passage that goes, and between its paragraphs.
+#: Words of a paragraph, of the paragraphs that go together, and at most between these.
 LEAST_WORDS, LEAST_RUN, GAP = 8, 30, 8
 #: Words of a window, and places of which one at least begins a window.
 WINDOW, REACH = 12, 11
@@ -156,8 +159,8 @@ def _paragraph_rows(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "_id bigint, _row bigint, number int, word int, many int, name bigint, sliding boolean")
 
 
-def _band_edges(source: DataFrame, bits: int, buckets: int) -> DataFrame:
-    """Edges (a, b) between cut names of paragraphs that agree in a band."""
+def _band_groups(source: DataFrame, bits: int, buckets: int) -> DataFrame:
+    """(group, short): bands that different paragraphs share, and the cut names of these."""
     edges = np.array([min((b << bits) // buckets, (1 << 64) - 1) for b in range(buckets + 1)], dtype=U64)
 
     def flush(keys: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -200,11 +203,13 @@ def _band_edges(source: DataFrame, bits: int, buckets: int) -> DataFrame:
         key, owner = np.concatenate(keys), np.concatenate(owners)
         order = np.lexsort((owner, key))
         key, owner = key[order], owner[order]
+        once = np.ones(len(key), dtype=bool)
+        once[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        key, owner = key[once], owner[once]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        least = np.repeat(owner[first], np.diff(np.append(first, len(key))))
-        apart = least != owner
-        pairs = np.unique(np.stack([least[apart], owner[apart]], axis=1), axis=0).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        count = np.diff(np.append(first, len(key)))
+        take = np.repeat(count > 1, count)
+        return pa.RecordBatch.from_arrays([pa.array(a[take].astype(np.int64)) for a in (key, owner)], names=["group", "short"])
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -218,7 +223,7 @@ def _band_edges(source: DataFrame, bits: int, buckets: int) -> DataFrame:
             yield meet(rows)
 
     sent = source.mapInArrow(send, "bucket bigint, n int, keys binary, owners binary")
-    return sent.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "a bigint, b bigint")
+    return sent.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "`group` bigint, short bigint")
 
 
 def _shingle_sets(source: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -246,32 +251,55 @@ def paragraph_classes(source: DataFrame, paragraphs: DataFrame, percent: int) ->
     total = paragraphs.count() * BANDS
     bits = min(64, max(2, total).bit_length() + 20)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-total // BUCKET), 1)
-    edges = _band_edges(source.select("_text"), bits, buckets).distinct()
-    clusters = connected_components(edges).select(F.col("node").alias("short"), F.col("root").alias("cluster"))
-    short = F.shiftrightunsigned("name", 64 - bits)
-    places = paragraphs.withColumn("short", short).join(clusters, "short").groupBy("name", "cluster").agg(F.min(F.struct("_id", "_row", "number")).alias("at"))
-    places = written(places, "paragraph-places")
-    sets = _shingle_sets(source, places.select("at._id", "at._row", "at.number"))
-    members = sets.join(places.select("name", "cluster"), "name").select("cluster", F.col("name").alias("id"), "size", "keys")
-    links = written(linked(members, percent), "paragraph-links")
+    groups = written(_band_groups(source.select("_text"), bits, buckets), "paragraph-bands")
+    places = paragraphs.withColumn("short", F.shiftrightunsigned("name", 64 - bits)).join(groups.select("short").distinct(), "short")
+    places = written(places.groupBy("name", "short").agg(F.min(F.struct("_id", "_row", "number")).alias("at")), "paragraph-places")
+    sets = _shingle_sets(source, places.select("at._id", "at._row", "at.number")).select(F.col("name").alias("id"), F.lit(1).cast("long").alias("copies"), "size", "keys")
+    members = groups.join(places.select("short", F.col("name").alias("id")), "short").select("group", "id", F.col("group").alias("at"))
+    links = written(linked(in_groups(written(sets, "paragraph-sets"), members), percent).where("b is not null").select("a", "b"), "paragraph-links")
     return connected_components(links).select(F.col("node").alias("name"), "root")
 
 
+def verified_passages(places: list[tuple[int, int]], least_run: int, gap: int = GAP) -> list[tuple[int, int]]:
+    """The merged ranges of words of ``places``, of those runs that have ``least_run`` words in them.
+
+    Ranges at most ``gap`` words apart are one run; the words between are no part of it.
+    """
+    ranges: list[list[int]] = []
+    for a, b in sorted(places):
+        if ranges and a <= ranges[-1][1]:
+            ranges[-1][1] = max(ranges[-1][1], b)
+        else:
+            ranges.append([a, b])
+    out: list[tuple[int, int]] = []
+    run: list[tuple[int, int]] = []
+    for a, b in [*ranges, (1 << 62, 1 << 62)]:
+        if run and a - run[-1][1] > gap:
+            if sum(y - x for x, y in run) >= least_run:
+                out += run
+            run = []
+        run.append((a, b))
+    return out
+
+
 def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_RUN, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default), n_paragraphs, n_removed, n_removed_words, passages, first_docs.
 
     n_paragraphs and n_removed count paragraphs and windows.
     passages: removed ranges of words (numbers of white-space words in the whole
-    text, ends exclusive); first_docs: doc_ids that hold the first copies, sorted.
-    Documents are ordered by doc_id, null last; rows that share a doc_id are
-    ordered by a hash of the text, and rows that repeat wholly are one document.
-    Texts that are null, empty or without a paragraph lose nothing.
+    text, ends exclusive), each of verified paragraphs and windows alone; with
+    ``least_run`` 1 every repeated one goes.  first_docs: doc_ids that hold the
+    first copies, sorted.  Documents are ordered by doc_id, of any type that
+    sorts, null last; rows that share a doc_id are ordered by a hash of the text,
+    and rows that repeat wholly are one document.  Texts that are null, empty or
+    without a paragraph lose nothing; an empty table gives no rows.  Columns of
+    ``keep`` may have any name but the five made here, which replace them.
     """
     shipped(docs.sparkSession)
-    keep = keep or [doc_id]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    source = docs.select(order.alias("_id"), F.xxhash64(whole).alias("_row"), whole.alias("_text"))
+    made = ["n_paragraphs", "n_removed", "n_removed_words", "passages", "first_docs"]
+    whole = docs.select(carried(docs, keep or [doc_id], made), F.col(doc_id).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    whole = numbered(whole, "_own").withColumnRenamed("_order", "_id").withColumn("_row", F.xxhash64("_text"))
+    source = whole.select("_id", "_row", "_text")
     pieces = written(_paragraph_rows(source), "paragraphs")
     paragraphs = pieces.where("not sliding").drop("sliding")
     # Most windows stand in one document; the others go on with the paragraphs.
@@ -295,32 +323,35 @@ def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_R
         for batch in batches:
             out = []
             for found in batch.column("_found").to_pylist():
-                runs: list[list] = []
-                for p in sorted(found, key=lambda p: p["word"]):
-                    a, b = p["word"], p["word"] + p["many"]
-                    if runs and a - runs[-1][1] <= GAP:
-                        runs[-1][1] = max(runs[-1][1], b)
-                        runs[-1][2] += 1
-                        runs[-1][3].add(p["first"])
-                    else:
-                        runs.append([a, b, 1, {p["first"]}])
-                runs = [r for r in runs if r[1] - r[0] >= least_run]
-                out.append((sum(r[2] for r in runs), sum(r[1] - r[0] for r in runs), [{"start": r[0], "end": r[1]} for r in runs], sorted(set().union(*[r[3] for r in runs]))))
+                passages = verified_passages([(p["word"], p["word"] + p["many"]) for p in found], least_run)
+                starts = [a for a, _ in passages]
+                gone = [p for p in found if (at := bisect_right(starts, p["word"])) and p["word"] < passages[at - 1][1]]
+                out.append((len(gone), sum(b - a for a, b in passages), [{"start": a, "end": b} for a, b in passages], sorted({p["first"] for p in gone})))
             types = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.int64())]
             arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_row"), *arrays], names=["_id", "_row", "n_removed", "n_removed_words", "passages", "first_docs"])
 
     removed = per_row.mapInArrow(run, "_id bigint, _row bigint, n_removed bigint, n_removed_words bigint, passages array<struct<start:bigint,end:bigint>>, first_docs array<bigint>")
-    rows = docs.select(*keep, order.alias("_id"), F.xxhash64(whole).alias("_row"))
     zero = F.lit(0).cast("long")
-    return rows.join(counts, ["_id", "_row"], "left").join(removed, ["_id", "_row"], "left").select(
-        *keep, F.coalesce("n_paragraphs", zero).alias("n_paragraphs"), F.coalesce("n_removed", zero).alias("n_removed"),
-        F.coalesce("n_removed_words", zero).alias("n_removed_words"),
-        F.coalesce("passages", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("passages"),
-        F.coalesce("first_docs", F.array().cast("array<bigint>")).alias("first_docs"),
+    rows = whole.select(CARRIED, "_id", "_row").join(counts, ["_id", "_row"], "left").join(_named_firsts(removed, whole), ["_id", "_row"], "left")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    return rows.select(
+        f"{CARRIED}.*", F.coalesce("n_paragraphs", zero).alias("n_paragraphs"), F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_removed_words", zero).alias("n_removed_words"), F.coalesce("passages", none).alias("passages"),
+        F.coalesce("first_docs", F.array().cast(f"array<{dict(docs.dtypes)[doc_id]}>")).alias("first_docs"),
     )
 
 
+def _named_firsts(removed: DataFrame, whole: DataFrame) -> DataFrame:
+    """``removed`` with the doc_ids themselves in first_docs in place of their order."""
+    kind = dict(whole.dtypes)["_own"]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return removed.withColumn("first_docs", F.transform("first_docs", lambda x: F.when(x < (1 << 63) - 1, x).cast(kind)))
+    ids = whole.select(F.col("_id").alias("_first"), "_own").distinct()
+    named = removed.select("_id", "_row", F.explode("first_docs").alias("_first")).join(ids, "_first").groupBy("_id", "_row").agg(F.array_sort(F.collect_set("_own")).alias("first_docs"))
+    return removed.drop("first_docs").join(named, ["_id", "_row"], "left")
+
+
 def without_passages(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` (with a passages column) whose text lacks the words of the passages."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -189,8 +189,9 @@ pair AS (
   UNION
   SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
 )
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id, CAST(coalesce(c.n_links, 0) AS BIGINT) AS n_links
 FROM documents d LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a) c USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
 """
 

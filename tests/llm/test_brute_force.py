@@ -13,7 +13,8 @@ from hypothesis import strategies as st
 from docweave.llm.bpe import encoder
 from docweave.llm.components import connected_components
 from docweave.llm.jaccard_join import jaccard_join
-from docweave.llm.overlap import divide_skip, link_sets
+from docweave.llm import overlap
+from docweave.llm.overlap import Lists, group_links
 from docweave.llm.paragraph_dedup import paragraph_dedup, without_passages
 from docweave.llm.queries import queries, tokenizer_path
 from docweave.llm.secret_scan import scan_secrets, window_spans
@@ -109,7 +110,7 @@ def components(ids, links):
     return {i: find(i) for i in ids}
 
 
-def test_jaccard_join_with_chains_and_hot_groups(spark):
+def test_jaccard_join_with_chains_and_hot_groups(spark, monkeypatch):
     random.seed(7)
     words = [f"w{i}" for i in range(3000)]
     passage = random.sample(words, 60)
@@ -124,26 +125,41 @@ def test_jaccard_join_with_chains_and_hot_groups(spark):
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for i, t in made.items()}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and sets[b]]
     wanted = components(sets, links)
-    rows = jaccard_join(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(sets[i]), wanted[i]) for i in sets}
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    expected = {i: (len(sets[i]), sum(i in pair for pair in links), wanted[i]) for i in sets}
+    assert {r.doc_id: (r.n_shingles, r.n_links, r.component_id) for r in jaccard_join(docs).collect()} == expected
+    # Groups dealt into blocks give the same.
+    monkeypatch.setattr(overlap, "BLOCK_KEYS", 1500)
+    assert {r.doc_id: (r.n_shingles, r.n_links, r.component_id) for r in jaccard_join(docs).collect()} == expected
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.sets(st.integers(0, 25), max_size=20), max_size=12), st.integers(1, 6))
-def test_divide_skip(lists, least):
-    from collections import Counter
+@given(st.lists(st.sets(st.integers(0, 12), max_size=12), min_size=1, max_size=12), st.integers(0, 11), st.integers(1, 6))
+def test_divide_skip(sets, x, least):
+    import numpy as np
 
-    counts = Counter(x for own in lists for x in own)
-    assert divide_skip([sorted(own) for own in lists if own], least) == {x: n for x, n in counts.items() if n >= least}
+    x %= len(sets)
+    index = Lists([np.array(sorted(s), dtype=np.int64) for s in sets])
+    found, count = index.divide_skip(index.of(x), least)
+    wanted = {i: len(s & sets[x]) for i, s in enumerate(sets) if i != x and len(s & sets[x]) >= least}
+    assert {i: n for i, n in zip(found.tolist(), count.tolist(), strict=True) if i != x} == wanted
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.sets(st.integers(0, 14), min_size=1, max_size=12), max_size=14))
-def test_links_span_the_components(sets):
-    links = link_sets([len(s) for s in sets], [sorted(s) for s in sets], 75)
-    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
-    assert {(max(p), min(p)) for p in links} <= set(pairs)
-    assert components(range(len(sets)), links) == components(range(len(sets)), pairs)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(0, 14), min_size=1, max_size=12), st.sets(st.integers(0, 3)), st.integers(0, 1)), max_size=14), st.booleans())
+def test_links_of_a_group(rows, sides):
+    import numpy as np
+
+    sets = [s for s, _, _ in rows]
+    arrays = [np.array(sorted(s), dtype=np.int64) for s in sets]
+    earlier = [np.array(sorted(e), dtype=np.int64) for _, e, _ in rows]
+    side = np.array([k for _, _, k in rows]) if sides and rows else None
+    found = [(max(x, y), min(x, y)) for x, ys in group_links(np.array([len(s) for s in sets], dtype=np.int64), arrays, 75, earlier, side) for y in ys.tolist()]
+    wanted = [
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and not rows[i][1] & rows[j][1] and (side is None or rows[i][2] != rows[j][2])
+    ]
+    assert sorted(found) == sorted(wanted)
 
 
 def test_components(spark):
