@@ -17,7 +17,7 @@ from docweave.llm import overlap
 from docweave.llm.overlap import Lists, group_links
 from docweave.llm.paragraph_dedup import paragraph_dedup, without_passages
 from docweave.llm.queries import queries, tokenizer_path
-from docweave.llm.secret_scan import scan_secrets, window_spans
+from docweave.llm.secret_scan import ALLOW, CLASSES, KINDS, code_points, mean_entropy, scan_bytes, scan_secrets
 from docweave.llm.suffix_dedup import earlier_match, suffix_dedup
 from docweave.llm.toxicity import toxicity
 
@@ -85,15 +85,86 @@ def test_secrets(docs, texts):
         assert [(s.kind, s.start, s.end) for s in r.secrets if s.kind in ("assign", "access", "hex")] == [(name, a, b) for a, _, name, b in sorted(wanted)]
 
 
-def test_entropy_windows():
+def entropy_spans(text):
+    """The method's spans, window by window."""
+    from collections import Counter
+    from math import log2
+
+    def kind(window):
+        has = lambda p: re.search(p, window) is not None
+        lower, upper, digit, other = has("[a-z]"), has("[A-Z]"), has("[0-9]"), has("[+/_=-]")
+        if not (lower or upper):
+            return None
+        if other:
+            return "entropy_base64" if digit or (lower and upper) else None
+        if lower and upper:
+            return "entropy_base64" if digit else "entropy_letters2"
+        if not digit:
+            return "entropy_letters"
+        return "entropy_base36" if has("[g-zG-Z]") else "entropy_hex"
+
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+        run, size, spans = m[0], min(20, len(m[0])), []
+        for s in range(len(run) - size + 1):
+            window = run[s : s + size]
+            name = kind(window)
+            if name is None:
+                continue
+            kinds, margin = CLASSES[name]
+            entropy = -sum(n / size * log2(n / size) for n in Counter(window).values())
+            if entropy >= mean_entropy(size, kinds) - margin - 1e-9:
+                if spans and s <= spans[-1][1]:
+                    spans[-1][1] = s + size
+                else:
+                    spans.append([s, s + size, name])
+        out += [(m.start() + a, m.start() + b, k) for a, b, k in spans if not any(re.fullmatch(p.decode(), run[a:b]) for p in ALLOW)]
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b1", "Zq", "-", "=", "0", "xK9", "____", "c" * 21, " ", "é", "w7Rt/", "qwertzuiop", "LKJHG", "0a1b2c3d4e5f6789", "password=", "EXAMPLE"]), max_size=30))
+def test_spans_of_the_method(parts):
+    text = "".join(parts)
+    raw = text.encode()
+    found = code_points(raw, scan_bytes(raw, re.compile(b"|".join(b"(?:" + a + b")" for a in ALLOW))))
+    base = [(a, b) for a, b, k in found if k < 3]
+    wanted = [(a, b, k) for a, b, k in entropy_spans(text) if not any(x < b and a < y for x, y in base)]
+    assert [(a, b, KINDS[k]) for a, b, k in found if k > 2] == wanted
+
+
+def test_mean_entropy_is_the_mean():
     from collections import Counter
     from math import log2
 
     random.seed(2)
-    run = "".join(random.choice("aaaab0123456789XYZ") for _ in range(120)).encode()
-    entropy = lambda w: -sum(n / 20 * log2(n / 20) for n in Counter(w).values())
-    inside = {i for s in range(101) if entropy(run[s : s + 20]) >= 3.0 for i in range(s, s + 20)}
-    assert {i for a, b in window_spans(run, 3.0) for i in range(a, b)} == inside
+    draws = [Counter(random.choices(range(36), k=20)) for _ in range(4000)]
+    assert abs(sum(-sum(n / 20 * log2(n / 20) for n in d.values()) for d in draws) / 4000 - mean_entropy(20, 36)) < 0.02
+
+
+def test_recall_of_random_keys_and_silence_on_words():
+    import string
+
+    random.seed(1)
+    allowed = re.compile(b"|".join(b"(?:" + a + b")" for a in ALLOW))
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    least = {"0123456789ABCDEF": 0.93, lower + digits: 0.93, upper + "234567": 0.9, upper + lower: 0.82, lower: 0.6, upper + lower + digits + "+/": 0.95, upper + lower + digits + "-_": 0.95}
+    for alphabet, share in least.items():
+        for size in (16, 20, 32):
+            keys = ["".join(random.choices(alphabet, k=size)).encode() for _ in range(400)]
+            assert sum(bool(scan_bytes(b"see " + k + b" here", allowed)) for k in keys) >= share * 400
+    for quiet in (b"-" * 21 + b"Title", b"_" * 30 + b"A1", b"=" * 5000, b"internationalization of counterrevolutionaries", b"https://host/some-plain-words/and_more_words", b"123e4567-e89b-12d3-a456-426614174000", b"getElementsByTagName(readOnlyPropertyName)"):
+        assert scan_bytes(quiet, allowed) == []
+    assert scan_bytes(b"x=0000000000000000000000a", allowed) == [(2, 25, 2)]
+
+
+def test_long_texts_are_scanned_in_linear_time():
+    import time
+
+    allowed = re.compile(b"|".join(b"(?:" + a + b")" for a in ALLOW))
+    text = b"token=abcdefghijkl0 Zk3Wq9Lm1Xv7Bn5Tc2Rd " * 20000
+    start = time.process_time()
+    assert len(scan_bytes(text, allowed)) == 40000 and time.process_time() - start < 20
 
 
 def components(ids, links):
