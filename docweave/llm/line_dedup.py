@@ -1,7 +1,7 @@
 """Line deduplication across documents, with DataFrame functions only.
 
-Lines are exploded as 128-bit hashes of their keys; an aggregate with map-side
-combine finds the keys that at least two documents hold and the smallest of
+Lines are exploded as 128-bit hashes of their keys, once, and stored; an
+aggregate with map-side combine finds the keys that at least two documents hold and the smallest of
 those documents; the other holders lose the line.  Only hashes and positions
 are shuffled for that; the texts meet the positions in one final join.  A key
 that a third of all documents hold is one row on the small side of a join whose
@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm.carry import CARRIED, carried
+from docweave.llm.store import written
+
 #: The characters stripped from both ends of a line, A-Z and a-z.
 STRIP = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,26 +32,28 @@ def line_keys(text: Column) -> Column:
     return F.transform(F.split(lower_ascii(text), "\n"), lambda line: F.trim(line, F.lit(STRIP)))
 
 
-def row_key(doc_id: Column, text: Column) -> list[Column]:
-    """What names a row: rows that share both hold the same lines."""
-    return [doc_id.alias("_id"), F.xxhash64(text).alias("_row")]
-
-
 def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``text`` deduplicated, plus n_lines, n_dropped.
 
     A null text counts as an empty one: one empty line.  Rows without doc_id
     keep their lines and count for no other.  Rows that share a doc_id are one
-    document.  An empty table gives an empty result.  Further columns pass
-    through unchanged, whatever their names.
+    document, and rows that repeat wholly fare alike.  An empty table gives an
+    empty result.  Texts of any length are split whole.  Further columns pass
+    through unchanged, whatever their names, but n_lines and n_dropped, which
+    are replaced.
     """
-    source = docs.select(*row_key(F.col(doc_id), F.coalesce(F.col(text), F.lit(""))), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    made = ["n_lines", "n_dropped"]
+    whole = F.coalesce(F.col(text), F.lit(""))
+    names = [c for c in docs.columns if c not in made]
+    # What names a row: rows that share both hold the same lines.
+    source = docs.select(carried(docs, names, [text]), F.col(doc_id).alias("_id"), whole.alias("_text")).withColumn("_row", F.xxhash64("_text"))
     lines = (
         source.where(F.col("_id").isNotNull())
         .select("_id", "_row", F.posexplode(line_keys(F.col("_text"))).alias("_pos", "_key"))
         .where(F.length("_key") >= min_chars)
         .select("_id", "_row", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2"))
     )
+    lines = written(lines, "line-hashes")  # read twice below, and hashed once
     shared = (
         lines.groupBy("_h1", "_h2")
         .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
@@ -61,14 +66,15 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
         .groupBy("_id", "_row")
         .agg(F.collect_set("_pos").alias("_drop"))
     )
-    taken = docs.withColumns({"_text": F.coalesce(F.col(text), F.lit("")), "_id": F.col(doc_id)}).withColumn("_row", F.xxhash64("_text"))
     # A column of its own, which the projection below reads more than once: within a lambda the split would run for each line.
-    joined = taken.join(dropped, ["_id", "_row"], "left").withColumn("_parts", F.split("_text", "\n"))
+    joined = source.join(dropped, ["_id", "_row"], "left").withColumn("_parts", F.split("_text", "\n"))
     parts = F.col("_parts")
     keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_drop"))
     kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(parts, i)), "\n"))
-    return joined.select(
-        *[kept.alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+    out = joined.select(
+        CARRIED, kept.alias("_kept"), F.size(parts).cast("long").alias("_n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped")
+    )
+    return out.select(
+        *[F.col("_kept").alias(c) if c == text else F.col(CARRIED)[c].alias(c) for c in names],
+        F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
     )

@@ -1,11 +1,9 @@
 """Quality rules with DataFrame functions only: text statistics and line frequency.
 
-Statistics come from each whole text without a shuffle.  The cross-document
-rule hashes normalised lines, counts for each host the distinct texts that hold
-a line (exact copies count once, so copies do not make a text boilerplate),
-removes lines above the limits, and rejects documents with too few words left.
-Of the holders of such a line on a host the one with the smallest doc_id keeps
-it, so that content is never lost with its last copy.
+Statistics and line hashes come from each whole text in one pass without a
+shuffle.  The cross-document rule counts for each host the distinct documents
+that hold a normalised line, removes lines above the limits, and rejects
+documents with too few words left.
 """
 
 from __future__ import annotations
@@ -15,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.line_dedup import STRIP, lower_ascii
+from docweave.llm.carry import CARRIED, carried
+from docweave.llm.line_dedup import line_keys
+from docweave.llm.store import written
 
 #: Word, symbol and white-space patterns.
 NOT_WORD = r"[\x20\x09-\x0D]+"
@@ -65,9 +65,8 @@ def repeated_words(all_words: Column, width: int = 5) -> Column:
     return F.when(F.size(all_words) < width, F.lit(0)).otherwise(let(let(hashed, windows), count)).cast("long")
 
 
-def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; null texts are empty."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+def statistics(whole: Column) -> dict[str, Column]:
+    """_stats (n_words, word_chars, n_repeat_words), n_symbols and n_dup_lines of a text."""
     stats = let(
         words(whole),
         lambda w: F.struct(
@@ -77,59 +76,56 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     duplicates = let(F.filter(F.split(whole, "\n"), lambda line: line.rlike(WORD_CHAR)), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    return docs.withColumns({"_stats": stats, "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("long"), "n_dup_lines": duplicates})
+    return {"_stats": stats, "_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("long"), "_dup": duplicates}
+
 
+def line_hashes(whole: Column, min_chars: int) -> Column:
+    """Of each line of enough characters: the hash of its key in two halves, and its number of words."""
+    long = F.filter(line_keys(whole), lambda key: F.length(key) >= min_chars)
+    return F.transform(long, lambda key: F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key).alias("h2"), F.size(F.split(key, NOT_WORD)).alias("n")))
 
-def quality_rules(docs: DataFrame, host: str = "source", doc_id: str = "doc_id", text: str = "text", min_words: int = 10, max_repeat_percent: int = 20, min_line_chars: int = 10, min_line_docs: int = 20, max_host_percent: int = 10) -> DataFrame:
+
+def quality_rules(docs: DataFrame, host: str = "source", doc_id: str = "doc_id", text: str = "text", min_words: int = 10, max_repeat_percent: int = 20, min_line_chars: int = 10, min_line_docs: int = 20, max_host_percent: int = 10, max_line_docs: int = 10_000) -> DataFrame:
     """One row for each row of ``docs``: its columns but the text, statistics, base_failed, n_boilerplate_words, kept.
 
     base_failed: fewer than ``min_words`` words, or more than
     ``max_repeat_percent`` of them in repeated windows.  A line is above the
-    limits where more than ``min_line_docs`` distinct texts, and more than
-    ``max_host_percent`` of the host's, hold it.  A document is depleted when
-    fewer than ``min_words`` words are outside such lines.  Null hosts are one
-    host; null doc_ids sort last; rows with equal host, doc_id and text get the
-    same verdict.
+    limits where more than ``min_line_docs`` documents of a host, and more than
+    ``max_host_percent`` of them, hold it, or more than ``max_line_docs`` at
+    all, which is what acts on very large hosts.  A document is depleted when
+    fewer than ``min_words`` words are outside such lines.  A null or empty text
+    has no words; null hosts are one host; rows that share a doc_id are one
+    document, and so are those without; rows that repeat get the same verdict
+    each; an empty table gives no rows.  Columns may have any name but the eight
+    made here, which replace them.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_boilerplate_words", "kept"]
     whole = F.coalesce(F.col(text), F.lit(""))
-    row = {"_host": F.coalesce(F.col(host).cast("string"), F.lit("")), "_id": F.col(doc_id), "_text": F.xxhash64(whole)}
-    source = docs.select(*[c.alias(n) for n, c in row.items()], F.split(whole, "\n").alias("_parts"))
-    lines = source.select("_host", "_id", "_text", F.explode("_parts").alias("_line")).select(
-        "_host", "_id", "_text", "_line", F.trim(lower_ascii(F.col("_line")), F.lit(STRIP)).alias("_key")
-    ).where(F.length("_key") >= min_line_chars)
-    hashed = lines.select("_host", "_id", "_text", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key").alias("_h2"), F.size(words(F.col("_line"))).alias("_n"))
-    hosts = source.groupBy("_host", "_text").agg(F.lit(1).alias("_one")).groupBy("_host").agg(F.count("*").alias("_texts"))
+    # One pass over the texts; what follows reads hashes and numbers only.
+    rows = docs.select(
+        carried(docs, None, [*made, text]), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.col(doc_id).alias("_id"),
+        *[c.alias(n) for n, c in statistics(whole).items()], line_hashes(whole, min_line_chars).alias("_lines"),
+    )
+    rows = written(rows.withColumn("_rid", F.monotonically_increasing_id()), "quality-rows")
+    lines = rows.select("_rid", "_host", "_id", F.explode("_lines").alias("_line")).select("_rid", "_host", "_id", "_line.h1", "_line.h2", "_line.n")
+    hosts = rows.groupBy("_host", "_id").agg(F.lit(1).alias("_one")).groupBy("_host").agg(F.count("*").alias("_total"))
     frequent = (
-        hashed.groupBy("_host", "_h1", "_h2", "_text")
-        .agg(F.min("_id").alias("_id"))
-        .groupBy("_host", "_h1", "_h2")
-        .agg(F.count("*").alias("_docs"), F.min("_id").alias("_first"))
-        .where(F.col("_docs") > min_line_docs)
+        lines.groupBy("_host", "h1", "h2", "_id")
+        .agg(F.lit(1).alias("_one"))
+        .groupBy("_host", "h1", "h2")
+        .agg(F.count("*").alias("_docs"))
+        .where(F.col("_docs") > min(min_line_docs, max_line_docs))
         .join(hosts, "_host")
-        .where(F.col("_docs") * 100 > F.col("_texts") * max_host_percent)
-        .select("_host", "_h1", "_h2", "_first")
-    )
-    removed = (
-        hashed.join(frequent, ["_host", "_h1", "_h2"])
-        .where(~F.col("_id").eqNullSafe(F.col("_first")))
-        .groupBy("_host", "_id", "_text")
-        .agg(F.sum("_n").alias("_removed"), F.count("*").alias("_rows"))
-    )
-    copies = source.groupBy("_host", "_id", "_text").agg(F.count("*").alias("_copies"))
-    removed = removed.join(copies, [removed[c].eqNullSafe(copies[c]) for c in ("_host", "_id", "_text")]).select(
-        removed["_host"].alias("_rh"), removed["_id"].alias("_ri"), removed["_text"].alias("_rt"), F.expr("_removed div _copies").alias("n_boilerplate_words")
-    )
-    out = statistics(docs, text).withColumns(row).select(
-        *[c for c in docs.columns if c not in (*made, text)], *row, "_stats.n_words", "_stats.word_chars", "n_symbols", "n_dup_lines", "_stats.n_repeat_words"
+        .where((F.col("_docs") > max_line_docs) | ((F.col("_docs") > min_line_docs) & (F.col("_docs") * 100 > F.col("_total") * max_host_percent)))
+        .select("_host", "h1", "h2")
     )
-    joined = out.join(removed, (F.col("_host") == F.col("_rh")) & F.col("_id").eqNullSafe(F.col("_ri")) & (F.col("_text") == F.col("_rt")), "left")
-    boilerplate = F.coalesce(F.col("n_boilerplate_words"), F.lit(0)).cast("long")
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    removed = lines.join(frequent, ["_host", "h1", "h2"]).groupBy("_rid").agg(F.sum("n").cast("long").alias("_removed"))
+    joined = rows.join(removed, "_rid", "left").withColumn("_removed", F.coalesce("_removed", F.lit(0).cast("long")))
+    failed = (F.col("_stats.n_words") < min_words) | (100 * F.col("_stats.n_repeat_words") > max_repeat_percent * F.col("_stats.n_words"))
     return joined.select(
-        *[c for c in docs.columns if c not in (*made, text)],
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        f"{CARRIED}.*",
+        "_stats.n_words", "_stats.word_chars", F.col("_symbols").alias("n_symbols"), F.col("_dup").alias("n_dup_lines"), "_stats.n_repeat_words",
         failed.alias("base_failed"),
-        boilerplate.alias("n_boilerplate_words"),
-        (~failed & (F.col("n_words") - boilerplate >= min_words)).alias("kept"),
+        F.col("_removed").alias("n_boilerplate_words"),
+        (~failed & (F.col("_stats.n_words") - F.col("_removed") >= min_words)).alias("kept"),
     )

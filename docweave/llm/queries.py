@@ -145,18 +145,18 @@ win AS (
             - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM w LEFT JOIN rep USING (doc_id)
-), l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
+), l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
 k AS (
-  SELECT doc_id, coalesce(source, '') AS source, text, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+  SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
          translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
-), hosts AS (SELECT coalesce(source, '') AS source, count(DISTINCT text) AS texts FROM d GROUP BY 1),
+), hosts AS (SELECT coalesce(source, '') AS source, count(DISTINCT doc_id) AS total FROM d GROUP BY 1),
 f AS (
-  SELECT source, key, first FROM (
-    SELECT source, key, count(DISTINCT text) AS docs, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY source, key)
-  JOIN hosts USING (source) WHERE docs > 20 AND docs * 100 > texts * 10
+  SELECT source, key FROM (
+    SELECT source, key, count(DISTINCT doc_id) AS docs FROM k WHERE length(key) >= 10 GROUP BY source, key)
+  JOIN hosts USING (source) WHERE docs > 10000 OR (docs > 20 AND docs * 100 > total * 10)
 ), gone AS (
-  SELECT k.doc_id, sum(n) AS n FROM k JOIN f ON k.source = f.source AND k.key = f.key WHERE k.doc_id <> f.first GROUP BY k.doc_id
+  SELECT k.doc_id, sum(n) AS n FROM k JOIN f ON k.source = f.source AND k.key = f.key GROUP BY k.doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
