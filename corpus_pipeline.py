@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm.bpe import tokenized
+from docweave.llm.carry import CARRIED, carried
 from docweave.llm.decontaminate import decontaminate
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.line_dedup import line_dedup
@@ -20,36 +21,49 @@ from docweave.llm.queries import tokenizer_path
 from docweave.llm.store import written
 
 
-def _row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key that only rows with equal doc_id, source and text share."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "source", F.xxhash64(F.coalesce("text", F.lit("")))))
+#: What names a row: rows that agree in these have equal doc_id, source and text (by two hashes).
+KEY = ["_id", "_host", "_h1", "_h2"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` as one struct, and the key of each row."""
+    whole = F.coalesce("text", F.lit(""))
+    return docs.select(carried(docs, None), F.col("doc_id").alias("_id"), F.col("source").alias("_host"), F.xxhash64(whole).alias("_h1"), F.xxhash64(F.lit("text"), whole).alias("_h2"))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key is in ``rejected``; nulls are equal."""
+    rows, gone = _keyed(docs), rejected.select(*[F.col(c).alias(f"{c}_gone") for c in KEY]).distinct()
+    return rows.join(gone, [F.col(c).eqNullSafe(F.col(f"{c}_gone")) for c in KEY], "left_anti").select(f"{CARRIED}.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    keyed = _row_key(docs)
-    rejected = quality_rules(keyed.select("_key", "doc_id", "source", "text")).where(~F.col("kept")).select("_key").distinct()
-    return keyed.join(rejected, "_key", "left_anti").select(*docs.columns)
+    found = quality_rules(_keyed(docs).select(*KEY, F.col(CARRIED)["text"].alias("text")), host="_host", doc_id="_id")
+    return _without(docs, found.where(~F.col("kept")))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has; n_chars follows the text."""
     out = line_dedup(docs)
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    return out.select(*[n_chars if c == "n_chars" else c for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates."""
-    classes = jaccard_join(docs.select("doc_id", "text"))
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest doc_id of each group of near duplicates.
+
+    Rows without doc_id go where a row with one is in their group.
+    """
+    classes = jaccard_join(_keyed(docs).select(*KEY, F.col(CARRIED)["text"].alias("text")), doc_id="_id", keep=KEY)
+    return _without(docs, classes.where(~F.col("_id").eqNullSafe(F.col("component_id"))))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs, items, keep=docs.columns)
-    return found.where(F.size("bench_hits") == 0).select(*docs.columns)
+    found = decontaminate(docs.select(carried(docs, None), "text"), items, keep=[CARRIED])
+    return found.where(F.size("bench_hits") == 0).select(f"{CARRIED}.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
