@@ -261,8 +261,8 @@ def candidate_sets(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFra
 
 
 def prefix_places(sets: DataFrame) -> DataFrame:
-    """(group, id, at): the prefix keys of each set, from the rarest."""
-    return sets.select("id", F.posexplode(F.slice("keys", F.lit(1), F.col("prefix"))).alias("at", "group"))
+    """(group, id): the prefix keys of each set, which are its rarest."""
+    return sets.select("id", F.explode(F.slice("keys", F.lit(1), F.col("prefix"))).alias("group"))
 
 
 def jaccard_join(docs: DataFrame, percent: int = 75, k: int = 5, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:

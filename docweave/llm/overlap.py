@@ -6,10 +6,12 @@ deals the sets to their groups; within one, each set searches the inverted lists
 of the others with DivideSkip: the short lists are merged, the long ones probed
 by binary search, and sets that reach the needed overlap are links.
 
-A pair that shares several groups belongs to the first of them, so each link is
-found and counted once.  Most pairs of a large group share an earlier group, and
-need not even be looked at: ``layers`` peels off the sets that have the most
-common earlier group; within a layer there is nothing to search.
+Sets that groups connect go to one unit of work where they fit.  Larger connected
+parts are worked on group by group.  There a pair that shares several groups
+belongs to the first of them, so each link is found and counted once.  Most pairs
+of a large group share an earlier group, and need not even be looked at:
+``layers`` peels off the sets that have the most common earlier group; within a
+layer there is nothing to search.
 """
 
 from __future__ import annotations
@@ -18,15 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.llm.components import connected_components
+from docweave.llm.store import written
 from docweave.ship import shipped
 
 #: Cost of probing a list against that of merging an entry: the tuning constant of DivideSkip.
 MU = 0.5
 #: Keys of the sets in one block of a group.
 BLOCK_KEYS = 500_000
+#: Sets up to which a group is preferred the larger it is.
+HANDY = 256
 
 
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -156,7 +162,7 @@ def group_links(sizes: np.ndarray, sets: list[np.ndarray], percent: int, earlier
 
 
 def linked(postings: DataFrame, percent: int) -> DataFrame:
-    """Links of the sets in each group; postings: group, id, copies, size, keys, earlier.
+    """Links of the sets in each group; postings: whole, group, id, copies, size, keys, earlier.
 
     Rows with a ``b`` are links (a, b) that span what links in the group; rows
     without are partial sums: ``n`` copies link with set ``a``.  A group of more
@@ -164,14 +170,14 @@ def linked(postings: DataFrame, percent: int) -> DataFrame:
     unit of its own, so that no group outgrows a task.
     """
     shipped(postings.sparkSession)
-    sizes = postings.groupBy("group").agg(F.ceil(F.sum(F.size("keys")) / BLOCK_KEYS).cast("int").alias("_blocks"))
+    sizes = postings.groupBy("whole", "group").agg(F.ceil(F.sum(F.size("keys")) / BLOCK_KEYS).cast("int").alias("_blocks"))
     large = sizes.where("_blocks > 1")
     dealt = (
-        postings.join(large, "group", "left")
+        postings.join(large, ["whole", "group"], "left")
         .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
         .withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select("group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "id", "copies", "size", "keys", "earlier")
+        .select("whole", "group", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own", "id", "copies", "size", "keys", "earlier")
     )
 
     def unit(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -200,7 +206,7 @@ def linked(postings: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             now = pa.concat_batches([rest, batch]) if rest is not None else batch
-            marks = [now.column(c).to_numpy(zero_copy_only=False) for c in ("group", "_i", "_j")]
+            marks = [now.column(c).to_numpy(zero_copy_only=False) for c in ("whole", "group", "_i", "_j")]
             first = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
             edges = [0, *first.tolist()]
             out = [unit(now.slice(a, b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1]
@@ -210,7 +216,7 @@ def linked(postings: DataFrame, percent: int) -> DataFrame:
         if rest is not None and rest.num_rows > 1:
             yield unit(rest)
 
-    placed = dealt.repartition("group", "_i", "_j").sortWithinPartitions("group", "_i", "_j", "id")
+    placed = dealt.repartition("whole", "group", "_i", "_j").sortWithinPartitions("whole", "group", "_i", "_j", "id")
     return placed.mapInArrow(run, "a bigint, b bigint, n bigint")
 
 
@@ -223,13 +229,39 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
 def in_groups(sets: DataFrame, places: DataFrame) -> DataFrame:
     """Postings for ``linked``: the sets (id, copies, size, keys) in the groups that matter.
 
-    ``places`` has (group, id, at): the groups of each set in an order that is
-    the same for all sets.  Groups of one set go.  Of groups with the same sets
-    the first is enough: they are told by number, smallest, largest and hashes.
+    ``places`` has (group, id).  Sets that groups connect are a group of their
+    own where they fit into one block, which nearly all do; there each set is
+    sent once.  The sets of larger connected parts are sent to their groups.
     """
     told = [F.count("*").alias("_n"), F.min("id").alias("_low"), F.max("id").alias("_high"), F.bit_xor(F.xxhash64("id")).alias("_xor")]
-    whole = places.groupBy("group").agg(*told).where("_n > 1")
-    named = places.join(whole, "group").groupBy("id", "_n", "_low", "_high", "_xor").agg(F.min(F.struct("at", "group")).alias("_first"))
-    own = named.groupBy("id").agg(F.array_sort(F.collect_list("_first"))["group"].alias("_groups"))
+    placed = written(places.join(places.groupBy("group").agg(*told).where("_n > 1"), "group"), "overlap-places")
+    meetings = placed.select(F.col("_low").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+    parts = written(connected_components(meetings).select(F.col("node").alias("id"), F.col("root").alias("_part")), "overlap-parts")
+    grouped = sets.join(parts, "id")
+    weight = grouped.groupBy("_part").agg(F.sum(F.size("keys")).alias("_keys"))
+    small = grouped.join(weight.where(F.col("_keys") <= BLOCK_KEYS).select("_part"), "_part")
+    none = F.array().cast("array<bigint>")
+    out = small.select(F.lit(True).alias("whole"), F.col("_part").alias("group"), "id", "copies", "size", "keys", none.alias("earlier"))
+    large = parts.join(weight.where(F.col("_keys") > BLOCK_KEYS).select("_part"), "_part").select("id")
+    if large.isEmpty():
+        return out
+    return out.unionByName(_by_group(sets, placed.join(large, "id")))
+
+
+def _by_group(sets: DataFrame, placed: DataFrame) -> DataFrame:
+    """Postings by group.
+
+    Of groups with the same sets one is enough: they are told by number,
+    smallest, largest and hashes.  The groups of a set are ordered by preference:
+    the largest of a handy size, smaller ones, then larger ones.  A group whose
+    sets all prefer one and the same other group has no pair that isn't there
+    too, and goes.
+    """
+    named = placed.groupBy("id", "_n", "_low", "_high", "_xor").agg(F.min("group").alias("group"))
+    preferred = Window.partitionBy("id").orderBy(F.col("_n") > HANDY, F.when(F.col("_n") > HANDY, F.col("_n")).otherwise(-F.col("_n")), "group")
+    ranked = named.withColumn("_at", F.row_number().over(preferred)).withColumn("_first", F.first("group").over(preferred))
+    ranked = written(ranked.select("id", "group", "_at", "_first"), "overlap-groups")
+    kept = ranked.groupBy("group").agg(F.min("_first").alias("_a"), F.max("_first").alias("_b")).where("_a <> _b or _a = group").select("group")
+    own = ranked.join(kept, "group").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("_at", "group")))["group"].alias("_groups"))
     joined = sets.join(own, "id").select("*", F.posexplode("_groups").alias("_at", "group"))
-    return joined.select("group", "id", "copies", "size", "keys", F.slice("_groups", F.lit(1), F.col("_at")).alias("earlier"))
+    return joined.select(F.lit(False).alias("whole"), "group", "id", "copies", "size", "keys", F.slice("_groups", F.lit(1), F.col("_at")).alias("earlier"))

@@ -44,6 +44,8 @@ LEAST_WORDS, LEAST_RUN, GAP = 8, 30, 8
 WINDOW, REACH = 12, 11
 #: Band entries in one packing, and in one bucket on average.
 PACK, BUCKET = 2_000_000, 1_000_000
+#: Bytes of text whose windows go to one bucket on average, and windows of one packing that make one frequent.
+BUCKET_BYTES, FREQUENT = 24 << 20, 64
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
 
@@ -147,16 +149,104 @@ def _paragraph_rows(source: DataFrame) -> DataFrame:
             for part in blocks(batch, "_text"):
                 p = Paragraphs(part, "_text")
                 ids, rows = (part.column(c).to_numpy(zero_copy_only=False) for c in ("_id", "_row"))
+                arrays = [ids[p.rows], rows[p.rows], p.number.astype(np.int32), p.word.astype(np.int32), p.many.astype(np.int32), p.names]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["_id", "_row", "number", "word", "many", "name"])
+
+    return source.mapInArrow(run, "_id bigint, _row bigint, number int, word int, many int, name bigint")
+
+
+_SENT = [("bucket", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("places", pa.binary()), ("words", pa.binary()), ("owners", pa.binary())]
+
+
+def _shared_windows(source: DataFrame, buckets: int) -> DataFrame:
+    """_id, _row, word, name of the windows that may stand in two documents.
+
+    Windows travel packed to the buckets of their names.  Those that are frequent
+    in one packing are shared for certain: they travel spread over other buckets,
+    and only their names go to their own, so that no bucket outgrows a task.
+    """
+    edges = np.array([min((b << 64) // buckets, (1 << 64) - 1) for b in range(buckets + 1)], dtype=U64)
+
+    def row(bucket: int, kind: int, keys: np.ndarray, place: np.ndarray, word: np.ndarray, owners: np.ndarray) -> tuple:
+        used, local = np.unique(place, return_inverse=True)
+        return bucket, kind, len(keys), pack(keys), local.reshape(-1).astype("<u4").tobytes(), word.astype("<u4").tobytes(), owners[used].tobytes()
+
+    def flush(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        sizes = np.cumsum([0, *[len(p[3]) for p in parts]])
+        keys, word = (np.concatenate([p[k] for p in parts]) for k in (0, 2))
+        place = np.concatenate([p[1] + at for p, at in zip(parts, sizes[:-1].tolist(), strict=True)])
+        owners = np.concatenate([p[3] for p in parts])
+        order = np.argsort(keys, kind="stable")
+        keys, place, word = keys[order], place[order], word[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        count = np.diff(np.append(first, len(keys)))
+        often = np.repeat(count >= FREQUENT, count)
+        marks, out = keys[first[count >= FREQUENT]], []
+        some, none = (keys[~often], place[~often], word[~often]), np.zeros(0, np.int64)
+        cut, mark = np.searchsorted(some[0], edges), np.searchsorted(marks, edges)
+        cut[-1], mark[-1] = len(some[0]), len(marks)
+        for b in range(buckets):
+            if cut[b] < cut[b + 1]:
+                out.append(row(b, 0, *[a[cut[b] : cut[b + 1]] for a in some], owners))
+            if mark[b] < mark[b + 1]:
+                out.append(row(b, 1, marks[mark[b] : mark[b + 1]], none, none, owners))
+        if len(marks):
+            spread = (mix(owners[:, 1].view(U64)) % U64(buckets)).astype(np.int64)[place[often]]
+            for b in np.unique(spread).tolist():
+                out.append(row(buckets + b, 2, *[a[often][spread == b] for a in (keys, place, word)], owners))
+        for at in range(0, len(out), 16):
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(zip(*out[at : at + 16], strict=True), _SENT, strict=True)], names=[c for c, _ in _SENT])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for part in blocks(batch, "_text"):
+                p = Paragraphs(part, "_text")
                 first, names = p.windows()
                 own = p.word_rows[first]
-                number = np.bincount(p.rows, minlength=part.num_rows)[own] + np.arange(len(own)) - np.searchsorted(own, own)
-                at = np.concatenate([p.rows, own])
-                many = np.concatenate([p.many, np.full(len(own), WINDOW)])
-                arrays = [ids[at], rows[at], np.concatenate([p.number, number]).astype(np.int32), np.concatenate([p.word, first - p.base[own]]).astype(np.int32)]
-                arrays += [many.astype(np.int32), np.concatenate([p.names, names]), np.arange(len(at)) >= len(p.rows)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["_id", "_row", "number", "word", "many", "name", "sliding"])
+                owners = np.stack([part.column(c).to_numpy(zero_copy_only=False) for c in ("_id", "_row")], axis=1)
+                parts.append((names.view(U64), own, first - p.base[own], owners))
+                held += len(first)
+                if held >= PACK // 2:
+                    yield from flush(parts)
+                    parts, held = [], 0
+        if held:
+            yield from flush(parts)
+
+    def meet(rows: list[tuple]) -> pa.RecordBatch:
+        marks = [unpack(r[3], r[2]) for r in rows if r[1] == 1]
+        rows = [r for r in rows if r[1] != 1]
+        key = np.concatenate([unpack(r[3], r[2]) for r in rows] or [np.zeros(0, U64)])
+        owner = np.concatenate([np.frombuffer(r[6], "<i8").reshape(-1, 2)[np.frombuffer(r[4], "<u4")] for r in rows] or [np.zeros((0, 2), np.int64)])
+        word = np.concatenate([np.frombuffer(r[5], "<u4") for r in rows] or [np.zeros(0, "<u4")])
+        if rows and rows[0][1] == 0:
+            order = np.argsort(key, kind="stable")
+            key, owner, word = key[order], owner[order], word[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            mixed = mix(owner[:, 0].view(U64) * U64(STEP) + owner[:, 1].view(U64))
+            several = np.maximum.reduceat(mixed, first) != np.minimum.reduceat(mixed, first)
+            several |= np.isin(key[first], np.concatenate(marks)) if marks else False
+            take = np.repeat(several, np.diff(np.append(first, len(key))))
+            key, owner, word = key[take], owner[take], word[take]
+        arrays = [owner[:, 0], owner[:, 1], word.astype(np.int32), key.view(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["_id", "_row", "word", "name"])
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if rows and rows[0][0] != row[0]:
+                    yield meet(rows)
+                    rows = []
+                rows.append(row)
+                if row[1] == 2:  # shared for certain, whatever else there is
+                    yield meet(rows)
+                    rows = []
+        if rows:
+            yield meet(rows)
 
-    return source.mapInArrow(run, "_id bigint, _row bigint, number int, word int, many int, name bigint, sliding boolean")
+    sent = source.mapInArrow(send, "bucket bigint, kind int, n int, keys binary, places binary, words binary, owners binary")
+    return sent.repartition(2 * buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(receive, "_id bigint, _row bigint, word int, name bigint")
 
 
 def _band_groups(source: DataFrame, bits: int, buckets: int) -> DataFrame:
@@ -255,7 +345,7 @@ def paragraph_classes(source: DataFrame, paragraphs: DataFrame, percent: int) ->
     places = paragraphs.withColumn("short", F.shiftrightunsigned("name", 64 - bits)).join(groups.select("short").distinct(), "short")
     places = written(places.groupBy("name", "short").agg(F.min(F.struct("_id", "_row", "number")).alias("at")), "paragraph-places")
     sets = _shingle_sets(source, places.select("at._id", "at._row", "at.number")).select(F.col("name").alias("id"), F.lit(1).cast("long").alias("copies"), "size", "keys")
-    members = groups.join(places.select("short", F.col("name").alias("id")), "short").select("group", "id", F.col("group").alias("at"))
+    members = groups.join(places.select("short", F.col("name").alias("id")), "short").select("group", "id")
     links = written(linked(in_groups(written(sets, "paragraph-sets"), members), percent).where("b is not null").select("a", "b"), "paragraph-links")
     return connected_components(links).select(F.col("node").alias("name"), "root")
 
@@ -285,7 +375,7 @@ def verified_passages(places: list[tuple[int, int]], least_run: int, gap: int =
 def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_RUN, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default), n_paragraphs, n_removed, n_removed_words, passages, first_docs.
 
-    n_paragraphs and n_removed count paragraphs and windows.
+    n_paragraphs counts paragraphs, n_removed the removed paragraphs and windows.
     passages: removed ranges of words (numbers of white-space words in the whole
     text, ends exclusive), each of verified paragraphs and windows alone; with
     ``least_run`` 1 every repeated one goes.  first_docs: doc_ids that hold the
@@ -300,13 +390,11 @@ def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_R
     whole = docs.select(carried(docs, keep or [doc_id], made), F.col(doc_id).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     whole = numbered(whole, "_own").withColumnRenamed("_order", "_id").withColumn("_row", F.xxhash64("_text"))
     source = whole.select("_id", "_row", "_text")
-    pieces = written(_paragraph_rows(source), "paragraphs")
-    paragraphs = pieces.where("not sliding").drop("sliding")
-    # Most windows stand in one document; the others go on with the paragraphs.
-    sliding = pieces.where("sliding").select(paragraphs.columns)
-    held = F.xxhash64("_id", "_row")
-    shared = sliding.groupBy("name").agg(F.min(held).alias("lo"), F.max(held).alias("hi")).where("lo <> hi").select("name")
-    found = paragraphs.unionByName(written(sliding.join(shared, "name").select(paragraphs.columns), "paragraph-windows"))
+    paragraphs = written(_paragraph_rows(source), "paragraphs")
+    total = source.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2, -(-int(total) // BUCKET_BYTES), 1)
+    windows = _shared_windows(source, buckets).select("_id", "_row", F.lit(-1).alias("number"), "word", F.lit(WINDOW).alias("many"), "name")
+    found = paragraphs.unionByName(written(windows, "paragraph-windows"))
     roots = written(paragraph_classes(source, paragraphs, percent), "paragraph-classes")
     # Names that documents share, and names that link with another one.
     place = F.struct("_id", "_row")
@@ -317,7 +405,7 @@ def paragraph_dedup(docs: DataFrame, percent: int = 75, least_run: int = LEAST_R
     repeated = named.join(firsts, "class").select("name", "first")
     later = found.join(repeated, "name").where((F.col("_id") != F.col("first._id")) | (F.col("_row") != F.col("first._row")))
     per_row = later.groupBy("_id", "_row").agg(F.collect_set(F.struct("word", "many", F.col("first._id").alias("first"))).alias("_found"))
-    counts = pieces.select("_id", "_row", "number").groupBy("_id", "_row").agg((F.max("number") + 1).cast("long").alias("n_paragraphs"))
+    counts = paragraphs.select("_id", "_row", "number").groupBy("_id", "_row").agg((F.max("number") + 1).cast("long").alias("n_paragraphs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
