@@ -251,7 +251,9 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", keep: list[str] |
 
     ids: array<bigint>; ids_sha256, n_tokens; decoded, decoded_sha256.  ``path``
     must name the tokenizer file on every executor.  A null text is an empty
-    one.  Columns of ``docs`` with a wanted name are replaced.
+    one; rows that repeat are encoded each; an empty table gives no rows.  Texts of
+    any length are encoded whole, in time linear in their length.  Columns of
+    ``docs`` with a wanted name are replaced; others may have any name.
     """
     types = {"ids": "array<bigint>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
     keep = [c for c in (keep or docs.columns) if c not in want]

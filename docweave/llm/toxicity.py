@@ -5,8 +5,10 @@ after the characters before it.  Their highest order is counted by class on a
 bounded sample of labelled documents; both back off to one shared model, whose
 counts come from all documents, so that an expression rare in either class has
 no more than its discounted share.  A text's score compares the two
-log-likelihoods, divided by the number of words, and is calibrated by a
-logistic function on labelled documents that the models haven't counted.
+log-likelihoods, divided by the number of words: once of all words, once of what
+each word has beyond FAR, so that a few plain insults tell in a text of any
+length.  A logistic function of these two, fitted on labelled documents that the
+models haven't counted, makes it a probability.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.blocks import IS_ALNUM, LOWER, STEP, U64, blocks, column_bytes, mix, prefix_sums, span_hash, word_spans
+from docweave.llm.carry import CARRIED, carried, extended
 from docweave.llm.store import written
 from docweave.ship import shipped
 
@@ -76,8 +79,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     known = known.withColumn("fold", F.crc32(F.col("doc_id").cast("string")) % 5).where("fold <> 0")
     parts = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in sample.items()]
     chosen = parts[0].unionAll(parts[1]).select(F.col("doc_id").alias("_id"), "label", "fold")
-    # The sample's size is bounded by its parameter.
-    return docs.join(F.broadcast(chosen), docs[doc_id] == F.col("_id")).select("_id", F.col(text).alias("text"), "label", "fold")
+    # The sample's size is bounded by its parameter; of rows that share a doc_id one is in it.
+    named = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    found = named.join(F.broadcast(chosen), "_id")
+    return found.groupBy("_id", "label", "fold").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def class_counts(sample: DataFrame) -> DataFrame:
@@ -175,10 +180,10 @@ class Model:
         order = np.argsort(gram)
         self.grams, self.ratio = gram[order], (logs[0] - logs[1])[order].astype(np.float32)
         self.contexts, self.other = tops, (weights[0] - weights[1]).astype(np.float32)
-        self.curve = np.zeros(4)
+        self.curve = np.zeros(3)
 
     def features(self, words: Words) -> np.ndarray:
-        """Of each row: log-likelihood ratio a word, and its part from words far on the toxic side."""
+        """Of each row: log-likelihood ratio a word, and the root of its part beyond FAR."""
 
         def look(known: np.ndarray, value: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if not len(known):
@@ -194,10 +199,10 @@ class Model:
         n = np.maximum(np.bincount(words.rows, minlength=words.n_rows), 1)
         mean = np.bincount(words.rows, weights=each, minlength=words.n_rows) / n
         far = np.bincount(words.rows, weights=np.maximum(each - FAR, 0), minlength=words.n_rows)
-        return np.stack([mean, far / n, np.log1p(far)], axis=1)
+        return np.stack([mean, np.sqrt(far / n)], axis=1)
 
     def score(self, words: Words) -> np.ndarray:
-        line = self.features(words) @ self.curve[:3] + self.curve[3]
+        line = self.features(words) @ self.curve[:-1] + self.curve[-1]
         return 1 / (1 + np.exp(-np.clip(line, -40, 40)))
 
 
@@ -208,7 +213,7 @@ FAR = 3.0
 def fit_curve(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
     """Logistic regression by Newton steps on scaled features."""
     if not len(y) or y.min() == y.max():
-        return np.array([1.0, 0.0, 0.0, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0])
+        return np.array([1.0, 0.0, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0])
     centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([(x - centre) / scale, np.ones(len(y))])
     w = np.zeros(z.shape[1])
@@ -241,10 +246,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         for batch in batches:
             for part in blocks(batch, "text"):
                 x = held.value.features(Words(part, "text"))
-                yield pa.RecordBatch.from_arrays([part.column("label"), *[pa.array(c) for c in x.T]], names=["label", "a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([part.column("label"), *[pa.array(c) for c in x.T]], names=["label", "a", "b"])
 
-    rows = chosen.where("fold = 4").select("text", "label").mapInArrow(run, "label int, a double, b double, c double").toArrow()
-    x = np.column_stack([rows.column(c).to_numpy() for c in "abc"]) if rows.num_rows else np.zeros((0, 3))
+    rows = chosen.where("fold = 4").select("text", "label").mapInArrow(run, "label int, a double, b double").toArrow()
+    x = np.column_stack([rows.column(c).to_numpy() for c in "ab"]) if rows.num_rows else np.zeros((0, 2))
     model.curve = fit_curve(x, rows.column("label").to_numpy().astype(float) if rows.num_rows else np.zeros(0))
     return model
 
@@ -254,17 +259,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     ``labels`` has doc_id and toxic (0 or 1; others are left out; of rows that
     share a doc_id the highest counts).  Null and empty texts get the score of
-    a text without words.  Without any labels each score is 0.5.
+    a text without words.  Without any labels each score is 0.5.  Rows that
+    repeat get the same score each, and of rows of ``docs`` that share a doc_id
+    one is learned from.  Whole texts are scored, of any length; an empty table
+    gives no rows.  A column named score is replaced; others may have any name.
     """
-    keep = [c for c in (keep or docs.columns) if c != "score"]
     fitted = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels, doc_id, text))
-    source = docs.select(*keep, *([text] if text not in keep else []))
-    schema = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
+    source = docs.select(carried(docs, keep, ["score"]), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, text):
-                score = fitted.value.score(Words(part, text))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(score)], names=[*keep, "score"])
+            for part in blocks(batch, "_text"):
+                score = fitted.value.score(Words(part, "_text"))
+                yield pa.RecordBatch.from_arrays([part.column(CARRIED), pa.array(score)], names=[CARRIED, "_score"])
 
-    return source.mapInArrow(run, f"{schema}, score double")
+    return source.mapInArrow(run, extended(source, [CARRIED], "_score double")).select(f"{CARRIED}.*", F.col("_score").alias("score"))
