@@ -1,33 +1,42 @@
-"""Benchmark decontamination with a positional inverted index of the documents.
-
-The index is distributed by document: each block of documents has the postings
-(positions in the block) of the terms that occur in benchmark items, so neither
-postings nor texts are shuffled and a passage that a third of all documents
-hold is spread as the documents are.  A window of item words is searched by
-intersecting the posting lists of its terms, each shifted by the term's offset,
-from the list that is the rarest in the block; a proximity search joins the
-terms of an item that the fewest documents of the whole corpus hold, within a
-few words.  The items are the query set; they
-are sent to the blocks in parts of a bounded size.
+"""Benchmark decontamination with a stored positional inverted index of the documents.
+
+The index is one row for each block of documents: its terms, of each the number
+of documents that hold it, and their positions, written to the shared folder.
+So postings are spread as the documents are, a passage that a third of all
+documents hold too, and neither postings nor texts are shuffled; any number of
+query sets reads the index, not the texts.
+
+A window of item words is searched by intersecting the posting lists of its
+terms, each shifted by the term's offset, from the rarest in the block; a
+proximity search joins the terms of an item that the fewest documents of the
+whole corpus hold, within a few words.  The items are the query set: they are
+sent to the blocks in parts of a bounded size, one part at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, LongType, StructType
 
+from docweave.llm.blocks import IS_ALNUM, LOWER, U64, blocks, column_bytes, prefix_sums, span_hash, word_hashes, word_spans
+from docweave.llm.carry import CARRIED, carried
+from docweave.llm.jaccard_join import pack, unpack
+from docweave.llm.store import written
 from docweave.ship import shipped
-from docweave.llm.blocks import IS_ALNUM, blocks, column_bytes, word_hashes
 
-#: Bytes of item text in one part of the query set.
+#: Bytes of item text in one part of the query set: a part has less than this and its last item.
 PART_BYTES = 16 << 20
 _HITS = "array<struct<start:bigint,end:bigint>>"
-_NEAR = "array<struct<item:bigint,start:bigint,end:bigint>>"
 
 
 @dataclass
@@ -35,18 +44,26 @@ class QuerySet:
     """Item windows as numbers of a sorted vocabulary of word hashes."""
 
     vocabulary: np.ndarray
+    #: The place of each word in the order of the words themselves.
+    rank: np.ndarray
     windows: np.ndarray
     sizes: np.ndarray
-    items: list[list[int]]
-    terms: dict[int, np.ndarray]
+    items: list[list[Any]]
+    terms: dict[Any, np.ndarray]
 
     @classmethod
-    def of(cls, items: list[tuple[int, str]], width: int) -> QuerySet:
-        data = pa.array([t or "" for _, t in items], pa.string())
-        words, bounds = word_hashes(*column_bytes(data), IS_ALNUM)
-        vocabulary, numbers = np.unique(words, return_inverse=True)
-        holders: dict[tuple[int, ...], set[int]] = {}
-        terms: dict[int, set[int]] = {}
+    def of(cls, items: list[tuple[Any, str]], width: int) -> QuerySet:
+        raw, offsets = column_bytes(pa.array([t or "" for _, t in items], pa.string()))
+        data = LOWER[raw]
+        starts, ends, rows = word_spans(data, offsets, IS_ALNUM)
+        vocabulary, first, numbers = np.unique(span_hash(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
+        numbers, bounds = numbers.reshape(-1), np.searchsorted(rows, np.arange(len(offsets)), side="left")
+        text = data.tobytes()
+        words = [text[starts[i] : ends[i]] for i in first.tolist()]
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        holders: dict[tuple[int, ...], set] = {}
+        terms: dict[Any, set[int]] = {}
         for (item, _), a, b in zip(items, bounds[:-1], bounds[1:], strict=True):
             own = numbers[a:b].tolist()
             terms.setdefault(item, set()).update(own)
@@ -56,29 +73,70 @@ class QuerySet:
         for i, w in enumerate(holders):
             table[i, : len(w)] = w
         sizes = np.array([len(w) for w in holders], dtype=np.int64)
-        return cls(vocabulary, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t), dtype=np.int64) for i, t in terms.items() if t})
-
-
-class BlockIndex:
-    """Postings of the vocabulary's terms in one block of documents."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray):
-        words, self.bounds = word_hashes(data, offsets, IS_ALNUM)
-        n = len(words)
-        place = np.searchsorted(vocabulary, words)
-        place[place == len(vocabulary)] = 0
-        self.rows = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        known = vocabulary[place] == words if len(vocabulary) else np.zeros(n, bool)
-        where = np.flatnonzero(known)
-        number = place[where]
-        order = np.argsort(number, kind="stable")
-        self.positions = where[order]
-        self.counts = np.bincount(number, minlength=len(vocabulary))
-        self.starts = np.concatenate([[0], np.cumsum(self.counts)])
-        self.n = n
+        return cls(vocabulary, rank, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t), dtype=np.int64) for i, t in terms.items() if t})
+
+
+def query_sets(items: DataFrame, width: int, part_bytes: int) -> Iterator[QuerySet]:
+    """The items (item, text) in parts; the driver holds one part at a time."""
+    size = F.octet_length("text") + 64
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    held, room = list[tuple[Any, str]](), 0
+    # Rows of one item are neighbours, so that they come into one part.
+    for item, text in items.repartition(max(1, -(-int(total) // part_bytes)), "item").sortWithinPartitions("item").select("item", "text").toLocalIterator():
+        if room >= part_bytes and item != held[-1][0]:
+            yield QuerySet.of(held, width)
+            held, room = [], 0
+        held.append((item, text))
+        room += len(text.encode()) + 64
+    if held:
+        yield QuerySet.of(held, width)
+
+
+#: One row a block; the last column but two says how many documents it has, these have their columns and words.
+_INDEX = "block bigint, words bigint, terms binary, counts binary, holders binary, postings binary, bounds binary, documents bigint"
+
+
+def positional_index(docs: DataFrame) -> DataFrame:
+    """The stored index of ``docs`` (_carried, _text), and of each block its documents in order (_docs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "_text"):
+                words, bounds = word_hashes(*column_bytes(part.column("_text")), IS_ALNUM)
+                n = len(words)
+                terms, number, counts = np.unique(words, return_inverse=True, return_counts=True)
+                order = np.argsort(number.reshape(-1), kind="stable")
+                rows = np.repeat(np.arange(part.num_rows), np.diff(bounds))[order]
+                term = number.reshape(-1)[order]
+                new = np.ones(n, dtype=bool)
+                new[1:] = (term[1:] != term[:-1]) | (rows[1:] != rows[:-1])
+                values = [uuid.uuid4().int >> 65, n, pack(terms), counts.astype("<u4").tobytes(), np.bincount(term[new], minlength=len(terms)).astype("<u4").tobytes(), pack(term.astype(U64) * U64(n) + order.astype(U64)), pack(bounds.astype(U64)), part.num_rows]
+                lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in (part.column(CARRIED), pa.array(np.diff(bounds), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*[pa.array([v]) for v in values], *lists], names=schema.names)
+
+    schema = StructType.fromDDL(_INDEX).add("_docs", ArrayType(docs.schema[CARRIED].dataType)).add("_words", ArrayType(LongType()))
+    return docs.mapInArrow(run, schema)
+
+
+class Block:
+    """A block of the index, as far as a query set asks."""
+
+    def __init__(self, row: dict[str, Any], vocabulary: np.ndarray):
+        self.n = row["words"]
+        counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
+        terms = unpack(row["terms"], len(counts))
+        place = np.searchsorted(terms, vocabulary)
+        place[place == len(terms)] = 0
+        known = terms[place] == vocabulary if len(terms) else np.zeros(len(vocabulary), bool)
+        starts = np.cumsum(counts) - counts
+        self.counts = np.where(known, counts[place], 0) if len(terms) else np.zeros(len(vocabulary), np.int64)
+        self.starts = starts[place] if len(terms) else self.counts
+        self.positions = (unpack(row["postings"], self.n) % U64(max(self.n, 1))).astype(np.int64)
+        self.bounds = unpack(row["bounds"], row["documents"] + 1).astype(np.int64)
+        self.rows = np.repeat(np.arange(row["documents"]), np.diff(self.bounds))
 
     def postings(self, term: int) -> np.ndarray:
-        return self.positions[self.starts[term] : self.starts[term + 1]]
+        return self.positions[self.starts[term] : self.starts[term] + self.counts[term]]
 
     def phrase(self, terms: np.ndarray) -> np.ndarray:
         """First positions of the places where the terms stand in a row, within one document."""
@@ -96,13 +154,6 @@ class BlockIndex:
                 return found
         return found[self.rows[found] == self.rows[found + len(terms) - 1]]
 
-    def holders(self) -> np.ndarray:
-        """How many documents of the block hold each term."""
-        term = np.repeat(np.arange(len(self.counts)), self.counts)
-        n_rows = max(len(self.bounds) - 1, 1)
-        pairs = np.unique(term * n_rows + self.rows[self.positions])
-        return np.bincount(pairs // n_rows, minlength=len(self.counts))
-
     def near(self, terms: np.ndarray, within: int) -> list[tuple[int, int, int]]:
         """(row, start, end) of the places where all terms stand within so many words of one of the first term.
 
@@ -131,29 +182,35 @@ class BlockIndex:
         return [(r, x, y) for r, x, y in spans]
 
 
-def rare_terms(docs: DataFrame, query: QuerySet, text: str, rarest: int) -> dict[int, np.ndarray]:
-    """Of each item the terms that the fewest documents hold, of those that any holds."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(query.vocabulary)
+def rare_terms(index: DataFrame, query: QuerySet, rarest: int) -> dict[Any, np.ndarray]:
+    """Of each item the terms that the fewest documents hold, of those that any holds; words in order on ties."""
+    vocabulary = index.sparkSession.sparkContext.broadcast(query.vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary.value), dtype=np.int64)
         for batch in batches:
-            for part in blocks(batch, text):
-                total += BlockIndex(*column_bytes(part.column(text)), vocabulary.value).holders()
+            for packed, held in zip(batch.column("terms"), batch.column("holders"), strict=True):
+                holders = np.frombuffer(held.as_py(), "<u4")
+                terms = unpack(packed.as_py(), len(holders))
+                if len(terms):
+                    place = np.searchsorted(terms, vocabulary.value)
+                    place[place == len(terms)] = 0
+                    total += np.where(terms[place] == vocabulary.value, holders[place], 0)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["term", "n"])
 
     counts = np.zeros(len(query.vocabulary), dtype=np.int64)
     # At most one row a term of this part of the query set.
-    for term, n in docs.select(text).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect():
+    for term, n in index.select("terms", "holders").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n")).collect():
         counts[term] = n
+    vocabulary.destroy()
     held = {item: terms[counts[terms] > 0] for item, terms in query.terms.items()}
-    return {item: terms[np.argsort(counts[terms], kind="stable")][:rarest] for item, terms in held.items()}
+    return {item: terms[np.lexsort((query.rank[terms], counts[terms]))][:rarest] for item, terms in held.items()}
 
 
-def _search(index: BlockIndex, query: QuerySet, within: int) -> tuple[list[list[dict]], list[list[int]], list[list[dict]]]:
-    n = len(index.bounds) - 1
-    items: list[set[int]] = [set() for _ in range(n)]
+def _search(index: Block, query: QuerySet, within: int) -> dict[int, tuple[list[dict], list, list[dict]]]:
+    """Of each document with findings: spans of hits, items, proximity matches."""
+    items: dict[int, set] = {}
     cover = np.zeros(index.n + 1, dtype=np.int64)
     if len(query.windows):
         present = np.where(query.windows >= 0, index.counts[query.windows], 1 << 60).min(axis=1) > 0
@@ -163,7 +220,7 @@ def _search(index: BlockIndex, query: QuerySet, within: int) -> tuple[list[list[
             np.add.at(cover, found, 1)
             np.add.at(cover, found + size, -1)
             for row in set(index.rows[found].tolist()):
-                items[row].update(query.items[w])
+                items.setdefault(row, set()).update(query.items[w])
     covered = np.cumsum(cover[:-1]) > 0
     edge = np.zeros(index.n + 1, dtype=bool)
     edge[index.bounds] = True  # a span doesn't run on into the next document
@@ -173,79 +230,85 @@ def _search(index: BlockIndex, query: QuerySet, within: int) -> tuple[list[list[
         before[edge[:-1]] = False
         after[:-1] = covered[1:]
         after[edge[1:]] = False
-    spans: list[list[dict]] = [[] for _ in range(n)]
+    spans: dict[int, list[dict]] = {}
     for a, b in zip(np.flatnonzero(covered & ~before).tolist(), (np.flatnonzero(covered & ~after) + 1).tolist(), strict=True):
         row = int(index.rows[a])
-        spans[row].append({"start": a - int(index.bounds[row]), "end": b - int(index.bounds[row])})
-    close: list[list[dict]] = [[] for _ in range(n)]
+        spans.setdefault(row, []).append({"start": a - int(index.bounds[row]), "end": b - int(index.bounds[row])})
+    close: dict[int, list[dict]] = {}
     for item, terms in query.terms.items():
         for row, start, end in index.near(terms, within):
-            if item not in items[row]:
-                close[row].append({"item": item, "start": start, "end": end})
-    return spans, [sorted(x) for x in items], close
+            if item not in items.get(row, ()):
+                close.setdefault(row, []).append({"item": item, "start": start, "end": end})
+    return {row: (spans.get(row, []), sorted(items.get(row, ())), close.get(row, [])) for row in sorted({*spans, *items, *close})}
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text", within: int = 12, rarest: int = 5, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``keep`` columns of ``docs`` plus n_words, bench_hits, bench_items, n_near, near.
+def _findings(index: DataFrame, shared: Broadcast, within: int, schema: StructType) -> DataFrame:
+    """One row for each document of the index with findings of the query set."""
+    arrow = to_arrow_schema(schema)
 
-    bench_hits: merged spans of document words inside occurrences of item
-    windows; bench_items: ids of the items with such windows, sorted; n_near:
-    further items whose rarest terms (those of the fewest documents in the whole
-    corpus; terms that no document holds are skipped, two at least must be left)
-    stand close together; near: item and span of each such place.  Null or empty texts
-    have no words; items without words or without id match nothing; items that
-    share an id are one item.  Columns of these names are replaced.
-    """
-    made = {"n_words": "bigint", "bench_hits": _HITS, "bench_items": "array<bigint>", "n_near": "bigint", "near": _NEAR}
-    keep = [c for c in (keep or docs.columns) if c not in made]
-    used = items.select(F.col(item_id).cast("bigint").alias("_item"), F.col(item_text).alias("_text")).where("_item is not null and _text is not null")
-    total = used.agg(F.coalesce(F.sum(F.octet_length("_text") + 64), F.lit(0))).first()[0]
-    parts = max(1, -(-int(total) // part_bytes))
-    if parts == 1:
-        return _pass(docs, used, keep, made, width, text, within, rarest)
-    # A larger query set goes over the documents part by part; their findings meet by row.
-    keyed = docs.select(*keep, *([text] if text not in keep else [])).withColumns({"_id": F.xxhash64(*[F.col(c) for c in keep]), "_row": F.xxhash64(F.lit("row"), *[F.col(c) for c in keep], text)})
-    found = None
-    for k in range(parts):
-        own = used.where(F.pmod(F.xxhash64("_item"), F.lit(parts)) == k)
-        one = _pass(keyed, own, ["_id", "_row"], made, width, text, within, rarest).dropDuplicates(["_id", "_row"])
-        found = one if found is None else found.unionByName(one)
-    merged = found.groupBy("_id", "_row").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list("bench_hits"))).alias("_hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("bench_items")))).alias("bench_items"),
-        F.sum("n_near").alias("n_near"),
-        F.array_sort(F.flatten(F.collect_list("near"))).alias("near"),
-    )
-    joined = F.aggregate(
-        F.array_sort("_hits"),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                found = _search(Block(row, query.vocabulary), query, within)
+                out = [{"block": row["block"], "at": at, "hits": hits, "items": items, "near": near} for at, (hits, items, near) in found.items()]
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return index.drop("_docs", "_words", "holders").mapInArrow(run, schema)
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans, those that meet joined."""
+    return F.aggregate(
+        spans,
         F.array().cast(_HITS),
         lambda a, s: F.when(
             (F.size(a) > 0) & (F.element_at(a, -1)["end"] >= s["start"]),
             F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], s["end"]).alias("end")))),
         ).otherwise(F.concat(a, F.array(s))),
     )
-    return keyed.join(merged, ["_id", "_row"], "left").select(*keep, "n_words", joined.alias("bench_hits"), "bench_items", "n_near", "near")
 
 
-def _pass(docs: DataFrame, items: DataFrame, keep: list[str], made: dict[str, str], width: int, text: str, within: int, rarest: int) -> DataFrame:
-    spark = shipped(docs.sparkSession)
-    query = QuerySet.of([(r[0], r[1]) for r in items.collect()], width)
-    query.terms = rare_terms(docs, query, text, rarest)
-    shared = spark.sparkContext.broadcast(query)
-    source = docs.select(*keep, *([text] if text not in keep else []))
-    schema = ", ".join([f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} {t}" for c, t in made.items()])
+def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text", within: int = 12, rarest: int = 5, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``keep`` columns of ``docs`` (all by default) plus n_words, bench_hits, bench_items, n_near, near.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query = shared.value
-        near_type = pa.list_(pa.struct([("item", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
-        hit_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            for part in blocks(batch, text):
-                index = BlockIndex(*column_bytes(part.column(text)), query.vocabulary)
-                spans, found, close = _search(index, query, within)
-                arrays = [part.column(c) for c in keep]
-                arrays += [pa.array(np.diff(index.bounds), pa.int64()), pa.array(spans, hit_type), pa.array(found, pa.list_(pa.int64())), pa.array([len({c["item"] for c in row}) for row in close], pa.int64()), pa.array(close, near_type)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *made])
-
-    return source.mapInArrow(run, schema)
+    bench_hits: merged spans of document words inside occurrences of item
+    windows; bench_items: ids of the items with such windows, sorted; n_near:
+    further items whose rarest terms (those of the fewest documents in the whole
+    corpus; terms that no document holds are skipped, two at least must be left)
+    stand close together; near: item and span of each such place.  Ids may be of
+    any type that sorts.  Null or empty texts have no words; items without words
+    or without id match nothing; items that share an id are one item; rows that
+    repeat have the same findings each; texts of any length are indexed whole; an
+    empty table gives no rows.  Columns of the names made here are replaced;
+    others may have any name.
+    """
+    spark = shipped(docs.sparkSession)
+    made = ["n_words", "bench_hits", "bench_items", "n_near", "near"]
+    index = written(positional_index(docs.select(carried(docs, keep, made), F.col(text).alias("_text"))), "bench-index")
+    used = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("item is not null and text is not null")
+    id_type = used.schema["item"].dataType
+    near_type = f"array<struct<item:{id_type.simpleString()},start:bigint,end:bigint>>"
+    schema = StructType.fromDDL(f"block bigint, at int, hits {_HITS}, items array<{id_type.simpleString()}>, near {near_type}")
+    found = spark.createDataFrame([], schema)
+    for query in query_sets(used, width, part_bytes):
+        query.terms = rare_terms(index, query, rarest)
+        shared = spark.sparkContext.broadcast(query)
+        found = found.unionByName(written(_findings(index, shared, within, schema), "bench-findings"))
+        shared.destroy()
+    # A document's findings in the parts of the query set, which are one part nearly always.
+    merged = found.groupBy("block", "at").agg(
+        _merged(F.array_sort(F.flatten(F.collect_list("hits")))).alias("_hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"),
+        F.array_sort(F.flatten(F.collect_list("near"))).alias("_near"),
+    )
+    each = index.select("block", F.posexplode(F.arrays_zip("_docs", "_words")).alias("at", "_doc"))
+    joined = each.select("block", "at", F.col("_doc._docs").alias(CARRIED), "_doc._words").join(merged, ["block", "at"], "left")
+    near = F.coalesce("_near", F.array().cast(near_type))
+    return joined.select(
+        f"{CARRIED}.*", F.col("_words").alias("n_words"), F.coalesce("_hits", F.array().cast(_HITS)).alias("bench_hits"),
+        F.coalesce("_items", F.array().cast(f"array<{id_type.simpleString()}>")).alias("bench_items"),
+        F.size(F.array_distinct(F.transform(near, lambda m: m["item"]))).cast("long").alias("n_near"), near.alias("near"),
+    )

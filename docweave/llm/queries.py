@@ -92,7 +92,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_sort(F.transform("bench_items", lambda i: i.cast("string")))
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("bench_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "n_near",
     )
 
 
@@ -112,14 +112,27 @@ occ AS (
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)
 ), hit AS (SELECT o.doc_id, o.i, o.n, win.item_id FROM occ o JOIN win ON o.n = win.n AND o.phrase = win.phrase),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+exact AS (SELECT DISTINCT doc_id, item_id FROM hit),
 found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
-)
+  FROM exact GROUP BY doc_id
+), place AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM dw),
+df AS (SELECT word, count(DISTINCT doc_id) AS n FROM place GROUP BY word),
+term AS (
+  SELECT item_id, word, r, max(r) OVER (PARTITION BY item_id) AS many FROM (
+    SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY df.n, word) AS r
+    FROM (SELECT DISTINCT item_id, unnest(w) AS word FROM iw) JOIN df USING (word)) WHERE r <= 5
+), centre AS (SELECT item_id, doc_id, p, many FROM term JOIN place USING (word) WHERE r = 1 AND many >= 2),
+near AS (
+  SELECT DISTINCT item_id, doc_id FROM (
+    SELECT c.item_id, c.doc_id, c.p, c.many, count(DISTINCT t.word) AS n
+    FROM centre c JOIN term t USING (item_id) JOIN place q ON q.doc_id = c.doc_id AND q.word = t.word AND abs(q.p - c.p) <= 12
+    GROUP BY 1, 2, 3, 4) WHERE n = many
+), close AS (SELECT doc_id, count(*) AS n_near FROM near ANTI JOIN exact USING (doc_id, item_id) GROUP BY doc_id)
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN close USING (doc_id)
 """
 
 
