@@ -62,8 +62,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs.select(carried(docs, None), "text"), items, keep=[CARRIED])
-    return found.where(F.size("bench_hits") == 0).select(f"{CARRIED}.*")
+    found = decontaminate(_keyed(docs).select(*KEY, F.col(CARRIED)["text"].alias("text")), items, keep=KEY)
+    return _without(docs, found.where(F.size("bench_hits") > 0))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
