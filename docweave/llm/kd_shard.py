@@ -4,175 +4,149 @@ Rows become points of their metadata; a row weighs its bytes.  Each level cuts
 every node along its widest dimension at the weighted median, until leaves reach
 the target bytes.  A median comes from a few aggregates over all nodes at once:
 each narrows the place of the cut to one of 1024 intervals, first by the value,
-then, where one value weighs too much, by the hash of the text, then by the row
-number; so equal texts stay together unless their weight alone tilts the cut.
-The driver holds one small record for each node, at most ``MAX_LEAVES``.
+then, where one value weighs too much, by the hash of the text, then by the hash
+of doc_id and text; so equal texts stay together unless their weight alone tilts
+the cut.  These keys are the rows' own, so the shards don't depend on how the
+table is dealt.  Nodes and cuts are tables too: the driver holds none of them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.store import written
+from docweave.llm.store import discard, written
 
-MAX_LEAVES = 512
 INTERVALS = 1024
+#: Hashes as keys: 62 bits, so that differences and successors are longs too.
+HASH_BITS = 62
+_POINT = ["_id", "_size", "_crc", "_group", "_own", "_point", "_node"]
 
 
-@dataclass
-class _Cut:
-    """Where a node is being cut: rows before (prefix, low) go left."""
-
-    node: int
-    dimension: int
-    share: float
-    total: int
-    spans: list[tuple[int, int]]
-    level: int = 0
-    left: int = 0
-    prefix: list[int] = field(default_factory=list)
-    at: tuple[int, ...] | None = None
-
-
-def _before(keys: list[Column], cut: list[Column]) -> Column:
-    """Lexicographic order of three keys against a cut."""
-    a, b, c = keys
-    x, y, z = cut
-    return (a < x) | ((a == x) & ((b < y) | ((b == y) & (c < z))))
-
-
-def _small(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A literal table of longs; at most MAX_LEAVES rows, so it may be broadcast."""
-    if not rows:
-        return spark.range(0).select(*[F.col("id").alias(n) for n in names])
-    literal = ", ".join("(" + ", ".join(f"{v}L" for v in row) + ")" for row in rows)
-    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {literal} AS t({', '.join(names)})"))
-
-
-def _find_cuts(points: DataFrame, cuts: list[_Cut], tolerance: float) -> None:
-    """Fill in ``at`` of every cut; one aggregate for each round of narrowing."""
-    spark = points.sparkSession
-    open_cuts = list(cuts)
-    while open_cuts:
-        rows = []
-        for c in open_cuts:
-            low, high = c.spans[c.level]
-            step = (high - low) // INTERVALS + 1
-            rows.append((c.node, c.dimension, c.level, *(c.prefix + [0, 0])[:2], low, high, step))
-        now = _small(spark, rows, ["_node", "_dim", "_lev", "_p0", "_p1", "_low", "_high", "_step"])
-        value = F.get(F.col("_point"), F.col("_dim").cast("int"))
-        key = F.when(F.col("_lev") == 0, value).when(F.col("_lev") == 1, F.col("_group")).otherwise(F.col("_rid"))
-        histogram = (
-            points.join(now, "_node")
-            .withColumns({"_v": value, "_k": key})
-            .where("(_lev = 0 or _v = _p0) and (_lev < 2 or _group = _p1) and _k between _low and _high")
-            .groupBy("_node", F.expr("(_k - _low) div _step").alias("_slot"))
-            .agg(F.sum("_size").alias("_size"), F.min("_k").alias("_first"), F.max("_k").alias("_last"))
-            .collect()  # at most MAX_LEAVES * INTERVALS rows
-        )
-        slots: dict[int, list[tuple[int, int, int]]] = {}
-        for r in sorted(histogram, key=lambda r: r["_slot"]):
-            slots.setdefault(r["_node"], []).append((r["_size"], r["_first"], r["_last"]))
-        again = []
-        for c in open_cuts:
-            # The slot that the goal falls into; empty slots don't occur in the histogram.
-            goal, passed = c.share * c.total, c.left
-            own = slots[c.node]
-            at = 0
-            while at + 1 < len(own) and passed + own[at][0] < goal:
-                passed += own[at][0]
-                at += 1
-            weight, first, last = own[at]
-            rest = [s[0] for s in c.spans[c.level + 1 :]]
-            off_before, off_after = abs(goal - passed), abs(passed + weight - goal)
-            if min(off_before, off_after) <= tolerance * c.total or (c.level == 2 and first == last):
-                c.at = (*c.prefix, first if off_before <= off_after else last + 1, *rest)
-            elif first < last:
-                c.left, c.spans[c.level] = passed, (first, last)
-                again.append(c)
-            else:
-                c.left, c.level = passed, c.level + 1
-                c.prefix.append(first)
-                again.append(c)
-        open_cuts = again
+def _hash(*columns: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - HASH_BITS)
+
+
+def _pick(value: Column, at: Column, many: int) -> Column:
+    """Element ``at`` of an array that has ``many``."""
+    return F.coalesce(*[F.when(at == k, F.get(value, F.lit(k))) for k in range(many)])
+
+
+def _opened(boxes: DataFrame, nodes: DataFrame, extents: list[str], many: int) -> DataFrame:
+    """A cut to find for each node that is to be divided: along its widest dimension, share of its weight to the left."""
+    widths = F.array(*[F.struct(((F.col(f"b{k}") - F.col(f"a{k}")) / F.col(extents[k])).alias("w"), F.lit(-k).alias("k")) for k in range(many)])
+    joined = boxes.join(nodes.where("_many > 1"), "_node").withColumn("_dim", -F.array_max(widths)["k"])
+    return joined.select(
+        "_node", "_dim", "_total", (F.col("_total") * F.floor(F.col("_many") / 2) / F.col("_many")).alias("_goal"), F.lit(0).alias("_level"),
+        _pick(F.array(*[f"a{k}" for k in range(many)]), F.col("_dim"), many).alias("_low"), _pick(F.array(*[f"b{k}" for k in range(many)]), F.col("_dim"), many).alias("_high"),
+        *[F.lit(0).cast("long").alias(c) for c in ("_left", "_p0", "_p1")],
+        *[F.lit(None).cast("long").alias(c) for c in ("_c0", "_c1", "_c2")],
+    )
+
+
+def _narrowed(points: DataFrame, cuts: DataFrame, tolerance: float, many: int) -> DataFrame:
+    """One round: each open cut to one of its intervals, to its next key, or to its place (_c0, _c1, _c2)."""
+    now = cuts.where("_c0 is null")
+    value = _pick(F.col("_point"), F.col("_dim"), many)
+    joined = points.join(now, "_node").withColumn("_v", value)
+    joined = joined.withColumn("_k", F.when(F.col("_level") == 0, F.col("_v")).when(F.col("_level") == 1, F.col("_group")).otherwise(F.col("_own")))
+    inside = joined.where("(_level = 0 or _v = _p0) and (_level < 2 or _group = _p1) and _k between _low and _high")
+    slots = inside.groupBy("_node", F.expr(f"(_k - _low) div ((_high - _low) div {INTERVALS} + 1)").alias("_slot")).agg(F.sum("_size").alias("_weight"), F.min("_k").alias("_first"), F.max("_k").alias("_last"))
+    # The slot that the goal falls into; at most INTERVALS rows a node.
+    before = Window.partitionBy("_node").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    placed = slots.withColumn("_before", F.coalesce(F.sum("_weight").over(before), F.lit(0))).join(now.select("_node", "_goal", "_left"), "_node")
+    row = F.struct("_weight", "_first", "_last", "_before")
+    reached = F.col("_left") + F.col("_before") + F.col("_weight") >= F.col("_goal")
+    chosen = placed.groupBy("_node").agg(F.coalesce(F.min_by(row, F.when(reached, F.col("_slot"))), F.max_by(row, "_slot")).alias("_hit"))
+    found = cuts.join(chosen, "_node", "left").withColumns({"_w": F.col("_hit._weight"), "_f": F.col("_hit._first"), "_l": F.col("_hit._last"), "_passed": F.col("_left") + F.col("_hit._before")})
+    off_before, off_after = F.abs(F.col("_goal") - F.col("_passed")), F.abs(F.col("_passed") + F.col("_w") - F.col("_goal"))
+    level, here = F.col("_level"), F.col("_hit").isNotNull()
+    done = here & ((F.least(off_before, off_after) <= F.lit(tolerance) * F.col("_total")) | ((level == 2) & (F.col("_f") == F.col("_l"))))
+    at = F.when(off_before <= off_after, F.col("_f")).otherwise(F.col("_l") + 1)
+    deeper = here & ~done & (F.col("_f") == F.col("_l"))
+    closer = here & ~done & (F.col("_f") < F.col("_l"))
+    zero = F.lit(0).cast("long")
+    return found.select(
+        "_node", "_dim", "_total", "_goal", F.when(deeper, level + 1).otherwise(level).alias("_level"),
+        F.when(closer, F.col("_f")).when(deeper, zero).otherwise(F.col("_low")).alias("_low"),
+        F.when(closer, F.col("_l")).when(deeper, F.lit((1 << HASH_BITS) - 1)).otherwise(F.col("_high")).alias("_high"),
+        F.when(closer | deeper, F.col("_passed")).otherwise(F.col("_left")).alias("_left"),
+        F.when(deeper & (level == 0), F.col("_f")).otherwise(F.col("_p0")).alias("_p0"),
+        F.when(deeper & (level == 1), F.col("_f")).otherwise(F.col("_p1")).alias("_p1"),
+        F.when(done, F.when(level == 0, at).otherwise(F.col("_p0"))).otherwise(F.col("_c0")).alias("_c0"),
+        F.when(done, F.when(level == 0, zero).when(level == 1, at).otherwise(F.col("_p1"))).otherwise(F.col("_c1")).alias("_c1"),
+        F.when(done, F.when(level == 2, at).otherwise(zero)).otherwise(F.col("_c2")).alias("_c2"),
+    )
 
 
 def kd_shards(docs: DataFrame, target_bytes: int | None = None, leaves: int | None = None, dimensions: tuple[str, ...] = ("source", "lang", "n_chars", "doc_id"), doc_id: str = "doc_id", text: str = "text", tolerance: float = 0.0005) -> DataFrame:
     """doc_id, size, text_crc32, law ('bytes'), shard, slot and grown_shard (null) of every row.
 
-    Leaves are as many as the total needs at ``target_bytes``, or ``leaves``.
-    Sizes are UTF-8 bytes plus 1; a null text counts 1.  Strings in dimensions
-    are placed by their CRC, nulls at 0; copies of a text stand where the first
-    of them stands, so they share a shard unless a cut must pass through them.
-    Rows may repeat; each has a slot of its own.  An empty table gives no rows.
+    Leaves are as many as the total needs at ``target_bytes``, or ``leaves``; any
+    number.  Each cut is within ``tolerance`` of its node's weight from the
+    weighted median (0: the nearest place between rows), unless rows that agree in
+    doc_id and text weigh more.  Sizes are UTF-8 bytes plus 1; a null text counts
+    1.  Strings in dimensions are placed by their CRC, nulls at 0; copies of a text
+    stand where the one with the smallest doc_id stands (null last), so they share
+    a shard unless a cut must pass through them.  Rows may repeat; each has a slot
+    of its own.  Shards and slots follow from the rows alone, not from their order
+    or partitions; rows that agree in doc_id and text may swap slots.  Long texts
+    count whole; an empty table gives no rows.  Other columns, whatever their names,
+    are not used.
     """
     spark = docs.sparkSession
     whole = F.coalesce(F.col(text), F.lit(""))
-    types = dict(docs.dtypes)
+    types, many = dict(docs.dtypes), len(dimensions)
 
     def place(c: str) -> Column:
         value = F.crc32(F.col(c).cast("string")) if types[c] == "string" else F.col(c).cast("bigint")
         return F.coalesce(value, F.lit(0))
 
     narrow = docs.select(
-        F.col(doc_id).alias("_id"),
-        (F.octet_length(whole) + 1).cast("long").alias("_size"),
-        F.crc32(whole).alias("_crc"),
-        F.shiftrightunsigned(F.xxhash64(whole), 12).alias("_group"),
-        *[place(c).alias(f"_d{k}") for k, c in enumerate(dimensions)],
+        F.col(doc_id).alias("_id"), (F.octet_length(whole) + 1).cast("long").alias("_size"), F.crc32(whole).alias("_crc"),
+        _hash(whole).alias("_group"), _hash(F.col(doc_id), whole).alias("_own"), F.array(*[place(c) for c in dimensions]).alias("_place"),
     )
-    narrow = written(narrow.withColumn("_rid", F.monotonically_increasing_id()), "kd-rows")
-    ordered = F.struct(F.col("_id").isNull(), "_id", "_rid")
-    first = narrow.groupBy("_group").agg(F.min_by(F.array(*[f"_d{k}" for k in range(len(dimensions))]), ordered).alias("_point"))
-    points = written(narrow.join(first, "_group").select("_rid", "_id", "_size", "_crc", "_group", "_point", F.lit(1).cast("long").alias("_node")), "kd-points")
-    dims = range(len(dimensions))
+    narrow = written(narrow, "kd-rows")
+    first = narrow.groupBy("_group").agg(F.min_by("_place", F.struct(F.col("_id").isNull(), "_id", "_place")).alias("_point"))
+    points = written(narrow.join(first, "_group").withColumn("_node", F.lit(1).cast("long")).select(*_POINT), "kd-points")
+    dims = range(many)
     bounds = [x for k in dims for x in (F.min(F.get("_point", F.lit(k))).alias(f"a{k}"), F.max(F.get("_point", F.lit(k))).alias(f"b{k}"))]
-    whole_space = points.agg(F.sum("_size").alias("total"), F.count("*").alias("n"), F.max("_rid").alias("rid"), *bounds).first()
-    total, n = whole_space["total"] or 0, whole_space["n"]
-    wanted = leaves or max(1, -(-total // target_bytes))
-    if wanted > MAX_LEAVES:
-        raise ValueError(f"{wanted} leaves; at most {MAX_LEAVES}: shard the shards instead")
-    extent = [max(1, (whole_space[f"b{k}"] or 0) - (whole_space[f"a{k}"] or 0)) for k in dims]
-    tree = {1: (0, wanted)}  # node -> first leaf, number of leaves below
-    placed = points
-    while total and any(m > 1 for _, m in tree.values()):
-        boxes = placed.groupBy("_node").agg(F.sum("_size").alias("total"), *bounds).collect()  # one row for each node
-        cuts = []
-        for box in boxes:
-            if tree[box["_node"]][1] < 2:
-                continue
-            widest = max(dims, key=lambda k: ((box[f"b{k}"] - box[f"a{k}"]) / extent[k], -k))  # noqa: B023
-            many = tree[box["_node"]][1]
-            spans = [(box[f"a{widest}"], box[f"b{widest}"]), (0, (1 << 52) - 1), (0, whole_space["rid"])]
-            cuts.append(_Cut(box["_node"], widest, (many // 2) / many, box["total"], spans))
-        _find_cuts(placed, cuts, tolerance)
-        now = _small(spark, [(c.node, c.dimension, *c.at) for c in cuts], ["_node", "_dim", "_c0", "_c1", "_c2"])
-        keys = [F.get(F.col("_point"), F.col("_dim").cast("int")), F.col("_group"), F.col("_rid")]
-        goes = F.when(F.col("_dim").isNull(), F.col("_node")).when(_before(keys, [F.col("_c0"), F.col("_c1"), F.col("_c2")]), F.col("_node") * 2).otherwise(F.col("_node") * 2 + 1)
-        placed = placed.join(now, "_node", "left").withColumn("_node", goes).select("_rid", "_id", "_size", "_crc", "_group", "_point", "_node")
-        cut = {c.node for c in cuts}
-        grown: dict[int, tuple[int, int]] = {}
-        for node, (leaf, many) in tree.items():
-            if node in cut:
-                grown[2 * node], grown[2 * node + 1] = (leaf, many // 2), (leaf + many // 2, many - many // 2)
-            else:
-                grown[node] = (leaf, 1)
-        tree = grown
-    shards = _small(spark, [(node, leaf) for node, (leaf, _) in tree.items()], ["_node", "_shard"])
-    return _with_slots(placed.join(shards, "_node"), n).select(
+    space = points.agg(F.sum("_size").alias("total"), F.count("*").alias("n"), *bounds).first()
+    total, n = space["total"] or 0, space["n"]
+    wanted = (leaves or max(1, -(-total // target_bytes))) if total else 1
+    extents = [f"{max(1, (space[f'b{k}'] or 0) - (space[f'a{k}'] or 0))}" for k in dims]
+    nodes = spark.range(1).select(F.lit(1).cast("long").alias("_node"), F.lit(0).cast("long").alias("_leaf"), F.lit(wanted).cast("long").alias("_many"))
+    for _ in range((wanted - 1).bit_length()):
+        boxes = points.groupBy("_node").agg(F.sum("_size").alias("_total"), *bounds).withColumns({f"e{k}": F.lit(float(extents[k])) for k in dims})
+        cuts = written(_opened(boxes, nodes, [f"e{k}" for k in dims], many), "kd-cuts")
+        while not cuts.where("_c0 is null").isEmpty():
+            after = written(_narrowed(points, cuts, tolerance, many), "kd-cuts")
+            discard(cuts)
+            cuts = after
+        keys = [_pick(F.col("_point"), F.col("_dim"), many), F.col("_group"), F.col("_own")]
+        x, y, z = (F.col(c) for c in ("_c0", "_c1", "_c2"))
+        left = (keys[0] < x) | ((keys[0] == x) & ((keys[1] < y) | ((keys[1] == y) & (keys[2] < z))))
+        goes = F.when(F.col("_dim").isNull(), F.col("_node")).when(left, F.col("_node") * 2).otherwise(F.col("_node") * 2 + 1)
+        moved = written(points.join(cuts.select("_node", "_dim", "_c0", "_c1", "_c2"), "_node", "left").withColumn("_node", goes).select(*_POINT), "kd-points")
+        discard(points)
+        points = moved
+        half = F.floor(F.col("_many") / 2)
+        divided, single = nodes.where("_many > 1"), nodes.where("_many = 1")
+        nodes = written(
+            single.unionAll(divided.select(F.col("_node") * 2, "_leaf", half)).unionAll(divided.select(F.col("_node") * 2 + 1, F.col("_leaf") + half, F.col("_many") - half)),
+            "kd-nodes",
+        )
+    return _with_slots(points.join(nodes, "_node").withColumn("_shard", F.col("_leaf").cast("int")), n).select(
         F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
-        F.col("_shard").cast("int").alias("shard"), F.col("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("_shard").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
 def _with_slots(rows: DataFrame, n: int, chunk: int = 50_000) -> DataFrame:
     """Gapless numbers from 0 in each shard: numbers within chunks plus the chunks' offsets."""
     chunks = max(1, -(-n // chunk))
-    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_rid"), F.lit(chunks)))
-    within = Window.partitionBy("_shard", "_chunk").orderBy("_rid")
+    dealt = rows.withColumn("_chunk", F.pmod(F.col("_own"), F.lit(chunks)))
+    within = Window.partitionBy("_shard", "_chunk").orderBy("_own", "_id")
     over = Window.partitionBy("_shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("_shard", "_chunk").agg(F.count("*").alias("_n")).withColumn("_offset", F.coalesce(F.sum("_n").over(over), F.lit(0))).drop("_n")
     numbered = dealt.withColumn("_at", F.row_number().over(within))
