@@ -22,7 +22,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from docweave.llm.carry import CARRIED, carried, extended
 from docweave.ship import shipped
 
 #: The pre-tokenizer's pattern of byte-level vocabularies.
@@ -256,21 +258,20 @@ def tokenized(docs: DataFrame, path: str, text: str = "text", keep: list[str] |
     ``docs`` with a wanted name are replaced; others may have any name.
     """
     types = {"ids": "array<bigint>", "n_tokens": "bigint", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
-    keep = [c for c in (keep or docs.columns) if c not in want]
     shipped(docs.sparkSession)
-    made = docs.select(*keep, *([text] if text not in keep else []))
-    schema = ", ".join([f"`{c}` {made.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} {types[c]}" for c in want])
-    return made.mapInArrow(_runner(path, text, keep, want), schema)
+    source = docs.select(carried(docs, keep, want), F.col(text).alias("_text"))
+    schema = extended(source, [CARRIED], ", ".join(f"{c} {types[c]}" for c in want))
+    return source.mapInArrow(_runner(path, want), schema).select(f"{CARRIED}.*", *want)
 
 
-def _runner(path: str, text: str, keep: list[str], want: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _runner(path: str, want: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out: dict[str, list] = {c: [] for c in want}
-                for value in part.column(text).to_pylist():
+                for value in part.column("_text").to_pylist():
                     packed = codec.encode_bytes(value or "")
                     ids = np.frombuffer(packed, dtype="<u4")
                     if "n_tokens" in out:
@@ -285,7 +286,7 @@ def _runner(path: str, text: str, keep: list[str], want: tuple[str, ...]) -> Cal
                             out["decoded"].append(back)
                         if "decoded_sha256" in out:
                             out["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
-                arrays = [part.column(c) for c in keep] + [pa.array(out[c], pa.list_(pa.int64()) if c == "ids" else None) for c in want]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *want])
+                arrays = [part.column(CARRIED)] + [pa.array(out[c], pa.list_(pa.int64()) if c == "ids" else None) for c in want]
+                yield pa.RecordBatch.from_arrays(arrays, names=[CARRIED, *want])
 
     return run

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.blocks import STEP, U64, blocks, column_bytes, give_back, mix, prefix_sums, span_hash
+from docweave.llm.carry import CARRIED, carried, extended, numbered
 from docweave.llm.jaccard_join import pack, unpack
 from docweave.llm.store import written
 from docweave.ship import shipped
@@ -314,17 +315,20 @@ def _fetched(source: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default) plus n_bytes, n_removed, n_spans, spans, kept (binary), kept_sha256.
 
-    Documents are ordered by doc_id; null ids come last.  Rows that share a
-    doc_id are ordered by a hash of the text, and rows that repeat wholly are
-    one document.  spans: removed byte ranges, ends exclusive.  Null is empty.
+    Documents are ordered by doc_id, of any type that sorts; null ids come last.
+    Rows that share a doc_id are ordered by a hash of the text, and rows that
+    repeat wholly are one document.  spans: removed byte ranges, ends exclusive.
+    Null is empty; texts under ``least`` bytes lose nothing, longer ones are
+    compared whole; an empty table gives no rows.  Columns of ``keep`` may have
+    any name but the six made here, which replace them.
     """
     spark = shipped(docs.sparkSession)
     if least <= ANCHOR:
         raise ValueError(f"least must be over {ANCHOR}")
-    keep = keep or [doc_id]
-    whole = F.coalesce(F.col(text), F.lit(""))
-    order = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    source = docs.select(order.alias("_id"), F.xxhash64(whole).alias("_row"), whole.alias("_text"))
+    made = ["n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"]
+    every = docs.select(carried(docs, keep or [doc_id], made), F.col(doc_id).alias("_own"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    every = numbered(every, "_own").withColumnRenamed("_order", "_id").withColumn("_row", F.xxhash64("_text"))
+    source = every.select("_id", "_row", "_text")
     total = source.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     expected = max(1, int(total) * 2 // (least - ANCHOR + 2))
     bits = min(64, expected.bit_length() + 20)
@@ -334,9 +338,7 @@ def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text
     compared = _compare(_fetched(unique, found.where("`group` is not null"), least), least)
     runs = found.where("`group` is null").select("_id", "_row", "start", "many").unionAll(compared)
     per_row = runs.groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "many")).alias("_runs"))
-    rows = docs.select(*keep, order.alias("_id"), F.xxhash64(whole).alias("_row"), whole.alias("_text")).join(per_row, ["_id", "_row"], "left")
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    made = ["n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"]
+    rows = every.select(CARRIED, "_id", "_row", "_text").join(per_row, ["_id", "_row"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -356,6 +358,7 @@ def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text
                     out.append((len(raw), len(raw) - len(kept), len(merged), [{"start": a, "end": b} for a, b in merged], kept, hashlib.sha256(kept).hexdigest()))
                 types = [pa.int64(), pa.int64(), pa.int64(), span, pa.binary(), pa.string()]
                 arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *arrays], names=[*keep, *made])
+                yield pa.RecordBatch.from_arrays([part.column(CARRIED), *arrays], names=[CARRIED, *made])
 
-    return rows.select(*keep, "_text", "_runs").mapInArrow(run, f"{schema}, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_sha256 string")
+    schema = extended(rows, [CARRIED], "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_sha256 string")
+    return rows.select(CARRIED, "_text", "_runs").mapInArrow(run, schema).select(f"{CARRIED}.*", *made)

@@ -17,13 +17,15 @@ from docweave.llm.secret_scan import redacted, scan_secrets
 from docweave.llm.suffix_dedup import suffix_dedup
 from docweave.llm.toxicity import toxicity
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept string, _text string, size int"
+#: Extra columns with the names that the operators use inside, and some that they make.
+EXTRA = ["_text", "_id", "_row", "_parts", "_drop", "_runs", "_rid", "_host", "_stats", "_lines", "_key", "_own", "_point", "_node", "_root", "_least", "_class", "_set", "_order", "_words", "_docs", "signature", "block", "at", "text_", "a b", "x.y", "size", "group", "item"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, kept string, " + ", ".join(f"`{c}` string" for c in EXTRA)
 LONG = " ".join(f"word{i} and more" for i in range(8000))
 SENTENCE = "The same sentence of more than ten words stands in both of these documents. "
 
 
 def table(spark, texts):
-    rows = [(i, t, None if i == 2 else "en", None if i == 3 else "s", None, 7, "x", "y", 1) for i, t in texts]
+    rows = [(i, t, None if i == 2 else "en", None if i == 3 else "s", None, 7, "x", *[f"{c} {i}" for c in EXTRA]) for i, t in texts]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -67,6 +69,31 @@ def test_every_row_has_one_result(docs, labels, bench, name):
     assert out.count() == docs.count()
 
 
+#: Those that pass columns on: all of the table's, asked for where an operator keeps the id alone by default.
+PASSING = OPERATORS | {
+    "suffix": lambda d, x, b: suffix_dedup(d, keep=d.columns),
+    "jaccard": lambda d, x, b: jaccard_join(d, keep=d.columns),
+    "paragraphs": lambda d, x, b: paragraph_dedup(d, keep=d.columns),
+}
+
+
+@pytest.mark.parametrize("name", [n for n in PASSING if n != "shards"])
+def test_columns_of_any_name_pass_unchanged(docs, labels, bench, name):
+    out = PASSING[name](docs, labels, bench)
+    assert len(set(out.columns)) == len(out.columns)
+    columns = [f"`{c}`" for c in ["doc_id", *EXTRA, "lang", "source"]]
+    assert by_id(out.select(*columns)) == by_id(docs.select(*columns))
+
+
+@pytest.mark.parametrize("name", ["lines", "suffix", "shards", "benchmark", "quality", "jaccard", "paragraphs", "toxicity"])
+def test_ids_that_are_strings(docs, labels, bench, name):
+    # Ids that sort as the numbers do: the findings are the same.
+    text = F.concat(F.lit("n"), F.lpad(F.col("doc_id").cast("string"), 5, "0"))
+    plain, other = OPERATORS[name](docs, labels, bench), OPERATORS[name](docs.withColumn("doc_id", text), labels.withColumn("doc_id", text), bench.withColumn("item_id", F.concat(F.lit("i"), F.col("item_id").cast("string"))))
+    made = {"lines": ["text", "n_dropped"], "suffix": ["n_removed", "kept_sha256"], "shards": ["size"], "benchmark": ["bench_hits", "n_near"], "quality": ["kept", "n_words"], "jaccard": ["n_links"], "paragraphs": ["n_removed", "passages"], "toxicity": ["n_words"]}
+    assert by_id(other.select("doc_id", *made[name])) == by_id(plain.withColumn("doc_id", text).select("doc_id", *made[name]))
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_tables(docs, labels, bench, name):
     out = OPERATORS[name](docs.limit(0), labels.limit(0), bench.limit(0))
@@ -84,7 +111,9 @@ def test_suffixes_of_repeated_rows(docs):
     rows = {(r.doc_id, r.n_bytes): r for r in suffix_dedup(docs).collect()}
     size = len(SENTENCE) * 3
     first = rows[0, size]
-    assert first.n_removed == size - 1 * len(SENTENCE) - 99 + 99 - 0 or first.n_removed > 0  # its own repeats go
+    # The sentence stands three times: of its period of length p, what starts at p or later also starts p earlier, and a match of
+    # 100 bytes fits where it starts at 2 * len - 100 + p at most; so all from the second copy on goes.
+    assert first.n_removed == size - len(SENTENCE) and first.n_spans == 1
     assert rows[5, size].n_removed == size and rows[None, size].n_removed == size
     assert rows[4, len(LONG)].n_removed == len(LONG) and rows[1, 0].kept_sha256 == hashlib.sha256(b"").hexdigest()
 
@@ -104,6 +133,55 @@ def test_shards_are_even_and_gapless(spark):
     assert by_bytes == 3
 
 
+def keys(docs):
+    """The keys of each row that the tree may cut by, in the module's own terms."""
+    from docweave.llm.kd_shard import _hash
+
+    whole = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "source", "lang", "n_chars", F.crc32(F.coalesce("source", F.lit(""))).alias("s"), F.crc32("lang").alias("l"), _hash(whole).alias("g"), _hash(F.col("doc_id"), whole).alias("o"), (F.octet_length(whole) + 1).alias("size")).collect()
+    first = {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        first.setdefault(r.g, (r.s if r.source is not None else 0, r.l or 0, r.n_chars or 0, r.doc_id))
+    return {r.doc_id: (first[r.g], r.g, r.o, r.size) for r in rows}
+
+
+@pytest.mark.parametrize("leaves", [8, 5])
+def test_every_cut_is_a_median_of_the_widest_dimension(spark, leaves):
+    """The tree again, from the shards found: each node's two sides are apart in its widest dimension, and weigh what they should."""
+    docs = spark.range(1200).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 7 != 0, F.repeat(F.concat(F.lit("t"), (F.col("id") % 150).cast("string")), (F.col("id") % 150 % 31).cast("int"))).alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 11).cast("string"))).alias("source"), F.when(F.col("id") % 5 > 0, "en").alias("lang"), (F.col("id") * 7919 % 1000).alias("n_chars"),
+    ).cache()
+    shard = {r.doc_id: r.shard for r in kd_shards(docs, leaves=leaves).collect()}
+    again = {r.doc_id: r.shard for r in kd_shards(docs.repartition(7, "text"), leaves=leaves).collect()}
+    assert again == shard
+    own = keys(docs)
+    extent = [max(1, max(k[0][d] for k in own.values()) - min(k[0][d] for k in own.values())) for d in range(4)]
+
+    def check(ids, low, many):
+        if many == 1:
+            assert {shard[i] for i in ids} == {low}
+            return
+        left = [i for i in ids if shard[i] < low + many // 2]
+        right = [i for i in ids if shard[i] >= low + many // 2]
+        spread = [(max(own[i][0][d] for i in ids) - min(own[i][0][d] for i in ids)) / extent[d] for d in range(4)]
+        widest = max(range(4), key=lambda d: (spread[d], -d))
+        place = lambda i: (own[i][0][widest], own[i][1], own[i][2])
+        assert max(map(place, left)) < min(map(place, right))
+        total, weight = sum(own[i][3] for i in ids), sum(own[i][3] for i in left)
+        assert abs(weight - total * (many // 2) / many) <= max(0.0005 * total, max(own[i][3] for i in ids))
+        check(left, low, many // 2)
+        check(right, low + many // 2, many - many // 2)
+
+    check(list(own), 0, leaves)
+
+
+def test_more_leaves_than_a_driver_would_hold_cuts_for(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.col("id").alias("n_chars"))
+    sizes = [r["n"] for r in kd_shards(docs, leaves=600).groupBy("shard").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 600 and max(sizes) <= 6
+
+
 def test_larger_query_sets_go_in_parts(docs, bench):
     whole = decontaminate(docs, bench, keep=["doc_id"])
     parts = decontaminate(docs, bench, keep=["doc_id"], part_bytes=100)
