@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docweave.functions.text import clean_text, simplify_see
+from docweave.functions.text import cdata, clean_text, simplify_see
 
 
 def lines(*parts: Column | str | None) -> Column:
@@ -132,14 +132,81 @@ def member_summary(kind: Column, name: Column, summary: Column) -> Column:
     return F.when(some(summary), summary).otherwise(placeholder)
 
 
-def xml_member(doc_id: Column, kind: Column, name: Column, summary: Column, params: Column, result: Column, remarks: Column) -> Column:
-    """One <member> element: summary, params, value or returns, remarks, in this order."""
+#: A tag with quoted attributes, and the entities that XML knows.
+_TAG = r"""<(/?)([A-Za-z_][\w.:-]*)((?:\s+[\w.:-]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*)\s*(/?)>"""
+_ENTITY = r"&(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);"
+
+
+def well_formed(value: Column) -> Column:
+    """Whether a text is an XML fragment: every tag closed in order, no stray bracket or ampersand."""
+    rest = F.regexp_replace(F.regexp_replace(value, _ENTITY, ""), _TAG, "")
+
+    def step(stack: Column, tag: Column) -> Column:
+        name = F.regexp_extract(tag, r"^</?([\w.:-]+)", 1)
+        top = F.get(stack, F.size(stack) - 1)
+        closed = F.when(top == name, F.slice(stack, 1, F.size(stack) - 1)).otherwise(F.concat(stack, F.array(F.lit("!"))))
+        return F.when(tag.endswith("/>"), stack).when(tag.startswith("</"), closed).otherwise(F.concat(stack, F.array(name)))
+
+    open_tags = F.aggregate(F.regexp_extract_all(value, F.lit(_TAG), 0), F.array().cast("array<string>"), step)
+    return ~rest.contains("<") & ~rest.contains("&") & ~rest.contains("]]>") & (F.size(open_tags) == 0)
+
+
+def xml_content(value: Column) -> Column:
+    """Text as the content of an element: fragments stay as they are, anything else is escaped whole."""
+    return F.when(well_formed(value), value).otherwise(escaped(value))
+
+
+def xml_code(code: Column) -> Column:
+    """A <code> element whose text stays as it is, in CDATA."""
+    return F.concat(F.lit("<code>"), cdata(code), F.lit("</code>"))
+
+
+def xml_example(content: Column) -> Column:
+    """An <example> element: prose escaped, code blocks in CDATA; null for no content."""
+    prose_parts, blocks = F.split(content, r"(?is)<code>.*?</code>"), F.regexp_extract_all(content, F.lit(r"(?is)<code>(.*?)</code>"), 1)
+    merged = F.zip_with(prose_parts, blocks, lambda text, code: F.concat(escaped(text), F.when(F.coalesce(code, F.lit("")) != "", xml_code(code)).when(code == "", "<code/>").otherwise("")))
+    return F.when(some(content), F.concat(F.lit("<example>"), F.array_join(merged, ""), F.lit("</example>")))
+
+
+def _xml_section(tag: str, value: Column, around: str = "") -> Column:
+    return F.when(some(value), F.concat(F.lit(f"<{tag}>{around}"), xml_content(value), F.lit(f"{around}</{tag}>"))).otherwise("")
+
+
+def xml_type(doc_id: Column, description: Column, remarks: Column, examples: Column) -> Column:
+    """The <member> element of a type; ``examples`` are the contents of its C# examples in order."""
+    listed = F.array_join(F.array_compact(F.transform(examples, xml_example)), "")
+    return F.concat(F.lit('<member name="'), escaped(doc_id), F.lit('">'), _xml_section("summary", description), _xml_section("remarks", remarks, "\n"), listed, F.lit("</member>"))
+
+
+def xml_member(doc_id: Column, kind: Column, name: Column, summary: Column, params: Column, result: Column, remarks: Column, availability: Column | None = None) -> Column:
+    """One <member> element: summary, params, value or returns, remarks, availability, in this order."""
     tag = F.when(kind == "property", "value").otherwise("returns")
-    listed = F.transform(params, lambda p: F.concat(F.lit('<param name="'), p["name"], F.lit('">'), escaped(F.coalesce(p["description"], F.lit(""))), F.lit("</param>")))
+    listed = F.transform(params, lambda p: F.concat(F.lit('<param name="'), escaped(p["name"]), F.lit('">'), xml_content(F.coalesce(p["description"], F.lit(""))), F.lit("</param>")))
+    available = F.lit("") if availability is None else F.when(some(availability), F.concat(F.lit("<availability>"), escaped(availability), F.lit("</availability>"))).otherwise("")
+    text = F.when(some(summary), xml_content(summary)).otherwise(escaped(member_summary(kind, name, summary)))
     return F.concat(
-        F.lit('<member name="'), escaped(doc_id), F.lit('"><summary>'), escaped(member_summary(kind, name, summary)), F.lit("</summary>"),
+        F.lit('<member name="'), escaped(doc_id), F.lit('"><summary>'), text, F.lit("</summary>"),
         F.array_join(listed, ""),
-        F.when(some(result), F.concat(F.lit("<"), tag, F.lit(">"), escaped(result), F.lit("</"), tag, F.lit(">"))).otherwise(""),
-        F.when(some(remarks), F.concat(F.lit("<remarks>\n"), escaped(remarks), F.lit("\n</remarks>"))).otherwise(""),
+        F.when(some(result), F.concat(F.lit("<"), tag, F.lit(">"), xml_content(result), F.lit("</"), tag, F.lit(">"))).otherwise(""),
+        _xml_section("remarks", remarks, "\n"),
+        available,
         F.lit("</member>"),
     )
+
+
+def xml_doc(assembly: Column, members: Column) -> Column:
+    """A whole XML-doc file from the <member> elements of an assembly in order."""
+    listed = F.transform(members, lambda m: F.concat(F.lit("    "), m))
+    return F.concat(
+        F.lit('<?xml version="1.0" ?>\n<doc>\n  <assembly>\n    <name>'), escaped(assembly), F.lit("</name>\n  </assembly>\n  <members>\n"), F.array_join(listed, "\n"), F.lit("\n  </members>\n</doc>\n")
+    )
+
+
+def index_entry(type_name: Column, is_enum: Column) -> Column:
+    """A list item that links to the overview of a type."""
+    return F.concat(F.lit("- ["), type_name, F.lit("](../"), F.when(is_enum, "enums").otherwise("types"), F.lit("/"), type_name, F.lit("/_overview.md)"))
+
+
+def index_page(title: str, about: str, sections: Column) -> Column:
+    """An index page: its head, and the lines of its sections in order."""
+    return F.array_join(F.concat(F.array(F.lit(f"# {title}\n"), F.lit(f"{about}\n")), F.flatten(sections)), "\n")

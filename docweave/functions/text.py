@@ -30,7 +30,25 @@ def simplify_see(value: Column) -> Column:
 
 
 def cdata(value: Column) -> Column:
-    return F.concat(F.lit("<![CDATA["), value, F.lit("]]>"))
+    """``value`` as a CDATA section; an end mark inside it is divided between two sections."""
+    return F.concat(F.lit("<![CDATA["), F.replace(value, F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]>"))
+
+
+#: A Markdown link: its words and its target.
+MD_LINK = r"\[([^\]]+)\]\(([^)]+)\)"
+
+
+def md_links(content: Column) -> Column:
+    """(text, url) of the Markdown links in order."""
+    texts, urls = (F.regexp_extract_all(content, F.lit(MD_LINK), k) for k in (1, 2))
+    return F.zip_with(texts, urls, lambda t, u: F.struct(t.alias("text"), u.alias("url")))
+
+
+def with_links(content: Column, targets: Column) -> Column:
+    """``content`` with the targets of its links in order replaced; a null target leaves its link as it is."""
+    between = F.split(content, MD_LINK)
+    linked = F.zip_with(md_links(content), targets, lambda link, to: F.concat(F.lit("["), link["text"], F.lit("]("), F.coalesce(to, link["url"]), F.lit(")")))
+    return F.array_join(F.zip_with(between, linked, lambda text, link: F.concat(text, F.coalesce(link, F.lit("")))), "")
 
 
 def fence_tag(language: Column) -> Column:

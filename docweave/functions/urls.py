@@ -178,3 +178,38 @@ def link_candidates(url: Column) -> Column:
     query = url_query(url)
     with_query = F.when(url.startswith("http") & (query != ""), F.concat(path, F.lit("?"), query)).when(url.startswith("http"), path)
     return F.array(url, path, with_query, F.when(path.endswith(".htm"), F.concat(path, F.lit("l"))))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path with ``.`` and ``..`` segments resolved; a last one of them leaves a slash."""
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    parts = F.split(path, "/")
+    walked = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.concat(F.array_join(walked, "/"), F.when(last(parts).isin(".", ".."), "/").otherwise(""))
+
+
+def joined_url(base: Column, link: Column) -> Column:
+    """The full URL of a link on the page ``base``."""
+    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    page = F.regexp_replace(base, r"#.*$", "")
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    own, tail = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    return (
+        F.when(F.coalesce(link, F.lit("")) == "", base)
+        .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(origin, "^([^:]*:)", 1), link))
+        .when(link.startswith("#"), F.concat(page, link))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .when(link.startswith("/"), F.concat(origin, _without_dots(own), tail))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, own)), tail))
+    )
+
+
+def is_html(content_type: Column) -> Column:
+    """Whether a response is a page, by its content type; false where there is none."""
+    return F.coalesce(F.lower(content_type).contains("text/html"), F.lit(False))

@@ -59,23 +59,36 @@ def attach_members(types: DataFrame, details: DataFrame) -> DataFrame:
     return details.join(types.select("fqn").distinct(), "fqn").withColumn("member_kind", kind)
 
 
-def example_lookup(refs: DataFrame, examples: DataFrame, tail: int = 8) -> DataFrame:
+def example_exact(refs: DataFrame, examples: DataFrame) -> DataFrame:
+    """Content for example URLs by the very same URL; null where there is none."""
+    return refs.join(examples.groupBy("url").agg(F.max_by("content", "ord").alias("content")), "url", "left")
+
+
+def example_lookup(refs: DataFrame, examples: DataFrame, tail: int = 16) -> DataFrame:
     """Content for example URLs: the same URL, else the first whose URL ends with the other's or the other way.
 
-    A suffix of ``tail`` characters at least means equal tails, so the second
-    step is an equi-join with a residue; shorter URLs take a nested loop of
-    their own, as few as there are.
+    Where both have ``tail`` characters, one ends with the other only if their
+    tails are equal: an equi-join with a residue.  A shorter one must be one of
+    the other's ends, which are fewer than ``tail``: an equi-join again.
     """
     left = refs.withColumn("_url", F.regexp_replace("url", "^/+", ""))
     right = examples.groupBy("url").agg(F.max_by("content", "ord").alias("content"), F.min("ord").alias("_ord")).select(F.col("url").alias("_found"), "content", "_ord")
     exact = left.join(right, F.col("_url") == F.col("_found"), "left").drop("_found", "_ord")
     missing = exact.where(F.col("content").isNull()).select("_url").distinct()
-    ends = F.endswith("_url", F.col("_found")) | F.endswith("_found", F.col("_url"))
-    long_left, long_right = missing.where(F.length("_url") >= tail), right.where(F.length("_found") >= tail)
-    near = long_left.withColumn("_tail", F.right("_url", F.lit(tail))).join(long_right.withColumn("_tail", F.right("_found", F.lit(tail))), "_tail").where(ends)
-    short = missing.join(right, ends & ((F.length("_url") < tail) | (F.length("_found") < tail)))
-    pick = near.select("_url", "content", "_ord").unionAll(short.select("_url", "content", "_ord")).groupBy("_url").agg(F.min_by("content", "_ord").alias("_near"))
-    return exact.join(pick, "_url", "left").withColumn("content", F.coalesce("content", "_near")).drop("_url", "_near")
+    names = right.select("_found", "_ord")
+
+    def ends(df: DataFrame, column: str) -> DataFrame:
+        """The ends of under ``tail`` characters, one row each."""
+        n = F.explode(F.sequence(F.lit(0), F.least(F.length(column), F.lit(tail - 1))))
+        return df.select("*", n.alias("_n")).withColumn("_end", F.right(column, F.col("_n")))
+
+    last = [df.where(F.length(k) >= tail).withColumn("_tail", F.right(k, F.lit(tail))) for df, k in ((missing, "_url"), (names, "_found"))]
+    near = last[0].join(last[1], "_tail").where(F.endswith("_url", F.col("_found")) | F.endswith("_found", F.col("_url"))).select("_url", "_found", "_ord")
+    short_url = missing.where(F.length("_url") < tail).join(ends(names, "_found"), F.col("_url") == F.col("_end")).select("_url", "_found", "_ord")
+    short_name = ends(missing, "_url").join(names.where(F.length("_found") < tail), F.col("_end") == F.col("_found")).select("_url", "_found", "_ord")
+    pick = near.unionAll(short_url).unionAll(short_name).groupBy("_url").agg(F.min_by("_found", "_ord").alias("_found"))
+    contents = pick.join(right.select("_found", F.col("content").alias("_near")), "_found").drop("_found")
+    return exact.join(contents, "_url", "left").withColumn("content", F.coalesce("content", "_near")).drop("_url", "_near")
 
 
 def category_join(types: DataFrame, categories: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.functions.text import guide_file_name
-from docweave.functions.urls import link_candidates
+from docweave.functions.text import guide_file_name, md_links, with_links
+from docweave.functions.urls import joined_url, link_candidates, relative_path
+from docweave.operators.storage import cut
 
 
 def toc_nodes(files: DataFrame) -> DataFrame:
@@ -24,25 +25,56 @@ def toc_nodes(files: DataFrame) -> DataFrame:
     return own.unionAll(stubs).groupBy("id").agg(F.max_by(row, rank).alias("r")).select("id", "r.*")
 
 
+def toc_root(nodes: DataFrame) -> DataFrame:
+    """The first node with parent -1; a table of contents without one is an error."""
+    roots = nodes.where("parent_id = '-1'")
+    if roots.isEmpty():
+        raise ValueError("no root: no node has the parent -1")
+    row = F.struct(*[c for c in nodes.columns if c != "ord"])
+    return roots.agg(F.min_by(row, "ord").alias("r")).select("r.*")
+
+
 def toc_walk(nodes: DataFrame) -> DataFrame:
-    """id, name, url, is_leaf, level, directory, full_path of every node below the root (parent -1, the first).
+    """id, name, url, is_leaf, level, directory, safe, full_path of every node that the root reaches.
 
-    One equi-join a level by a recursive query.  ``directory`` joins the file
-    names of the inner nodes above, the root left out; ``full_path`` all names.
+    Semi-naive: each round joins the nodes of one level to their children and
+    cuts the lineage, so that trees of any depth and number of nodes end.  A node
+    on a cycle is walked once.  ``directory`` joins the file names of the inner
+    nodes above, the root left out; ``full_path`` all names.
+    """
+    named = nodes.withColumn("safe", guide_file_name(F.col("name")))
+    children = named.select(F.col("parent_id").alias("above"), *[F.col(c).alias(f"n_{c}") for c in ("id", "name", "url", "is_leaf", "safe")])
+    start = toc_root(named).select("id", "name", "url", "is_leaf", "safe", F.lit(0).alias("level"), F.lit("").alias("directory"), F.lit("").alias("below"), F.col("name").alias("full_path"))
+    walked = cut(start)
+    level, depth = walked, 0
+    while True:
+        depth += 1
+        inner = F.when(F.col("n_is_leaf"), F.col("below")).when(F.col("below") == "", F.col("n_safe")).otherwise(F.concat_ws("/", "below", "n_safe"))
+        step = level.join(children, F.col("id") == F.col("above")).select(
+            F.col("n_id").alias("id"), F.col("n_name").alias("name"), F.col("n_url").alias("url"), F.col("n_is_leaf").alias("is_leaf"), F.col("n_safe").alias("safe"),
+            F.lit(depth).alias("level"), F.col("below").alias("directory"), inner.alias("below"), F.concat(F.col("full_path"), F.lit(" > "), F.col("n_name")).alias("full_path"),
+        )
+        level = cut(step.join(walked.select("id"), "id", "left_anti").select(*walked.columns))
+        if level.isEmpty():
+            return walked.drop("below")
+        walked = walked.unionAll(level)  # of cut tables: one scan a level
+
+
+def rewritten_pages(pages: DataFrame, targets: DataFrame, skip: Callable[[Column], Column]) -> DataFrame:
+    """``pages`` (path, base_url, content) with links to known pages made relative, and how many were.
+
+    Links are taken out in order, resolved against ``targets`` (key, path, ord)
+    and put back; a page without such a link keeps its content.
     """
-    view = "toc_" + uuid.uuid4().hex
-    nodes.withColumn("safe", guide_file_name(F.col("name"))).createOrReplaceTempView(view)
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE walk AS (
-          SELECT id, name, url, is_leaf, safe, 0 AS level, '' AS directory, '' AS inner_directory, name AS full_path
-          FROM (SELECT * FROM {view} WHERE parent_id = '-1' ORDER BY ord LIMIT 1)
-          UNION ALL
-          SELECT n.id, n.name, n.url, n.is_leaf, n.safe, w.level + 1, w.inner_directory,
-                 CASE WHEN n.is_leaf THEN w.inner_directory WHEN w.inner_directory = '' THEN n.safe ELSE w.inner_directory || '/' || n.safe END,
-                 w.full_path || ' > ' || n.name
-          FROM {view} n JOIN walk w ON n.parent_id = w.id
-        )
-        SELECT id, name, url, is_leaf, level, directory, safe, full_path FROM walk""")
+    links = pages.select("path", "base_url", F.posexplode(md_links(F.col("content"))).alias("at", "link")).withColumn("ord", F.concat_ws("\x00", "path", "at"))
+    wanted = links.where(~skip(F.col("link.url"))).select("ord", joined_url(F.col("base_url"), F.col("link.url")).alias("url"))
+    found = resolve_links(wanted, targets).select("ord", F.col("path").alias("to"))
+    relative = F.regexp_replace(relative_path(F.col("path"), F.col("to")), r"(?i)\.html?$", ".md")
+    each = links.join(found, "ord", "left").withColumn("target", F.when(F.col("to").isNotNull(), relative))
+    by_page = each.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "target"))).alias("made"), F.count("to").alias("rewritten"))
+    joined = pages.join(by_page, "path", "left")
+    content = F.when(F.coalesce("rewritten", F.lit(0)) > 0, with_links(F.col("content"), F.col("made.target"))).otherwise(F.col("content"))
+    return joined.select("path", content.alias("content"), F.coalesce("rewritten", F.lit(0)).cast("long").alias("rewritten"))
 
 
 def resolve_links(links: DataFrame, targets: DataFrame) -> DataFrame:
@@ -59,8 +91,6 @@ def frontier_closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     Semi-naive: each round joins only the nodes found in the round before; the
     lineage is cut each round.
     """
-    from docweave.operators.storage import cut
-
     known = cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     fresh, depth = known, 0
     while True:

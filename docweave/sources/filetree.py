@@ -1,18 +1,21 @@
 """``format("filetree")``: a sink that writes one file for each row (path, content).
 
-Tasks write to a staging folder beside the target; the commit moves the files
-of the tasks that succeeded into place, so retried and failed tasks leave
-nothing behind.  The folder must be on storage that all executors share.
+Tasks write straight to the target on any file system that Arrow knows (local
+and mounted folders, hdfs, s3, gs), each file under a passing name first and then
+moved, so a reader never sees a part of one; a task that is tried again writes the
+same files again.  The driver moves nothing: it clears the target before an
+overwrite and marks the end with ``_SUCCESS``.  A job that fails leaves whole
+files without that mark.
 """
 
 from __future__ import annotations
 
-import shutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from pathlib import Path
+from pathlib import PurePosixPath
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -21,9 +24,15 @@ from pyspark.sql.types import Row, StructType
 from docweave.ship import shipped
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path within it."""
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 @dataclass
 class _Written(WriterCommitMessage):
-    folder: str
     files: int
 
 
@@ -36,42 +45,47 @@ class FileTreeSource(DataSource):
         return "path string, content string"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return _Writer(self.options["path"], overwrite)
+        return _Writer(self.options["path"])
 
 
 class _Writer(DataSourceWriter):
-    def __init__(self, root: str, overwrite: bool):
-        self.root, self.overwrite = root, overwrite
-        self.staging = f"{root.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
 
     def write(self, iterator: Iterator[Row]) -> _Written:
-        folder, n = Path(self.staging, uuid.uuid4().hex), 0
-        folder.mkdir(parents=True)
+        system, root = file_system(self.root)
+        n, made = 0, set[str]()
         for row in iterator:
-            relative = Path(row.path)
+            relative = PurePosixPath(row.path)
             if relative.is_absolute() or ".." in relative.parts:
                 raise ValueError(f"not below the target: {row.path}")
-            file = folder / relative
-            file.parent.mkdir(parents=True, exist_ok=True)
-            file.write_text(row.content or "", encoding="utf-8", newline="")
+            target = f"{root}/{relative}"
+            folder = target.rpartition("/")[0]
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            passing = f"{folder}/.{uuid.uuid4().hex}"
+            with system.open_output_stream(passing) as out:
+                out.write((row.content or "").encode())
+            system.move(passing, target)
             n += 1
-        return _Written(str(folder), n)
+        return _Written(n)
 
     def commit(self, messages: list[_Written | None]) -> None:
-        root = Path(self.root)
-        if self.overwrite and root.exists():
-            shutil.rmtree(root)
-        root.mkdir(parents=True, exist_ok=True)
-        for message in messages:
-            for file in Path(message.folder).rglob("*") if message else ():
-                if file.is_file():
-                    target = root / file.relative_to(message.folder)
-                    target.parent.mkdir(parents=True, exist_ok=True)
-                    file.replace(target)
-        shutil.rmtree(self.staging, ignore_errors=True)
+        system, root = file_system(self.root)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/_SUCCESS") as out:
+            out.write(str(sum(m.files for m in messages if m)).encode())
 
     def abort(self, messages: list[_Written | None]) -> None:
-        shutil.rmtree(self.staging, ignore_errors=True)
+        pass
+
+
+def cleared(root: str) -> None:
+    """Delete what is below ``root`` (a fresh run)."""
+    system, path = file_system(root)
+    if system.get_file_info(path).type != fs.FileType.NotFound:
+        system.delete_dir_contents(path)
 
 
 def write_tree(files: DataFrame, root: str, mode: str = "append", order: str | None = None) -> None:
@@ -83,4 +97,6 @@ def write_tree(files: DataFrame, root: str, mode: str = "append", order: str | N
     spark.dataSource.register(FileTreeSource)
     if order is not None:
         files = files.groupBy("path").agg(F.max_by("content", order).alias("content"))
-    files.select("path", "content").write.format("filetree").mode(mode).save(root)
+    if mode == "overwrite":
+        cleared(root)
+    files.select("path", "content").write.format("filetree").mode("append").save(root)

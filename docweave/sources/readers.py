@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from docweave.functions.text import clean_text, utrim
+
 CRAWL_LOG = "url string, file_path string, content_hash string, content_length bigint, status_code int, title string"
 CRAWL_ERRORS = "url string, error string"
 TOC_NODE = "id string, parentId string, name string, url string, isLeaf boolean"
@@ -69,6 +71,50 @@ def members_rows(members: DataFrame) -> DataFrame:
     return parts[0].unionAll(parts[1]).select("fqn", "assembly", "namespace", "type_name", "kind", "pos", F.col("m.Name").alias("member"), F.col("m.Url").alias("url"))
 
 
+def _named(rows: DataFrame, *names: str) -> DataFrame:
+    """Rows that have all of these parts of their name."""
+    return rows.where(" and ".join(f"trim(coalesce({n}, '')) <> ''" for n in names))
+
+
+def types_rows(types: DataFrame) -> DataFrame:
+    """fqn, assembly, namespace, type_name, description, remarks, examples of a types scan; examples lacking a part go."""
+    listed = F.filter(F.coalesce("Examples.Example", F.array().cast("array<struct<Name:string,Language:string,Url:string>>")), lambda e: e["Name"].isNotNull() & e["Language"].isNotNull() & e["Url"].isNotNull())
+    return _named(types, "Name", "Namespace").select(
+        F.concat_ws(".", F.trim("Namespace"), F.trim("Name")).alias("fqn"), F.trim("Assembly").alias("assembly"), F.trim("Namespace").alias("namespace"), F.trim("Name").alias("type_name"),
+        clean_text(F.col("Description")).alias("description"), clean_text(F.col("Remarks")).alias("remarks"), listed.alias("examples"),
+    )
+
+
+def details_rows(details: DataFrame) -> DataFrame:
+    """fqn, member, description, signature, params, returns, remarks of a details scan.
+
+    Rows lacking the type, its namespace or the member go; params are (name,
+    description) in order, those without a name left out.
+    """
+    params = F.transform(F.coalesce("Parameters.Parameter", F.array().cast("array<struct<Name:string,Description:string>>")), lambda p: F.struct(utrim(F.coalesce(p["Name"], F.lit(""))).alias("name"), clean_text(p["Description"]).alias("description")))
+    return _named(details, "Type", "Name").where(F.trim("Type").contains(".")).select(
+        F.trim("Type").alias("fqn"), F.trim("Name").alias("member"), clean_text(F.col("Description")).alias("description"), utrim(F.coalesce("Signature", F.lit(""))).alias("signature"),
+        F.filter(params, lambda p: p["name"] != "").alias("params"), clean_text(F.col("Returns")).alias("returns"), clean_text(F.col("Remarks")).alias("remarks"),
+    )
+
+
+def enums_rows(enums: DataFrame) -> DataFrame:
+    """fqn, assembly, namespace, type_name, pos, member, description of an enumerations scan; an enumeration without members is one row with a null member."""
+    named = _named(enums, "Name", "Assembly", "Namespace").select(
+        F.concat_ws(".", F.trim("Namespace"), F.trim("Name")).alias("fqn"), F.trim("Assembly").alias("assembly"), F.trim("Namespace").alias("namespace"), F.trim("Name").alias("type_name"),
+        F.filter(F.coalesce("Members.Member", F.array().cast("array<struct<Name:string,Description:string>>")), lambda m: F.trim(F.coalesce(m["Name"], F.lit(""))) != "").alias("m"),
+    )
+    return named.select("fqn", "assembly", "namespace", "type_name", F.posexplode_outer("m").alias("pos", "m")).select(
+        "fqn", "assembly", "namespace", "type_name", "pos", F.trim("m.Name").alias("member"), F.when(F.col("m").isNotNull(), clean_text(F.col("m.Description"))).alias("description")
+    )
+
+
+def examples_rows(examples: DataFrame, order: str = "ord") -> DataFrame:
+    """url and content of an examples scan; of rows with one URL the last by ``order``."""
+    rows = examples.where("Url is not null and Content is not null").select(F.trim("Url").alias("url"), "Content", order)
+    return rows.groupBy("url").agg(F.max_by("Content", order).alias("content"))
+
+
 def example_urls(types: DataFrame) -> DataFrame:
     """Distinct, trimmed example URLs of a types scan."""
     return types.select(F.explode("Examples.Example").alias("e")).select(F.trim("e.Url").alias("url")).where("url <> ''").distinct()

@@ -37,6 +37,12 @@ def xml_file(root: str, rows: Column) -> Column:
     return F.concat(F.lit(f'<?xml version="1.0" ?>\n<{root}>\n'), F.array_join(rows, "\n"), F.lit(f"\n</{root}>\n"))
 
 
+def members_row(name: Column, assembly: Column, namespace: Column, properties: Column, methods: Column) -> Column:
+    """A type with the names and links of its members; either list may be empty."""
+    fields = {"name": "Name", "url": "Url"}
+    return xml_row("Type", element("Name", name), element("Assembly", assembly), element("Namespace", namespace), nested("PublicProperties", "Property", properties, fields), nested("PublicMethods", "Method", methods, fields))
+
+
 def type_row(name: Column, assembly: Column, namespace: Column, description: Column, examples: Column, remarks: Column) -> Column:
     fields = {"name": "Name", "language": "Language", "url": "Url"}
     return xml_row("Type", element("Name", name), element("Assembly", assembly), element("Namespace", namespace), element("Description", description, True), nested("Examples", "Example", examples, fields), element("Remarks", remarks, True))

@@ -1,4 +1,4 @@
-"""The crawl log as a stream: landed pages, duplicates dropped by state, appended to log and tree.
+"""The crawl log as a stream: landed pages, duplicates dropped by state, written to log, tree and errors.
 
 The seen set is the state of ``dropDuplicates``, and resuming is restarting from
 the checkpoint.
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docweave.functions.text import utrim
 from docweave.functions.urls import SITE, Site, page_file_path
+from docweave.sources.filetree import write_tree
 
 LANDED = "url string, status_code int, content string, error string"
 
@@ -34,13 +35,24 @@ def error_rows(pages: DataFrame) -> DataFrame:
     return pages.where("error is not null").select("url", "error")
 
 
-def start_log(pages: DataFrame, log_path: str, checkpoint: str, errors_path: str | None = None) -> StreamingQuery:
-    """Append each URL's first successful page to the log (and errors to theirs) until stopped; available rows at once."""
+def start_log(pages: DataFrame, log_path: str, checkpoint: str, errors_path: str | None = None, tree_path: str | None = None) -> list[StreamingQuery]:
+    """Start writing each URL's first successful page to the log, its content to the tree, and errors to theirs.
+
+    Returns the queries, the log's first; each takes the available rows and ends.
+    Every batch has a folder of its own, which a repeated batch overwrites, and the
+    tree's files are named by their pages, so that replays change nothing.
+    """
     unique = log_rows(pages).dropDuplicates(["url"])
 
     def batch(rows: DataFrame, number: int) -> None:
-        rows.drop("content").write.mode("append").json(log_path)
+        if tree_path is not None:
+            rows = rows.persist()
+            write_tree(rows.select(F.col("file_path").alias("path"), "content"), tree_path)
+        rows.drop("content").write.mode("overwrite").json(f"{log_path}/batch={number}")
+        rows.unpersist()
 
+    started = [unique.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint + "/log").trigger(availableNow=True).start()]
     if errors_path is not None:
-        error_rows(pages).writeStream.format("json").option("path", errors_path).option("checkpointLocation", checkpoint + "/errors").trigger(availableNow=True).start()
-    return unique.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint + "/log").trigger(availableNow=True).start()
+        # The file sink keeps a log of its own batches, so it writes each once.
+        started.append(error_rows(pages).writeStream.format("json").option("path", errors_path).option("checkpointLocation", checkpoint + "/errors").trigger(availableNow=True).start())
+    return started

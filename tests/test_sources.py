@@ -1,6 +1,8 @@
 import json
+import xml.etree.ElementTree as ET
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from docweave.sources import filetree, readers, release, xml_rows
@@ -14,7 +16,52 @@ def test_filetree_keeps_the_last_of_a_path(spark, tmp_path):
     assert (tmp_path / "out/a/x.md").read_text() == "new" and (tmp_path / "out/b.md").read_text() == "b"
     filetree.write_tree(rows.where("ord = 3"), str(tmp_path / "out"), mode="overwrite")
     assert [p.name for p in (tmp_path / "out").rglob("*.md")] == ["b.md"]
-    assert not list(tmp_path.glob("*staging*"))
+    assert (tmp_path / "out/_SUCCESS").read_text() == "1" and not [p for p in (tmp_path / "out").rglob(".*")]
+
+
+def test_filetree_refuses_paths_outside(spark, tmp_path):
+    rows = spark.createDataFrame([("../x.md", "no")], "path string, content string")
+    with pytest.raises(Exception, match="not below the target"):
+        filetree.write_tree(rows, (tmp_path / "out").as_uri())
+    assert not (tmp_path / "x.md").exists() and not (tmp_path / "out/_SUCCESS").exists()
+
+
+def test_normalised_scans(spark, tmp_path):
+    def scanned(kind, root, body):
+        (tmp_path / f"{kind}.xml").write_text(f"<{root}>{body}</{root}>")
+        return readers.read_xml(spark, str(tmp_path / f"{kind}.xml"), kind)
+
+    details = scanned("details", "Members", "<Member><Type>N.T</Type><Name> M </Name><Signature> M( int a ) </Signature><Description><![CDATA[ About <see cref=\"N.U\">U</see> ]]></Description><Parameters><Parameter><Name>a</Name><Description>first</Description></Parameter><Parameter><Description>lost</Description></Parameter></Parameters></Member><Member><Type>T</Type><Name>x</Name></Member><Member><Type>N.T</Type></Member>")
+    (row,) = readers.details_rows(details).collect()
+    assert (row.fqn, row.member, row.signature, row.description, row.returns) == ("N.T", "M", "M( int a )", 'About <see cref="N.U">U</see>', "")
+    assert [tuple(p) for p in row.params] == [("a", "first")]
+    enums = scanned("enums", "EnumMembers", "<Enum><Name>e</Name><Assembly>A</Assembly><Namespace>N</Namespace><Members><Member><Name>one</Name><Description>1</Description></Member><Member><Name>two</Name></Member></Members></Enum><Enum><Name>f</Name><Assembly>A</Assembly><Namespace>N</Namespace></Enum><Enum><Name>g</Name></Enum>")
+    assert [(r.fqn, r.pos, r.member, r.description) for r in readers.enums_rows(enums).collect()] == [("N.e", 0, "one", "1"), ("N.e", 1, "two", ""), ("N.f", None, None, None)]
+    examples = scanned("examples", "Examples", "<Example><Url>/u.htm</Url><Content>old</Content></Example><Example><Url> /u.htm </Url><Content>new</Content></Example><Example><Url>/v.htm</Url></Example>")
+    assert [tuple(r) for r in readers.examples_rows(examples.withColumn("ord", F.monotonically_increasing_id())).collect()] == [("/u.htm", "new")]
+    types = scanned("types", "Types", "<Type><Name>T</Name><Assembly>A</Assembly><Namespace>N</Namespace><Remarks> r </Remarks><Examples><Example><Name>n</Name><Language>C#</Language><Url>/u</Url></Example><Example><Name>no</Name></Example></Examples></Type>")
+    (row,) = readers.types_rows(types).collect()
+    assert (row.fqn, row.remarks, [e.Url for e in row.examples]) == ("N.T", "r", ["/u"])
+
+
+def test_written_rows_are_read_again(spark, tmp_path):
+    pair = "array<struct<name:string,url:string>>"
+    members = spark.createDataFrame([("T", "A", "N", [("P", "/p.html")], [])], f"name string, assembly string, namespace string, properties {pair}, methods {pair}")
+    details = spark.createDataFrame([("A", "N.T", "M", "M( a ]]> b )", "text ]]> with <b>", [("a", "x & y")], "r", "")], "assembly string, type_name string, name string, signature string, description string, parameters array<struct<name:string,description:string>>, returns string, remarks string")
+    enums = spark.createDataFrame([("e", "A", "N", [("one", "1 < 2")])], "name string, assembly string, namespace string, members array<struct<name:string,description:string>>")
+    examples = spark.createDataFrame([("/u.htm", "T\n\n<code>\nif (a < b && c) x[y[0]]>1;\n</code>")], "url string, content string")
+    for kind, root, df, row in (("members", "Types", members, xml_rows.members_row), ("details", "Members", details, xml_rows.member_row), ("enums", "EnumMembers", enums, xml_rows.enum_row), ("examples", "Examples", examples, xml_rows.example_row)):
+        file = df.agg(xml_rows.xml_file(root, F.collect_list(row(*[F.col(c) for c in df.columns]))).alias("x")).first().x
+        (tmp_path / f"{kind}.xml").write_text(file)
+        ET.fromstring(file)
+    read = lambda kind: readers.read_xml(spark, str(tmp_path / f"{kind}.xml"), kind)
+    assert [(r.fqn, r.kind, r.member, r.url) for r in readers.members_rows(read("members")).collect()] == [("N.T", "property", "P", "/p.html")]
+    assert "PublicMethods" not in (tmp_path / "members.xml").read_text()
+    (row,) = readers.details_rows(read("details")).collect()
+    assert (row.signature, row.description, [tuple(p) for p in row.params]) == ("M( a ]]> b )", "text  with <b>", [("a", "x & y")])  # the normaliser takes CDATA marks out
+    assert read("details").first().Description == "text ]]> with <b>"
+    assert readers.enums_rows(read("enums")).first().description == "1 < 2"
+    assert read("examples").first().Content == examples.first().content
 
 
 def test_row_xml_round_trip(spark, tmp_path):
@@ -71,12 +118,12 @@ def test_release(spark, tmp_path):
 
 
 def test_stream_resumes_without_duplicates(spark, tmp_path):
-    landing, log, state = (str(tmp_path / n) for n in ("landing", "log", "state"))
+    landing, log, state, errors, tree = (str(tmp_path / n) for n in ("landing", "log", "state", "errors", "tree"))
 
     def land(name, *rows):
         (tmp_path / "landing").mkdir(exist_ok=True)
         (tmp_path / "landing" / name).write_text("\n".join(json.dumps(dict(zip(("url", "status_code", "content", "error"), r, strict=True))) for r in rows))
-        for query in (resume.start_log(resume.landed_pages(spark, landing), log, state),):
+        for query in resume.start_log(resume.landed_pages(spark, landing), log, state, errors, tree):
             query.awaitTermination()
 
     land("1.json", ("https://docs.example.com/help/api/a.html", 200, "<title>A</title>", None), ("https://docs.example.com/help/api/b.html", 404, None, "HTTP 404"))
@@ -84,3 +131,10 @@ def test_stream_resumes_without_duplicates(spark, tmp_path):
     rows = {r.url[-6:]: r for r in readers.read_crawl_log(spark, log).collect()}
     assert {u: r.title for u, r in rows.items()} == {"a.html": "A", "c.html": "Untitled"}
     assert rows["a.html"].file_path == "a.html" and rows["a.html"].content_length == 16
+    assert [(r.url[-6:], r.error) for r in spark.read.schema(readers.CRAWL_ERRORS).json(errors).collect()] == [("b.html", "HTTP 404")]
+    assert (tmp_path / "tree/a.html").read_text() == "<title>A</title>"
+    # A batch that is repeated after a crash replaces its own rows.
+    again = spark.read.schema(readers.CRAWL_LOG).json(f"{log}/batch=0")
+    again.cache().count()
+    again.write.mode("overwrite").json(f"{log}/batch=0")
+    assert readers.read_crawl_log(spark, log).count() == 2
