@@ -97,3 +97,9 @@ def two_way_missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     b = right.select(key).distinct().withColumn("_b", F.lit(1))
     side = F.when(F.col("_b").isNull(), "right").otherwise("left")
     return a.join(b, key, "full").where("_a is null or _b is null").select(key, side.alias("lacking"))
+
+
+def hash_mismatches(log: DataFrame, pages: DataFrame, key: str, content: str) -> DataFrame:
+    """Rows of ``log`` (key, logged) whose page has another hash; pages are hashed where they are, only hashes travel."""
+    actual = pages.select(key, F.sha2(content, 256).alias("_actual"))
+    return log.join(actual, key).where(F.col("_actual") != F.col("logged"))

@@ -48,23 +48,23 @@ BASE = {
          CASE WHEN size % 2 = 0 THEN member || ' {{{{get;}}}}' ELSE member || '( System.string a' || CASE WHEN size % 3 = 0 THEN ', out System.int b' ELSE '' END || CASE WHEN size % 7 = 0 THEN ', Acme.List<System.int,X> c' ELSE '' END || ' )' END AS signature,
          CASE WHEN size % 2 = 0 THEN '' ELSE 'a|b|c' END AS params,
          CASE WHEN size % 3 = 1 THEN 'Value ' || CAST(size AS STRING) ELSE '' END AS returns,
-         CASE WHEN size % 4 = 1 THEN 'See <see cref="' || namespace || '.' || type_name || '">' || type_name || '</see>' ELSE '' END AS remarks, size
+         CASE WHEN size % 4 = 1 THEN 'See <see cref="' || namespace || '.' || type_name || '">' || type_name || '</see>' WHEN size % 4 = 3 THEN 'Where a < ' || CAST(size AS STRING) || ' & b' ELSE '' END AS remarks, size
        FROM ({_TYPED}) t""",
-    # Descriptions for a part of the types, enumerations for another, with misses on both sides.
+    # Descriptions of types, enumerations, categories; names differ in some rows, so that there are misses on both sides.
     "types": f"""SELECT min(ord) AS ord, max(assembly) AS assembly, namespace || '.' || type_name AS fqn, max(namespace) AS namespace, max(type_name) AS type_name,
          CASE WHEN count(*) % 3 = 0 THEN '' ELSE 'Type ' || max(type_name) || ' of ' || max(namespace) || ' with a description that is long enough to be cut somewhere, at item ' || CAST(min(ord) AS STRING) END AS description,
          CASE WHEN count(*) % 2 = 0 THEN '' ELSE 'Remark ' || CAST(count(*) AS STRING) END AS remarks
-       FROM ({_TYPED}) t WHERE length(type_name) <> 6 GROUP BY namespace || '.' || type_name""",
+       FROM (SELECT ord, assembly, namespace, CASE WHEN length(type_name) = 6 THEN type_name || 'Old' ELSE type_name END AS type_name FROM ({_TYPED}) t) t GROUP BY namespace || '.' || type_name""",
     "enums": f"""SELECT ord, assembly, namespace, namespace || '.' || type_name || '_e' AS fqn, type_name || '_e' AS type_name, member AS enum_member,
          CASE WHEN size % 3 = 0 THEN '' ELSE 'Value ' || member END AS description
-       FROM ({_TYPED}) t WHERE ord % 4 = 0""",
+       FROM ({_TYPED}) t""",
     "categories": f"""SELECT ord, 'Category ' || substr(type_name, 2, 1) || CAST(size % 5 AS STRING) AS category,
-         CASE WHEN size % 2 = 0 THEN namespace || '.' || type_name ELSE lower(namespace || '.' || type_name) END AS type_fqn
-       FROM ({_TYPED}) t WHERE ord % 3 <> 0 AND length(type_name) <> 5""",
+         CASE WHEN length(type_name) = 5 THEN namespace || '.' || type_name || 'Old' WHEN size % 2 = 0 THEN namespace || '.' || type_name ELSE lower(namespace || '.' || type_name) END AS type_fqn
+       FROM ({_TYPED}) t""",
     "example_refs": f"""SELECT ord, namespace || '.' || type_name AS fqn, 'Use ' || member AS name,
          CASE WHEN size % 4 = 0 THEN 'C#' WHEN size % 4 = 1 THEN 'VBA' WHEN size % 4 = 2 THEN 'VB.NET' ELSE 'Unknown' END AS language,
          CASE WHEN size % 3 = 0 THEN '/' ELSE '' END || 'api/ex_' || CAST(ord % 150 AS STRING) || '_0.htm' AS url
-       FROM ({_TYPED}) t WHERE ord % 5 = 0""",
+       FROM ({_TYPED}) t""",
     "examples": """SELECT CAST(conv_id AS BIGINT) * 100 + turn AS ord, 'api/ex_' || CAST(conv_id AS STRING) || '_' || CAST(turn AS STRING) || '.htm' AS url,
          'Example ' || CAST(conv_id AS STRING) || chr(10) || 'About ' || role || chr(10) || chr(10) || CASE WHEN turn % 3 = 2 THEN text
            ELSE 'First part' || chr(10) || '<code>' || CASE WHEN conv_id % 4 = 0 THEN 'using System; ' WHEN conv_id % 4 = 1 THEN 'Dim x As Long ' WHEN conv_id % 4 = 2 THEN '#include <x> ' ELSE '' END

@@ -165,10 +165,11 @@ def orphan_missing(spark, sf_dir):
     return quality.two_way_missing(base(spark, sf_dir, "members"), other, "fqn")
 
 
-@query("resume_pending", "SELECT DISTINCT url FROM [crawl_log] l WHERE ord >= 300 AND url NOT IN (SELECT url FROM [crawl_log] k WHERE ord < 300)")
+@query("resume_pending", "SELECT DISTINCT url FROM [crawl_log] l WHERE url NOT IN (SELECT url FROM [crawl_log] k WHERE title = '')")
 def resume_pending(spark, sf_dir):
+    """URLs that are still to be fetched where the pages without a title are the ones logged so far."""
     log = base(spark, sf_dir, "crawl_log")
-    return quality.missing(log.where("ord >= 300"), log.where("ord < 300"), "url")
+    return quality.missing(log, log.where("title = ''"), "url")
 
 
 @query("hash_mismatch", "SELECT page_id FROM pages WHERE page_id % 10 = 3")
@@ -176,7 +177,7 @@ def hash_mismatch(spark, sf_dir):
     """Logged hashes against the pages' own; the log is made to be wrong for some."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     log = pages.select("page_id", F.sha2(F.when(c("page_id") % 10 == 3, F.concat("html", F.lit("x"))).otherwise(c("html")), 256).alias("logged"))
-    return log.join(pages, "page_id").where(F.sha2("html", 256) != c("logged")).select("page_id")
+    return quality.hash_mismatches(log, pages.select("page_id", "html"), "page_id", "html").select("page_id")
 
 
 @query("toc_html_join", "SELECT id, url, EXISTS (SELECT 1 FROM supplier s WHERE s_suppkey % 3 <> 0 AND t.url = '/help/api/guide/s' || CAST(s_suppkey AS STRING) || '.htm') AS found FROM [toc] t WHERE is_leaf")
@@ -504,6 +505,8 @@ def render_example_md(spark, sf_dir):
 
 
 _ESC = "replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+# Remarks with a reference are fragments; the others have stray signs.
+_XML_REMARKS = f"CASE WHEN contains(remarks, '<see cref') THEN remarks ELSE {_ESC.format(x='remarks')} END"
 
 
 @query(
@@ -511,7 +514,7 @@ _ESC = "replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     f"""SELECT ord, '<member name="' || CASE WHEN kind = 'property' THEN 'P:' ELSE 'M:' END || fqn || '.' || member || '"><summary>'
         || CASE WHEN description <> '' THEN description WHEN kind = 'property' THEN 'Gets or sets ' || member || '.' ELSE member || ' method.' END || '</summary>'
         || CASE WHEN returns = '' THEN '' WHEN kind = 'property' THEN '<value>' || returns || '</value>' ELSE '<returns>' || returns || '</returns>' END
-        || CASE WHEN remarks = '' THEN '' ELSE '<remarks>' || {_NL} || {_ESC.format(x='remarks')} || {_NL} || '</remarks>' END || '</member>' AS fragment FROM {_ENRICHED} e""",
+        || CASE WHEN remarks = '' THEN '' ELSE '<remarks>' || {_NL} || {_XML_REMARKS} || {_NL} || '</remarks>' END || '</member>' AS fragment FROM {_ENRICHED} e""",
 )
 def xmldoc_members(spark, sf_dir):
     doc_id = F.concat(F.when(c("kind") == "property", "P:").otherwise("M:"), "fqn", F.lit("."), "member")

@@ -176,12 +176,25 @@ def see_tags(spark, sf_dir):
     return out.select("ord", c("see").alias("html"))
 
 
-@query("url_join")
+@query(
+    "url_join",
+    """WITH u AS (SELECT page_id, 'https://docs.example.com/help/api/p' || CAST(page_id AS STRING) || '/page.htm?id=' || CAST(page_id AS STRING) AS base FROM pages)
+       SELECT page_id, unnest([
+         'https://docs.example.com/help/api/a/' || CAST(page_id AS STRING) || '.htm?x=1#y',
+         'https://docs.example.com/help/api/p' || CAST(page_id AS STRING) || '/page.htm?q=' || CAST(page_id AS STRING),
+         base || '#top', 'https://cdn.example.org/z', 'https://docs.example.com/up.htm', 'https://docs.example.com/help/api/p' || CAST(page_id AS STRING) || '/sub/',
+         'https://docs.example.com/root/q.htm', 'mailto:p' || CAST(page_id AS STRING) || '@example.org']) AS target FROM u""",
+)
 def url_join(spark, sf_dir):
-    from urllib.parse import urljoin
-
-    made = pages(spark, sf_dir).select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), 1)).alias("html"))
-    return parsers.page_rows(made, lambda href, start: [{"target": urljoin(start, href)}], "target string", ["page_id"], prefix="url").select("page_id", "target")
+    """Links of every form joined with their page's URL."""
+    number = c("page_id").cast("string")
+    start = F.concat(F.lit(B + "/help/api/p"), number, F.lit("/page.htm?id="), number)
+    forms = [
+        F.concat(F.lit("../a/./"), number, F.lit(".htm?x=1#y")), F.concat(F.lit("?q="), number), F.lit("#top"), F.lit("//cdn.example.org/z"),
+        F.lit("../../../../up.htm"), F.lit("sub/"), F.lit("/root/x/../q.htm"), F.concat(F.lit("mailto:p"), number, F.lit("@example.org")),
+    ]
+    made = pages(spark, sf_dir).select("page_id", start.alias("start"), F.explode(F.array(*forms)).alias("href"))
+    return made.select("page_id", urls.joined_url(c("start"), c("href")).alias("target"))
 
 
 # --- tables of contents
