@@ -162,3 +162,35 @@ def readme_file(types: DataFrame, examples: DataFrame, files: DataFrame, title:
     ones = totals.crossJoin(examples.agg(F.count("*").alias("x"))).crossJoin(files.agg(F.count("*").alias("f")))  # one row each
     counts = F.format_string("**Stats**: %s types, %s enums, %s members, %s examples (%s files)\n", number(c("t")), number(c("e")), number(c("m")), number(c("x")), number(c("f")))
     return ones.select(F.lit("README.md").alias("path"), F.concat(F.lit(f"# {title}\n\n"), counts, F.lit(README)).alias("content"))
+
+
+def type_files(types: DataFrame, members: DataFrame) -> DataFrame:
+    """The one-file-per-type form: a page with all members; members: fqn, ord, kind, member, description, signature."""
+    c = F.col
+    nested = members.groupBy("fqn").agg(F.array_sort(F.collect_list(F.struct("ord", "kind", c("member").alias("name"), "description", "signature"))).alias("members"))
+    none = F.array().cast(nested.schema["members"].dataType.simpleString())
+    joined = types.join(nested, "fqn", "left").withColumn("members", F.coalesce("members", none))
+    page = render.type_page(*[c(x) for x in ("type_name", "assembly", "namespace", "category", "description", "remarks", "members")])
+    return joined.select(F.concat(F.lit("types/"), text.api_file_name(c("type_name")), F.lit(".md")).alias("path"), page.alias("content"), c("fqn").alias("ord"))
+
+
+def json_file(row: DataFrame, path: str) -> DataFrame:
+    """A one-row DataFrame as a JSON file: the statistics of a run, or its manifest."""
+    return row.select(F.lit(path).alias("path"), F.to_json(F.struct(*row.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("content"))
+
+
+def crawl_manifest(site: urls.Site, source: str | None = None, obey_robots: bool = True, delay: float = 0.1) -> dict[str, str]:
+    """Options of a crawl as its manifest states them; a crawl of listed pages names their source and leaves robots aside."""
+    listed = {"source": source} if source is not None else {}
+    return {"base_url": site.base, "boundary": site.root, "obey_robots": str(obey_robots and source is None).lower(), "download_delay": str(delay), **listed}
+
+
+def whole_export(types: DataFrame, members: DataFrame, enum_members: DataFrame, examples: DataFrame, example_categories: DataFrame, guide: DataFrame, title: str) -> DataFrame:
+    """All files of an export (path, content): API, indexes, examples, guide below docs/, README with their number."""
+    placed = guide.select(F.concat(F.lit("docs/"), "path").alias("path"), "content", F.col("ord").cast("string").alias("ord"))
+    trees = [last_of_path(api_files(types, members, enum_members)), last_of_path(example_files(examples, example_categories)), last_of_path(placed)]
+    pages = [category_index(types), assembly_index(types), statistics_page(types)]
+    files = trees[0]
+    for more in [*trees[1:], *pages]:
+        files = files.unionByName(more)
+    return files.unionByName(readme_file(types, examples, files, title))

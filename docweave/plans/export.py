@@ -75,6 +75,32 @@ def export_guide_tree(spark, sf_dir):
     return guide_files(spark, sf_dir).select("path", "content")
 
 
+@query("export_type_pages", f"SELECT 'types/' || {_saved('type_name')} || '.md' AS path, arg_max(md5(page), fqn) AS content_md5 FROM ({ORACLES['render_type_md']}) p JOIN {_CATEGORISED} t USING (fqn) GROUP BY 1")
+def export_type_pages(spark, sf_dir):
+    """One file a type with members."""
+    members = enrich_members(spark, sf_dir)
+    types = categorised(spark, sf_dir).join(members.select("fqn").distinct(), "fqn")
+    return export.last_of_path(export.type_files(types, members)).select("path", F.md5("content").alias("content_md5"))
+
+
+@query("export_whole_tree", f"""SELECT split_part(path, '/', 1) AS top, count(*) AS files FROM (
+  SELECT path FROM {_API} a UNION ALL SELECT path FROM {_EXAMPLES} x UNION ALL SELECT 'docs/' || path FROM ({_GUIDE}) g
+  UNION ALL SELECT unnest(['api/index/by_category.md', 'api/index/by_assembly.md', 'api/index/statistics.md', 'README.md'])) GROUP BY 1""")
+def export_whole_tree(spark, sf_dir):
+    """An export with all its parts, by top directory."""
+    members = enrich_members(spark, sf_dir).withColumn("params", F.array().cast(_NO_PARAMS))
+    files = export.whole_export(full_types(spark, sf_dir), members, enum_values(spark, sf_dir), base(spark, sf_dir, "examples"), example_categories(spark, sf_dir), guide_files(spark, sf_dir), "Reference")
+    return files.groupBy(F.split_part("path", F.lit("/"), F.lit(1)).alias("top")).agg(n().alias("files"))
+
+
+@query("stats_file", """SELECT 'crawl_stats.json' AS path, CAST(count(*) AS STRING) AS total, CAST(count(*) FILTER (WHERE error IS NULL) AS STRING) AS successful FROM [crawl_log] l""")
+def stats_file(spark, sf_dir):
+    """The statistics of a crawl as a JSON file, and read back from it."""
+    log = base(spark, sf_dir, "crawl_log")
+    file = export.json_file(log.agg(n().alias("total"), F.count_if(c("error").isNull()).alias("successful")), "crawl_stats.json")
+    return file.select("path", F.get_json_object("content", "$.total").alias("total"), F.get_json_object("content", "$.successful").alias("successful"))
+
+
 # --- XML docs
 _XML_PROSE = "CASE WHEN {x} <> '' THEN '<{t}>' || {b} || {x} || {b} || '</{t}>' ELSE '' END"
 _TYPE_XML = "'<member name=\"T:' || fqn || '\">' || " + _XML_PROSE.format(x="description", t="summary", b="''") + " || " + _XML_PROSE.format(x="remarks", t="remarks", b=_NL) + " || coalesce(x.examples, '') || '</member>'"
@@ -268,6 +294,23 @@ def guide_page_count(spark, sf_dir):
     return checks.guide_pages(guide.unionAll(example_files(spark, sf_dir).select("path"))).agg(n().alias("n"))
 
 
+@query("toc_inside_boundary", "SELECT 'inside the boundary' AS name, 'error' AS severity, count(*) FILTER (WHERE NOT starts_with(url, '/help/api/')) = 0 AS passed, CAST(count(*) FILTER (WHERE NOT starts_with(url, '/help/api/')) AS STRING) AS detail FROM [toc] t WHERE url <> ''")
+def toc_inside_boundary(spark, sf_dir):
+    """That a table of contents names pages of the crawl alone."""
+    nodes = base(spark, sf_dir, "toc").where("url <> ''").select(urls.joined_url(F.lit(urls.SITE.base + "/"), c("url")).alias("url"))
+    outside = F.count_if(~urls.in_boundary(c("url"), urls.SITE.root))
+    return checks.check(nodes, "inside the boundary", outside == 0, outside)
+
+
+@query("log_file_counts", """SELECT count(*) FILTER (WHERE error IS NULL) AS log_rows, count(*) FILTER (WHERE error IS NOT NULL) AS error_rows, count(DISTINCT file_path) FILTER (WHERE error IS NULL) AS files,
+  count(*) FILTER (WHERE error IS NULL) = count(DISTINCT file_path) FILTER (WHERE error IS NULL) AS equal_counts FROM [crawl_log] l""")
+def log_file_counts(spark, sf_dir):
+    """Rows of the log and of the error log against files."""
+    good = c("error").isNull()
+    counted = base(spark, sf_dir, "crawl_log").agg(F.count_if(good).alias("log_rows"), F.count_if(~good).alias("error_rows"), F.countDistinct(F.when(good, c("file_path"))).cast("long").alias("files"))
+    return counted.select("log_rows", "error_rows", "files", (c("log_rows") == c("files")).alias("equal_counts"))
+
+
 def run_checks(spark, sf_dir, **limits) -> DataFrame:
     log = base(spark, sf_dir, "crawl_log").select("url", "error")
     return checks.crawl_run(log, base(spark, sf_dir, "example_refs").select("url"), boundary=urls.in_boundary(c("url"), urls.SITE.root), **limits)

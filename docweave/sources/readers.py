@@ -145,9 +145,10 @@ class _Part(InputPartition):
 class SnapshotSource(DataSource):
     """``format("page_snapshot")``: fetches URLs from a folder of saved pages in place of the network.
 
-    Options: path (the folder), urls (lines), partitions.  Each URL gives one
-    row, an error row where the page isn't there; the interface is what a live
-    fetcher would have.
+    Options: path (the folder), urls (lines), partitions, domain (others are error
+    rows), html_only (other content types are error rows), retries of reads that
+    fail for a passing reason.  Each URL gives one row; the interface is what a
+    live fetcher would have.
     """
 
     @classmethod
@@ -155,7 +156,7 @@ class SnapshotSource(DataSource):
         return "page_snapshot"
 
     def schema(self) -> str:
-        return "url string, status_code int, content string, error string"
+        return "url string, status_code int, content_type string, content string, error string"
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _SnapshotReader(self.options)
@@ -166,19 +167,36 @@ class _SnapshotReader(DataSourceReader):
         self.root = options["path"]
         self.urls = [u for u in options.get("urls", "").splitlines() if u]
         self.parts = int(options.get("partitions", "4"))
+        self.domain, self.html_only = options.get("domain", ""), options.get("html_only", "false").lower() == "true"
+        self.retries = int(options.get("retries", "3"))
 
     def partitions(self) -> list[_Part]:
         step = max(1, -(-len(self.urls) // self.parts))
         return [_Part(i, min(i + step, len(self.urls))) for i in range(0, len(self.urls), step)]
 
     def read(self, partition: _Part):
+        for url in self.urls[partition.first : partition.last]:
+            yield self.fetched(url)
+
+    def fetched(self, url: str) -> tuple:
+        """(url, status, content type, content, error) of one page."""
+        from mimetypes import guess_type
         from pathlib import Path
         from urllib.parse import urlparse
 
-        for url in self.urls[partition.first : partition.last]:
-            parsed = urlparse(url)
-            file = Path(self.root, parsed.path.strip("/"))
+        parsed = urlparse(url)
+        host = (parsed.hostname or "").lower()
+        if self.domain and host != self.domain and not host.endswith("." + self.domain):
+            return url, None, None, None, "domain not allowed"
+        kind = guess_type(parsed.path)[0] or "text/html"
+        if self.html_only and kind != "text/html":
+            return url, 200, kind, None, "not HTML"
+        for tried in range(self.retries + 1):
             try:
-                yield url, 200, file.read_text(encoding="utf-8"), None
+                return url, 200, kind, Path(self.root, parsed.path.strip("/")).read_text(encoding="utf-8"), None
+            except FileNotFoundError as failed:
+                return url, 404, None, None, type(failed).__name__
             except OSError as failed:
-                yield url, 404, None, type(failed).__name__
+                if tried == self.retries:
+                    return url, 503, None, None, type(failed).__name__
+        return url, None, None, None, "not tried"

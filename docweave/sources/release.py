@@ -37,6 +37,19 @@ def write_manifest(packages: list[dict], version: str, path: str) -> dict:
     return manifest
 
 
+def manifest_checks(spark: SparkSession, path: str, packages: list[str]) -> DataFrame:
+    """Checks of a manifest: its version, the packages it must name, its total against theirs."""
+    found = spark.read.schema("version string, packages array<struct<file:string,file_count:bigint,size_bytes:bigint>>, total_size_bytes bigint").option("multiLine", "true").json(path)
+    total = F.aggregate("packages", F.lit(0).cast("long"), lambda n, p: n + p["size_bytes"])
+    lacking = F.array_except(F.array(*[F.lit(p) for p in packages]).cast("array<string>"), F.coalesce(F.col("packages")["file"], F.array().cast("array<string>")))
+    tests = {
+        "version": (F.col("version").rlike(r"^v?\d+\.\d+\.\d+"), F.col("version")), "packages": (F.size(lacking) == 0, F.array_join(lacking, ", ")),
+        "total size": (total == F.col("total_size_bytes"), F.col("total_size_bytes").cast("string")),
+    }
+    rows = F.inline(F.array(*[F.struct(F.lit(k).alias("name"), F.lit("error").alias("severity"), F.coalesce(ok, F.lit(False)).alias("passed"), F.coalesce(detail, F.lit("")).alias("detail")) for k, (ok, detail) in tests.items()]))
+    return found.select(rows)
+
+
 def archive_entries(spark: SparkSession, archive: str) -> DataFrame:
     """name, size of an archive's files; a damaged archive raises."""
     with zipfile.ZipFile(archive) as z:
