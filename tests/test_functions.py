@@ -117,3 +117,50 @@ def test_relative_paths_lead_back(spark):
         for step in filter(None, r.split("/")):
             here = here[:-1] if step == ".." else [*here, step]
         assert "/".join(here) == b
+
+
+FRAGMENTS = [
+    "plain", "a < b", "a & b", "a &amp; b &#65; &#x41;", '<see cref="A.B">B</see> and <see cref="C" />', "<b>open", "</b>", "<b><i>crossed</b></i>", "<b><i>nested</i></b>", "x <T> y", "List<int> of <T></T></int>",
+    "a ]]> b", "<a b=c>x</a>", "<a b='c'/>", "<a><!-- c --></a>", "&nbsp;", "1 << 2", "<a>\n</a>\n", "é <b>ü</b>", "<a></a><a></a>", "<a/><b>", "",
+]
+
+
+def test_fragments_as_a_parser_takes_them(spark):
+    import xml.etree.ElementTree as ET
+
+    def parsed(text):
+        try:
+            return ET.fromstring(f"<r>{text}</r>")
+        except ET.ParseError:
+            return None
+
+    rows = spark.createDataFrame([(f,) for f in FRAGMENTS], "f string").select("f", render.well_formed(F.col("f")).alias("ok"), render.xml_content(F.col("f")).alias("x")).collect()
+    for r in rows:
+        known = parsed(r.f) if "<!--" not in r.f else None  # comments are escaped with the rest
+        assert r.ok == (known is not None), r.f
+        assert "".join(parsed(r.x).itertext()) == ("".join(known.itertext()) if known is not None else r.f)
+
+
+def test_examples_in_xml(one):
+    import xml.etree.ElementTree as ET
+
+    content = "Title & <more>\n<code>\nif (a < b && x[y[0]]>1)\n</code>\nthen\n<CODE>z</CODE>end"
+    element = ET.fromstring(one(render.xml_example(F.col("x")), x=content))
+    assert [c.tag for c in element] == ["code", "code"] and element.text == "Title & <more>\n"
+    assert (element[0].text, element[0].tail, element[1].tail) == ("\nif (a < b && x[y[0]]>1)\n", "\nthen\n", "end")
+    assert one(render.xml_example(F.col("x")), x="") is None
+    member = one(render.xml_member(F.lit("P:N.T.M"), F.lit("property"), F.lit("M"), F.lit(""), F.array().cast("array<struct<name:string,description:string>>"), F.lit("v"), F.col("x"), F.lit("Rev < 3")), x='<see cref="A">A</see>')
+    assert member == '<member name="P:N.T.M"><summary>Gets or sets M.</summary><value>v</value><remarks>\n<see cref="A">A</see>\n</remarks><availability>Rev &lt; 3</availability></member>'
+
+
+def test_urls_are_joined_as_the_library_does(spark):
+    from urllib.parse import urljoin
+
+    bases = ["https://h.example.com/a/b/c.htm?x=1#f", "http://h/a/", "https://h.example.com", "https://h/a/b"]
+    forms = ["", "d.htm", "./d", "../d", "../../d/e", "../../../d", "/d/../e", "/", "?q", "#t", "//o/p", "mailto:x@y", "http://o/p?q", "d/./e/..", "d?x/../y", "..", ".", "d#a/../b"]
+    rows = spark.createDataFrame([(b, f) for b in bases for f in forms], "b string, f string").select("b", "f", urls.joined_url(F.col("b"), F.col("f")).alias("u")).collect()
+    assert {(r.b, r.f): r.u for r in rows} == {(b, f): urljoin(b, f) for b in bases for f in forms}
+
+
+def test_responses(one):
+    assert one(urls.is_html(F.col("x")), x="Text/HTML; charset=x") and not one(urls.is_html(F.col("x")), x="image/png")

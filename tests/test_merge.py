@@ -1,3 +1,5 @@
+import pytest
+
 from docweave.operators import merge, toc
 
 
@@ -36,3 +38,43 @@ def test_frontier_reaches_a_cycle_once(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (9, 10)], "src long, dst long")
     rows = toc.frontier_closure(spark.createDataFrame([(1,)], "node long"), edges).collect()
     assert {(r.node, r.depth) for r in rows} == {(1, 0), (2, 1), (3, 2), (4, 3)}
+
+
+NODE = "ord int, id string, parent_id string, name string, url string, is_leaf boolean"
+
+
+def test_toc_of_any_depth(spark):
+    from pyspark.sql import functions as F
+
+    nodes = spark.range(130).select(F.col("id").cast("int").alias("ord"), F.col("id").cast("string").alias("id"), (F.col("id") - 1).cast("string").alias("parent_id"), F.concat(F.lit("n"), "id").alias("name"), F.lit("").alias("url"), F.lit(False).alias("is_leaf"))
+    rows = {r.id: r for r in toc.toc_walk(nodes).collect()}
+    assert len(rows) == 130 and rows["129"].level == 129 and rows["129"].directory.count("/") == 127
+
+
+def test_toc_without_a_root_or_with_a_cycle(spark):
+    with pytest.raises(ValueError, match="no root"):
+        toc.toc_walk(spark.createDataFrame([(0, "1", "2", "a", "", False)], NODE))
+    cycle = spark.createDataFrame([(0, "1", "-1", "Root", "", False), (1, "2", "1", "a", "", False), (2, "1", "2", "again", "", False), (3, "9", "-1", "second", "", False)], NODE)
+    assert {r.id: r.level for r in toc.toc_walk(cycle).collect()} == {"1": 0, "2": 1}
+
+
+def test_example_lookup_by_every_length(spark):
+    import random
+
+    random.seed(3)
+    urls = ["".join(random.choice("ab/") for _ in range(random.randint(1, 22))).lstrip("/") or "a" for _ in range(160)]
+    refs, examples = urls[:80], list(dict.fromkeys(urls[80:]))
+    found = merge.example_lookup(spark.createDataFrame(list(enumerate(refs)), "ord int, url string"), spark.createDataFrame([(u, u, i) for i, u in enumerate(examples)], "url string, content string, ord int"))
+    wanted = {i: r if r in examples else next((e for e in examples if e.endswith(r) or r.endswith(e)), None) for i, r in enumerate(refs)}
+    assert {r.ord: r.content for r in found.collect()} == wanted and len(set(wanted.values())) > 10
+
+
+def test_links_of_a_page_are_put_back(spark):
+    from docweave.functions.urls import is_skipped_link
+
+    content = "A [one](../t/1.htm#x) [x](y\\z) [gone](none.htm)\n[two](https://docs.example.com/help/api/t/1.htm) [see](https://example.org/a) ![i]() tail"
+    pages = spark.createDataFrame([("g/a/p.md", "https://docs.example.com/help/api/s/p.htm", content), ("g/q.md", "https://docs.example.com/help/api/q.htm", "no links")], "path string, base_url string, content string")
+    targets = spark.createDataFrame([("/help/api/t/1.htm", "g/b/one.html", 0)], "key string, path string, ord int")
+    rows = {r.path: r for r in toc.rewritten_pages(pages, targets, is_skipped_link).collect()}
+    assert rows["g/a/p.md"].content == content.replace("../t/1.htm#x", "../b/one.md").replace("https://docs.example.com/help/api/t/1.htm", "../b/one.md")
+    assert rows["g/a/p.md"].rewritten == 2 and tuple(rows["g/q.md"]) == ("g/q.md", "no links", 0)

@@ -104,6 +104,9 @@ def test_snapshot_source(spark, tmp_path):
     urls = "https://docs.example.com/p.html\nhttps://docs.example.com/none.html"
     rows = {r.url[-6:]: r for r in spark.read.format("page_snapshot").options(path=str(tmp_path), urls=urls).load().collect()}
     assert rows["p.html"].content == "<p>x</p>" and rows["e.html"].error == "FileNotFoundError"
+    options = {"path": str(tmp_path), "urls": "https://docs.example.com/p.html\nhttps://example.org/p.html\nhttps://docs.example.com/p.pdf", "domain": "example.com", "html_only": "true"}
+    found = spark.read.format("page_snapshot").options(**options).load().collect()
+    assert {r.error for r in found} == {None, "domain not allowed", "not HTML"} and {r.content_type for r in found} == {"text/html", None, "application/pdf"}
 
 
 def test_release(spark, tmp_path):
@@ -115,6 +118,8 @@ def test_release(spark, tmp_path):
     check = release.package_checks(release.archive_entries(spark, str(tmp_path / "x.zip")), ["docs", "api"], 1).first()
     assert (check.files, check.enough, check.missing_dirs) == (1, True, "api")
     assert release.latest_version(str(tmp_path)) == "v0.0.0"
+    passed = lambda *packages: {r.name: r.passed for r in release.manifest_checks(spark, str(tmp_path / "m.json"), list(packages)).collect()}
+    assert passed("x.zip") == {"version": False, "packages": True, "total size": True} and not passed("y.zip")["packages"]
 
 
 def test_stream_resumes_without_duplicates(spark, tmp_path):
