@@ -13,7 +13,12 @@ smallest hash, so equal windows have equal anchors.
    an anchor but differ are fetched as bytes.
 3. Those are laid out in corpus order and sorted as suffixes; previous and next
    smaller positions in suffix order give each window's earlier match.
-4. The repeats of a document are merged and cut out; the first copy stays.
+4. An anchor with very many surroundings (the end of a line that a third of all
+   documents have) would make a group that no task can hold.  The windows of its
+   blocks are told by 128-bit hashes instead, in an aggregate with map-side
+   combine; such blocks travel spread and only their anchor's name goes to its
+   bucket.
+5. The repeats of a document are merged and cut out; the first copy stays.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ ANCHOR = 32
 #: Blocks in one packing, in one bucket on average, and bytes of one suffix array.
 PACK = 300_000
 BUCKET, SUFFIX_BYTES = 400_000, 1 << 20
+#: Different blocks of one anchor, in a packing and in a bucket, from which the anchor is a hot one.
+HOT, HOT_BUCKET = 256, 20_000
 _ENTRY = [("key", U64), ("content", np.int64), ("id", np.int64), ("row", np.int64), ("start", np.int64), ("many", np.int64)]
 
 
@@ -97,7 +104,10 @@ _SENT = "bucket bigint, kind int, n int, keys binary, contents binary, places bi
 
 
 def _send(docs: DataFrame, least: int, bits: int, buckets: int) -> DataFrame:
-    """Packed blocks by bucket of their anchors (kind 0), and runs settled in place (kind 1)."""
+    """Packed blocks by bucket of their anchors (kind 0), and runs settled in place (kind 1).
+
+    Blocks of hot anchors (kind 2) go anywhere, the anchors themselves (kind 3) to their buckets.
+    """
     names = [c.split()[0] for c in _SENT.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 6]
 
@@ -124,10 +134,22 @@ def _send(docs: DataFrame, least: int, bits: int, buckets: int) -> DataFrame:
                 part = {c: a[cut] for c, a in whole.items()} | {"content": ids[cut]}
                 out.append(row(int(ids[at]) % buckets, 1, part))
         own = {c: a[new] for c, a in e.items()}
+        first = np.flatnonzero(np.concatenate([[True], own["key"][1:] != own["key"][:-1]]))
+        count = np.diff(np.append(first, len(own["key"])))
+        often = np.repeat(count >= HOT, count)
+        marks = {c: a[first[count >= HOT]] for c, a in own.items()}
+        if often.any():
+            hot = {c: a[often] for c, a in own.items()}
+            spread = (mix(hot["row"].view(U64)) % U64(buckets)).astype(np.int64)
+            out += [row(buckets + b, 2, {c: a[spread == b] for c, a in hot.items()}) for b in np.unique(spread).tolist()]
+        own = {c: a[~often] for c, a in own.items()}
         edges = np.array([min((b << bits) // buckets, (1 << 64) - 1) for b in range(buckets + 1)], dtype=U64)
         cut = np.searchsorted(own["key"], edges)
         cut[-1] = len(own["key"])
         out += [row(b, 0, {c: a[cut[b] : cut[b + 1]] for c, a in own.items()}) for b in range(buckets) if cut[b] < cut[b + 1]]
+        cut = np.searchsorted(marks["key"], edges)
+        cut[-1] = len(marks["key"])
+        out += [row(b, 3, {c: a[cut[b] : cut[b + 1]] for c, a in marks.items()}) for b in range(buckets) if cut[b] < cut[b + 1]]
         for at in range(0, len(out), 16):
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out[at : at + 16], strict=True), types, strict=True)], names=names)
 
@@ -152,19 +174,23 @@ def _send(docs: DataFrame, least: int, bits: int, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, _SENT)
 
 
-_FOUND = "_id bigint, _row bigint, start bigint, many bigint, `group` bigint"
+_FOUND = "_id bigint, _row bigint, start bigint, many bigint, `group` bigint, hot boolean"
 
 
 def _settle(sent: DataFrame, buckets: int) -> DataFrame:
-    """Runs of repeated starts (group null), and blocks that must be compared as bytes, by group."""
+    """Runs of repeated starts (group null), and blocks that must be compared, by group, or as windows where hot."""
 
     def bucket_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        parts, runs = [], []
+        parts, runs, marks = [], [], [np.zeros(0, U64)]
         for _, kind, n, keys, contents, places, starts, counts, owners in rows:
             owner = np.frombuffer(owners, "<i8").reshape(-1, 2)[np.frombuffer(places, "<u4")]
             e = {"id": owner[:, 0], "row": owner[:, 1], "start": np.frombuffer(starts, "<u4").astype(np.int64), "many": np.frombuffer(counts, "<u4").astype(np.int64)}
             if kind == 1:
                 runs.append(e)
+            elif kind == 2:
+                yield out(*e.values(), np.zeros(n, np.int64), True)
+            elif kind == 3:
+                marks.append(unpack(keys, n))
             else:
                 parts.append(e | {"key": unpack(keys, n), "content": np.frombuffer(contents, "<i8")})
         if parts:
@@ -176,17 +202,18 @@ def _settle(sent: DataFrame, buckets: int) -> DataFrame:
             runs.append({c: e[c][~new] for c in ("id", "row", "start", "many")})
             group = np.cumsum(new_key) - 1
             kinds = np.bincount(group, weights=new).astype(np.int64)
-            open_ = new & (kinds[group] > 1)
-            if open_.any():
-                yield out(*[e[c][open_] for c in ("id", "row", "start", "many")], e["key"][open_].view(np.int64))
+            hot = (kinds >= HOT_BUCKET) | np.isin(e["key"][new_key], np.concatenate(marks))
+            for some, told in ((new & (kinds[group] > 1) & ~hot[group], False), (new & hot[group], True)):
+                if some.any():
+                    yield out(*[e[c][some] for c in ("id", "row", "start", "many")], e["key"][some].view(np.int64), told)
         ids, rows_, start, many = (np.concatenate([r[c] for r in runs]) if runs else np.zeros(0, np.int64) for c in ("id", "row", "start", "many"))
         if len(ids):
             i = np.lexsort((start, rows_, ids))
-            yield out(*_merged(ids[i], rows_[i], start[i], many[i]), None)
+            yield out(*_merged(ids[i], rows_[i], start[i], many[i]), None, False)
 
-    def out(ids: np.ndarray, rows: np.ndarray, start: np.ndarray, many: np.ndarray, group: np.ndarray | None) -> pa.RecordBatch:
+    def out(ids: np.ndarray, rows: np.ndarray, start: np.ndarray, many: np.ndarray, group: np.ndarray | None, hot: bool) -> pa.RecordBatch:
         last = pa.nulls(len(ids), pa.int64()) if group is None else pa.array(group)
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows), pa.array(start), pa.array(many), last], names=["_id", "_row", "start", "many", "group"])
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows), pa.array(start), pa.array(many), last, pa.array([hot] * len(ids), pa.bool_())], names=["_id", "_row", "start", "many", "group", "hot"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -312,6 +339,29 @@ def _fetched(source: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     return source.join(asked, ["_id", "_row"]).select("_id", "_row", "_text", "_wanted").mapInArrow(run, "`group` bigint, _id bigint, _row bigint, start bigint, bytes binary")
 
 
+def _hot_windows(source: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """Repeated starts among the windows of hot blocks: all but the first place of each 128-bit hash."""
+    asked = wanted.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "many")).alias("_wanted"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "_text", 1 << 20):
+                data, offsets = column_bytes(part.column("_text"))
+                sums, other = prefix_sums(data), prefix_sums(data ^ 0xA5)
+                for i, asked_ in enumerate(part.column("_wanted").to_pylist()):
+                    start = np.unique(np.concatenate([np.arange(w["start"], w["start"] + w["many"]) for w in asked_]))
+                    at = start + offsets[i]
+                    arrays = [pa.array(span_hash(s, at, at + least).view(np.int64)) for s in (sums, other)]
+                    arrays += [pa.array(np.full(len(at), part.column(c)[i].as_py(), np.int64)) for c in ("_id", "_row")]
+                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(start.astype(np.int64))], names=["h1", "h2", "_id", "_row", "start"])
+
+    made = source.join(asked, ["_id", "_row"]).mapInArrow(run, "h1 bigint, h2 bigint, _id bigint, _row bigint, start bigint")
+    windows = written(made, "suffix-windows")
+    place = F.struct("_id", "_row", "start")
+    firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
+    return windows.join(firsts, ["h1", "h2"]).where(place != F.col("first")).select("_id", "_row", "start", F.lit(1).cast("long").alias("many"))
+
+
 def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (doc_id by default) plus n_bytes, n_removed, n_spans, spans, kept (binary), kept_sha256.
 
@@ -335,8 +385,9 @@ def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-expected // BUCKET), 1)
     found = written(_settle(_send(source.where(F.octet_length("_text") >= least), least, bits, buckets), buckets), "suffix-blocks")
     unique = source.where(F.octet_length("_text") >= least)
-    compared = _compare(_fetched(unique, found.where("`group` is not null"), least), least)
-    runs = found.where("`group` is null").select("_id", "_row", "start", "many").unionAll(compared)
+    compared = _compare(_fetched(unique, found.where("`group` is not null and not hot"), least), least)
+    windows = _hot_windows(unique, found.where("hot"), least)
+    runs = found.where("`group` is null").select("_id", "_row", "start", "many").unionAll(compared).unionAll(windows)
     per_row = runs.groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "many")).alias("_runs"))
     rows = every.select(CARRIED, "_id", "_row", "_text").join(per_row, ["_id", "_row"], "left")
 

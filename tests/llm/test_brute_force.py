@@ -64,6 +64,21 @@ def test_suffix_dedup_of_periodic_and_overlapping_texts(spark):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == repeats(made)
 
 
+@pytest.mark.parametrize("limits", [(4, 20_000), (10**9, 6), (4, 6)])
+def test_suffix_dedup_of_an_anchor_with_many_surroundings(spark, monkeypatch, limits):
+    from docweave.llm import suffix_dedup as module
+
+    random.seed(12)
+    line = "".join(random.choice("abcdefgh ") for _ in range(150))
+    some = lambda n: "".join(random.choice("xyzé ") for _ in range(n))
+    made = {i: some(random.randint(0, 90)) + line[random.randint(0, 60) :] + some(random.randint(0, 120)) for i in range(60)}
+    made |= {100 + i: made[i] for i in range(0, 60, 7)} | {200: line, 201: line + line}
+    monkeypatch.setattr(module, "HOT", limits[0])
+    monkeypatch.setattr(module, "HOT_BUCKET", limits[1])
+    rows = suffix_dedup(spark.createDataFrame(list(made.items()), "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == repeats(made)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 2), min_size=1, max_size=60), st.integers(1, 9))
 def test_earlier_match(symbols, least):
