@@ -214,3 +214,56 @@ def test_redaction(spark):
     docs = table(spark, [(1, "é password: abcdefghijkl! token=0123456789abcdef0123"), (2, None), (3, "nothing")])
     rows = {r.doc_id: r.text for r in redacted(scan_secrets(docs)).collect()}
     assert rows == {1: "é [SECRET]! [SECRET]", 2: None, 3: "nothing"}
+
+
+def test_tables_are_cleared(spark, docs):
+    from pathlib import Path
+
+    from docweave.llm import store
+
+    folder = Path(store._own_folder(spark).removeprefix("file://"))
+    assert line_dedup(docs).count() and list(folder.iterdir())
+    store.clear(spark)
+    assert not folder.exists()
+
+
+@pytest.fixture
+def corpus(spark, tmp_path):
+    """A folder with a small benchmark, and documents with every odd case and columns of clashing names."""
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    near = own(1).replace("w1x39", "changed")
+    passage = " ".join(f"bench{j}" for j in range(14))
+    extra = ["_keyed", "_id", "_h1", "_carried", "block", "a.b"]
+    rows = [(1, own(1)), (2, near), (None, near), (3, None), (4, ""), (5, own(5)), (5, own(5)), (6, own(6) + "\n" + own(5)), (7, f"{own(7)} {passage} {own(8)}"), (8, own(9) + " " + own(10) * 50), (None, own(11))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame([(i, t, None, None if k % 2 else "s", None, *[f"{c}{k}" for c in extra]) for k, (i, t) in enumerate(rows)], schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, passage), (2, None), (None, passage)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
+def test_pipeline_stages_on_odd_rows(spark, corpus):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    kept = {"quality_rules": {1, 2, 5, 6, 7, None}, "line_dedup": {1, 2, 5, 6, 7, None}, "ngram_jaccard_join": {1, 5, 6, 7, None}, "benchmark_decontamination": {1, 5, 6, None}}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = by_id(docs)
+        docs = stage(spark, docs, corpus)
+        rows = docs.collect()
+        assert {r.doc_id for r in rows} == kept[name], name
+        if name != "line_dedup":
+            assert {tuple(r) for r in rows} <= set(before)  # every column as it was
+        docs = spark.createDataFrame(rows, docs.schema)
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, corpus).collect()
+    assert [r.doc_id for r in rows].count(5) == 2 and [r.doc_id for r in rows].count(None) == 1 and all(r.exact for r in rows)
+
+
+def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
+    import corpus_pipeline
+
+    empty = spark.read.parquet(f"{corpus}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, corpus)
+        assert out.collect() == [], name
+        empty = out if name == "bpe" else spark.createDataFrame([], out.schema)
