@@ -48,7 +48,7 @@ BASE = {
          CASE WHEN size % 2 = 0 THEN member || ' {{{{get;}}}}' ELSE member || '( System.string a' || CASE WHEN size % 3 = 0 THEN ', out System.int b' ELSE '' END || CASE WHEN size % 7 = 0 THEN ', Acme.List<System.int,X> c' ELSE '' END || ' )' END AS signature,
          CASE WHEN size % 2 = 0 THEN '' ELSE 'a|b|c' END AS params,
          CASE WHEN size % 3 = 1 THEN 'Value ' || CAST(size AS STRING) ELSE '' END AS returns,
-         CASE WHEN size % 4 = 1 THEN 'See <see cref="' || namespace || '.' || type_name || '">' || type_name || '</see>' WHEN size % 4 = 3 THEN 'Where a < ' || CAST(size AS STRING) || ' & b' ELSE '' END AS remarks, size
+         CASE WHEN size % 4 = 1 THEN 'See <see cref="' || namespace || '.' || type_name || '">' || type_name || '</see>' WHEN size % 4 = 3 THEN 'Where a & b > ' || CAST(size AS STRING) ELSE '' END AS remarks, size
        FROM ({_TYPED}) t""",
     # Descriptions of types, enumerations, categories; names differ in some rows, so that there are misses on both sides.
     "types": f"""SELECT min(ord) AS ord, max(assembly) AS assembly, namespace || '.' || type_name AS fqn, max(namespace) AS namespace, max(type_name) AS type_name,
