@@ -234,7 +234,8 @@ def in_groups(sets: DataFrame, places: DataFrame) -> DataFrame:
     sent once.  The sets of larger connected parts are sent to their groups.
     """
     told = [F.count("*").alias("_n"), F.min("id").alias("_low"), F.max("id").alias("_high"), F.bit_xor(F.xxhash64("id")).alias("_xor")]
-    placed = written(places.join(places.groupBy("group").agg(*told).where("_n > 1"), "group"), "overlap-places")
+    shared = written(places.groupBy("group").agg(*told).where("_n > 1"), "overlap-shared")  # the join has shuffles of its own then, which can be split
+    placed = written(places.join(shared, "group"), "overlap-places")
     meetings = placed.select(F.col("_low").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
     parts = written(connected_components(meetings).select(F.col("node").alias("id"), F.col("root").alias("_part")), "overlap-parts")
     grouped = sets.join(parts, "id")

@@ -343,7 +343,7 @@ def paragraph_classes(source: DataFrame, paragraphs: DataFrame, percent: int) ->
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-total // BUCKET), 1)
     groups = written(_band_groups(source.select("_text"), bits, buckets), "paragraph-bands")
     places = paragraphs.withColumn("short", F.shiftrightunsigned("name", 64 - bits)).join(groups.select("short").distinct(), "short")
-    places = written(places.groupBy("name", "short").agg(F.min(F.struct("_id", "_row", "number")).alias("at")), "paragraph-places")
+    places = written(places.groupBy("name").agg(F.min(F.struct("_id", "_row", "number")).alias("at"), F.any_value("short").alias("short")), "paragraph-places")
     sets = _shingle_sets(source, places.select("at._id", "at._row", "at.number")).select(F.col("name").alias("id"), F.lit(1).cast("long").alias("copies"), "size", "keys")
     members = groups.join(places.select("short", F.col("name").alias("id")), "short").select("group", "id")
     links = written(linked(in_groups(written(sets, "paragraph-sets"), members), percent).where("b is not null").select("a", "b"), "paragraph-links")
