@@ -18,26 +18,26 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
-def _split_join(rows: DataFrame, least: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the one row of ``least`` for their key.
+def split_join(rows: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the one row of ``one`` for their key.
 
     The second join key is the same for all rows.  It makes the join shuffle
-    ``least``, where it would else follow the aggregate in its tasks; adaptive
-    execution splits only joins of two shuffles.
+    ``one``, where it would else follow the aggregate that made it in its tasks;
+    adaptive execution splits hot keys only in joins of two shuffles.
     """
     same = F.pmod(F.xxhash64(key), F.lit(1))
-    return rows.withColumn("_same", same).join(least.withColumn("_same", same), [key, "_same"]).drop("_same")
+    return rows.withColumn("_same", same).join(one.withColumn("_same", same), [key, "_same"], how).drop("_same")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _split_join(both, least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    return split_join(both, least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    joined = _split_join(edges, least, "hi")
+    joined = split_join(edges, least, "hi")
     moved = joined.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     kept = least.select("hi", F.col("m").alias("lo"))
     return moved.unionAll(kept).distinct()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docweave.llm.blocks import U64, blocks, column_bytes, mix, shingle_hashes, word_hashes
 from docweave.llm.carry import CARRIED, carried, extended
-from docweave.llm.components import connected_components
+from docweave.llm.components import connected_components, split_join
 from docweave.llm.overlap import in_groups, linked
 from docweave.llm.store import written
 from docweave.ship import shipped
@@ -295,8 +295,8 @@ def jaccard_join(docs: DataFrame, percent: int = 75, k: int = 5, doc_id: str = "
     named = sizes.join(roots, "id", "left").join(counts, "id", "left").select(
         F.col("id").alias("_set"), F.coalesce("root", "id").alias("_class"), (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    classed = rows.join(named, "_set", "left")
+    classed = split_join(rows, named, "_set", "left")
     least = classed.where("_class is not null").groupBy("_class").agg(F.min("_id").alias("_least"))
-    return classed.join(least, "_class", "left").select(
+    return split_join(classed, least, "_class", "left").select(
         f"{CARRIED}.*", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_least", "_id").alias("component_id")
     )
