@@ -321,42 +321,40 @@ def _compare(blocks_: DataFrame, least: int) -> DataFrame:
     return blocks_.repartition("group").sortWithinPartitions("group").mapInArrow(run, "_id bigint, _row bigint, start bigint, many bigint")
 
 
+_BYTES = "`group` bigint, _id bigint, _row bigint, start bigint, bytes binary, h1 bigint, h2 bigint"
+
+
 def _fetched(source: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """group, id, row, start and bytes of the wanted blocks."""
-    asked = wanted.groupBy("_id", "_row").agg(F.collect_list(F.struct("group", "start", "many")).alias("_wanted"))
+    """Of the wanted blocks the bytes, by group; of hot ones the hashes of their windows, one row each, without a group."""
+    asked = wanted.groupBy("_id", "_row").agg(F.collect_set(F.struct("group", "start", "many", "hot")).alias("_wanted"))
+    names = [c.split()[0].strip("`") for c in _BYTES.split(", ")]
+
+    def windows(raw: bytes, starts: list[np.ndarray], own: int, row: int) -> pa.RecordBatch:
+        data, at = np.frombuffer(raw, np.uint8), np.unique(np.concatenate(starts))
+        hashes = [pa.array(span_hash(prefix_sums(d), at, at + least).view(np.int64)) for d in (data, data ^ 0xA5)]
+        none = [pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary())]
+        return pa.RecordBatch.from_arrays([none[0], *[pa.array(np.full(len(at), x, np.int64)) for x in (own, row)], pa.array(at), none[1], *hashes], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 out: list[tuple] = []
                 part = batch.slice(at, 64)
                 texts = part.column("_text").cast(pa.binary()).to_pylist()
                 for own, row, raw, asked_ in zip(part.column("_id").to_pylist(), part.column("_row").to_pylist(), texts, part.column("_wanted").to_pylist(), strict=True):
-                    out += [(w["group"], own, row, w["start"], raw[w["start"] : w["start"] + w["many"] - 1 + least]) for w in asked_]
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["group", "_id", "_row", "start", "bytes"])
-
-    return source.join(asked, ["_id", "_row"]).select("_id", "_row", "_text", "_wanted").mapInArrow(run, "`group` bigint, _id bigint, _row bigint, start bigint, bytes binary")
+                    out += [(w["group"], own, row, w["start"], raw[w["start"] : w["start"] + w["many"] - 1 + least], None, None) for w in asked_ if not w["hot"]]
+                    hot = [np.arange(w["start"], w["start"] + w["many"]) for w in asked_ if w["hot"]]
+                    if hot:
+                        yield windows(raw, hot, own, row)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
+    return source.join(asked, ["_id", "_row"]).select("_id", "_row", "_text", "_wanted").mapInArrow(run, _BYTES)
 
-def _hot_windows(source: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """Repeated starts among the windows of hot blocks: all but the first place of each 128-bit hash."""
-    asked = wanted.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "many")).alias("_wanted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, "_text", 1 << 20):
-                data, offsets = column_bytes(part.column("_text"))
-                sums, other = prefix_sums(data), prefix_sums(data ^ 0xA5)
-                for i, asked_ in enumerate(part.column("_wanted").to_pylist()):
-                    start = np.unique(np.concatenate([np.arange(w["start"], w["start"] + w["many"]) for w in asked_]))
-                    at = start + offsets[i]
-                    arrays = [pa.array(span_hash(s, at, at + least).view(np.int64)) for s in (sums, other)]
-                    arrays += [pa.array(np.full(len(at), part.column(c)[i].as_py(), np.int64)) for c in ("_id", "_row")]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(start.astype(np.int64))], names=["h1", "h2", "_id", "_row", "start"])
-
-    made = source.join(asked, ["_id", "_row"]).mapInArrow(run, "h1 bigint, h2 bigint, _id bigint, _row bigint, start bigint")
-    windows = written(made, "suffix-windows")
+def _again(windows: DataFrame) -> DataFrame:
+    """Repeated starts among windows: all but the first place of each 128-bit hash."""
     place = F.struct("_id", "_row", "start")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
     return windows.join(firsts, ["h1", "h2"]).where(place != F.col("first")).select("_id", "_row", "start", F.lit(1).cast("long").alias("many"))
@@ -385,8 +383,9 @@ def suffix_dedup(docs: DataFrame, least: int = 100, doc_id: str = "doc_id", text
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, -(-expected // BUCKET), 1)
     found = written(_settle(_send(source.where(F.octet_length("_text") >= least), least, bits, buckets), buckets), "suffix-blocks")
     unique = source.where(F.octet_length("_text") >= least)
-    compared = _compare(_fetched(unique, found.where("`group` is not null and not hot"), least), least)
-    windows = _hot_windows(unique, found.where("hot"), least)
+    fetched = written(_fetched(unique, found.where("`group` is not null"), least), "suffix-bytes")
+    compared = _compare(fetched.where("`group` is not null").select("group", "_id", "_row", "start", "bytes"), least)
+    windows = _again(fetched.where("`group` is null").select("h1", "h2", "_id", "_row", "start"))
     runs = found.where("`group` is null").select("_id", "_row", "start", "many").unionAll(compared).unionAll(windows)
     per_row = runs.groupBy("_id", "_row").agg(F.collect_list(F.struct("start", "many")).alias("_runs"))
     rows = every.select(CARRIED, "_id", "_row", "_text").join(per_row, ["_id", "_row"], "left")
