@@ -62,8 +62,9 @@ OPERATORS = {
 }
 
 
-@pytest.mark.parametrize("name", OPERATORS)
+@pytest.mark.parametrize("name", ["shards", "jaccard"])
 def test_every_row_has_one_result(docs, labels, bench, name):
+    """By default; the others are asked for all columns below."""
     out = OPERATORS[name](docs, labels, bench)
     assert len(set(out.columns)) == len(out.columns)
     assert out.count() == docs.count()
