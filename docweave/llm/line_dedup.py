@@ -60,7 +60,6 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
         .where(F.col("_first") != F.col("_last"))
         .select("_h1", "_h2", "_first")
     )
-    shared = written(shared, "line-shared")  # so that the join below has shuffles of its own, which can be split
     dropped = (
         lines.join(shared, ["_h1", "_h2"])
         .where(F.col("_id") != F.col("_first"))
