@@ -1,7 +1,7 @@
 """Connected components by alternating large-star and small-star steps.
 
-Each step is an aggregate with map-side combine and a join that adaptive
-execution can split, so a node with very many neighbours overloads no task.
+Each step is an aggregate with map-side combine and a join that streams, so a
+node with very many neighbours takes one task time, but no memory.
 Lineage is cut after each round; the driver sees two numbers a round.
 """
 

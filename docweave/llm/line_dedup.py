@@ -5,7 +5,7 @@ aggregate with map-side combine finds the keys that at least two documents hold
 those documents; the other holders lose the line.  Only hashes and positions
 are shuffled for that; the texts meet the positions in one final join.  A key
 that a third of all documents hold is one row on the small side of a join whose
-large side adaptive execution splits.
+large side streams.
 """
 
 from __future__ import annotations
