@@ -19,9 +19,15 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def resolved(docs: DataFrame, name: str) -> str:
+    """A name as the session tells it from others: without case, unless it is set to mind that."""
+    return name if docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
+
+
 def carried(docs: DataFrame, keep: list[str] | None, made: list[str] | tuple[str, ...] = ()) -> Column:
     """The columns of ``keep`` (all by default) but those named ``made``, as one struct."""
-    names = [c for c in (keep or docs.columns) if c not in made]
+    taken = {resolved(docs, c) for c in made}
+    names = [c for c in (keep or docs.columns) if resolved(docs, c) not in taken]
     return (F.struct(*[F.col(quoted(c)).alias(c) for c in names]) if names else F.expr("named_struct()")).alias(CARRIED)
 
 

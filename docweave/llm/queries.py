@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from docweave.llm.bpe import tokenized
 from docweave.llm.decontaminate import decontaminate
+from docweave.llm.hard_negatives import hard_negatives
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.kd_shard import kd_shards
 from docweave.llm.line_dedup import line_dedup
 from docweave.llm.paragraph_dedup import paragraph_dedup
 from docweave.llm.quality_rules import quality_rules
 from docweave.llm.secret_scan import scan_secrets
+from docweave.llm.spelling_variants import spelling_variants, vocabulary, words_of
 from docweave.llm.suffix_dedup import suffix_dedup
 from docweave.llm.toxicity import toxicity
+from docweave.llm.transport_stream import demuxed, muxed
 
 #: The tokenizer file that op8 and the pipeline read, by name; it must be on every executor.
 TOKENIZER = "byte_bpe_50k.json"
@@ -225,6 +228,103 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+OP11_SQL = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, r.vec_id, r.label, CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM r a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score FROM s WHERE own = label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), f AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.own <> s.label AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM f WHERE rank <= 5
+"""
+
+
+def op12_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    payload = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    unit = 576
+    short = unit - F.length("payload") % unit
+    more = F.when(F.length("payload") == 0, unit).when(short == unit, 0).otherwise(short)
+    filled = F.concat("payload", F.unhex(F.repeat(F.lit("FF"), more)))
+    sources = docs.select("doc_id", payload.alias("payload")).select("doc_id", F.length("payload").cast("long").alias("n_bytes"), filled.alias("payload"))
+    streams = demuxed(muxed(sources, unit=unit, keep=["doc_id", "n_bytes"])).withColumn("data", F.col("streams")[0]["data"])
+    units = F.col("streams")[0]["units"]
+    feature = F.concat_ws(
+        ";", F.concat(F.lit("programs="), F.size("programs")), F.concat(F.lit("streams="), F.size("streams")),
+        F.concat(F.lit("type="), F.col("streams")[0]["stream_type"]), F.concat(F.lit("packets="), "packets"), F.concat(F.lit("faults="), F.size("faults")),
+        F.concat(F.lit("units="), F.size(units)), F.concat(F.lit("random_access="), F.size(F.filter(units, lambda u: u["random_access"]))),
+        F.concat(F.lit("first_pts="), units[0]["pts"]), F.concat(F.lit("last_pts="), F.element_at(units, -1)["pts"]),
+    )
+    return streams.select(
+        "doc_id", "n_bytes", F.length("data").cast("long").alias("payload_bytes"), F.sha2("data", 256).alias("payload_sha256"),
+        F.crc32(F.substring("data", -32, 32)).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(words_of(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+#: The crc32 table is built from its polynomial; accented letters become single bytes for the pair search.
+OP13_SQL = r"""
+WITH t AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(0, 256) r(i))
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7
+), counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS salted, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, n, list_transform(range(0, CAST(length(hex(encode(salted))) / 2 AS BIGINT)),
+         lambda k: CAST('0x' || substr(hex(encode(salted)), 2 * k + 1, 2) AS BIGINT)) AS b FROM counted
+), h AS (
+  SELECT run, n, xor(list_reduce(b, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS h FROM bytes, t
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+), pair AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT d.word, v.word, v.n FROM d JOIN v ON d.rest = v.word
+  UNION
+  SELECT v.word, d.word, d.n FROM d JOIN v ON d.rest = v.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pair GROUP BY word
+), f AS (
+  SELECT v.word, v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain AS (
+  SELECT f.word, a.form AS f1, b.form AS f2, c.form AS f3, d.form AS f4, e.form AS f5, f.form AS f0, f.n, f.n_near, f.form_n
+  FROM f LEFT JOIN f a ON a.word = f.form LEFT JOIN f b ON b.word = a.form LEFT JOIN f c ON c.word = b.form
+  LEFT JOIN f d ON d.word = c.form LEFT JOIN f e ON e.word = d.form
+)
+SELECT word, f0 AS form, coalesce(f5, f4, f3, f2, f1, f0, word) AS root, n, n_near, form_n FROM chain
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -237,8 +337,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_toxicity": op9_toxicity,
         "op10_paragraph_dedup": op10_paragraph_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_transport_stream": op12_transport_stream,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op5_decontaminate": OP5_SQL, "op6_quality_rules": OP6_SQL, "op7_jaccard_join": OP7_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_decontaminate": OP5_SQL, "op6_quality_rules": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op11_hard_negatives": OP11_SQL, "op13_spelling_variants": OP13_SQL}
