@@ -64,29 +64,34 @@ def example_exact(refs: DataFrame, examples: DataFrame) -> DataFrame:
     return refs.join(examples.groupBy("url").agg(F.max_by("content", "ord").alias("content")), "url", "left")
 
 
-def example_lookup(refs: DataFrame, examples: DataFrame, tail: int = 16) -> DataFrame:
+def _ends(urls: DataFrame, column: str, lengths: DataFrame) -> DataFrame:
+    """The ends of each URL, itself included, as long as one of ``lengths`` (_n): a row for each."""
+    sizes = F.explode(F.sequence(F.lit(0), F.length(column))).alias("_n")
+    return urls.select("*", sizes).join(lengths, "_n", "left_semi").withColumn("_end", F.right(column, F.col("_n"))).drop("_n")
+
+
+def _lengths(urls: DataFrame, column: str) -> DataFrame:
+    return urls.select(F.length(column).alias("_n")).distinct()
+
+
+def example_lookup(refs: DataFrame, examples: DataFrame) -> DataFrame:
     """Content for example URLs: the same URL, else the first whose URL ends with the other's or the other way.
 
-    Where both have ``tail`` characters, one ends with the other only if their
-    tails are equal: an equi-join with a residue.  A shorter one must be one of
-    the other's ends, which are fewer than ``tail``: an equi-join again.
+    Both ways are equi-joins on whole ends.  The first name of each end is found by
+    an aggregate, so that a URL meets one row however many names end with it; the
+    ends of a URL meet the names that are such an end.  So a lookup costs the
+    length of its URL and its matches, whatever ending the URLs share.  Only ends
+    as long as some URL of the other side are made.
     """
     left = refs.withColumn("_url", F.regexp_replace("url", "^/+", ""))
     right = examples.groupBy("url").agg(F.max_by("content", "ord").alias("content"), F.min("ord").alias("_ord")).select(F.col("url").alias("_found"), "content", "_ord")
     exact = left.join(right, F.col("_url") == F.col("_found"), "left").drop("_found", "_ord")
     missing = exact.where(F.col("content").isNull()).select("_url").distinct()
-    names = right.select("_found", "_ord")
-
-    def ends(df: DataFrame, column: str) -> DataFrame:
-        """The ends of under ``tail`` characters, one row each."""
-        n = F.explode(F.sequence(F.lit(0), F.least(F.length(column), F.lit(tail - 1))))
-        return df.select("*", n.alias("_n")).withColumn("_end", F.right(column, F.col("_n")))
-
-    last = [df.where(F.length(k) >= tail).withColumn("_tail", F.right(k, F.lit(tail))) for df, k in ((missing, "_url"), (names, "_found"))]
-    near = last[0].join(last[1], "_tail").where(F.endswith("_url", F.col("_found")) | F.endswith("_found", F.col("_url"))).select("_url", "_found", "_ord")
-    short_url = missing.where(F.length("_url") < tail).join(ends(names, "_found"), F.col("_url") == F.col("_end")).select("_url", "_found", "_ord")
-    short_name = ends(missing, "_url").join(names.where(F.length("_found") < tail), F.col("_end") == F.col("_found")).select("_url", "_found", "_ord")
-    pick = near.unionAll(short_url).unionAll(short_name).groupBy("_url").agg(F.min_by("_found", "_ord").alias("_found"))
+    names = examples.groupBy("url").agg(F.min("ord").alias("_ord")).select(F.col("url").alias("_found"), "_ord")
+    first = F.min(F.struct("_ord", "_found")).alias("_first")
+    longer = missing.join(_ends(names, "_found", _lengths(missing, "_url")).groupBy("_end").agg(first), F.col("_url") == F.col("_end")).select("_url", "_first")
+    shorter = _ends(missing, "_url", _lengths(names, "_found")).join(names, F.col("_end") == F.col("_found")).select("_url", F.struct("_ord", "_found").alias("_first"))
+    pick = longer.unionAll(shorter).groupBy("_url").agg(F.min("_first").alias("_first")).select("_url", F.col("_first._found").alias("_found"))
     contents = pick.join(right.select("_found", F.col("content").alias("_near")), "_found").drop("_found")
     return exact.join(contents, "_url", "left").withColumn("content", F.coalesce("content", "_near")).drop("_url", "_near")
 

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from docweave.ship import shipped
 
 #: Prefixes of documentation ids.
 ID_PREFIXES = ("T:", "P:", "M:", "F:", "E:")
@@ -36,14 +44,51 @@ def duplicates(df: DataFrame, key: str, listed: str) -> DataFrame:
     )
 
 
-def error_histogram(log: DataFrame, samples: int = 3) -> DataFrame:
-    """Errors by message with the first URLs; only that many rows of a message are ever held."""
-    from pyspark.sql import Window
+#: Messages that a task holds at once, and parts in which the tasks' findings meet first.
+HELD_MESSAGES, MEETINGS = 100_000, 64
+
+
+def _first_rows(samples: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Folds a task's rows (error, ord, url) into one of each message: how many, and the first ``samples`` by ord and url."""
 
-    failed = log.where(F.col("error").isNotNull())
-    first = failed.withColumn("_n", F.row_number().over(Window.partitionBy("error").orderBy("ord"))).where(F.col("_n") <= samples)
-    urls = first.groupBy("error").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "url"))), lambda s: s["url"]), " ").alias("urls"))
-    return failed.groupBy("error").agg(F.count("*").cast("long").alias("n")).join(urls, "error")
+    def given(held: dict[str, list]) -> pa.RecordBatch:
+        rows = [{"error": e, "n": n, "first": [{"ord": o, "url": u} for o, u in first]} for e, (n, first) in held.items()]
+        return pa.RecordBatch.from_pylist(rows, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).sort_by([("error", "ascending"), ("ord", "ascending"), ("url", "ascending")])
+            code = table["error"].combine_chunks().dictionary_encode().indices.to_numpy()
+            begins = np.flatnonzero(np.diff(code, prepend=-1))
+            for start, end in zip(begins.tolist(), [*begins[1:].tolist(), len(code)], strict=True):
+                top = table.slice(start, min(samples, end - start)).to_pylist()
+                known = held.setdefault(top[0]["error"], [0, []])
+                known[0] += end - start
+                known[1] = sorted([*known[1], *[(r["ord"], r["url"]) for r in top]], key=lambda r: (r[0], r[1] is not None, r[1] or ""))[:samples]
+            if len(held) > HELD_MESSAGES:
+                yield given(held)
+                held.clear()
+        yield given(held)
+
+    return run
+
+
+def error_histogram(log: DataFrame, samples: int = 3) -> DataFrame:
+    """Errors by message: their number, and the first URLs by ``ord`` (ties by URL).
+
+    A bounded fold with a map-side part: each task hands on one row of a message, with
+    sorted arrays of ``samples`` rows; these meet in parts and then by message.  No
+    message's rows are ever sorted or held in one task.  Rows need an ``ord``.
+    """
+    shipped(log.sparkSession)
+    failed = log.where(F.col("error").isNotNull() & F.col("ord").isNotNull()).select("error", "ord", "url")
+    kinds = failed.schema
+    schema = T.StructType([kinds["error"], T.StructField("n", T.LongType()), T.StructField("first", T.ArrayType(T.StructType([kinds["ord"], kinds["url"]])))])
+    part = failed.mapInArrow(_first_rows(samples, to_arrow_schema(schema)), schema).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MEETINGS)))
+    for keys in (["error", "part"], ["error"]):
+        part = part.groupBy(*keys).agg(F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("first"))), 1, samples).alias("first"))
+    return part.select("error", "n", F.array_join(F.transform("first", lambda s: s["url"]), " ").alias("urls"))
 
 
 def page_issues(pages: DataFrame) -> DataFrame:

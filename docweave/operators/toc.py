@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions.text import guide_file_name, md_links, with_links
 from docweave.functions.urls import joined_url, link_candidates, relative_path
-from docweave.operators.storage import cut
+from docweave.operators.storage import cut, shared_folder
 
 
 def toc_nodes(files: DataFrame) -> DataFrame:
@@ -34,30 +35,49 @@ def toc_root(nodes: DataFrame) -> DataFrame:
     return roots.agg(F.min_by(row, "ord").alias("r")).select("r.*")
 
 
-def toc_walk(nodes: DataFrame) -> DataFrame:
-    """id, name, url, is_leaf, level, directory, safe, full_path of every node that the root reaches.
+#: What ``toc_walk`` can carry along the way, by column.
+WALKED = ("level", "directory", "full_path")
 
-    Semi-naive: each round joins the nodes of one level to their children and
-    cuts the lineage, so that trees of any depth and number of nodes end.  A node
-    on a cycle is walked once.  ``directory`` joins the file names of the inner
-    nodes above, the root left out; ``full_path`` all names.
+
+def toc_walk(nodes: DataFrame, want: tuple[str, ...] = WALKED) -> DataFrame:
+    """id, name, url, is_leaf, safe and what ``want`` names of every node that the root reaches.
+
+    ``level`` is the number of steps from the root, ``directory`` joins the file
+    names of the inner nodes above, the root left out; ``full_path`` all names.
+    Ids must differ (``toc_nodes`` makes them so).
+
+    By pointer doubling: a node knows an ancestor and what stands between; each
+    round it takes over that ancestor's own, twice as far, until the root is there.
+    So a tree of depth d takes log2(d) rounds of one join.  A node whose ancestor
+    is unknown goes; those that no round can end, as rounds reach farther than
+    there are nodes, are on or below a cycle and go too.
     """
     named = nodes.withColumn("safe", guide_file_name(F.col("name")))
-    children = named.select(F.col("parent_id").alias("above"), *[F.col(c).alias(f"n_{c}") for c in ("id", "name", "url", "is_leaf", "safe")])
-    start = toc_root(named).select("id", "name", "url", "is_leaf", "safe", F.lit(0).alias("level"), F.lit("").alias("directory"), F.lit("").alias("below"), F.col("name").alias("full_path"))
-    walked = cut(start)
-    level, depth = walked, 0
-    while True:
-        depth += 1
-        inner = F.when(F.col("n_is_leaf"), F.col("below")).when(F.col("below") == "", F.col("n_safe")).otherwise(F.concat_ws("/", "below", "n_safe"))
-        step = level.join(children, F.col("id") == F.col("above")).select(
-            F.col("n_id").alias("id"), F.col("n_name").alias("name"), F.col("n_url").alias("url"), F.col("n_is_leaf").alias("is_leaf"), F.col("n_safe").alias("safe"),
-            F.lit(depth).alias("level"), F.col("below").alias("directory"), inner.alias("below"), F.concat(F.col("full_path"), F.lit(" > "), F.col("n_name")).alias("full_path"),
-        )
-        level = cut(step.join(walked.select("id"), "id", "left_anti").select(*walked.columns))
-        if level.isEmpty():
-            return walked.drop("below")
-        walked = walked.unionAll(level)  # of cut tables: one scan a level
+    root = toc_root(named).first()
+    inner = F.when(F.col("is_leaf"), "").otherwise(F.concat(F.lit("/"), "safe"))
+    # What a node adds for those below it, and what stands between it and its pointer (both ends left out).
+    own = {"level": F.lit(1), "directory": inner, "full_path": F.concat(F.lit(" > "), "name")}
+    adds, between = [own[c].alias(f"own_{c}") for c in want], [F.lit(0 if c == "level" else "").alias(c) for c in want]
+    kept = ["id", "name", "url", "is_leaf", "safe"]
+    rows = named.where((F.col("id") != root["id"]) & F.col("parent_id").isNotNull())
+    state = cut(rows.select(*kept, F.col("parent_id").alias("up"), *adds, *between))
+    limit = max(1, state.count()).bit_length()
+    arrived = F.col("up") == root["id"]
+    for _ in range(limit):
+        if state.where(~arrived).isEmpty():
+            break
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"), *[F.col(c).alias(f"_{c}") for c in want], *[F.col(f"own_{c}").alias(f"_own_{c}") for c in want])
+        farther = [(F.col(c) + F.col(f"_own_{c}") + F.col(f"_{c}") if c == "level" else F.concat(f"_{c}", f"_own_{c}", c)).alias(c) for c in want]
+        moved = state.where(~arrived).join(above, "up").select(*kept, F.col("_up").alias("up"), *[f"own_{c}" for c in want], *farther)
+        state = cut(state.where(arrived).unionByName(moved))
+    ends = {
+        "level": F.col("level") + 1,
+        "directory": F.regexp_replace("directory", "^/+", ""),
+        "full_path": F.concat(F.lit(root["name"]), F.col("full_path"), F.lit(" > "), F.col("name")),
+    }
+    begins = {"level": F.lit(0), "directory": F.lit(""), "full_path": F.lit(root["name"])}
+    top = named.where(F.col("id") == root["id"]).limit(1).select(*kept, *[begins[c].alias(c) for c in want])
+    return top.unionByName(state.where(arrived).select(*kept, *[ends[c].alias(c) for c in want]))
 
 
 def rewritten_pages(pages: DataFrame, targets: DataFrame, skip: Callable[[Column], Column]) -> DataFrame:
@@ -86,17 +106,30 @@ def resolve_links(links: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def frontier_closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """All nodes that edges (src, dst) reach from the seeds (node), with the number of steps.
+    """All nodes that edges (src, dst) reach from the seeds (node), with the number of steps; null nodes are none.
 
-    Semi-naive: each round joins only the nodes found in the round before; the
-    lineage is cut each round.
+    Semi-naive: each round joins only the nodes of the round before.  Known nodes
+    are a table in buckets by node to which a round appends its own: what is
+    known is written once and never shuffled again; only what a round finds goes
+    to the buckets.
     """
-    known = cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    fresh, depth = known, 0
-    while True:
-        depth += 1
-        step = fresh.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        fresh = cut(step.join(known.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
-        if fresh.isEmpty():
-            return known
-        known = cut(known.unionAll(fresh))
+    spark = seeds.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"docweave_known_{uuid.uuid4().hex}", f"{shared_folder(spark)}/known-{uuid.uuid4().hex}"
+
+    def append(found: DataFrame, depth: int) -> DataFrame:
+        """The nodes of a round, added to the table and read from there."""
+        rows = found.select("node", F.lit(depth).alias("depth"))
+        rows.write.mode("append").format("parquet").partitionBy("depth").bucketBy(buckets, "node").option("path", path).saveAsTable(name)
+        return spark.table(name).where(F.col("depth") == depth).select("node")
+
+    try:
+        fresh, depth = append(seeds.select("node").where("node is not null").distinct(), 0), 0
+        while not fresh.isEmpty():
+            depth += 1
+            step = fresh.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).where("node is not null").distinct()
+            fresh = append(step.join(spark.table(name).select("node"), "node", "left_anti"), depth)
+        schema = spark.table(name).schema
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay
+    return spark.read.schema(schema).parquet(path)

@@ -206,18 +206,18 @@ _WALK = """WITH RECURSIVE n AS (SELECT *, regexp_replace(regexp_replace(name, '[
 
 @query("toc_paths", _WALK + "SELECT id, CASE WHEN directory = '' THEN safe ELSE directory || '/' || safe END || '.md' AS path FROM w WHERE is_leaf AND url <> ''")
 def toc_paths(spark, sf_dir):
-    walk = toc.toc_walk(base(spark, sf_dir, "toc")).where("is_leaf and url <> ''")
+    walk = toc.toc_walk(base(spark, sf_dir, "toc"), ("directory",)).where("is_leaf and url <> ''")
     return walk.select("id", F.concat(F.when(c("directory") == "", "").otherwise(F.concat("directory", F.lit("/"))), "safe", F.lit(".md")).alias("path"))
 
 
 @query("toc_full_path", _WALK + "SELECT id, full_path FROM w")
 def toc_full_path(spark, sf_dir):
-    return toc.toc_walk(base(spark, sf_dir, "toc")).select("id", "full_path")
+    return toc.toc_walk(base(spark, sf_dir, "toc"), ("full_path",)).select("id", "full_path")
 
 
 @query("toc_outline", _WALK + "SELECT id, CAST(level AS BIGINT) AS level, repeat('  ', level) || name AS line FROM w")
 def toc_outline(spark, sf_dir):
-    return toc.toc_walk(base(spark, sf_dir, "toc")).select("id", c("level").cast("long").alias("level"), F.concat(F.repeat(F.lit("  "), c("level")), "name").alias("line"))
+    return toc.toc_walk(base(spark, sf_dir, "toc"), ("level",)).select("id", c("level").cast("long").alias("level"), F.concat(F.repeat(F.lit("  "), c("level")), "name").alias("line"))
 
 
 @query("toc_leaves", "SELECT id, url FROM [toc] t WHERE is_leaf AND url <> ''")
