@@ -122,24 +122,66 @@ def test_release(spark, tmp_path):
     assert passed("x.zip") == {"version": False, "packages": True, "total size": True} and not passed("y.zip")["packages"]
 
 
-def test_stream_resumes_without_duplicates(spark, tmp_path):
-    landing, log, state, errors, tree = (str(tmp_path / n) for n in ("landing", "log", "state", "errors", "tree"))
+PAGE = ("url", "status_code", "content", "error")
+SITE_URL = "https://docs.example.com/help/api/"
 
-    def land(name, *rows):
+
+@pytest.fixture
+def crawl(spark, tmp_path):
+    """Lands rows of pages in a file and runs the log over what is there; keeps the folders as attributes."""
+
+    def land(name, *rows, state="state"):
         (tmp_path / "landing").mkdir(exist_ok=True)
-        (tmp_path / "landing" / name).write_text("\n".join(json.dumps(dict(zip(("url", "status_code", "content", "error"), r, strict=True))) for r in rows))
-        for query in resume.start_log(resume.landed_pages(spark, landing), log, state, errors, tree):
+        (tmp_path / "landing" / name).write_text("\n".join(json.dumps(dict(zip(PAGE, r, strict=True))) for r in rows))
+        for query in resume.start_log(resume.landed_pages(spark, str(tmp_path / "landing")), land.log, str(tmp_path / state), land.errors, land.tree):
             query.awaitTermination()
+        return {r.url[len(SITE_URL) :]: r for r in readers.read_crawl_log(spark, land.log).collect()}
+
+    land.log, land.errors, land.tree = (str(tmp_path / n) for n in ("log", "errors", "tree"))
+    return land
+
 
-    land("1.json", ("https://docs.example.com/help/api/a.html", 200, "<title>A</title>", None), ("https://docs.example.com/help/api/b.html", 404, None, "HTTP 404"))
-    land("2.json", ("https://docs.example.com/help/api/a.html", 200, "<title>again</title>", None), ("https://docs.example.com/help/api/c.html", 200, "x", None))
-    rows = {r.url[-6:]: r for r in readers.read_crawl_log(spark, log).collect()}
+def page(name, content):
+    return SITE_URL + name, 200, content, None
+
+
+def test_stream_resumes_without_duplicates(spark, tmp_path, crawl):
+    crawl("1.json", page("a.html", "<title>A</title>"), (SITE_URL + "b.html", 404, None, "HTTP 404"))
+    rows = crawl("2.json", page("a.html", "<title>again</title>"), page("c.html", "x"))
     assert {u: r.title for u, r in rows.items()} == {"a.html": "A", "c.html": "Untitled"}
     assert rows["a.html"].file_path == "a.html" and rows["a.html"].content_length == 16
-    assert [(r.url[-6:], r.error) for r in spark.read.schema(readers.CRAWL_ERRORS).json(errors).collect()] == [("b.html", "HTTP 404")]
+    assert [(r.url[-6:], r.error) for r in spark.read.schema(readers.CRAWL_ERRORS).json(crawl.errors).collect()] == [("b.html", "HTTP 404")]
     assert (tmp_path / "tree/a.html").read_text() == "<title>A</title>"
-    # A batch that is repeated after a crash replaces its own rows.
-    again = spark.read.schema(readers.CRAWL_LOG).json(f"{log}/batch=0")
-    again.cache().count()
-    again.write.mode("overwrite").json(f"{log}/batch=0")
-    assert readers.read_crawl_log(spark, log).count() == 2
+
+
+def test_stream_keeps_the_first_page_of_a_url(spark, crawl):
+    pages = [page(f"p{i % 5}.html", f"<title>{i}</title>") for i in range(40)]
+    rows = crawl("1.json", *pages)
+    assert {u: r.title for u, r in rows.items()} == {f"p{i}.html": str(i) for i in range(5)}
+    assert readers.read_crawl_log(spark, crawl.log).count() == 5
+
+
+def test_stream_goes_on_from_the_log_without_its_checkpoint(spark, tmp_path, crawl):
+    crawl("1.json", page("a.html", "<title>A</title>"), page("b.html", "<title>B</title>"))
+    # A new checkpoint sees all that has landed again; the log's URLs are known to it, and its rows stay.
+    rows = crawl("2.json", page("b.html", "<title>other</title>"), page("c.html", "<title>C</title>"), state="new")
+    assert {u: r.title for u, r in rows.items()} == {"a.html": "A", "b.html": "B", "c.html": "C"}
+    crawl("3.json", page("c.html", "<title>other</title>"), page("d.html", "<title>D</title>"), state="new")
+    assert readers.read_crawl_log(spark, crawl.log).count() == 4
+    assert (tmp_path / "tree/b.html").read_text() == "<title>B</title>"
+
+
+def test_stream_replays_a_batch_that_failed(spark, monkeypatch, crawl):
+    write = resume.write_tree
+
+    def failing(*args):
+        write(*args)
+        raise OSError("the driver is lost")
+
+    monkeypatch.setattr(resume, "write_tree", failing)
+    with pytest.raises(Exception, match="the driver is lost"):
+        crawl("1.json", page("a.html", "<title>A</title>"))
+    monkeypatch.setattr(resume, "write_tree", write)
+    rows = crawl("2.json", page("a.html", "<title>late</title>"), page("b.html", "<title>B</title>"))
+    assert {u: r.title for u, r in rows.items()} == {"a.html": "A", "b.html": "B"}
+    assert readers.read_crawl_log(spark, crawl.log).count() == 2
