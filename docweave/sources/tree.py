@@ -1,4 +1,4 @@
-"""A small element tree over the standard library's HTML tokeniser, and what reads it.
+"""A small element tree over the tokens of a page, and what reads it.
 
 Unclosed tags stay open until an enclosing end tag closes them, so what follows
 an unclosed paragraph is inside it.
@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+
+from docweave.sources.tokens import tokens
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -35,35 +36,22 @@ class Node:
         return "".join(c if isinstance(c, str) else line_break if c.tag == "br" else c.text(line_break) for c in self.children)
 
 
-class _Builder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__()
-        self.top = Node("", {})
-        self.open = [self.top]
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
-        if tag not in VOID:
-            self.open.append(node)
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
-
-    def handle_endtag(self, tag: str) -> None:
-        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag == tag), 0)
-        if at:
-            del self.open[at:]
-
-    def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
-
-
 def tree(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.top
+    top = Node("", {})
+    opened = [top]
+    for balance, tag, text, attrs, empty in tokens(html):
+        if not balance:
+            opened[-1].children.append(text)
+        elif balance > 0:
+            node = Node(tag, attrs)
+            opened[-1].children.append(node)
+            if not empty and tag not in VOID:
+                opened.append(node)
+        elif not empty:
+            at = next((i for i in range(len(opened) - 1, 0, -1) if opened[i].tag == tag), 0)
+            if at:
+                del opened[at:]
+    return top
 
 
 def _code_lines(node: Node) -> str:
