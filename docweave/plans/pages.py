@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docweave.functions import text, urls
-from docweave.operators import quality, toc
+from docweave.operators import guide, quality, toc
 from docweave.plans.base import base
 from docweave.plans.registry import query
 from docweave.sources import html as parsers
@@ -276,3 +276,23 @@ def frontier_closure(spark, sf_dir):
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     edges = suppliers.select(c("s_suppkey").alias("src"), ((c("s_suppkey") * 7 + 3) % 97).alias("dst")).distinct()
     return toc.frontier_closure(spark.range(1).select(c("id").alias("node")), edges).select("node")
+
+
+def guide_relations(spark, sf_dir):
+    """A table of contents of the crawled pages, by language, and the pages at URLs that others' links lead to."""
+    own = F.regexp_extract("html", r'<a href="(/[^"/]+)"', 1)
+    lang = F.coalesce(F.nullif(F.regexp_extract("html", r'<html lang="([^"]+)"', 1), F.lit("")), F.lit("other"))
+    title = F.coalesce(F.nullif(text.utrim(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("")), F.lit("Untitled"))
+    found = pages(spark, sf_dir).where("html is not null").select("page_id", "html", own.alias("url"), lang.alias("lang"), title.alias("title")).where("url <> ''")
+    folders = found.select("lang").distinct().select(F.lit(1).alias("ord"), F.concat(F.lit("1."), "lang").alias("id"), F.lit("1").alias("parent_id"), F.concat(F.lit("Pages: "), "lang").alias("name"), F.lit("").alias("url"), F.lit(False).alias("is_leaf"))
+    root = spark.range(1).select(F.lit(0).alias("ord"), F.lit("1").alias("id"), F.lit("-1").alias("parent_id"), F.lit("Root").alias("name"), F.lit("").alias("url"), F.lit(False).alias("is_leaf"))
+    number = F.lpad(c("page_id").cast("string"), 12, "0")
+    leaves = found.select(F.lit(2).alias("ord"), F.concat(F.lit("1."), "lang", F.lit("."), number).alias("id"), F.concat(F.lit("1."), "lang").alias("parent_id"), c("title").alias("name"), "url", F.lit(True).alias("is_leaf"))
+    return root.unionAll(folders).unionAll(leaves), found.select(F.concat(F.lit(B), "url").alias("url"), "html", c("page_id").alias("ord"))
+
+
+@query("guide_chain")
+def guide_chain(spark, sf_dir):
+    """Crawled pages as the files of a guide: converted, placed by the table of contents, links rewritten."""
+    nodes, crawled = guide_relations(spark, sf_dir)
+    return guide.guide_tree(nodes, crawled).select("path", "url", "rewritten", F.md5("content").alias("content_md5"))
