@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -132,28 +136,51 @@ def member_summary(kind: Column, name: Column, summary: Column) -> Column:
     return F.when(some(summary), summary).otherwise(placeholder)
 
 
-#: A tag with quoted attributes, and the entities that XML knows.
-_TAG = r"""<(/?)([A-Za-z_][\w.:-]*)((?:\s+[\w.:-]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*)\s*(/?)>"""
-_ENTITY = r"&(?:amp|lt|gt|quot|apos|#\d+|#x[0-9A-Fa-f]+);"
+#: What a text without brackets and ampersands may still not have in XML: a section's end, and characters that XML lacks.
+_NOT_XML = r"\]\]>|[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
+
+
+@cache
+def _checker(each: bool) -> Callable[..., Column]:
+    """A vectorised check of fragments by an incremental XML parser that knows namespaces; null where there is nothing to check."""
+
+    def check(texts: pd.Series) -> pd.Series:
+        from xml.parsers import expat  # here, as executors get this function by value
+
+        def parses(text: str | None) -> bool | None:
+            if text is None:
+                return None
+            parser = expat.ParserCreate(namespace_separator=" ")
+            try:
+                for piece, last in (("<r>", False), (text, False), ("</r>", True)):
+                    parser.Parse(piece, last)
+            except (expat.ExpatError, UnicodeEncodeError):
+                return False
+            return True
+
+        return pd.Series([([parses(x) for x in t] if t is not None else None) if each else parses(t) for t in texts], dtype=object)
+
+    return F.pandas_udf(check, "array<boolean>" if each else "boolean")
+
+
+def _marked(value: Column) -> Column:
+    """The text where only a parser can tell whether it is XML; null elsewhere, so that it isn't sent to one."""
+    return F.when(value.rlike("[<&]"), value)
 
 
 def well_formed(value: Column) -> Column:
-    """Whether a text is an XML fragment: every tag closed in order, no stray bracket or ampersand."""
-    rest = F.regexp_replace(F.regexp_replace(value, _ENTITY, ""), _TAG, "")
+    """Whether a text is an XML fragment, as a parser takes it: tags, attributes, prefixes, references, comments, sections."""
+    return F.coalesce(_checker(False)(_marked(value)), ~value.rlike(_NOT_XML))
 
-    def step(stack: Column, tag: Column) -> Column:
-        name = F.regexp_extract(tag, r"^</?([\w.:-]+)", 1)
-        top = F.get(stack, F.size(stack) - 1)
-        closed = F.when(top == name, F.slice(stack, 1, F.size(stack) - 1)).otherwise(F.concat(stack, F.array(F.lit("!"))))
-        return F.when(tag.endswith("/>"), stack).when(tag.startswith("</"), closed).otherwise(F.concat(stack, F.array(name)))
 
-    open_tags = F.aggregate(F.regexp_extract_all(value, F.lit(_TAG), 0), F.array().cast("array<string>"), step)
-    return ~rest.contains("<") & ~rest.contains("&") & ~rest.contains("]]>") & (F.size(open_tags) == 0)
+def well_formed_each(values: Column) -> Column:
+    """``well_formed`` of each text of an array."""
+    return F.zip_with(_checker(True)(F.transform(values, _marked)), values, lambda parsed, v: F.coalesce(parsed, ~v.rlike(_NOT_XML)))
 
 
-def xml_content(value: Column) -> Column:
-    """Text as the content of an element: fragments stay as they are, anything else is escaped whole."""
-    return F.when(well_formed(value), value).otherwise(escaped(value))
+def xml_content(value: Column, fits: Column | None = None) -> Column:
+    """Text as the content of an element: fragments (``fits``) stay as they are, anything else is escaped whole."""
+    return F.when(well_formed(value) if fits is None else fits, value).otherwise(escaped(value))
 
 
 def xml_code(code: Column) -> Column:
@@ -181,7 +208,9 @@ def xml_type(doc_id: Column, description: Column, remarks: Column, examples: Col
 def xml_member(doc_id: Column, kind: Column, name: Column, summary: Column, params: Column, result: Column, remarks: Column, availability: Column | None = None) -> Column:
     """One <member> element: summary, params, value or returns, remarks, availability, in this order."""
     tag = F.when(kind == "property", "value").otherwise("returns")
-    listed = F.transform(params, lambda p: F.concat(F.lit('<param name="'), escaped(p["name"]), F.lit('">'), xml_content(F.coalesce(p["description"], F.lit(""))), F.lit("</param>")))
+    about = F.transform(params, lambda p: F.coalesce(p["description"], F.lit("")))
+    inner = F.zip_with(about, well_formed_each(about), xml_content)
+    listed = F.zip_with(params, inner, lambda p, x: F.concat(F.lit('<param name="'), escaped(p["name"]), F.lit('">'), x, F.lit("</param>")))
     available = F.lit("") if availability is None else F.when(some(availability), F.concat(F.lit("<availability>"), escaped(availability), F.lit("</availability>"))).otherwise("")
     text = F.when(some(summary), xml_content(summary)).otherwise(escaped(member_summary(kind, name, summary)))
     return F.concat(

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -122,23 +124,48 @@ def test_relative_paths_lead_back(spark):
 FRAGMENTS = [
     "plain", "a < b", "a & b", "a &amp; b &#65; &#x41;", '<see cref="A.B">B</see> and <see cref="C" />', "<b>open", "</b>", "<b><i>crossed</b></i>", "<b><i>nested</i></b>", "x <T> y", "List<int> of <T></T></int>",
     "a ]]> b", "<a b=c>x</a>", "<a b='c'/>", "<a><!-- c --></a>", "&nbsp;", "1 << 2", "<a>\n</a>\n", "é <b>ü</b>", "<a></a><a></a>", "<a/><b>", "",
+    "</r><r>", "<!-- a -- b -->", "<![CDATA[ <x> & ]]>", "<![CDATA[ open", "<a x='1' x='2'/>", "<p:a/>", "<p:a xmlns:p='u'/>", "<a p:x='1'/>", "<a xmlns:p='u' xmlns:q='u' p:x='1' q:x='2'/>", "<?pi x?>", "<?xml version='1.0'?>",
+    "<a b='<'/>", "<a b='&lt;'/>", "&#0;", "&#x1F600;", "\x01", "a\ufffeb", "\ufffe", "<!DOCTYPE x>", "<a b='1'c='2'/>", "<1/>", "< a/>", "<a/ >", "<xml:b/>", "]]", "<a>]]></a>", "<a\tb='\n'/>", "&#xD;", "<é ü='1'/>",
 ]
+PIECES = ["<a>", "</a>", "<b x='1'>", "</b>", "<c/>", "<p:a>", "</p:a>", "<p:a xmlns:p='u'>", "<a x='1' x='1'/>", "<a x='1' y=\"2\"/>", "<!-- c -->", "<!--", "-->", "<![CDATA[", "]]>", "&amp;", "&", "&#65;", "&x;", "<", ">", "text ", "é", "<?t d?>", "\x02", "'", '"']
 
 
-def test_fragments_as_a_parser_takes_them(spark):
+def parsed(text):
     import xml.etree.ElementTree as ET
 
-    def parsed(text):
-        try:
-            return ET.fromstring(f"<r>{text}</r>")
-        except ET.ParseError:
-            return None
+    try:
+        return ET.fromstring(f"<r>{text}</r>")
+    except ET.ParseError:
+        return None
 
-    rows = spark.createDataFrame([(f,) for f in FRAGMENTS], "f string").select("f", render.well_formed(F.col("f")).alias("ok"), render.xml_content(F.col("f")).alias("x")).collect()
+
+def test_fragments_as_a_parser_takes_them(spark):
+    random.seed(8)
+    texts = FRAGMENTS + ["".join(random.choices(PIECES, k=random.randint(1, 6))) for _ in range(10_000)]
+    rows = spark.createDataFrame([(f,) for f in texts], "f string").select("f", render.well_formed(c("f")).alias("ok"), render.xml_content(c("f")).alias("x"), render.well_formed_each(F.array("f", F.lit("<a/>"))).alias("each")).collect()
+    assert len(rows) == len(texts)
     for r in rows:
-        known = parsed(r.f) if "<!--" not in r.f else None  # comments are escaped with the rest
+        known = parsed(r.f)
         assert r.ok == (known is not None), r.f
-        assert "".join(parsed(r.x).itertext()) == ("".join(known.itertext()) if known is not None else r.f)
+        assert r.each == [r.ok, True]
+        if "\x01" not in r.f and "\x02" not in r.f and "\ufffe" not in r.f:
+            assert "".join(parsed(r.x).itertext()) == ("".join(known.itertext()) if known is not None else r.f)
+    assert 1000 < sum(r.ok for r in rows) < 9000
+
+
+def test_nothing_is_sent_to_the_parser_without_markup(spark):
+    frame = spark.createDataFrame([("plain ]]> text",), (None,)], "f string")
+    assert [r.ok for r in frame.select(render.well_formed(c("f")).alias("ok")).collect()] == [False, None]
+    assert frame.select(render._marked(c("f")).alias("m")).where("m is not null").count() == 0
+
+
+def test_parameters_in_xml(spark):
+    params = [("a", "see <see cref='T'/>"), ("b<T>", "1 < 2"), ("c", None)]
+    frame = spark.createDataFrame([(params,), ([],)], "p array<struct<name:string,description:string>>")
+    none = F.lit("")
+    made = [r.x for r in frame.select(render.xml_member(F.lit("M:T.M"), F.lit("method"), F.lit("M"), F.lit("Does."), c("p"), none, none).alias("x")).collect()]
+    assert made[0] == """<member name="M:T.M"><summary>Does.</summary><param name="a">see <see cref='T'/></param><param name="b&lt;T&gt;">1 &lt; 2</param><param name="c"></param></member>"""
+    assert made[1] == '<member name="M:T.M"><summary>Does.</summary></member>'
 
 
 def test_examples_in_xml(one):
