@@ -223,19 +223,14 @@ def xml_member(doc_id: Column, kind: Column, name: Column, summary: Column, para
     )
 
 
-def xml_doc(assembly: Column, members: Column) -> Column:
-    """A whole XML-doc file from the <member> elements of an assembly in order."""
-    listed = F.transform(members, lambda m: F.concat(F.lit("    "), m))
-    return F.concat(
-        F.lit('<?xml version="1.0" ?>\n<doc>\n  <assembly>\n    <name>'), escaped(assembly), F.lit("</name>\n  </assembly>\n  <members>\n"), F.array_join(listed, "\n"), F.lit("\n  </members>\n</doc>\n")
-    )
+def xml_doc_head(assembly: Column) -> Column:
+    """What stands before the <member> elements of an XML-doc file; each of them is a line, indented by four."""
+    return F.concat(F.lit('<?xml version="1.0" ?>\n<doc>\n  <assembly>\n    <name>'), escaped(assembly), F.lit("</name>\n  </assembly>\n  <members>\n"))
+
+
+XML_DOC_FOOT = "  </members>\n</doc>\n"
 
 
 def index_entry(type_name: Column, is_enum: Column) -> Column:
     """A list item that links to the overview of a type."""
     return F.concat(F.lit("- ["), type_name, F.lit("](../"), F.when(is_enum, "enums").otherwise("types"), F.lit("/"), type_name, F.lit("/_overview.md)"))
-
-
-def index_page(title: str, about: str, sections: Column) -> Column:
-    """An index page: its head, and the lines of its sections in order."""
-    return F.array_join(F.concat(F.array(F.lit(f"# {title}\n"), F.lit(f"{about}\n")), F.flatten(sections)), "\n")

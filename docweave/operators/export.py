@@ -1,16 +1,20 @@
 """Trees of files: rows of (path, content, ord) for the ``filetree`` sink, and files of a whole corpus.
 
 Where two rows have one path, the later by ``ord`` is the one that a sink writes
-(``last_of_path``).  Only whole files that are one by nature (an assembly's XML
-docs, an index) are gathered by key.
+(``last_of_path``).  Files that are one by nature (an assembly's XML docs, an index)
+are rows of parts (path, ord, part), which the sink streams to them in order.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import names, render, text, urls
+from docweave.operators.storage import cut
+from docweave.sources import filetree
 
 _FILE = ["path", "content", "ord"]
 
@@ -65,47 +69,55 @@ def guide_files(walk: DataFrame, pages: DataFrame) -> DataFrame:
     return leaves.join(pages, "url").select("path", F.col("markdown").alias("content"), "ord")
 
 
-def assembly_docs(fragments: DataFrame) -> DataFrame:
-    """One XML-doc file an assembly: path and content; fragments: assembly, ord (of any type that sorts), fragment."""
-    listed = F.array_sort(F.collect_list(F.struct("ord", "fragment")))["fragment"]
-    return fragments.groupBy("assembly").agg(listed.alias("m")).select(F.concat("assembly", F.lit(".xml")).alias("path"), render.xml_doc(F.col("assembly"), F.col("m")).alias("content"))
+def assembly_doc_parts(fragments: DataFrame) -> DataFrame:
+    """One XML-doc file an assembly, as parts; fragments: assembly, ord (of any type that sorts), fragment."""
+    path, kind = F.concat("assembly", F.lit(".xml")).alias("path"), fragments.schema["ord"].dataType
+    edges = F.array(F.struct(F.lit(0).alias("r"), render.xml_doc_head(F.col("assembly")).alias("part")), F.struct(F.lit(2).alias("r"), F.lit(render.XML_DOC_FOOT).alias("part")))
+    around = fragments.select("assembly").distinct().select(path, F.explode(edges).alias("e")).select("path", F.struct("e.r", F.lit(None).cast(kind).alias("o")).alias("ord"), "e.part")
+    inner = fragments.select(path, F.struct(F.lit(1).alias("r"), F.col("ord").alias("o")).alias("ord"), F.concat(F.lit("    "), "fragment", F.lit("\n")).alias("part"))
+    return around.unionAll(inner)
 
 
-def _sections(types: DataFrame, key: Column, last: Column, lines: Column) -> DataFrame:
-    """Types by group: name (k), whether it comes last (z), numbers, and each type's lines by name (t)."""
-    return types.groupBy(key.alias("k"), last.alias("z")).agg(
-        F.count("*").alias("n"), F.count_if(F.col("is_enum")).alias("enums"), F.array_sort(F.collect_list(F.struct("type_name", "fqn", lines.alias("lines")))).alias("t")
-    )
+def _index_parts(types: DataFrame, key: Column, last: Column, head: Column, lines: Column, name: str, title: str, about: str) -> DataFrame:
+    """api/index/<name>.md as parts: sections by name (those marked ``last`` behind the others), each with its types by name.
+
+    ``head``: the lines of a section, over its numbers n and enums; ``lines``: those of a type.
+    """
+    keyed = types.select(key.alias("k"), last.alias("z"), "type_name", "fqn", "is_enum", lines.alias("lines"))
+    sections = keyed.groupBy("k", "z").agg(F.count("*").alias("n"), F.count_if("is_enum").alias("enums"))
 
+    def parts(df: DataFrame, rank: Column, part: Column, first: bool = False) -> DataFrame:
+        at = {"z": F.col("z"), "k": F.col("k"), "r": rank, "t": F.lit(""), "f": F.lit("")} if not first else {"z": F.lit(False), "k": F.lit(""), "r": rank, "t": F.lit(""), "f": F.lit("")}
+        if "type_name" in df.columns:
+            at |= {"t": F.col("type_name"), "f": F.col("fqn")}
+        order = F.struct(F.lit(0 if first else 1).alias("s"), *[c.alias(n) for n, c in at.items()])
+        return df.select(F.lit(f"api/index/{name}.md").alias("path"), order.alias("ord"), part.alias("part"))
 
-def category_index(types: DataFrame) -> DataFrame:
+    top = parts(types.sparkSession.range(1), F.lit(0), F.lit(f"# {title}\n\n{about}\n"), first=True)
+    around = sections.select("*", F.posexplode(F.array(F.concat(F.lit("\n"), F.array_join(head, "\n")), F.lit("\n"))).alias("at", "part"))
+    inner = parts(keyed, F.lit(1), F.concat(F.lit("\n"), F.array_join("lines", "\n")))
+    return top.unionAll(parts(around, F.col("at") * 2, F.col("part"))).unionAll(inner)
+
+
+def category_index_parts(types: DataFrame) -> DataFrame:
     """api/index/by_category.md: types by category, those without one last."""
     entry = render.index_entry(F.col("type_name"), F.col("is_enum"))
     about = F.when(F.col("category").isNotNull() & render.some(F.col("description")), F.concat(F.lit(" - "), text.truncate_description(F.col("description"))))
     lines = F.when(F.col("category").isNull(), F.array(F.concat(entry, F.lit("\n")))).otherwise(F.array_compact(F.array(entry, about, F.lit("\n"))))
-    grouped = _sections(types, F.coalesce("category", F.lit("Uncategorized")), F.col("category").isNull(), lines)
     head = F.array(F.concat(F.lit("## "), "k", F.lit("\n")), F.concat(F.lit("**"), F.col("n").cast("string"), F.lit(" types**\n")))
-    whole = F.concat(head, F.flatten(F.col("t")["lines"]), F.array(F.lit("")))
-    return _page(grouped, whole, "by_category", "API Types by Functional Category", "This index organizes all API types by their functional categories.")
+    return _index_parts(types, F.coalesce("category", F.lit("Uncategorized")), F.col("category").isNull(), head, lines, "by_category", "API Types by Functional Category", "This index organizes all API types by their functional categories.")
 
 
-def assembly_index(types: DataFrame) -> DataFrame:
+def assembly_index_parts(types: DataFrame) -> DataFrame:
     """api/index/by_assembly.md: types by assembly, with the numbers of their members."""
     counts = F.when(F.col("is_enum"), " (enum)\n").otherwise(F.concat(F.lit(" ("), F.col("n_properties").cast("string"), F.lit(" props, "), F.col("n_methods").cast("string"), F.lit(" methods)\n")))
-    grouped = _sections(types, F.col("assembly"), F.lit(False), F.array(F.concat(render.index_entry(F.col("type_name"), F.col("is_enum")), counts)))
+    lines = F.array(F.concat(render.index_entry(F.col("type_name"), F.col("is_enum")), counts))
     number = lambda label, n: F.concat(F.lit(f"- **{label}**: "), n.cast("string"), F.lit("\n"))
     head = F.array(
         F.concat(F.lit("## "), "k", F.lit("\n")), F.concat(F.lit("**"), F.col("n").cast("string"), F.lit(" types**\n")),
         number("Regular Types", F.col("n") - F.col("enums")), F.concat(number("Enumerations", F.col("enums")), F.lit("\n")),
     )
-    whole = F.concat(head, F.flatten(F.col("t")["lines"]), F.array(F.lit("")))
-    return _page(grouped, whole, "by_assembly", "API Types by Assembly", "This index organizes all API types by their .NET assembly.")
-
-
-def _page(grouped: DataFrame, whole: Column, name: str, title: str, about: str) -> DataFrame:
-    """The index as one file: its sections in the order of their names, the one without a name last."""
-    sections = F.array_sort(F.collect_list(F.struct("z", "k", whole.alias("s"))))["s"]
-    return grouped.agg(sections.alias("sections")).select(F.lit(f"api/index/{name}.md").alias("path"), render.index_page(title, about, F.col("sections")).alias("content"))
+    return _index_parts(types, F.col("assembly"), F.lit(False), head, lines, "by_assembly", "API Types by Assembly", "This index organizes all API types by their .NET assembly.")
 
 
 def statistics_page(types: DataFrame, largest: int = 20) -> DataFrame:
@@ -155,11 +167,12 @@ References to types and members stand in double brackets.
 """
 
 
-def readme_file(types: DataFrame, examples: DataFrame, files: DataFrame, title: str) -> DataFrame:
-    """README.md of an export, with the numbers of what is in it; thousands are set apart by commas."""
+def readme_file(types: DataFrame, examples: DataFrame, files: DataFrame | int, title: str) -> DataFrame:
+    """README.md of an export, with the numbers of what is in it; ``files``: the other files, or their number."""
     c, number = F.col, lambda n: F.format_number(n, 0)
     totals = types.agg(F.count_if(~c("is_enum")).alias("t"), F.count_if("is_enum").alias("e"), F.coalesce(F.sum(F.when(~c("is_enum"), c("n_properties") + c("n_methods"))), F.lit(0)).alias("m"))
-    ones = totals.crossJoin(examples.agg(F.count("*").alias("x"))).crossJoin(files.agg(F.count("*").alias("f")))  # one row each
+    ones = totals.crossJoin(examples.agg(F.count("*").alias("x")))  # one row each
+    ones = ones.withColumn("f", F.lit(files).cast("long")) if isinstance(files, int) else ones.crossJoin(files.agg(F.count("*").alias("f")))
     counts = F.format_string("**Stats**: %s types, %s enums, %s members, %s examples (%s files)\n", number(c("t")), number(c("e")), number(c("m")), number(c("x")), number(c("f")))
     return ones.select(F.lit("README.md").alias("path"), F.concat(F.lit(f"# {title}\n\n"), counts, F.lit(README)).alias("content"))
 
@@ -185,12 +198,38 @@ def crawl_manifest(site: urls.Site, source: str | None = None, obey_robots: bool
     return {"base_url": site.base, "boundary": site.root, "obey_robots": str(obey_robots and source is None).lower(), "download_delay": str(delay), **listed}
 
 
-def whole_export(types: DataFrame, members: DataFrame, enum_members: DataFrame, examples: DataFrame, example_categories: DataFrame, guide: DataFrame, title: str) -> DataFrame:
-    """All files of an export (path, content): API, indexes, examples, guide below docs/, README with their number."""
-    placed = guide.select(F.concat(F.lit("docs/"), "path").alias("path"), "content", F.col("ord").cast("string").alias("ord"))
-    trees = [last_of_path(api_files(types, members, enum_members)), last_of_path(example_files(examples, example_categories)), last_of_path(placed)]
-    pages = [category_index(types), assembly_index(types), statistics_page(types)]
-    files = trees[0]
-    for more in [*trees[1:], *pages]:
-        files = files.unionByName(more)
-    return files.unionByName(readme_file(types, examples, files, title))
+@dataclass(frozen=True)
+class Export:
+    """What a whole export is made of: the relations of ``api_files``, ``example_files`` and ``guide_files``."""
+
+    types: DataFrame
+    members: DataFrame
+    enum_members: DataFrame
+    examples: DataFrame
+    example_categories: DataFrame
+    guide: DataFrame
+    title: str
+
+    def trees(self) -> DataFrame:
+        """path and content of API, examples, guide (below docs/) and statistics."""
+        placed = self.guide.select(F.concat(F.lit("docs/"), "path").alias("path"), "content", F.col("ord").cast("string").alias("ord"))
+        trees = [last_of_path(f) for f in (api_files(self.types, self.members, self.enum_members), example_files(self.examples, self.example_categories), placed)]
+        return trees[0].unionByName(trees[1]).unionByName(trees[2]).unionByName(statistics_page(self.types))
+
+    def parts(self) -> DataFrame:
+        """The indexes as parts."""
+        return category_index_parts(self.types).unionAll(assembly_index_parts(self.types))
+
+    def listing(self) -> DataFrame:
+        """path, n_bytes and content_md5 of all files, README included; they are made once, and their digests stored to be counted."""
+        made = cut(filetree.listed(self.trees()).unionAll(filetree.digested(self.parts())))
+        return made.unionAll(filetree.listed(readme_file(self.types, self.examples, made, self.title)))
+
+    def write(self, root: str) -> int:
+        """Write the export afresh below ``root``; the number of its files.  The README takes the others' number from the sink."""
+        filetree.write_tree(self.trees(), root, mode="overwrite")
+        n = filetree.files_written(root)
+        filetree.write_parts(self.parts(), root)
+        n += filetree.files_written(root)
+        filetree.write_tree(readme_file(self.types, self.examples, n, self.title), root)
+        return n + 1

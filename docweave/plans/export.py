@@ -11,6 +11,7 @@ from docweave.plans import pages  # noqa: F401  (registers toc_paths)
 from docweave.plans.base import base
 from docweave.plans.facts import _CATEGORISED, _ENRICHED, _ENTRY, _EXAMPLE_CAT, _FULL, _NL, _XML_REMARKS, c, categorised, enrich_members, example_categories, full_types, n
 from docweave.plans.registry import ORACLES, query
+from docweave.sources import filetree
 
 _NO_PARAMS = "array<struct<name:string,description:string>>"
 
@@ -83,16 +84,6 @@ def export_type_pages(spark, sf_dir):
     return export.last_of_path(export.type_files(types, members)).select("path", F.md5("content").alias("content_md5"))
 
 
-@query("export_whole_tree", f"""SELECT split_part(path, '/', 1) AS top, count(*) AS files FROM (
-  SELECT path FROM {_API} a UNION ALL SELECT path FROM {_EXAMPLES} x UNION ALL SELECT 'docs/' || path FROM ({_GUIDE}) g
-  UNION ALL SELECT unnest(['api/index/by_category.md', 'api/index/by_assembly.md', 'api/index/statistics.md', 'README.md'])) GROUP BY 1""")
-def export_whole_tree(spark, sf_dir):
-    """An export with all its parts, by top directory."""
-    members = enrich_members(spark, sf_dir).withColumn("params", F.array().cast(_NO_PARAMS))
-    files = export.whole_export(full_types(spark, sf_dir), members, enum_values(spark, sf_dir), base(spark, sf_dir, "examples"), example_categories(spark, sf_dir), guide_files(spark, sf_dir), "Reference")
-    return files.groupBy(F.split_part("path", F.lit("/"), F.lit(1)).alias("top")).agg(n().alias("files"))
-
-
 @query("stats_file", """SELECT 'crawl_stats.json' AS path, CAST(count(*) AS STRING) AS total, CAST(count(*) FILTER (WHERE error IS NULL) AS STRING) AS successful FROM [crawl_log] l""")
 def stats_file(spark, sf_dir):
     """The statistics of a crawl as a JSON file, and read back from it."""
@@ -143,7 +134,7 @@ def xml_fragments(spark, sf_dir) -> DataFrame:
 )
 def export_xmldoc_files(spark, sf_dir):
     """One XML-doc file an assembly: types with their C# examples, properties, methods, values."""
-    return export.assembly_docs(xml_fragments(spark, sf_dir)).select("path", F.md5("content").alias("content_md5"))
+    return filetree.digested(export.assembly_doc_parts(xml_fragments(spark, sf_dir))).select("path", "content_md5")
 
 
 @query("example_exact", "SELECT r.ord, md5(e.content) AS content_md5 FROM [example_refs] r LEFT JOIN [examples] e ON e.url = r.url")
@@ -166,7 +157,7 @@ _SECTION = f"'## ' || k || {_NL} || {_NL} || '**' || CAST(n AS STRING) || ' type
            FROM {_CATEGORISED} t GROUP BY 1, 2))""",
 )
 def index_by_category(spark, sf_dir):
-    return export.category_index(categorised(spark, sf_dir))
+    return filetree.gathered(export.category_index_parts(categorised(spark, sf_dir)))
 
 
 @query(
@@ -178,7 +169,7 @@ def index_by_category(spark, sf_dir):
            FROM {_FULL} t GROUP BY 1))""",
 )
 def index_by_assembly(spark, sf_dir):
-    return export.assembly_index(full_types(spark, sf_dir))
+    return filetree.gathered(export.assembly_index_parts(full_types(spark, sf_dir)))
 
 
 def _item(label: str, value: str, mark: str = "- **{}**: ") -> str:
@@ -208,12 +199,14 @@ def index_statistics(spark, sf_dir):
     return export.statistics_page(full_types(spark, sf_dir))
 
 
-@query(
-    "export_readme",
-    f"""SELECT 'README.md' AS path, '**Stats**: ' || format('{{:,}}', count(*) FILTER (WHERE NOT is_enum)) || ' types, ' || format('{{:,}}', count(*) FILTER (WHERE is_enum)) || ' enums, '
-        || format('{{:,}}', CAST(coalesce(sum(n_properties + n_methods) FILTER (WHERE NOT is_enum), 0) AS BIGINT)) || ' members, ' || format('{{:,}}', (SELECT count(*) FROM [examples] e)) || ' examples ('
-        || format('{{:,}}', (SELECT count(*) FROM {_EXAMPLES} x)) || ' files)' AS stats FROM {_FULL} t""",
-)
+def _stats_sql(files: str) -> str:
+    """The README's line of numbers, over the types and the number of files."""
+    count = lambda n: f"format('{{:,}}', {n})"
+    return f"""'**Stats**: ' || {count('count(*) FILTER (WHERE NOT is_enum)')} || ' types, ' || {count('count(*) FILTER (WHERE is_enum)')} || ' enums, '
+        || {count('CAST(coalesce(sum(n_properties + n_methods) FILTER (WHERE NOT is_enum), 0) AS BIGINT)')} || ' members, ' || {count('(SELECT count(*) FROM [examples] e)')} || ' examples (' || {count(files)} || ' files)'"""
+
+
+@query("export_readme", f"SELECT 'README.md' AS path, {_stats_sql(f'(SELECT count(*) FROM {_EXAMPLES} x)')} AS stats FROM {_FULL} t")
 def export_readme(spark, sf_dir):
     """The README's line of numbers; the rest is fixed text."""
     files = export.last_of_path(example_files(spark, sf_dir))
@@ -221,6 +214,28 @@ def export_readme(spark, sf_dir):
     return page.select("path", F.get(F.split("content", "\n"), F.lit(2)).alias("stats"))
 
 
+_TITLE = "Reference"
+_EXPORTED = f"""(SELECT path, content FROM {_API} a UNION ALL SELECT path, content FROM {_EXAMPLES} x
+  UNION ALL SELECT 'docs/' || path, '# ' || name || chr(10) FROM ({_GUIDE}) g JOIN [toc] t USING (url)
+  UNION ALL SELECT path, content FROM ({ORACLES['index_by_category']}) c UNION ALL SELECT path, content FROM ({ORACLES['index_by_assembly']}) b UNION ALL SELECT path, content FROM ({ORACLES['index_statistics']}) s)"""
+_WHOLE = f"""(SELECT path, content FROM {_EXPORTED} e
+  UNION ALL SELECT 'README.md', '# {_TITLE}' || {_NL} || {_NL} || {_stats_sql(f'(SELECT count(*) FROM {_EXPORTED} x)')} || {_NL} || '{export.README}' FROM {_FULL} t)"""
+
+
+def whole_export(spark, sf_dir) -> export.Export:
+    members = enrich_members(spark, sf_dir).withColumn("params", F.array().cast(_NO_PARAMS))
+    return export.Export(full_types(spark, sf_dir), members, enum_values(spark, sf_dir), base(spark, sf_dir, "examples"), example_categories(spark, sf_dir), guide_files(spark, sf_dir), _TITLE)
+
+
+@query("export_whole_tree", f"""SELECT split_part(path, '/', 1) AS top, count(*) AS files, CAST(sum(strlen(content)) AS BIGINT) AS bytes,
+  CAST(sum(CAST('0x' || substr(md5(path || ' ' || md5(content)), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM {_WHOLE} w GROUP BY 1""")
+def export_whole_tree(spark, sf_dir):
+    """An export with all its parts, by top directory: files, bytes, and a sum over paths and contents."""
+    mark = F.conv(F.substring(F.md5(F.concat("path", F.lit(" "), "content_md5")), 1, 8), 16, 10).cast("long")
+    listing = whole_export(spark, sf_dir).listing()
+    return listing.groupBy(F.split_part("path", F.lit("/"), F.lit(1)).alias("top")).agg(n().alias("files"), F.sum("n_bytes").alias("bytes"), F.sum(mark).alias("digest"))
+
+
 # --- links in pages
 @query(
     "rewrite_links",
