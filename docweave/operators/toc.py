@@ -106,30 +106,37 @@ def resolve_links(links: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def frontier_closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """All nodes that edges (src, dst) reach from the seeds (node), with the number of steps; null nodes are none.
+    """All nodes that edges (src, dst) reach from the seeds (node), with the least number of steps; null nodes are none.
 
-    Semi-naive: each round joins only the nodes of the round before.  Known nodes
-    are a table in buckets by node to which a round appends its own: what is
-    known is written once and never shuffled again; only what a round finds goes
-    to the buckets.
+    Semi-naive: each round joins only the nodes of the round before.  Edges are put
+    into buckets by source once, and known nodes are a table in the same buckets to
+    which a round appends its own.  So a round shuffles only what it finds: its
+    nodes meet their edges, and what they find meets what is known, bucket by bucket.
+    What is known is written once.
     """
     spark = seeds.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name, path = f"docweave_known_{uuid.uuid4().hex}", f"{shared_folder(spark)}/known-{uuid.uuid4().hex}"
+    mark, kind = uuid.uuid4().hex, seeds.schema["node"].dataType
+    known, links = f"docweave_known_{mark}", f"docweave_links_{mark}"
+    folders = {t: f"{shared_folder(spark)}/{t}" for t in (known, links)}
 
-    def append(found: DataFrame, depth: int) -> DataFrame:
-        """The nodes of a round, added to the table and read from there."""
-        rows = found.select("node", F.lit(depth).alias("depth"))
-        rows.write.mode("append").format("parquet").partitionBy("depth").bucketBy(buckets, "node").option("path", path).saveAsTable(name)
-        return spark.table(name).where(F.col("depth") == depth).select("node")
+    def store(rows: DataFrame, table: str, key: str, *parts: str) -> None:
+        made = rows.write.mode("append").format("parquet").bucketBy(buckets, key).option("path", folders[table])
+        (made.partitionBy(*parts) if parts else made).saveAsTable(table)
 
     try:
-        fresh, depth = append(seeds.select("node").where("node is not null").distinct(), 0), 0
-        while not fresh.isEmpty():
-            depth += 1
-            step = fresh.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).where("node is not null").distinct()
-            fresh = append(step.join(spark.table(name).select("node"), "node", "left_anti"), depth)
-        schema = spark.table(name).schema
+        whole = edges.select(F.col("src").cast(kind).alias("src"), F.col("dst").cast(kind).alias("dst")).where("src is not null and dst is not null")
+        store(whole.repartition(buckets, "src"), links, "src")
+        depth, found = 0, seeds.select("node").where("node is not null").distinct()
+        while True:
+            store(found.withColumn("depth", F.lit(depth)), known, "node", "depth")
+            fresh = spark.table(known).where(F.col("depth") == depth).select("node")
+            if fresh.isEmpty():
+                break
+            step = fresh.join(spark.table(links), F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+            depth, found = depth + 1, step.join(spark.table(known).select("node"), "node", "left_anti")
+        schema = spark.table(known).schema
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay
-    return spark.read.schema(schema).parquet(path)
+        for table in (known, links):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files of external tables stay
+    return spark.read.schema(schema).parquet(folders[known])

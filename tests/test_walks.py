@@ -92,17 +92,34 @@ def written_bytes(folder):
 
 def test_closure_writes_what_it_finds_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(toc, "shared_folder", lambda spark: str(tmp_path / "known"))
-    n = 40
+    n = 6
     nodes = spark.range(n * 2000)
     edges = nodes.select(F.col("id").alias("src"), (F.col("id") + 2000).alias("dst")).unionAll(nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"))).unionAll(spark.createDataFrame([(5, None)], "src long, dst long"))
     out = toc.frontier_closure(spark.range(2000).withColumnRenamed("id", "node"), edges)
     assert out.agg(F.count("*"), F.countDistinct("node"), F.max("depth")).first()[:] == (2000 * (n + 1), 2000 * (n + 1), n)
     once = tmp_path / "once"
     out.write.partitionBy("depth").parquet(str(once))
-    assert written_bytes(tmp_path / "known") < 2 * written_bytes(once)
+    nodes, links = (sum(written_bytes(f) for f in (tmp_path / "known").glob(f"docweave_{kind}*")) for kind in ("known", "links"))
+    assert nodes < 2 * written_bytes(once)  # what is known
+    stored = tmp_path / "edges"
+    edges.write.parquet(str(stored))
+    assert links < 2 * written_bytes(stored)  # and the edges, once
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("docweave_known")]
 
 
+def test_closure_against_steps(spark):
+    random.seed(2)
+    for size, many in ((60, 60), (40, 300)):
+        edges = {(random.randrange(size), random.randrange(size)) for _ in range(many)}
+        edges |= {(100 + i, 101 + i) for i in range(8)} | {(3, 100), (106, 103)}
+        want, depth, now = {}, 0, {0, 3}
+        while now:
+            want |= dict.fromkeys(now, depth)
+            now, depth = {b for a, b in edges if a in now} - set(want), depth + 1
+        frame = spark.createDataFrame(sorted(edges), "src long, dst long")
+        assert {r.node: r.depth for r in toc.frontier_closure(spark.createDataFrame([(0,), (3,), (3,)], "node long"), frame).collect()} == want
+
+
 def test_closure_of_nothing(spark):
     none = spark.createDataFrame([], "node string")
     assert toc.frontier_closure(none, spark.createDataFrame([("a", "b")], "src string, dst string")).collect() == []
