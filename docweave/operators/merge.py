@@ -26,20 +26,23 @@ def merge_types(members: DataFrame, types: DataFrame, enums: DataFrame) -> DataF
     return rows.groupBy("fqn").agg(*first, *text, F.sum("n_enum").cast("long").alias("n_enum_members"), (F.max("n_enum") > 0).alias("is_enum"))
 
 
+DETAILS = ("description", "signature", "params", "returns", "remarks")
+
+
 def last_details(details: DataFrame) -> DataFrame:
-    """Of each (type, member): the last value of each field that isn't empty."""
-    fields = ("description", "signature", "params", "returns", "remarks")
-    return details.groupBy("fqn", "member").agg(*[F.max_by(c, F.when(F.col(c) != "", F.col("ord"))).alias(c) for c in fields])
+    """Of each (type, member): the last value of each field that isn't empty; ``params`` may be a text or a list."""
+    some = {c: F.size(c) > 0 if details.schema[c].dataType.typeName() == "array" else F.col(c) != "" for c in DETAILS}
+    return details.groupBy("fqn", "member").agg(*[F.max_by(c, F.when(some[c], F.col("ord"))).alias(c) for c in DETAILS])
 
 
-def enrich_members(members: DataFrame, details: DataFrame) -> DataFrame:
-    """Members with their details: all properties of a name, or else all methods of it."""
+def enrich_members(members: DataFrame, details: DataFrame, fields: tuple[str, ...] = ("description", "signature", "returns", "remarks")) -> DataFrame:
+    """Members with their details: all properties of a name, or else all methods of it; what is missing is empty."""
     kinds = members.groupBy("fqn", "member").agg(F.bool_or(F.col("kind") == "property").alias("_property"))
     found = last_details(details).join(kinds, ["fqn", "member"])
     joined = members.join(found, ["fqn", "member"], "left")
     taken = (F.col("kind") == "property") == F.coalesce("_property", F.lit(True))
-    fields = ("description", "signature", "returns", "remarks")
-    return joined.select("ord", "fqn", "member", "kind", *[F.coalesce(F.when(taken, F.col(c)), F.lit("")).alias(c) for c in fields])
+    none = {c: F.array().cast(details.schema[c].dataType) if details.schema[c].dataType.typeName() == "array" else F.lit("") for c in fields}
+    return joined.select("ord", "fqn", "member", "kind", *[F.coalesce(F.when(taken, F.col(c)), none[c]).alias(c) for c in fields])
 
 
 def unmatched_details(details: DataFrame, members: DataFrame) -> DataFrame:

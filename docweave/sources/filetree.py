@@ -32,7 +32,7 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path within it."""
     if "://" in path:
         return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    return fs.LocalFileSystem(), path.removeprefix("file:")  # Hadoop writes file:/folder too
 
 
 @dataclass

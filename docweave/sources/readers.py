@@ -47,8 +47,8 @@ def read_one_level(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_example_pages(spark: SparkSession, path: str, htm_only: bool = True) -> DataFrame:
-    """Example pages in path order; saved .html twins only on request."""
-    return read_pages(spark, path, "*.htm" if htm_only else "*.{htm,html}").orderBy("path")
+    """Example pages; saved .html twins only on request.  Their order is that of ``path``; contents aren't sorted."""
+    return read_pages(spark, path, "*.htm" if htm_only else "*.{htm,html}")
 
 
 def relative_key(path: Column, root: str) -> Column:
@@ -63,6 +63,11 @@ def read_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return spark.read.format("xml").options(**options).schema(f"{schema}, _corrupt_record string").load(path)
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows of a scan with ``ord``: by file name, and as they stand in a file (which one task reads)."""
+    return rows.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")).alias("ord"))
+
+
 def members_rows(members: DataFrame) -> DataFrame:
     """ord, fqn, assembly, namespace, type_name, kind, member, url of a members scan; rows lacking a name part go."""
     known = members.where("Name <> '' and Assembly <> '' and Namespace <> ''")
@@ -92,8 +97,9 @@ def details_rows(details: DataFrame) -> DataFrame:
     description) in order, those without a name left out.
     """
     params = F.transform(F.coalesce("Parameters.Parameter", F.array().cast("array<struct<Name:string,Description:string>>")), lambda p: F.struct(utrim(F.coalesce(p["Name"], F.lit(""))).alias("name"), clean_text(p["Description"]).alias("description")))
+    kept = ["ord"] if "ord" in details.columns else []
     return _named(details, "Type", "Name").where(F.trim("Type").contains(".")).select(
-        F.trim("Type").alias("fqn"), F.trim("Name").alias("member"), clean_text(F.col("Description")).alias("description"), utrim(F.coalesce("Signature", F.lit(""))).alias("signature"),
+        *kept, F.trim("Type").alias("fqn"), F.trim("Name").alias("member"), clean_text(F.col("Description")).alias("description"), utrim(F.coalesce("Signature", F.lit(""))).alias("signature"),
         F.filter(params, lambda p: p["name"] != "").alias("params"), clean_text(F.col("Returns")).alias("returns"), clean_text(F.col("Remarks")).alias("remarks"),
     )
 

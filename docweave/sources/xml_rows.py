@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions.render import escaped
@@ -37,6 +37,21 @@ def xml_file(root: str, rows: Column) -> Column:
     return F.concat(F.lit(f'<?xml version="1.0" ?>\n<{root}>\n'), F.array_join(rows, "\n"), F.lit(f"\n</{root}>\n"))
 
 
+def file_parts(rows: DataFrame, root: str, name: str, files: int = 1) -> DataFrame:
+    """Files of rows as parts (path, ord, part) for the file sink; rows: key, ord (of any type that sorts), row.
+
+    Rows lie in ``files`` files by a hash of their key, in the order of ``ord``; so
+    rows of one key keep their order, and files are written and read in parallel.
+    """
+    number = F.pmod(F.xxhash64("key"), F.lit(files)).cast("int")
+    kind = rows.schema["ord"].dataType
+    path = lambda n: F.concat(F.lit(f"{name}-"), n.cast("string"), F.lit(".xml")).alias("path")
+    edges = F.array(F.struct(F.lit(0).alias("r"), F.lit(f'<?xml version="1.0" ?>\n<{root}>\n').alias("part")), F.struct(F.lit(2).alias("r"), F.lit(f"</{root}>\n").alias("part")))
+    around = rows.sparkSession.range(files).select(path(F.col("id")), F.explode(edges).alias("e")).select("path", F.struct("e.r", F.lit(None).cast(kind).alias("o")).alias("ord"), "e.part")
+    inner = rows.select(path(number), F.struct(F.lit(1).alias("r"), F.col("ord").alias("o")).alias("ord"), F.concat("row", F.lit("\n")).alias("part"))
+    return around.unionAll(inner)
+
+
 def members_row(name: Column, assembly: Column, namespace: Column, properties: Column, methods: Column) -> Column:
     """A type with the names and links of its members; either list may be empty."""
     fields = {"name": "Name", "url": "Url"}
