@@ -17,6 +17,12 @@ def check(df: DataFrame, name: str, passed: Column, detail: Column, severity: st
     return df.agg(F.coalesce(passed, F.lit(False)).alias("passed"), F.coalesce(detail.cast("string"), F.lit("")).alias("detail")).select(F.lit(name).alias("name"), F.lit(severity).alias("severity"), "passed", "detail")
 
 
+def check_each(df: DataFrame, key: str, name: str, passed: Column, detail: Column, severity: str = "error") -> DataFrame:
+    """The same check for each value of ``key``, which stands behind its name."""
+    found = df.groupBy(key).agg(F.coalesce(passed, F.lit(False)).alias("passed"), F.coalesce(detail.cast("string"), F.lit("")).alias("detail"))
+    return found.select(F.concat_ws(" ", F.lit(name), key).alias("name"), F.lit(severity).alias("severity"), "passed", "detail")
+
+
 def existing(files: DataFrame, expected: list[str], severity: str = "error") -> DataFrame:
     """One check for each expected file or directory (ending in ``/``) against a listing (path) of files."""
     wanted = F.explode(F.array(*[F.lit(e) for e in expected])).alias("expected")
@@ -62,6 +68,18 @@ def united(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def stated_counts(stated: DataFrame, counted: DataFrame) -> DataFrame:
+    """One check for each number of a statistics file (one row) that a count of the data (one row) has too: that they are equal."""
+
+    def long(row: DataFrame, value: str) -> DataFrame:
+        names = [c for c in stated.columns if c in counted.columns]
+        return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias(value)) for c in names])).alias("r")).select("r.*")
+
+    joined = long(stated, "stated").join(long(counted, "counted"), "name")
+    detail = F.format_string("%s stated, %s counted", F.coalesce(F.col("stated").cast("string"), F.lit("nothing")), F.col("counted").cast("string"))
+    return joined.select("name", F.lit("error").alias("severity"), F.col("stated").eqNullSafe(F.col("counted")).alias("passed"), detail.alias("detail"))
+
+
 def files_by_extension(files: DataFrame) -> DataFrame:
     """extension, number and bytes of a listing (path, bytes)."""
     extension = F.regexp_extract(F.substring_index("path", "/", -1), r"\.([^.]*)$", 1)
@@ -75,7 +93,7 @@ def first_rows(log: DataFrame, n: int = 5) -> DataFrame:
 
 def hash_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
     """``n`` rows chosen by the hash of their key: a sample that every run repeats."""
-    return rows.orderBy(F.xxhash64(key), key).limit(n)
+    return rows.orderBy(F.md5(key), key).limit(n)
 
 
 def guide_pages(files: DataFrame) -> DataFrame:

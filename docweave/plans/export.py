@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import render, urls
 from docweave.operators import checks, export, merge, toc
+from docweave.operators.storage import shared_folder
 from docweave.plans import pages  # noqa: F401  (registers toc_paths)
 from docweave.plans.base import base
 from docweave.plans.facts import _CATEGORISED, _ENRICHED, _ENTRY, _EXAMPLE_CAT, _FULL, _NL, _XML_REMARKS, c, categorised, enrich_members, example_categories, full_types, n
 from docweave.plans.registry import ORACLES, query
-from docweave.sources import filetree
+from docweave.sources import filetree, readers
 
 _NO_PARAMS = "array<struct<name:string,description:string>>"
 
@@ -273,7 +276,7 @@ def first_log_rows(spark, sf_dir):
     return checks.first_rows(base(spark, sf_dir, "crawl_log").select("ord", "url", "title"))
 
 
-@query("hash_sample")
+@query("hash_sample", "SELECT url FROM (SELECT DISTINCT url FROM [crawl_log] l) ORDER BY md5(url), url LIMIT 5")
 def hash_sample(spark, sf_dir):
     """Five URLs to look at, the same in every run; the checks themselves read all."""
     return checks.hash_sample(base(spark, sf_dir, "crawl_log").select("url").distinct(), "url", 5)
@@ -317,6 +320,38 @@ def toc_inside_boundary(spark, sf_dir):
     return checks.check(nodes, "inside the boundary", outside == 0, outside)
 
 
+@query(
+    "boundary_by_branch",
+    """SELECT 'inside the boundary: ' || n_name AS name, 'error' AS severity, count(*) FILTER (WHERE s_acctbal < 1000) = 0 AS passed, CAST(count(*) FILTER (WHERE s_acctbal < 1000) AS STRING) AS detail
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name""",
+)
+def boundary_by_branch(spark, sf_dir):
+    """The boundary for each branch of a table of contents, some of whose pages are elsewhere."""
+    suppliers, nations = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("supplier", "nation"))
+    number = c("s_suppkey").cast("string")
+    away = F.when(c("s_acctbal") < 0, F.concat(F.lit("https://www.example.org/help/api/"), number)).when(c("s_acctbal") < 1000, F.concat(F.lit("/help/other/"), number))
+    url = urls.joined_url(F.lit(urls.SITE.base + "/help/api/toc.htm"), F.coalesce(away, F.concat(F.lit("guide/"), number, F.lit(".htm"))))
+    pages = suppliers.join(nations, c("s_nationkey") == c("n_nationkey")).select("n_name", url.alias("url"))
+    outside = F.count_if(~(urls.in_boundary(c("url"), urls.SITE.root) & urls.in_domain(c("url"), urls.SITE.host)))
+    return checks.check_each(pages, "n_name", "inside the boundary:", outside == 0, outside)
+
+
+@query(
+    "stats_against_log",
+    """SELECT name, 'error' AS severity, stated = counted AS passed, CAST(stated AS STRING) || ' stated, ' || CAST(counted AS STRING) || ' counted' AS detail FROM (
+         SELECT unnest(['total', 'successful', 'failed', 'pages']) AS name, unnest([t, s, t - s, u]) AS stated, unnest([t, s, t - s, p]) AS counted FROM (
+           SELECT count(*) AS t, count(*) FILTER (WHERE error IS NULL) AS s, count(DISTINCT url) AS u, count(DISTINCT url) FILTER (WHERE error IS NULL) AS p FROM [crawl_log] l))""",
+)
+def stats_against_log(spark, sf_dir):
+    """The statistics file of a crawl, written, read back and held against its log; it counts pages that failed as pages."""
+    log, good = base(spark, sf_dir, "crawl_log"), c("error").isNull()
+    counts = [n().alias("total"), F.count_if(good).alias("successful"), F.count_if(~good).alias("failed")]
+    folder = f"{shared_folder(spark)}/stats-{uuid.uuid4().hex}"
+    filetree.write_tree(export.json_file(log.agg(*counts, F.countDistinct("url").alias("pages")), "metadata/crawl_stats.json"), folder)
+    stated = readers.read_stats(spark, f"{folder}/metadata/crawl_stats.json", "total bigint, successful bigint, failed bigint, pages bigint, skipped bigint")
+    return checks.stated_counts(stated, log.agg(*counts, F.countDistinct(F.when(good, c("url"))).alias("pages")))
+
+
 @query("log_file_counts", """SELECT count(*) FILTER (WHERE error IS NULL) AS log_rows, count(*) FILTER (WHERE error IS NOT NULL) AS error_rows, count(DISTINCT file_path) FILTER (WHERE error IS NULL) AS files,
   count(*) FILTER (WHERE error IS NULL) = count(DISTINCT file_path) FILTER (WHERE error IS NULL) AS equal_counts FROM [crawl_log] l""")
 def log_file_counts(spark, sf_dir):

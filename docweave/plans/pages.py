@@ -163,6 +163,24 @@ def html_to_md(spark, sf_dir):
     return parsers.page_rows(pages(spark, sf_dir), lambda html, _: [{"markdown": to_markdown(html)}], "markdown string", ["page_id"]).select("page_id", "markdown")
 
 
+_MD_PAGE = """'# ' || text || chr(10) || chr(10) || 'About **' || text || '** and [' || text || '](' || href || '), _see_ `x < ' || CAST(ord AS STRING) || '`.' || '  ' || chr(10) || 'Next & last' || chr(10) || chr(10)
+  || '* one' || chr(10) || '  1. in ' || text || chr(10) || '* two' || chr(10) || chr(10) || '```' || chr(10) || 'a  b' || chr(10) || '  c' || CAST(ord AS STRING) || chr(10) || '```' || chr(10) || chr(10)
+  || '## T' || chr(10) || chr(10) || 'k | ' || text || chr(10) || chr(10) || '![pic](p' || CAST(ord AS STRING) || '.png) open' || chr(10) || chr(10) || '---' || chr(10)"""
+
+
+@query("page_markdown", f"SELECT ord, {_MD_PAGE} AS markdown FROM [links] l")
+def page_markdown(spark, sf_dir):
+    """Pages with each kind of element, tags left open and scripts between, as Markdown."""
+    n = c("ord").cast("string")
+    page = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body><script>if (a<b) no()</script><h1> "), "text", F.lit("\n</h1><p>About <b>"), "text", F.lit("</b>\n and <a href='"), "href", F.lit("'>"), "text",
+        F.lit("</a>, <i>see</i> <code>x &lt; "), n, F.lit("</code>.<br>Next &amp; last</p><ul><li>one<ol><li>in "), "text", F.lit("</li></ol></li><li>two</li></ul><pre>a  b\n  c"), n,
+        F.lit("</pre><h2>T</h2><table><tr><td>k</td><td>"), "text", F.lit('</td></tr></table><!-- no --><p></p><div><img src="p'), n, F.lit('.png" alt=pic> open</div><hr></body>'),
+    )
+    out = parsers.page_rows(base(spark, sf_dir, "links").select("ord", page.alias("html")), lambda html, _: [{"markdown": to_markdown(html)}], "markdown string", ["ord"])
+    return out.select("ord", "markdown")
+
+
 @query(
     "links_to_see",
     """SELECT ord, 'see ' || CASE WHEN ord % 9 IN (0, 1, 4) THEN '<see cref="' || replace(substr(f, strpos(f, '~') + 1), '~', '.') || '">' || text || '</see>'

@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import export
+from docweave.functions import urls
+from docweave.operators import checks, export
 from docweave.plans import export as plans
-from docweave.sources import filetree
+from docweave.sources import filetree, readers
 
 DATA = "/root/testdata/sf0.001"
 
@@ -69,3 +70,24 @@ def test_a_whole_export_on_disk(spark, tmp_path):
     listing = {r.path: (r.n_bytes, r.content_md5) for r in made.listing().collect()}
     assert listing == {p: (len(b), hashlib.md5(b).hexdigest()) for p, b in found.items()} and n == len(found)
     assert f"({n - 1:,} files)" in found["README.md"].decode()
+
+
+def test_statistics_are_read_back(spark, tmp_path):
+    (tmp_path / "stats.json").write_text('{\n "total": 3,\n "by": {"x": 1},\n "name": "é"\n}')
+    read = readers.read_stats(spark, str(tmp_path / "stats.json"), "total bigint, name string, missing bigint")
+    assert [tuple(r) for r in read.collect()] == [(3, "é", None)]
+    counted = spark.createDataFrame([(4, 0)], "total bigint, missing bigint")
+    rows = {r.name: (r.passed, r.detail) for r in checks.stated_counts(read, counted).collect()}
+    assert rows == {"total": (False, "3 stated, 4 counted"), "missing": (False, "nothing stated, 0 counted")}
+
+
+def test_keys_of_examples(spark):
+    rows = spark.createDataFrame([("file:/data/output/html/a/b.htm",), ("/data/output/html/c.htm",), ("C:\\data\\output\\html/d\\e.htm",)], "path string")
+    assert [r.k for r in rows.select(readers.relative_key(F.col("path"), "/data/output/html/").alias("k")).collect()] == ["a/b.htm", "c.htm", "d/e.htm"]
+
+
+def test_manifests_of_crawls():
+    site = urls.Site("https://h.example.com", "/help/", "ref/")
+    plain, listed = export.crawl_manifest(site), export.crawl_manifest(site, source="members.xml", delay=0.5)
+    assert plain == {"base_url": "https://h.example.com", "boundary": "/help/", "obey_robots": "true", "download_delay": "0.1"}
+    assert listed == plain | {"obey_robots": "false", "download_delay": "0.5", "source": "members.xml"}
