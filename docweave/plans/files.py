@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.functions import render
-from docweave.operators import export, merge
+from docweave.operators import checks, export, merge
 from docweave.operators.storage import shared_folder
 from docweave.plans.base import base
 from docweave.plans.export import _XML_PROSE
 from docweave.plans.facts import _NL, _XML_REMARKS, c
 from docweave.plans.registry import query
 from docweave.sources import filetree, readers, xml_rows
+from docweave.streaming import resume
 
 FILES = 4
 
@@ -167,3 +168,48 @@ def xmldoc_from_xml(spark, sf_dir):
     fragments = of_type.unionAll(of_member).unionAll(of_value)
     counts = fragments.groupBy(F.concat("assembly", F.lit(".xml")).alias("path")).agg(F.count_if(c("ord.r") > 0).cast("long").alias("n_members"))
     return filetree.digested(export.assembly_doc_parts(fragments)).select("path", "content_md5").join(counts, "path")
+
+
+# --- page files and the crawl log
+@query(
+    "page_file_scans",
+    """WITH f AS (SELECT CASE WHEN ord % 2 = 0 THEN 'one/' || file_name ELSE 'two/deep/' || file_name END AS path, file_name, CAST(max(ord) AS STRING) AS html FROM [files] t GROUP BY 1, 2)
+       SELECT 'html' AS scan, file_name, html, path FROM f WHERE ends_with(file_name, '.html')
+       UNION ALL SELECT 'members', file_name, html, path FROM f WHERE regexp_matches(file_name, '_members_.*\\.html$')
+       UNION ALL SELECT 'one level', file_name, html, path FROM f WHERE ends_with(file_name, '.html') AND starts_with(path, 'one/')
+       UNION ALL SELECT 'examples', file_name, html, path FROM f WHERE ends_with(file_name, '.htm')
+       UNION ALL SELECT 'examples and twins', file_name, html, path FROM f""",
+)
+def page_file_scans(spark, sf_dir):
+    """A tree of page files, one a row, and each of the scans over it."""
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    path = F.when(c("ord") % 2 == 0, F.concat(F.lit("one/"), "file_name")).otherwise(F.concat(F.lit("two/deep/"), "file_name"))
+    filetree.write_tree(base(spark, sf_dir, "files").select(path.alias("path"), c("ord").cast("string").alias("content"), "ord"), folder, mode="overwrite", order="ord")
+    scans = {
+        "html": readers.read_pages(spark, folder), "members": readers.read_members_pages(spark, folder), "one level": readers.read_one_level(spark, folder),
+        "examples": readers.read_example_pages(spark, folder), "examples and twins": readers.read_example_pages(spark, folder, htm_only=False),
+    }
+    below = F.regexp_extract(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), r"/pages-[0-9a-f]+/(.*)$", 1)
+    found = [df.select(F.lit(name).alias("scan"), "file_name", "html", below.alias("path")) for name, df in scans.items()]
+    return checks.united(found)
+
+
+@query(
+    "crawl_log_stream",
+    """WITH l AS (SELECT url, error FROM [crawl_log] t),
+         good AS (SELECT DISTINCT url, '<html><title> ' || url || ' </title></html>' AS content FROM l WHERE error IS NULL)
+       SELECT 'log' AS kind, url, sha256(content) AS mark, url AS title, CAST(strlen(content) AS BIGINT) AS n FROM good
+       UNION ALL SELECT 'error', url, error, NULL, count(*) FROM l WHERE error IS NOT NULL GROUP BY url, error""",
+)
+def crawl_log_stream(spark, sf_dir):
+    """Pages land in two turns; the second run has lost the first one's checkpoint and goes on from its log. Errors land once."""
+    folder = f"{shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
+    rows = base(spark, sf_dir, "crawl_log").select("ord", "url", c("status").alias("status_code"), F.when(c("error").isNull(), F.concat(F.lit("<html><title> "), "url", F.lit(" </title></html>"))).alias("content"), "error")
+    for turn in range(2):
+        landing = f"{folder}/landing-{turn}"
+        rows.where(c("ord") % 2 == turn).drop("ord").write.json(landing)
+        for running in resume.start_log(resume.landed_pages(spark, landing), f"{folder}/log", f"{folder}/state-{turn}", f"{folder}/errors"):
+            running.awaitTermination()
+    log = readers.read_crawl_log(spark, f"{folder}/log").select(F.lit("log").alias("kind"), "url", c("content_hash").alias("mark"), "title", c("content_length").alias("n"))
+    errors = spark.read.schema(readers.CRAWL_ERRORS).json(f"{folder}/errors").groupBy("url", "error").agg(F.count("*").alias("n"))
+    return log.unionAll(errors.select(F.lit("error").alias("kind"), "url", c("error").alias("mark"), F.lit(None).cast("string").alias("title"), "n"))
