@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.carry import CARRIED, carried
+from docweave.llm.carry import CARRIED, carried, resolved
 from docweave.llm.store import written
 
 #: The characters stripped from both ends of a line, A-Z and a-z.
@@ -44,7 +44,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
     """
     made = ["n_lines", "n_dropped"]
     whole = F.coalesce(F.col(text), F.lit(""))
-    names = [c for c in docs.columns if c not in made]
+    taken = {resolved(docs, c) for c in made}
+    names = [c for c in docs.columns if resolved(docs, c) not in taken]
     # What names a row: rows that share both hold the same lines.
     source = docs.select(carried(docs, names, [text]), F.col(doc_id).alias("_id"), whole.alias("_text")).withColumn("_row", F.xxhash64("_text"))
     lines = (
@@ -75,6 +76,6 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
         CARRIED, kept.alias("_kept"), F.size(parts).cast("long").alias("_n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped")
     )
     return out.select(
-        *[F.col("_kept").alias(c) if c == text else F.col(CARRIED)[c].alias(c) for c in names],
+        *[F.col("_kept").alias(c) if resolved(docs, c) == resolved(docs, text) else F.col(CARRIED)[c].alias(c) for c in names],
         F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
     )

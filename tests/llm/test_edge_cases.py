@@ -86,6 +86,24 @@ def test_columns_of_any_name_pass_unchanged(docs, labels, bench, name):
     assert by_id(out.select(*columns)) == by_id(docs.select(*columns))
 
 
+#: What each operator makes, in other letters; Spark tells no names apart by case.
+MADE = {
+    "lines": ["N_LINES", "N_Dropped"], "suffix": ["N_Bytes", "KEPT", "Spans"], "secrets": ["SECRETS"], "benchmark": ["N_Words", "NEAR", "Bench_Hits"], "quality": ["Kept_", "KEPT", "Base_Failed"],
+    "jaccard": ["N_Links", "Component_ID"], "bpe": ["IDS", "Decoded"], "toxicity": ["Score"], "paragraphs": ["Passages", "N_REMOVED"],
+}
+
+
+@pytest.mark.parametrize("name", MADE)
+def test_names_that_differ_by_case_alone(docs, labels, bench, name):
+    few = docs.select("doc_id", "text", "source").where("doc_id in (0, 1, 5)").select("*", *[F.lit("x").alias(c) for c in MADE[name]])
+    out = PASSING[name](few, labels, bench)
+    names = [c.lower() for c in out.columns]
+    assert len(set(names)) == len(names)
+    kept = [c for c in MADE[name] if c in out.columns]
+    assert kept == [c for c in MADE[name] if c == "Kept_"]
+    assert out.count() == few.count() and len(out.select(*[c.lower() for c in MADE[name]]).columns) == len(MADE[name])
+
+
 @pytest.mark.parametrize("name", ["lines", "suffix", "shards", "benchmark", "quality", "jaccard", "paragraphs", "toxicity"])
 def test_ids_that_are_strings(docs, labels, bench, name):
     # Ids that sort as the numbers do: the findings are the same.
@@ -234,7 +252,7 @@ def corpus(spark, tmp_path):
     own = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
     near = own(1).replace("w1x39", "changed")
     passage = " ".join(f"bench{j}" for j in range(14))
-    extra = ["_keyed", "_id", "_h1", "_carried", "block", "a.b"]
+    extra = ["_keyed", "_id", "_h1", "_carried", "block", "a.b", "N_Lines", "KEPT", "Bench_Hits", "IDS", "_own"]
     rows = [(1, own(1)), (2, near), (None, near), (3, None), (4, ""), (5, own(5)), (5, own(5)), (6, own(6) + "\n" + own(5)), (7, f"{own(7)} {passage} {own(8)}"), (8, own(9) + " " + own(10) * 50), (None, own(11))]
     schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
     docs = spark.createDataFrame([(i, t, None, None if k % 2 else "s", None, *[f"{c}{k}" for c in extra]) for k, (i, t) in enumerate(rows)], schema)
