@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm.bpe import tokenized
-from docweave.llm.carry import CARRIED, carried, quoted
+from docweave.llm.carry import CARRIED, carried
 from docweave.llm.decontaminate import decontaminate
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.line_dedup import line_dedup
@@ -45,9 +45,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has; n_chars follows the text."""
-    out = line_dedup(docs)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-    return out.select(*[n_chars if c == "n_chars" else F.col(quoted(c)) for c in docs.columns])
+    out = line_dedup(docs.select(carried(docs, None), F.col("doc_id").alias("_id"), F.col("text").alias("_text")), doc_id="_id", text="_text")
+    own = {c: F.col(CARRIED)[c] for c in docs.columns}
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("_text").cast("long")).otherwise(own.get("n_chars"))
+    made = {"text": F.col("_text"), "n_chars": n_chars}
+    return out.select(*[made.get(c, own[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
