@@ -7,10 +7,12 @@ documents hold too, and neither postings nor texts are shuffled; any number of
 query sets reads the index, not the texts.
 
 A window of item words is searched by intersecting the posting lists of its
-terms, each shifted by the term's offset, from the rarest in the block; a
-proximity search joins the terms of an item that the fewest documents of the
-whole corpus hold, within a few words.  The items are the query set: they are
-sent to the blocks in parts of a bounded size, one part at a time.
+terms, each shifted by the term's offset, from the rarest in the block.  A
+proximity search takes the terms of an item that the fewest documents of the
+whole corpus hold: most of them must stand within the item's length of a place
+of one of the rarest, so an edited passage is found though some of them are
+changed.  All items are searched in a block at once.  The items are the query
+set: they are sent to the blocks in parts of a bounded size, one part at a time.
 """
 
 from __future__ import annotations
@@ -37,6 +39,10 @@ from docweave.ship import shipped
 #: Bytes of item text in one part of the query set: a part has less than this and its last item.
 PART_BYTES = 16 << 20
 _HITS = "array<struct<start:bigint,end:bigint>>"
+#: Rarest terms of an item that a proximity search takes, how many of each eight of them must stand together, and how many at least.
+RAREST, OF_EIGHT, LEAST_TERMS = 8, 5, 4
+#: Places around which a search looks at once.
+PLACES = 1 << 20
 
 
 @dataclass
@@ -50,6 +56,8 @@ class QuerySet:
     sizes: np.ndarray
     items: list[list[Any]]
     terms: dict[Any, np.ndarray]
+    #: Words of each item's longest text.
+    lengths: dict[Any, int]
 
     @classmethod
     def of(cls, items: list[tuple[Any, str]], width: int) -> QuerySet:
@@ -64,16 +72,18 @@ class QuerySet:
         rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         holders: dict[tuple[int, ...], set] = {}
         terms: dict[Any, set[int]] = {}
+        lengths: dict[Any, int] = {}
         for (item, _), a, b in zip(items, bounds[:-1], bounds[1:], strict=True):
             own = numbers[a:b].tolist()
             terms.setdefault(item, set()).update(own)
+            lengths[item] = max(lengths.get(item, 0), len(own))
             for i in range(max(1, len(own) - width + 1) if own else 0):
                 holders.setdefault(tuple(own[i : i + width]), set()).add(item)
         table = np.full((len(holders), width), -1, dtype=np.int64)
         for i, w in enumerate(holders):
             table[i, : len(w)] = w
         sizes = np.array([len(w) for w in holders], dtype=np.int64)
-        return cls(vocabulary, rank, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t), dtype=np.int64) for i, t in terms.items() if t})
+        return cls(vocabulary, rank, table, sizes, [sorted(x) for x in holders.values()], {i: np.array(sorted(t), dtype=np.int64) for i, t in terms.items() if t}, lengths)
 
 
 def query_sets(items: DataFrame, width: int, part_bytes: int) -> Iterator[QuerySet]:
@@ -131,7 +141,9 @@ class Block:
         starts = np.cumsum(counts) - counts
         self.counts = np.where(known, counts[place], 0) if len(terms) else np.zeros(len(vocabulary), np.int64)
         self.starts = starts[place] if len(terms) else self.counts
-        self.positions = (unpack(row["postings"], self.n) % U64(max(self.n, 1))).astype(np.int64)
+        #: Term of the block times words, plus position, in order; and the block's number of each vocabulary term.
+        self.keys, self.places = unpack(row["postings"], self.n).astype(np.int64), place
+        self.positions = self.keys % max(self.n, 1)
         self.bounds = unpack(row["bounds"], row["documents"] + 1).astype(np.int64)
         self.rows = np.repeat(np.arange(row["documents"]), np.diff(self.bounds))
 
@@ -154,32 +166,54 @@ class Block:
                 return found
         return found[self.rows[found] == self.rows[found + len(terms) - 1]]
 
-    def near(self, terms: np.ndarray, within: int) -> list[tuple[int, int, int]]:
-        """(row, start, end) of the places where all terms stand within so many words of one of the first term.
+    def near(self, terms: np.ndarray, needed: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(item, row, start, end) of the places where enough of an item's terms stand together.
 
-        Spans hold all words of the terms there; those that meet are one.
+        terms: a row of vocabulary numbers for each item, rarest first, -1 behind
+        them.  Around each place of one of the rarest, of which one must be in any
+        such passage, the terms within ``reach`` words in the same document are
+        counted.  Spans hold these terms; those of an item that meet are one.
         """
-        if len(terms) < 2 or not self.counts[terms].all():
-            return []
-        centre = self.postings(terms[0])
-        first, last = centre, centre
-        for term in terms:
-            other = self.postings(term)
-            a = np.searchsorted(other, np.maximum(centre - within, self.bounds[self.rows[centre]]))
-            b = np.searchsorted(other, np.minimum(centre + within + 1, self.bounds[self.rows[centre] + 1]))
-            good = a < b
-            centre, a, b = centre[good], a[good], b[good]
-            if not len(centre):
-                return []
-            first, last = np.minimum(first[good], other[a]), np.maximum(last[good], other[b - 1])
-        spans: list[list[int]] = []
-        for row, start, end in zip(self.rows[centre].tolist(), first.tolist(), (last + 1).tolist(), strict=True):
-            base = int(self.bounds[row])
-            if spans and spans[-1][0] == row and start - base <= spans[-1][2]:
-                spans[-1][1:] = [min(spans[-1][1], start - base), max(spans[-1][2], end - base)]
+        known = (terms >= 0) & (self.counts[terms] > 0)
+        starting = np.arange(terms.shape[1]) < ((terms >= 0).sum(axis=1) - needed + 1)[:, None]
+        item, column = np.nonzero(known & starting & ((known.sum(axis=1) >= needed) & (needed > 0))[:, None])
+        sizes = self.counts[terms[item, column]]
+        ends = np.cumsum(sizes)
+        begin = 0
+        while begin < len(item):
+            # As many lists as give so many places, at least one.
+            end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PLACES, side="right")))
+            yield from self._around(terms, needed, reach, np.repeat(item[begin:end], sizes[begin:end]), np.concatenate([self.postings(t) for t in terms[item[begin:end], column[begin:end]].tolist()]))
+            begin = end
+
+    def _around(self, terms: np.ndarray, needed: np.ndarray, reach: np.ndarray, item: np.ndarray, centre: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        row = self.rows[centre]
+        low, high = np.maximum(centre - reach[item], self.bounds[row]), np.minimum(centre + reach[item], self.bounds[row + 1] - 1)
+        first, last, found = centre.copy(), centre.copy(), np.zeros(len(centre), np.int64)
+        for j in range(terms.shape[1]):
+            term = terms[item, j]
+            have = np.flatnonzero((term >= 0) & (self.counts[term] > 0))
+            base = self.places[term[have]].astype(np.int64) * self.n
+            a = np.searchsorted(self.keys, base + low[have])
+            b = np.searchsorted(self.keys, base + high[have], side="right")
+            some = a < b
+            have, a, b, base = have[some], a[some], b[some], base[some]
+            found[have] += 1
+            first[have] = np.minimum(first[have], self.keys[a] - base)
+            last[have] = np.maximum(last[have], self.keys[b - 1] - base)
+        good = np.flatnonzero(found >= needed[item])
+        good = good[np.lexsort((first[good], row[good], item[good]))]
+        now: list[int] | None = None
+        for i, r, x, y in zip(item[good].tolist(), row[good].tolist(), first[good].tolist(), (last[good] + 1).tolist(), strict=True):
+            x, y = x - int(self.bounds[r]), y - int(self.bounds[r])
+            if now is not None and now[:2] == [i, r] and x <= now[3]:
+                now[3] = max(now[3], y)
             else:
-                spans.append([row, start - base, end - base])
-        return [(r, x, y) for r, x, y in spans]
+                if now is not None:
+                    yield now[0], now[1], now[2], now[3]
+                now = [i, r, x, y]
+        if now is not None:
+            yield now[0], now[1], now[2], now[3]
 
 
 def rare_terms(index: DataFrame, query: QuerySet, rarest: int) -> dict[Any, np.ndarray]:
@@ -208,7 +242,22 @@ def rare_terms(index: DataFrame, query: QuerySet, rarest: int) -> dict[Any, np.n
     return {item: terms[np.lexsort((query.rank[terms], counts[terms]))][:rarest] for item, terms in held.items()}
 
 
-def _search(index: Block, query: QuerySet, within: int) -> dict[int, tuple[list[dict], list, list[dict]]]:
+def proximity(query: QuerySet) -> tuple[list[Any], np.ndarray, np.ndarray, np.ndarray]:
+    """Items, their rare terms (a row each, -1 behind), how many must stand together, and within how many words.
+
+    Items with fewer than LEAST_TERMS known terms take no part: none is needed of them.
+    """
+    items = list(query.terms)
+    width = max([1, *[len(t) for t in query.terms.values()]])
+    terms = np.full((len(items), width), -1, dtype=np.int64)
+    for i, item in enumerate(items):
+        terms[i, : len(query.terms[item])] = query.terms[item]
+    many = (terms >= 0).sum(axis=1)
+    needed = np.where(many >= LEAST_TERMS, np.maximum(LEAST_TERMS, (OF_EIGHT * many + 7) // 8), 0)
+    return items, terms, needed, np.array([query.lengths[i] for i in items], dtype=np.int64)
+
+
+def _search(index: Block, query: QuerySet) -> dict[int, tuple[list[dict], list, list[dict]]]:
     """Of each document with findings: spans of hits, items, proximity matches."""
     items: dict[int, set] = {}
     cover = np.zeros(index.n + 1, dtype=np.int64)
@@ -235,14 +284,14 @@ def _search(index: Block, query: QuerySet, within: int) -> dict[int, tuple[list[
         row = int(index.rows[a])
         spans.setdefault(row, []).append({"start": a - int(index.bounds[row]), "end": b - int(index.bounds[row])})
     close: dict[int, list[dict]] = {}
-    for item, terms in query.terms.items():
-        for row, start, end in index.near(terms, within):
-            if item not in items.get(row, ()):
-                close.setdefault(row, []).append({"item": item, "start": start, "end": end})
+    names, terms, needed, reach = proximity(query)
+    for i, row, start, end in index.near(terms, needed, reach) if names else ():
+        if names[i] not in items.get(row, ()):
+            close.setdefault(row, []).append({"item": names[i], "start": start, "end": end})
     return {row: (spans.get(row, []), sorted(items.get(row, ())), close.get(row, [])) for row in sorted({*spans, *items, *close})}
 
 
-def _findings(index: DataFrame, shared: Broadcast, within: int, schema: StructType) -> DataFrame:
+def _findings(index: DataFrame, shared: Broadcast, schema: StructType) -> DataFrame:
     """One row for each document of the index with findings of the query set."""
     arrow = to_arrow_schema(schema)
 
@@ -251,7 +300,7 @@ def _findings(index: DataFrame, shared: Broadcast, within: int, schema: StructTy
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                found = _search(Block(row, query.vocabulary), query, within)
+                found = _search(Block(row, query.vocabulary), query)
                 out = [{"block": row["block"], "at": at, "hits": hits, "items": items, "near": near} for at, (hits, items, near) in found.items()]
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=arrow)
@@ -271,14 +320,16 @@ def _merged(spans: Column) -> Column:
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text", within: int = 12, rarest: int = 5, part_bytes: int = PART_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text", rarest: int = RAREST, part_bytes: int = PART_BYTES) -> DataFrame:
     """``keep`` columns of ``docs`` (all by default) plus n_words, bench_hits, bench_items, n_near, near.
 
     bench_hits: merged spans of document words inside occurrences of item
     windows; bench_items: ids of the items with such windows, sorted; n_near:
-    further items whose rarest terms (those of the fewest documents in the whole
-    corpus; terms that no document holds are skipped, two at least must be left)
-    stand close together; near: item and span of each such place.  Ids may be of
+    further items of whose ``rarest`` terms (those of the fewest documents in the
+    whole corpus, ties by word; terms that no document holds are skipped) five of
+    eight, four at least, stand within the item's length of a place of one of the
+    rarest; items with fewer than four such terms are left out; near: item and
+    span of each such passage.  Ids may be of
     any type that sorts.  Null or empty texts have no words; items without words
     or without id match nothing; items that share an id are one item; rows that
     repeat have the same findings each; texts of any length are indexed whole; an
@@ -296,7 +347,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, text: str
     for query in query_sets(used, width, part_bytes):
         query.terms = rare_terms(index, query, rarest)
         shared = spark.sparkContext.broadcast(query)
-        found = found.unionByName(written(_findings(index, shared, within, schema), "bench-findings"))
+        found = found.unionByName(written(_findings(index, shared, schema), "bench-findings"))
         shared.destroy()
     # A document's findings in the parts of the query set, which are one part nearly always.
     merged = found.groupBy("block", "at").agg(

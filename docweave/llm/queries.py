@@ -121,16 +121,18 @@ found AS (
   FROM exact GROUP BY doc_id
 ), place AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM dw),
 df AS (SELECT word, count(DISTINCT doc_id) AS n FROM place GROUP BY word),
-term AS (
+ranked AS (
   SELECT item_id, word, r, max(r) OVER (PARTITION BY item_id) AS many FROM (
     SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY df.n, word) AS r
-    FROM (SELECT DISTINCT item_id, unnest(w) AS word FROM iw) JOIN df USING (word)) WHERE r <= 5
-), centre AS (SELECT item_id, doc_id, p, many FROM term JOIN place USING (word) WHERE r = 1 AND many >= 2),
+    FROM (SELECT DISTINCT item_id, unnest(w) AS word FROM iw) JOIN df USING (word)) WHERE r <= 8
+), lengths AS (SELECT item_id, max(len(w)) AS reach FROM iw GROUP BY item_id),
+term AS (SELECT *, greatest(4, (5 * many + 7) // 8) AS needed FROM ranked JOIN lengths USING (item_id) WHERE many >= 4),
+centre AS (SELECT item_id, doc_id, p, needed, reach FROM term JOIN place USING (word) WHERE r <= many - needed + 1),
 near AS (
   SELECT DISTINCT item_id, doc_id FROM (
-    SELECT c.item_id, c.doc_id, c.p, c.many, count(DISTINCT t.word) AS n
-    FROM centre c JOIN term t USING (item_id) JOIN place q ON q.doc_id = c.doc_id AND q.word = t.word AND abs(q.p - c.p) <= 12
-    GROUP BY 1, 2, 3, 4) WHERE n = many
+    SELECT c.item_id, c.doc_id, c.p, c.needed, count(DISTINCT t.word) AS n
+    FROM centre c JOIN term t USING (item_id) JOIN place q ON q.doc_id = c.doc_id AND q.word = t.word AND abs(q.p - c.p) <= c.reach
+    GROUP BY 1, 2, 3, 4) WHERE n >= needed
 ), close AS (SELECT doc_id, count(*) AS n_near FROM near ANTI JOIN exact USING (doc_id, item_id) GROUP BY doc_id)
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
