@@ -1,14 +1,20 @@
 """Toxicity by class-conditional Kneser-Ney models of characters within words.
 
 Two models, toxic and ordinary, give each character of a word a probability
-after the characters before it.  Their highest order is counted by class on a
-bounded sample of labelled documents; both back off to one shared model, whose
-counts come from all documents, so that an expression rare in either class has
-no more than its discounted share.  A text's score compares the two
+after the five before it, from counts by class on a bounded sample of labelled
+documents, with modified Kneser-Ney discounts estimated from these counts.  What they discount goes to one shared model of the next lower order,
+whose counts come from all documents: in each order from four characters down to
+none a character counts as often as there are different characters before its
+context (where a context begins its word: as often as it stands), and what is
+discounted goes one order down.  So an expression that is rare in either class
+has no more than its discounted share.  A text's score compares the two
 log-likelihoods, divided by the number of words: once of all words, once of what
 each word has beyond FAR, so that a few plain insults tell in a text of any
 length.  A logistic function of these two, fitted on labelled documents that the
 models haven't counted, makes it a probability.
+
+An event (a character after its context) is one number: the five bytes before
+it, how many of them there are, and the byte itself or the word's end.
 """
 
 from __future__ import annotations
@@ -18,24 +24,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (makes pa.compute)
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.blocks import IS_ALNUM, LOWER, STEP, U64, blocks, column_bytes, mix, prefix_sums, span_hash, word_spans
+from docweave.llm.blocks import IS_ALNUM, LOWER, blocks, column_bytes, prefix_sums, span_hash, word_spans
 from docweave.llm.carry import CARRIED, carried, extended
 from docweave.llm.store import written
 from docweave.ship import shipped
 
 #: Labelled documents that are counted or calibrated on, at most, by label.
 SAMPLE = {1: 6000, 0: 9000}
-#: Characters of context: by class, and in the shared model; discounts of each.
-CONTEXT, SHARED_CONTEXT = 5, 3
-DISCOUNT, SHARED_DISCOUNT = 0.75, 0.75
+#: Characters of context of the class models.
+CONTEXT = 5
+#: Discount of the shared orders, and of a class whose counts are too few to tell.
+SHARED_DISCOUNT = 0.75
 #: Events that a task holds before it adds them up.
 HELD = 2_000_000
-START, END = U64(0xA5A5F00DC0FFEE11), 256
-
-_EVENTS = ["gram", "context", "shared_gram", "shared_context", "symbol"]
+END = 256
+#: Where the number of context bytes and the symbol stand in an event.
+LENGTH_AT, SYMBOL_AT = 8 * CONTEXT, 8 * CONTEXT + 3
 
 
 class Words:
@@ -45,32 +52,21 @@ class Words:
         raw, offsets = column_bytes(part.column(text))
         data = LOWER[raw]
         starts, ends, rows = word_spans(data, offsets, IS_ALNUM)
-        sums = prefix_sums(data)
         self.rows, self.n_rows = rows, len(offsets) - 1
-        names, first, self.number = np.unique(span_hash(sums, starts, ends), return_index=True, return_inverse=True)
+        names, first, self.number = np.unique(span_hash(prefix_sums(data), starts, ends), return_index=True, return_inverse=True)
         self.number = self.number.reshape(-1)
         self.times = np.bincount(self.number, minlength=len(names))
         starts, ends = starts[first], ends[first]
         lengths = ends - starts + 1
         self.word = np.repeat(np.arange(len(starts)), lengths)
-        begin = starts[self.word]
-        at = begin + np.arange(len(self.word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        last = at == ends[self.word]
-        self.symbol = np.where(last, END, data[np.minimum(at, max(len(data) - 1, 0))] if len(data) else END).astype(np.int64)
-        self.context = self._after(sums, begin, at, CONTEXT)
-        self.shared_context = self._after(sums, begin, at, SHARED_CONTEXT)
-        self.gram = mix(self.context * U64(STEP) + self.symbol.astype(U64))
-        self.shared_gram = mix(self.shared_context * U64(STEP) + self.symbol.astype(U64))
-
-    @staticmethod
-    def _after(sums: np.ndarray, begin: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-        """Hashes of the characters before each place; the start of the word is one where it is in reach."""
-        low = np.maximum(begin, at - width)
-        return span_hash(sums, low, at) ^ np.where(at - begin < width, START, U64(0)) ^ U64(width)
-
-
-def _signed(a: np.ndarray) -> np.ndarray:
-    return a.view(np.int64)
+        place = np.arange(len(self.word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = starts[self.word] + place
+        symbol = data[np.minimum(at, max(len(data) - 1, 0))].astype(np.int64) if len(data) else at
+        symbol[at == ends[self.word]] = END
+        self.context = np.minimum(place, CONTEXT) << LENGTH_AT
+        for k in range(1, CONTEXT + 1):
+            self.context |= np.where(place >= k, data[np.maximum(at - k, 0)] if len(data) else 0, 0).astype(np.int64) << (8 * (k - 1))
+        self.gram = self.context | symbol << SYMBOL_AT
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, sample: dict[int, int]) -> DataFrame:
@@ -85,8 +81,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     return found.groupBy("_id", "label", "fold").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
+def _summed(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    grams, number = np.unique(gram, return_inverse=True)
+    return grams, np.bincount(number.reshape(-1), weights=n, minlength=len(grams)).astype(np.int64)
+
+
 def class_counts(sample: DataFrame) -> DataFrame:
-    """Events of the sample by class, partial sums first."""
+    """gram, n0, n1 of the events of the sample, partial sums first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,87 +95,109 @@ def class_counts(sample: DataFrame) -> DataFrame:
                 own = batch.filter(pa.compute.equal(batch.column("label"), label))
                 for part in blocks(own, "text"):
                     words = Words(part, "text")
-                    times = words.times[words.word]
-                    grams, first, number = np.unique(words.gram, return_index=True, return_inverse=True)
-                    counts = np.bincount(number.reshape(-1), weights=times, minlength=len(grams)).astype(np.int64)
-                    arrays = [pa.array(np.full(len(grams), label, np.int32))]
-                    arrays += [pa.array(_signed(getattr(words, c)[first])) for c in _EVENTS]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts)], names=["label", *_EVENTS, "n"])
-
-    made = sample.select("text", "label").mapInArrow(run, "label int, gram bigint, context bigint, shared_gram bigint, shared_context bigint, symbol bigint, n bigint")
+                    grams, counts = _summed(words.gram, words.times[words.word])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), label, np.int32)), pa.array(grams), pa.array(counts)], names=["label", "gram", "n"])
+
+    made = sample.select("text", "label").mapInArrow(run, "label int, gram bigint, n bigint")
     sums = [F.coalesce(F.sum(F.when(F.col("label") == c, F.col("n"))), F.lit(0)).alias(f"n{c}") for c in (0, 1)]
-    return made.groupBy(*_EVENTS).agg(*sums)
+    return made.groupBy("gram").agg(*sums)
 
 
 def corpus_counts(docs: DataFrame, text: str) -> DataFrame:
-    """gram, context, symbol, n of every event of the shared model in all documents, partial sums first."""
+    """gram, n of every event in all documents, partial sums first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         rows = 0
 
-        def merged() -> tuple[np.ndarray, ...]:
-            gram, context, symbol, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            grams, first, number = np.unique(gram, return_index=True, return_inverse=True)
-            return grams, context[first], symbol[first], np.bincount(number.reshape(-1), weights=n, minlength=len(grams)).astype(np.int64)
-
-        def flush() -> pa.RecordBatch:
-            gram, context, symbol, n = merged()
-            return pa.RecordBatch.from_arrays([pa.array(_signed(gram)), pa.array(_signed(context)), pa.array(symbol), pa.array(n)], names=["gram", "context", "symbol", "n"])
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(*[np.concatenate(c) for c in zip(*held, strict=True)])
 
         for batch in batches:
             for part in blocks(batch, text):
                 words = Words(part, text)
-                held.append((words.shared_gram, words.shared_context, words.symbol, words.times[words.word]))
-                rows += len(words.symbol)
+                held.append((words.gram, words.times[words.word]))
+                rows += len(words.gram)
                 if rows >= HELD:
                     held = [merged()]
                     rows = len(held[0][0])
                     if rows >= HELD // 2:
-                        yield flush()
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=["gram", "n"])
                         held, rows = [], 0
         if rows:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], names=["gram", "n"])
 
-    made = docs.select(text).mapInArrow(run, "gram bigint, context bigint, symbol bigint, n bigint")
-    return made.groupBy("gram").agg(F.first("context").alias("context"), F.first("symbol").alias("symbol"), F.sum("n").alias("n"))
+    made = docs.select(text).mapInArrow(run, "gram bigint, n bigint")
+    return made.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _shortened(gram: Column, k: int) -> Column:
+    """An event with the last ``k`` bytes of its context alone."""
+    bits = F.call_function("shiftright", gram, F.lit(LENGTH_AT))
+    length, symbol = bits.bitwiseAND(F.lit(7)), F.call_function("shiftright", gram, F.lit(SYMBOL_AT))
+    kept = gram.bitwiseAND(F.lit((1 << 8 * k) - 1))
+    return kept + F.least(length, F.lit(k)) * F.lit(1 << LENGTH_AT) + symbol * F.lit(1 << SYMBOL_AT)
+
+
+def _context(gram: Column) -> Column:
+    return gram.bitwiseAND(F.lit((1 << SYMBOL_AT) - 1))
+
+
+def continuations(above: DataFrame, k: int) -> DataFrame:
+    """gram, n, a of the order with ``k`` characters of context, from that with one more (gram, n).
+
+    a: the number of different characters before the event; where the context
+    begins its word, nothing can stand before it and the event's own number counts.
+    """
+    begins = F.call_function("shiftright", F.col("gram"), F.lit(LENGTH_AT)).bitwiseAND(F.lit(7)) < k
+    each = above.select(_shortened(F.col("gram"), k).alias("gram"), "n", F.when(begins, F.col("n")).otherwise(F.lit(1)).alias("a"))
+    return each.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
 
 
-def shared_model(events: DataFrame, counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """gram, n, total and kinds (of the context) of the events' shared grams, and the continuation counts of the symbols.
+def shared_model(events: DataFrame, counts: DataFrame) -> DataFrame:
+    """gram and backoff of events: the shared model's probability of their symbol after the last CONTEXT - 1 characters.
 
-    Totals, kinds and continuation counts are formed from all of ``counts``.
-    Only the grams of class events are needed: at any other event the shared
-    probability is a factor of both classes and cancels.
+    Continuations, totals and kinds are formed from all of ``counts``.  Only the
+    grams of class events are needed: at any other event the shared probability is
+    a factor of both classes and cancels.
     """
-    wanted = events.select(F.col("shared_gram").alias("gram")).distinct()
-    contexts = counts.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    follows = np.zeros(END + 1)
-    for symbol, n in counts.groupBy("symbol").count().collect():
-        follows[symbol] = n
-    return counts.join(wanted, "gram").join(contexts, "context").select("gram", "n", "total", "kinds"), follows
+    found, level, orders = events.select("gram"), counts, []
+    for k in range(CONTEXT - 1, -1, -1):
+        level = written(continuations(level, k), f"toxicity-order-{k}")
+        contexts = level.groupBy(_context(F.col("gram")).alias("context")).agg(F.sum("a").alias(f"total{k}"), F.count("*").alias(f"kinds{k}"))
+        own = found.withColumn("at", _shortened(F.col("gram"), k)).withColumn("context", _context(F.col("at")))
+        found = own.join(level.select(F.col("gram").alias("at"), F.col("a").alias(f"a{k}")), "at").join(contexts, "context").drop("at", "context")
+        orders.append(k)
+    chance = F.col("a0") / F.col("total0")
+    for k in reversed(orders[:-1]):
+        chance = (F.col(f"a{k}") - SHARED_DISCOUNT) / F.col(f"total{k}") + SHARED_DISCOUNT * F.col(f"kinds{k}") / F.col(f"total{k}") * chance
+    return found.select("gram", chance.alias("backoff"))
+
+
+def discounts(n: np.ndarray) -> np.ndarray:
+    """What is taken off counts of 0, 1, 2 and of 3 and more: modified Kneser-Ney estimates from the numbers of such counts."""
+    seen = [int((n == i).sum()) for i in (1, 2, 3, 4)]
+    if not all(seen):
+        return np.array([0.0, *[SHARED_DISCOUNT] * 3])
+    ones, twos, threes, fours = seen
+    share = ones / (ones + 2 * twos)
+    found = (1 - 2 * share * twos / ones, 2 - 3 * share * threes / twos, 3 - 4 * share * fours / threes)
+    return np.array([0.0, *[min(max(d, 0.05), i - 0.05) for i, d in enumerate(found, 1)]])
 
 
 class Model:
     """Log-likelihood ratios of events: of known ones, and of others after a known context."""
 
-    def __init__(self, table: dict[str, np.ndarray], shared: dict[str, np.ndarray], follows: np.ndarray):
-        gram, context = table["gram"].view(U64), table["context"].view(U64)
-        # The shared model: discounted corpus counts over continuation counts of the symbols.
-        ground = (follows + 0.5) / (follows + 0.5).sum()
-        order = np.argsort(shared["gram"])
-        place = order[np.searchsorted(shared["gram"], table["shared_gram"], sorter=order)] if len(order) else order
-        n, total, kinds = (shared[c][place] for c in ("n", "total", "kinds"))
-        backoff = (n - SHARED_DISCOUNT) / total + SHARED_DISCOUNT * kinds / total * ground[table["symbol"]]
-        # The class models over it.
-        tops, top = np.unique(context, return_inverse=True)
+    def __init__(self, table: dict[str, np.ndarray]):
+        gram, backoff = table["gram"], table["backoff"]
+        tops, top = np.unique(gram & ((1 << SYMBOL_AT) - 1), return_inverse=True)
         logs, weights = [], []
         for c in (1, 0):
             n = table[f"n{c}"].astype(float)
+            off = discounts(n)[np.minimum(n, 3).astype(np.int64)]
             total = np.bincount(top, weights=n, minlength=len(tops))
-            kinds = np.bincount(top, weights=n > 0, minlength=len(tops))
-            weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-            seen = np.maximum(n - DISCOUNT, 0) / np.maximum(total[top], 1)
+            weight = np.where(total > 0, np.bincount(top, weights=off, minlength=len(tops)) / np.maximum(total, 1), 1.0)
+            seen = (n - off) / np.maximum(total[top], 1)
             logs.append(np.log(seen + weight[top] * backoff))
             weights.append(np.log(weight))
         order = np.argsort(gram)
@@ -238,8 +261,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     shipped(docs.sparkSession)
     chosen = labelled_sample(docs, labels, doc_id, text, sample or SAMPLE)
     events = written(class_counts(chosen.where("fold <> 4")), "toxicity-events")
-    shared, follows = shared_model(events, written(corpus_counts(docs, text), "toxicity-shared"))
-    model = Model(_columns(events), _columns(shared), follows)
+    shared = shared_model(events, written(corpus_counts(docs, text), "toxicity-counts"))
+    model = Model(_columns(events.join(shared, "gram")))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -289,30 +289,74 @@ def test_toxicity_on_held_out_rows(spark):
     assert found[9999] == found[9998] and 0 <= found[9999] <= 1
 
 
-def test_shared_toxicity_counts_cover_all_documents(spark):
-    from collections import Counter
+def test_toxicity_probabilities_against_a_plain_model(spark):
+    """Continuation counts of every order, the shared probabilities, and the classes' ratios, from dictionaries of strings."""
+    import math
+    from collections import Counter, defaultdict
 
-    from docweave.llm.toxicity import class_counts, corpus_counts, shared_model
+    from docweave.llm import toxicity as module
 
     random.seed(8)
-    made = [" ".join("".join(random.choice("abcde") for _ in range(random.randint(1, 7))) for _ in range(random.randint(0, 30))) for _ in range(60)]
-    events = Counter()
-    for text in made:
+    word = lambda: "".join(random.choice("abé") for _ in range(random.randint(1, 8)))
+    made = [" ".join(word() for _ in range(random.randint(0, 30))) for _ in range(80)]
+
+    def events(text):
+        """(five bytes before, with "^" where the word begins, the byte)."""
         for w in text.split():
-            events.update(((i < 3, w[max(0, i - 3) : i]), w[i] if i < len(w) else "") for i in range(len(w) + 1))
-    contexts, follows = {}, Counter(s for _, s in events)
-    for (c, _), n in events.items():
-        contexts.setdefault(c, []).append(n)
+            raw = b"^" + w.encode() + b"$"
+            for i in range(1, len(raw)):
+                yield raw[max(0, i - 5) : i], raw[i : i + 1]
+
+    def number(context, symbol):
+        own = context.lstrip(b"^")
+        return int.from_bytes(own, "big") | len(own) << module.LENGTH_AT | (module.END if symbol == b"$" else symbol[0]) << module.SYMBOL_AT
+
+    corpus = Counter(e for t in made for e in events(t))
     docs = spark.createDataFrame([(t,) for t in [*made, None]], "text string").repartition(3)
-    counts = corpus_counts(docs, "text").cache()
-    assert sorted(r.n for r in counts.collect()) == sorted(events.values())
-    sample = spark.createDataFrame([(made[0], 1), (made[1] + " once", 0)], "text string, label int")
-    classes = class_counts(sample)
-    assert min(r.n0 + r.n1 for r in classes.collect()) == 1
-    shared, continuations = shared_model(class_counts(sample.where("label = 1")), counts)
-    own = {((i < 3, w[max(0, i - 3) : i]), w[i] if i < len(w) else "") for w in made[0].split() for i in range(len(w) + 1)}
-    assert sorted((r.n, r.total, r.kinds) for r in shared.collect()) == sorted((events[e], sum(contexts[e[0]]), len(contexts[e[0]])) for e in own)
-    assert sorted(n for n in continuations.tolist() if n) == sorted(follows.values())
+    counts = module.corpus_counts(docs, "text").cache()
+    assert {r.gram: r.n for r in counts.collect()} == {number(*e): n for e, n in corpus.items()}
+    # The orders below, by definition: different characters before; with "^" in front the raw count.
+    raw = {5: corpus}
+    own = {}
+    for k in range(4, -1, -1):
+        raw[k], before = Counter(), defaultdict(set)
+        for (c, s), n in corpus.items():
+            cut = c[-k:] if k else b""
+            raw[k][cut, s] += n
+            before[cut, s].add(c[-k - 1 : len(c) - k] if len(c) > k else None)
+        own[k] = {e: raw[k][e] if e[0].startswith(b"^") else len(before[e]) for e in raw[k]}
+
+    def shared(context, symbol, k=4):
+        if k < 0:
+            return None
+        cut = context[-k:] if k else b""
+        follow = {s: a for (c, s), a in own[k].items() if c == cut}
+        total = sum(follow.values())
+        if k == 0:
+            return follow[symbol] / total
+        return (follow[symbol] - 0.75) / total + 0.75 * len(follow) / total * shared(context, symbol, k - 1)
+
+    sample = spark.createDataFrame([(t, i % 2) for i, t in enumerate(made[:30])], "text string, label int")
+    found = module.class_counts(sample)
+    classes = [Counter(e for t in made[i:30:2] for e in events(t)) for i in (0, 1)]
+    wanted = {e for c in classes for e in c}
+    assert {r.gram: (r.n0, r.n1) for r in found.collect()} == {number(*e): (classes[0][e], classes[1][e]) for e in wanted}
+    backoff = {r.gram: r.backoff for r in module.shared_model(found, counts).collect()}
+    assert backoff == pytest.approx({number(*e): shared(*e) for e in wanted})
+    assert sum(shared(b"^", s) for (c, s) in own[4] if c == b"^") == pytest.approx(1)
+
+    def logs(c, context, symbol):
+        seen = [sum(n == i for n in classes[c].values()) for i in (1, 2, 3, 4)]
+        y = seen[0] / (seen[0] + 2 * seen[1])
+        off = [0, *[min(max(i - (i + 1) * y * seen[i] / seen[i - 1], 0.05), i - 0.05) for i in (1, 2, 3)]]
+        follow = {s: n for (x, s), n in classes[c].items() if x == context}
+        total, n = sum(follow.values()), follow.get(symbol, 0)
+        left = sum(off[min(m, 3)] for m in follow.values()) / total if total else 1.0
+        return math.log((n - off[min(n, 3)]) / total + left * shared(context, symbol) if total else shared(context, symbol))
+
+    model = module.Model(module._columns(found.join(module.shared_model(found, counts), "gram")))
+    ratios = dict(zip(model.grams.tolist(), model.ratio.tolist(), strict=True))
+    assert ratios == pytest.approx({number(*e): logs(1, *e) - logs(0, *e) for e in wanted}, abs=1e-5)
 
 
 def test_paragraphs_that_repeat(spark):
