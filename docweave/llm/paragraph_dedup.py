@@ -39,7 +39,7 @@ from docweave.ship import shipped
 BANDS, ROWS = 6, 2
 SHINGLE = 5
 #: Words of a paragraph, of the paragraphs that go together, and at most between these.
-LEAST_WORDS, LEAST_RUN, GAP = 8, 30, 8
+LEAST_WORDS, LEAST_RUN, GAP = 8, 24, 8
 #: Words of a window, and places of which one at least begins a window.
 WINDOW, REACH = 12, 11
 #: Band entries in one packing, and in one bucket on average.

@@ -400,6 +400,27 @@ def test_passages_across_lines_and_without_sentences(spark):
         assert all(at <= s.start < s.end <= at + 70 for s in rows[i].passages)
 
 
+def test_recall_of_passages_by_length(spark):
+    """Passages in unpunctuated documents: found from 40 words on, those of under 24 words by no document."""
+    random.seed(5)
+    vocabulary = ["".join(random.choices("aeiourstlnm", k=random.randint(2, 7))) for _ in range(4000)]
+    words = lambda n: random.choices(vocabulary, k=n)
+    docs, later = [], {}
+    for n in (20, 40, 50, 80):
+        for _ in range(40):
+            passage, i = words(n), len(docs)
+            for own in (words(random.randint(60, 200)), words(random.randint(60, 200))):
+                at = random.randrange(len(own))
+                docs.append((len(docs), " ".join(own[:at] + passage + own[at:])))
+            later[i + 1] = (n, at)
+    rows = {r.doc_id: r for r in paragraph_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    hit = {n: sum(rows[i].n_removed_words > 0 for i, (m, _) in later.items() if m == n) / 40 for n in (20, 40, 50, 80)}
+    assert hit[20] == 0 and hit[40] >= 0.9 and hit[50] == hit[80] == 1
+    assert not any(r.n_removed_words for i, r in rows.items() if i not in later)
+    for i, (n, at) in later.items():
+        assert all(at <= p.start < p.end <= at + n for p in rows[i].passages)
+
+
 def test_proximity_matches(spark):
     from collections import Counter
 
