@@ -142,6 +142,62 @@ def extract_member_details(spark, sf_dir):
     return out.select("ord", "name", "type_name", "signature", "description", listed.alias("parameters"), "returns", "remarks")
 
 
+_TYPE_OF = "string_split(fqn, '.')[-1]"
+
+
+def _by_variant(other: str, **then: str) -> str:
+    return "CASE ord % 6 " + " ".join(f"WHEN {k[1:]} THEN {v}" for k, v in then.items()) + f" ELSE {other} END"
+
+
+@query(
+    "extract_member_variants",
+    f"""SELECT ord, {_by_variant("member", v5="NULL")} AS name, {_by_variant(_TYPE_OF, v5="NULL")} AS type_name, {_by_variant("member || '( int a )'", v4="''", v5="NULL")} AS signature,
+         {_by_variant("'About ' || member || ' & more'", v5="NULL")} AS description, {_by_variant("''", v1="'a=|b=second <see cref=\"' || fqn || '\">' || member || '</see>|c=third'", v5="NULL")} AS parameters,
+         {_by_variant("''", v3="'a' || CAST(ord AS STRING)", v5="NULL")} AS returns, {_by_variant("''", v2="'Mind ' || member || '.'", v5="NULL")} AS remarks, {_by_variant("NULL", v5="'ValueError: no member title'")} AS error FROM [details] d""",
+)
+def extract_member_variants(spark, sf_dir):
+    """Member pages in other letters, without quotes, with tags left open, comments, scripts, odd lists, and without what a page should have."""
+    kind = (c("ord") % 6).cast("int")
+    when = lambda n, text: F.when(kind == n, text).otherwise("")
+    title = F.concat("member", F.lit(" Method ("), F.substring_index("fqn", ".", -1), F.lit(")"))
+    head = F.when(kind == 0, F.concat(F.lit("<SPAN ID=pagetitle>"), title, F.lit("</SPAN>"))).when(kind == 5, "<p>").otherwise(F.concat(F.lit("<script>if (a<b) '<span id=\"pagetitle\">x Method (y)'</script><span id='pagetitle'>"), title, F.lit("</span>")))
+    about = F.concat(F.lit("<!-- no --><P>About <B>"), "member", F.lit("</B> &amp; more<BR></P>"))
+    code = F.when(kind == 4, "<pre>void no( )</pre>").otherwise(F.concat(F.lit("<h1>.NET Syntax</h1><DIV id=Syntax_CS><table class='x syntaxtable'><tr><td><pre>void  "), "member", F.lit("(\n int a )</pre></td></tr></table></DIV>")))
+    listed = F.concat(F.lit("<h4>Parameters</h4><dl><dt>a</dt><dt> b </dt><dd>second <a href='A~"), "fqn", F.lit(".html'>"), "member", F.lit("</a></dd><dt><i>c</i></dt><dd><p>third</p></dd></dl>"))
+    remarks = F.concat(F.lit("<h1>Remarks</h1><div><div><p>Mind <i>"), "member", F.lit("</i>.</p></div></div>after"))
+    values = F.concat(F.lit("<h4>Property Value</h4><div>a</div><h4>Return Value</h4><p>"), c("ord").cast("string"), F.lit("</p>"))
+    page = F.concat(F.lit("<html>"), head, about, F.when(kind == 4, "<h1>Example</h1>").otherwise(""), code, when(1, listed), when(3, values), when(2, remarks), F.lit("<h1>See Also</h1>zz"))
+    out = parsers.page_rows(base(spark, sf_dir, "details").select("ord", page.alias("html")), parsers.parse_member, parsers.MEMBER_ROW, ["ord"])
+    shown = F.array_join(F.transform("parameters", lambda p: F.concat(p["name"], F.lit("="), p["description"])), "|")
+    return out.select("ord", "name", "type_name", "signature", "description", shown.alias("parameters"), "returns", "remarks", "error")
+
+
+@query(
+    "extract_type_variants",
+    f"""SELECT ord, type_name AS name, 'Of ' || namespace AS description, '/d/' || CASE ord % 6 WHEN 0 THEN type_name || '_Example_VB.htm' WHEN 1 THEN 'x/' || type_name || '_Example_CSharp.htm' WHEN 2 THEN 'Example_VBNET_' || type_name || '.htm'
+           WHEN 3 THEN 'Example_' || type_name || '_CPP.htm' WHEN 4 THEN 'Example' || type_name || '_vb.htm' ELSE type_name || 'Example.htm' END AS url,
+         {_by_variant("'Use ' || type_name", v4="'Use (' || type_name || ') (x'")} AS example, CASE ord % 6 WHEN 0 THEN 'any' WHEN 1 THEN 'C#' WHEN 2 THEN 'VB.NET' WHEN 3 THEN 'C++' WHEN 4 THEN 'VBA' ELSE 'Unknown' END AS language
+       FROM [members] m""",
+)
+def extract_type_variants(spark, sf_dir):
+    """Type pages of each kind; example links with and without their language, among links that aren't examples."""
+    kind, name = (c("ord") % 6).cast("int"), c("type_name")
+    href = (
+        F.when(kind == 0, F.concat(name, F.lit("_Example_VB.htm"))).when(kind == 1, F.concat(F.lit("x/"), name, F.lit("_Example_CSharp.htm"))).when(kind == 2, F.concat(F.lit("Example_VBNET_"), name, F.lit(".htm")))
+        .when(kind == 3, F.concat(F.lit("Example_"), name, F.lit("_CPP.htm"))).when(kind == 4, F.concat(F.lit("Example"), name, F.lit("_vb.htm"))).otherwise(F.concat(name, F.lit("Example.htm")))
+    )
+    words = F.when(kind == 0, F.concat(F.lit("Use "), name, F.lit(" ( any )"))).when(kind == 4, F.concat(F.lit("Use ("), name, F.lit(") (x"))).otherwise(F.concat(F.lit("Use <b>"), name, F.lit("</b>")))
+    shown = F.when(kind % 3 == 0, " Interface").when(kind % 3 == 1, " Class").otherwise(" Enumeration")
+    page = F.concat(
+        F.lit("<body><span class=a id=pagetitle>"), name, shown, F.lit("</span><div>Of "), "namespace", F.lit("</div><h1>Members</h1><a href='no_Example.htm'>no</a><H1>Examples</H1><ul><li><a href='#Example.htm'>no</a><li><a href='Example.html'>no</a><li><a href=\""),
+        href, F.lit("\">"), words, F.lit("</a></ul><h1>Accessors</h1><a href='Example.htm'>no</a>"),
+    )
+    made = base(spark, sf_dir, "members").select("ord", page.alias("html"), F.lit("/d/").alias("prefix"))
+    out = parsers.page_rows(made, parsers.parse_type, parsers.TYPE_ROW, ["ord"], prefix="prefix")
+    one = c("examples")[0]
+    return out.where(F.size("examples") == 1).select("ord", "name", "description", one["url"].alias("url"), one["name"].alias("example"), one["language"].alias("language"))
+
+
 @query("extract_categories", "SELECT category, type_fqn AS type_name, count(*) AS n FROM [categories] c GROUP BY 1, 2")
 def extract_categories(spark, sf_dir):
     item = F.concat(F.lit('<li><a href="Asm~'), "type_fqn", F.lit('.html">x</a></li>'))
