@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docweave.functions import render
 from docweave.operators import checks, export, merge
-from docweave.operators.storage import shared_folder
+from docweave.operators.storage import cut, shared_folder
 from docweave.plans.base import base
 from docweave.plans.export import _XML_PROSE
 from docweave.plans.facts import _NL, _XML_REMARKS, c
@@ -146,9 +146,9 @@ _FROM_XML = f"""(SELECT k.assembly, k.type_name, k.fqn, 0 AS r, 0 AS o, {_TYPE}
 )
 def xmldoc_from_xml(spark, sf_dir):
     """XML docs made from the extraction files: scans, normalisers, merges, fragments with parameters and availability, whole files."""
-    members = readers.members_rows(members_file(spark, sf_dir))
-    types, enums = readers.types_rows(types_file(spark, sf_dir)), readers.enums_rows(enums_file(spark, sf_dir))
-    details = readers.details_rows(details_file(spark, sf_dir))
+    # Each file is parsed once, though several merges read it.
+    members, enums = cut(readers.members_rows(members_file(spark, sf_dir))), cut(readers.enums_rows(enums_file(spark, sf_dir)))
+    types, details = readers.types_rows(types_file(spark, sf_dir)), readers.details_rows(details_file(spark, sf_dir))
     merged = merge.merge_types(members.withColumn("ord", c("pos")), types.withColumn("ord", F.lit(0)), enums.withColumn("ord", c("pos")))
     keyed = merged.select("fqn", "assembly", "type_name")
     sizes = base(spark, sf_dir, "members").groupBy("fqn", "member", "url").agg(F.min("size").alias("size"))
