@@ -161,8 +161,8 @@ def _met(rows: DataFrame, anchors: DataFrame, blocks: int, same_label: bool, wan
     positives = "array<struct<id: bigint, score: bigint>>"
     sent = anchors.select(F.explode("blocks").alias("block"), F.lit(1).alias("kind"), "id", "label", "q", F.col("positives").cast(positives).alias("positives"))
     lying = rows.select("block", F.lit(0).alias("kind"), "id", "label", "q", F.lit(None).cast(positives).alias("positives"))
-    # As many partitions as blocks: small tables that take long aren't merged into few tasks.
-    dealt = lying.unionByName(sent).repartition(max(1, blocks), "block").sortWithinPartitions("block", "kind")
+    # A partition for each block: rows that take long aren't merged into few tasks.
+    dealt = lying.unionByName(sent).repartitionById(max(1, blocks), F.col("block")).sortWithinPartitions("block", "kind")
     return dealt.mapInArrow(_searched(same_label, wanted, percent), _FOUND)
 
 
