@@ -7,7 +7,7 @@ array.  Everything is numpy on that array; there is no loop over words.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,21 @@ for _a, _b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
 _powers: dict[int, np.ndarray] = {}
 
 
+_kept: list[Callable[[], object]] = []
+
+
+def kept(clear: Callable[[], object]) -> None:
+    """Name what empties a cache that a Python worker keeps from task to task."""
+    _kept.append(clear)
+
+
 def give_back() -> None:
-    """Return freed memory of this worker to the system; allocators keep it otherwise."""
+    """Empty the caches that earlier tasks have left in this worker, and return its freed memory to the system.
+
+    Workers go on from operator to operator; one that needs room begins with this.
+    """
+    for clear in _kept:
+        clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:

@@ -24,13 +24,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm.blocks import kept
 from docweave.llm.carry import CARRIED, carried, extended
 from docweave.ship import shipped
 
 #: The pre-tokenizer's pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Most words whose ids a Python worker keeps.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 150_000
 #: Most pairs in the compatibility table.
 KEPT_PAIRS = 500_000
 #: Texts of characters below this one take the standard library's faster engine.
@@ -239,6 +240,8 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+kept(_encoders.clear)
+kept(Encoder.encodes_itself.cache_clear)
 
 
 def encoder(path: str) -> Encoder:

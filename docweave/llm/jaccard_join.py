@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.blocks import U64, blocks, column_bytes, mix, shingle_hashes, word_hashes
+from docweave.llm.blocks import U64, blocks, column_bytes, give_back, mix, shingle_hashes, word_hashes
 from docweave.llm.carry import CARRIED, carried, extended
 from docweave.llm.components import connected_components
 from docweave.llm.overlap import in_groups, linked
@@ -60,6 +60,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     keep = [c for c in docs.columns if c != "_text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for part, _, _, sizes, signature in shingle_sets(batch, "_text", k):
                 arrays = [part.column(c) for c in keep]
@@ -129,6 +130,7 @@ def packed_pairs(docs: DataFrame, k: int, bits: int, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in part], t) for c, t in zip(names, types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         keys: list[np.ndarray] = []
         places: list[np.ndarray] = []
         owners: list[np.ndarray] = []
@@ -208,6 +210,7 @@ def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, names=["signature", "frequency", "shingle"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         rows: list[tuple] = []
         for batch in batches:
             for row in zip(*[batch.column(c).to_pylist() for c in ("bucket", "n", "frequent", "keys", "places", "owners")], strict=True):
@@ -243,6 +246,7 @@ def candidate_sets(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFra
         return pa.RecordBatch.from_arrays(arrays, names=["id", "size", "keys", "prefix"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         rest = tuple(np.zeros(0, np.int64) for _ in range(3))
         for batch in batches:
             now = tuple(np.concatenate([r, batch.column(i).to_numpy(zero_copy_only=False)]) for i, r in enumerate(rest))

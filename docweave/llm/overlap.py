@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.llm.blocks import give_back
 from docweave.llm.components import connected_components
 from docweave.llm.store import written
 from docweave.ship import shipped
@@ -201,6 +202,7 @@ def linked(postings: DataFrame, percent: int) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         rest: pa.RecordBatch | None = None
         for batch in batches:
             if not batch.num_rows:
