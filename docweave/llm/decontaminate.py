@@ -42,7 +42,7 @@ _HITS = "array<struct<start:bigint,end:bigint>>"
 #: Rarest terms of an item that a proximity search takes, how many of each eight of them must stand together, and how many at least.
 RAREST, OF_EIGHT, LEAST_TERMS = 8, 5, 4
 #: Places around which a search looks at once.
-PLACES = 1 << 20
+PLACES = 1 << 17
 
 
 @dataclass
