@@ -61,6 +61,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", tex
         .where(F.col("_first") != F.col("_last"))
         .select("_h1", "_h2", "_first")
     )
+    shared = written(shared, "line-shared")  # so that both sides of the join below are shuffled for it, and a hot line can be split
     dropped = (
         lines.join(shared, ["_h1", "_h2"])
         .where(F.col("_id") != F.col("_first"))
