@@ -30,8 +30,8 @@ from docweave.ship import shipped
 
 #: The pre-tokenizer's pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Most words whose ids a Python worker keeps.
-KEPT_WORDS = 150_000
+#: Most words whose ids a Python worker keeps: in two halves, of which the one that isn't asked for goes.
+KEPT_WORDS = 400_000
 #: Most pairs in the compatibility table.
 KEPT_PAIRS = 500_000
 #: Texts of characters below this one take the standard library's faster engine.
@@ -102,6 +102,7 @@ class Encoder:
         self.foreign = re.compile(rf"[^\x00-\u{LATIN_END - 1:04x}]").search
         self.stop = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         self.lengths = self.sizes.tolist()
         self.usable = {piece: i for piece, i in self.vocab.items() if self._usable(piece)}
@@ -219,10 +220,13 @@ class Encoder:
                 for w in words:
                     ids = known.get(w)
                     if ids is None:
-                        ids = np.array(self.word(w.encode()), dtype="<u4").tobytes()
+                        ids = self.older.get(w)
+                        if ids is None:
+                            ids = np.array(self.word(w.encode()), dtype="<u4").tobytes()
                         if len(w) <= 64:
-                            if len(known) >= KEPT_WORDS:
-                                known.clear()
+                            if len(known) >= KEPT_WORDS // 2:
+                                self.older, self.known = known, {}
+                                known = self.known
                             known[w] = ids
                     out.append(ids)
         return b"".join(out)
