@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from docweave.functions.text import clean_text, utrim
+from docweave.sources import walk
 
 CRAWL_LOG = "url string, file_path string, content_hash string, content_length bigint, status_code int, title string"
 CRAWL_ERRORS = "url string, error string"
@@ -28,22 +29,31 @@ XML_ROWS = {
 }
 
 
-def read_pages(spark: SparkSession, path: str, pattern: str = "*.html", recursive: bool = True) -> DataFrame:
-    """One row for each page file: path, file_name, html. Predicates on names belong before any parser."""
+def _pages(spark: SparkSession, path: str, pattern: str, first: int, last: int | None) -> DataFrame:
+    """Pages in folders ``first`` to ``last`` levels below a path."""
+    roots = walk.folders(spark, path)
+    if roots:
+        return walk.files(spark, roots, pattern, first, last)
+    # Files named one by one, missing paths, and file systems that only Spark reaches: the driver lists all.
     reader = spark.read.option("pathGlobFilter", pattern)
-    if recursive:
+    if last is None:
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.text(path, wholetext=True)
+    files = reader.text(path.rstrip("/") + "/*/" * first if first else path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("html"))
 
 
+def read_pages(spark: SparkSession, path: str, pattern: str = "*.html", recursive: bool = True) -> DataFrame:
+    """One row for each page file: path, file_name, html. Predicates on names belong before any parser."""
+    return _pages(spark, path, pattern, 0, None if recursive else 0)
+
+
 def read_members_pages(spark: SparkSession, path: str) -> DataFrame:
     return read_pages(spark, path, "*_members_*.html")
 
 
 def read_one_level(spark: SparkSession, path: str) -> DataFrame:
     """Pages exactly one directory deep."""
-    return read_pages(spark, f"{path.rstrip('/')}/*/", recursive=False)
+    return _pages(spark, path, "*.html", 1, 1)
 
 
 def read_example_pages(spark: SparkSession, path: str, htm_only: bool = True) -> DataFrame:

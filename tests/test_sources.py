@@ -3,9 +3,10 @@ import xml.etree.ElementTree as ET
 import zipfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from docweave.sources import filetree, readers, release, xml_rows
+from docweave.sources import filetree, readers, release, walk, xml_rows
 from docweave.sources.json_tree import json_urls
 from docweave.streaming import resume
 
@@ -85,6 +86,47 @@ def test_page_scans(spark, tmp_path):
     assert [r.file_name for r in readers.read_example_pages(spark, str(tmp_path)).collect()] == ["x.htm"]
 
 
+def test_page_scans_by_tasks(spark, tmp_path):
+    names = ["top.html", "a b/x%20y+z#[1]{2}.html", "é/ü\u00a0ß.htm", "d/e/f/_members_.html", "d/_hidden.html", "d/.dot.html", "_passing/x.html", "d/.x/y.html", "k=1/_k=2.html", "d/x.html._COPYING_", "d/x.HTML", "d/empty.html", "'~(!)*&;,@:$^`|/p_members_1.html"]
+    names += [f"many/{i}/{j}/{i}.html" for i in range(walk.SPREAD + 6) for j in range(2)]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else b"\xef\xbb\xbf<p>\xff\r\n" + name.encode())
+    (tmp_path / "link.html").symlink_to(tmp_path / "gone")
+    (tmp_path / "linked").symlink_to(tmp_path / "é")
+
+    def rows(pages):
+        return sorted((r.path, r.file_name, bytes(r.html)) for r in pages.withColumn("html", F.col("html").cast("binary")).collect())
+
+    def by_spark(pattern, path=str(tmp_path), recursive=True):
+        files = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).text(path, wholetext=True)
+        return rows(files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("html")))
+
+    for pattern in ("*.html", "*_members_*.html", "*.{htm,html}", "?[!x]*.htm*", "[a-z]?html"):
+        pages = readers.read_pages(spark, str(tmp_path), pattern)
+        assert rows(pages) == by_spark(pattern)
+        assert not pages.inputFiles()  # what the driver would hold of Spark's own scan: all names
+    assert rows(readers.read_pages(spark, f"file://{tmp_path}/", recursive=False)) == [r for r in by_spark("*.html") if r[1] == "top.html"]
+    assert rows(readers.read_pages(spark, f"{tmp_path}/many/1*/")) == by_spark("*.html", f"{tmp_path}/many/1*/")
+    one = rows(readers.read_one_level(spark, str(tmp_path)))
+    assert {r[1] for r in one} == {"x%2520y+z%23%5B1%5D%7B2%7D.html", "_k=2.html", "p_members_1.html"}
+    assert one == [r for r in by_spark("*.html") if r[0].removeprefix(f"file:{tmp_path}/").count("/") == 1]
+    assert rows(readers.read_pages(spark, str(tmp_path / "top.html"))) == [r for r in by_spark("*.html") if r[1] == "top.html"]
+    (tmp_path / "none").mkdir()
+    assert rows(readers.read_pages(spark, str(tmp_path / "none"))) == []
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        readers.read_pages(spark, str(tmp_path / "absent"))
+
+
+def test_pages_that_are_not_kept_are_not_read(spark, tmp_path):
+    for name in ("kept.html", "other.html"):
+        (tmp_path / name).write_text("<p>x</p>")
+    pages = readers.read_pages(spark, str(tmp_path))
+    assert "BatchEvalPython" not in pages.select("path", "file_name")._jdf.queryExecution().executedPlan().toString()
+    plan = pages.where(F.col("file_name") == "kept.html")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("BatchEvalPython") < plan.index("Filter")
+
+
 def test_toc_files(spark, tmp_path):
     node = {"id": "1", "parentId": "-1", "name": "Root", "url": "", "isLeaf": False, "children": [{"id": "1.0", "parentId": "1", "name": "Leaf", "url": "/l.htm", "isLeaf": True}]}
     (tmp_path / "expandToc_id_1.json").write_text(json.dumps(node))
